@@ -46,19 +46,26 @@ def fit_nb(docs: DataFrame, tokens: str = "tokens", p: str = "p", lam: str | Non
     lam_c = F.col(lam).cast("double") if lam else F.lit(1.0)
     d = docs.select(F.col(tokens).alias("_t"), F.col(p).cast("double").alias("_p"),
                     lam_c.alias("_l"))
-    occ = d.select(F.explode("_t").alias("word"), "_p", "_l")
-    per_word = occ.groupBy("word").agg(F.sum(F.col("_l") * F.col("_p")).alias("a"),
-                                       F.sum(F.col("_l") * (1 - F.col("_p"))).alias("b"))
-    per_word = checkpoint(per_word)
-    tot = per_word.agg(F.sum("a").alias("A"), F.sum("b").alias("B"),
-                       F.count(F.lit(1)).alias("V")).first()
-    pri = d.agg(F.sum(F.col("_l") * F.col("_p")).alias("pos"),
-                F.sum(F.col("_l") * (1 - F.col("_p"))).alias("neg")).first()
-    big_a, big_b, v = tot["A"] or 0.0, tot["B"] or 0.0, tot["V"]
+    # one pass: every document also emits a null "word" carrying its own
+    # (lam*p, lam*(1-p)), whose group gives the prior's numerator and
+    # denominator alongside the word counts
+    occ = d.select(F.explode(F.concat("_t", F.array(F.lit(None).cast("string"))))
+                   .alias("word"), "_p", "_l")
+    grouped = occ.groupBy("word").agg(F.sum(F.col("_l") * F.col("_p")).alias("a"),
+                                      F.sum(F.col("_l") * (1 - F.col("_p"))).alias("b"))
+    grouped = checkpoint(grouped)
+    per_word = grouped.filter(F.col("word").isNotNull())
+    row = grouped.agg(
+        F.sum(F.when(F.col("word").isNotNull(), F.col("a"))).alias("A"),
+        F.sum(F.when(F.col("word").isNotNull(), F.col("b"))).alias("B"),
+        F.count("word").alias("V"),
+        F.max(F.when(F.col("word").isNull(), F.col("a"))).alias("pos"),
+        F.max(F.when(F.col("word").isNull(), F.col("b"))).alias("neg")).first()
+    big_a, big_b, v = row["A"] or 0.0, row["B"] or 0.0, row["V"]
     weight = (F.log((F.col("a") + 1) / F.lit(big_a + v))
               - F.log((F.col("b") + 1) / F.lit(big_b + v)))
     weights = per_word.select("word", weight.alias("weight"))
-    prior = math.log(pri["pos"] / pri["neg"]) if pri["pos"] and pri["neg"] else 0.0
+    prior = math.log(row["pos"] / row["neg"]) if row["pos"] and row["neg"] else 0.0
     return NBModel(weights=weights, prior=prior, n_words=v)
 
 

@@ -18,6 +18,7 @@ from polarity.functions.text import (attention_mask, encode_with_specials,
                                      ngrams_all, pad_truncate, strip_tags, tokenize)
 from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from polarity.operators.ordering import ordered_rank
+from polarity.session import checkpoint
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -39,8 +40,10 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
     if max_size is not None:
         top = counts.orderBy(*order).limit(max_size)
         w = Window.orderBy(*order)  # at most max_size rows
-        return top.select((F.row_number().over(w) - 1 + first_id).cast("int").alias("id"),
-                          "word", F.col("n").cast("long").alias("n"))
+        vocab = top.select((F.row_number().over(w) - 1 + first_id).cast("int").alias("id"),
+                           "word", F.col("n").cast("long").alias("n"))
+        # a fitted artifact: materialized once, reused by every lookup
+        return checkpoint(vocab)
     ranked = ordered_rank(counts.withColumn("_neg_n", -F.col("n")), ["_neg_n", "word"],
                           rank_col="_rank")
     return ranked.select((F.col("_rank") + first_id).cast("int").alias("id"), "word",

@@ -51,13 +51,13 @@ def _vocab_vectors(spark, d, roles=None) -> DataFrame:
 # ---------------------------------------------------------------- text (P)
 
 def q_strip_tags(spark, d):
-    pages = I.table(spark, d, "pages")
+    pages = I.table(spark, d, "pages", "page_id")
     return pages.select("page_id", strip_tags("html").alias("text"))
 
 
 def q_encode_label(spark, d):
     lab = I.table(spark, d, "labels").select("doc_id", "quality")
-    docs = I.documents(spark, d).select(KEY).join(lab, KEY, "left")
+    docs = I.doc_ids(spark, d).join(lab, KEY, "left")
     sent = (F.when(F.col("quality") == 1, F.lit("positive"))
             .when(F.col("quality") == 0, F.lit("negative")))
     return docs.select(KEY, sent.alias("sentiment"), encode_label(sent).alias("label"))
@@ -166,7 +166,7 @@ def q_decode_sentence(spark, d):
 # ------------------------------------------------------------ sampling (D, J)
 
 def _doc_ids(spark, d):
-    return I.documents(spark, d).select(KEY)
+    return I.doc_ids(spark, d)
 
 
 def q_global_rank(spark, d):
@@ -189,7 +189,7 @@ def q_split_three(spark, d):
 
 
 def q_split_train_valid(spark, d):
-    lab = I.labeled_docs(spark, d).select(KEY)
+    lab = I.labeled_ids(spark, d).select(KEY)
     return S.split_train_valid(lab, DEFAULTS.valid_frac, DEFAULTS.seed, KEY)
 
 
@@ -199,8 +199,8 @@ def q_assign_batches(spark, d):
 
 
 def _tiled(spark, d):
-    lab = I.labeled_docs(spark, d).select(KEY, "label")
-    unl = I.unlabeled_docs(spark, d).select(KEY)
+    lab = I.labeled_ids(spark, d)
+    unl = I.unlabeled_ids(spark, d)
     return S.tile_to_cover(lab, unl), unl
 
 
@@ -216,7 +216,7 @@ def q_zip_batches(spark, d):
 # -------------------------------------------------------------- ensemble (A1/A2)
 
 def _vote_inputs(spark, d):
-    ids = I.unlabeled_docs(spark, d).select(KEY)
+    ids = I.unlabeled_ids(spark, d)
     votes = I.member_votes(_doc_ids(spark, d), KEY)
     return ids, votes, E.member_weights(spark, MEMBER_WEIGHTS)
 

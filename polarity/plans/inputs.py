@@ -19,15 +19,24 @@ from pyspark.sql import functions as F
 
 from polarity.config import MEMBER_WEIGHTS, NEGATIVE, POSITIVE
 from polarity.functions.text import tokenize
+from polarity.sources.tables import balance
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """Scan a test table; with ``key``, rows that carry heavy per-row work
+    (text, vectors) are spread over the cluster when the scan is too narrow."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return balance(df, key) if key else df
 
 
 def documents(spark, sf_dir) -> DataFrame:
     """(doc_id, text)."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+
+
+def doc_ids(spark, sf_dir) -> DataFrame:
+    """(doc_id) - no text, so no rebalancing."""
+    return table(spark, sf_dir, "documents").select("doc_id")
 
 
 def labeled_docs(spark, sf_dir) -> DataFrame:
@@ -46,13 +55,25 @@ def unlabeled_docs(spark, sf_dir) -> DataFrame:
     return documents(spark, sf_dir).join(lab, "doc_id", "left_anti")
 
 
+def unlabeled_ids(spark, sf_dir) -> DataFrame:
+    lab = table(spark, sf_dir, "labels").select("doc_id")
+    return doc_ids(spark, sf_dir).join(lab, "doc_id", "left_anti")
+
+
+def labeled_ids(spark, sf_dir) -> DataFrame:
+    """(doc_id, label) of labelled documents, without text."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int")
+                                                .alias("label"))
+    return doc_ids(spark, sf_dir).join(lab, "doc_id")
+
+
 def with_tokens(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("tokens", tokenize(text)).drop(text)
 
 
 def embeddings(spark, sf_dir) -> DataFrame:
     """(vec_id, embedding, label, role, logits, target)."""
-    e = table(spark, sf_dir, "embeddings")
+    e = table(spark, sf_dir, "embeddings", "vec_id")
     role = (F.when(F.col("label") <= 3, F.lit("labeled"))
             .when(F.col("label") <= 7, F.lit("real")).otherwise(F.lit("fake")))
     return e.select("vec_id", "embedding", "label", role.alias("role"),

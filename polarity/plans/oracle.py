@@ -289,10 +289,12 @@ ORACLE = {
     "accuracy": f"""{NB}, {nb_score_cte('lab', 'm', 'lab')},
       j AS (SELECT CAST(score > 0 AS INTEGER) AS pred, l.quality AS label
         FROM sc_lab JOIN labels l USING (doc_id))
-      SELECT count(*) AS n, count_if(pred = label) AS correct,
+      SELECT count(*) AS n, CAST(count_if(pred = label) AS BIGINT) AS correct,
         round(avg(CAST(pred = label AS DOUBLE)), 9) AS accuracy,
-        count_if(pred = 1 AND label = 1) AS tp, count_if(pred = 1 AND label <> 1) AS fp,
-        count_if(pred <> 1 AND label <> 1) AS tn, count_if(pred <> 1 AND label = 1) AS fn FROM j""",
+        CAST(count_if(pred = 1 AND label = 1) AS BIGINT) AS tp,
+        CAST(count_if(pred = 1 AND label <> 1) AS BIGINT) AS fp,
+        CAST(count_if(pred <> 1 AND label <> 1) AS BIGINT) AS tn,
+        CAST(count_if(pred <> 1 AND label = 1) AS BIGINT) AS fn FROM j""",
     "semi_nb_score": f"""{NB},
       unl AS (SELECT doc_id, tokens FROM toks WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
       {nb_score_cte('u', 'm', 'unl')},

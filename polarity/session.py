@@ -9,6 +9,7 @@ temporary folder; a cluster without it is an error, never a local /tmp.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint into the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
+    folder and continue from that table.
+
+    One job computes the data (an eager RDD checkpoint of an unpersisted
+    plan computes it twice), the copy survives executor loss, and the
+    result is an ordinary Parquet scan with pruning and pushdown.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/polarity-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
