@@ -49,7 +49,8 @@ def fit_nb(docs: DataFrame, tokens: str = "tokens", p: str = "p", lam: str | Non
     # one pass: every document also emits a null "word" carrying its own
     # (lam*p, lam*(1-p)), whose group gives the prior's numerator and
     # denominator alongside the word counts
-    occ = d.select(F.explode(F.concat("_t", F.array(F.lit(None).cast("string"))))
+    # (explode_outer: no inferred size filter re-running the tokenizer)
+    occ = d.select(F.explode_outer(F.concat("_t", F.array(F.lit(None).cast("string"))))
                    .alias("word"), "_p", "_l")
     grouped = occ.groupBy("word").agg(F.sum(F.col("_l") * F.col("_p")).alias("a"),
                                       F.sum(F.col("_l") * (1 - F.col("_p"))).alias("b"))

@@ -156,7 +156,7 @@ def linear_score(vec_df: DataFrame, weights: DataFrame, key: str = "id", vec: st
         wn = F.array(*[F.lit(t * r["g"] / norm if norm > 0 else 0.0) for t in r["w"]])
         scores.append(F.struct(F.lit(r["out"]).alias("out"),
                                (dot(x, wn) + F.lit(r["b"])).alias("score")))
-    return vec_df.select(key, F.explode(F.array(*scores)).alias("_s")).select(
+    return vec_df.select(key, F.explode_outer(F.array(*scores)).alias("_s")).select(
         key, F.col("_s.out").alias("out"), F.col("_s.score").alias("score"))
 
 

@@ -33,7 +33,10 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
     bounded take-ordered; without one the numbering uses a range-partitioned
     rank instead of a single-partition window.
     """
-    counts = (tokens_df.select(F.explode(tokens_col).alias("word"))
+    # explode_outer + null filter: a plain explode makes the optimizer infer
+    # size(tokens) > 0 and evaluate the tokenizer a second time below it
+    counts = (tokens_df.select(F.explode_outer(tokens_col).alias("word"))
+              .filter(F.col("word").isNotNull())
               .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") >= F.lit(min_count)))
     order = [F.col("n").desc(), F.col("word").asc()]
@@ -93,7 +96,8 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     v = vectors.select(F.col("id").cast("int").alias("_jid"),
                        F.col("vector").cast("array<float>").alias("_vec"))
     n_vec = vector_rows if vector_rows is not None else v.count()
-    exploded = ids_df.select(key, F.posexplode(ids_col).alias("pos", "_tid"))
+    exploded = (ids_df.select(key, F.posexplode_outer(ids_col).alias("pos", "_tid"))
+                .filter(F.col("pos").isNotNull()))
     if n_vec <= max_broadcast_rows:
         joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
     else:
@@ -139,10 +143,11 @@ def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tok
     over the whole token array. Grams are produced width by width (two
     generators), and the count is combined map-side because all grams of a
     row are made in the same task."""
-    per_width = tokens_df.select(key, F.explode(ngrams_all(F.col(tokens_col), widths))
+    per_width = tokens_df.select(key, F.explode_outer(ngrams_all(F.col(tokens_col), widths))
                                  .alias("_w"))
-    grams = per_width.select(key, F.col("_w.width").alias("width"),
-                             F.explode("_w.grams").alias("gram"))
+    grams = (per_width.select(key, F.col("_w.width").alias("width"),
+                              F.explode_outer("_w.grams").alias("gram"))
+             .filter(F.col("gram").isNotNull()))
     return grams.groupBy(key, "width", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 

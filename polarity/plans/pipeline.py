@@ -60,8 +60,9 @@ def run_supervised(train_df: DataFrame, test_df: DataFrame, key: str = "id",
     if not use_all:
         valid = split.filter(F.col("part") == "valid")
         scored = scorer(valid.select(key, "tokens")).join(valid.select(key, "label"), key)
-        # log loss of the score read as a logit: softplus(s) - y * s
-        loss = softplus(F.col("score")) - F.col("label") * F.col("score")
+        # log loss of the score read as a logit, softplus(s) - y*s, written
+        # as softplus(-s) for y = 1 so it keeps its digits for large |s|
+        loss = softplus(F.when(F.col("label") == 1, -F.col("score")).otherwise(F.col("score")))
         metrics = accuracy(scored, extra=[F.avg(loss).alias("loss")] if kind == "nb" else None)
     test = _prepare(test_df.select(key, text), key, text, strip)
     preds = scorer(test.select(key, "tokens"))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 REVIEW_SCHEMA = "id LONG, review STRING, sentiment STRING"
 SUBMISSION_SCHEMA = "id LONG, sentiment STRING"
 # Quoted fields may hold newlines and doubled quotes ("" inside "...").
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# Blanks and line breaks at the ends of a quoted field are data: keep them.
+CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_reviews(spark: SparkSession, path: str, labeled: bool = True) -> DataFrame:
