@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
-from polarity.functions.text import (attention_mask, encode_with_specials,
-                                     ngrams_all, pad_truncate, strip_tags, tokenize)
+from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
+                                     strip_tags, tokenize)
 from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
 
+# Largest vocabulary cap served by a take-ordered top-k (every partition
+# sends at most this many rows to the final merge task).
+TOPK_MAX = 100_000
+
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
                      min_count: int = 5, max_size: int | None = 2000,
@@ -40,15 +44,19 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
               .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") >= F.lit(min_count)))
     order = [F.col("n").desc(), F.col("word").asc()]
-    if max_size is not None:
+    if max_size is not None and max_size <= TOPK_MAX:
         top = counts.orderBy(*order).limit(max_size)
         w = Window.orderBy(*order)  # at most max_size rows
         vocab = top.select((F.row_number().over(w) - 1 + first_id).cast("int").alias("id"),
                            "word", F.col("n").cast("long").alias("n"))
         # a fitted artifact: materialized once, reused by every lookup
         return checkpoint(vocab)
+    # uncapped, or a cap too large for one task's take-ordered merge:
+    # exact distributed rank on (count desc, word)
     ranked = ordered_rank(counts.withColumn("_neg_n", -F.col("n")), ["_neg_n", "word"],
                           rank_col="_rank")
+    if max_size is not None:
+        ranked = ranked.filter(F.col("_rank") < max_size)
     return ranked.select((F.col("_rank") + first_id).cast("int").alias("id"), "word",
                          F.col("n").cast("long").alias("n"))
 
@@ -83,11 +91,12 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
 
 def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str = "ids",
           dim: int | None = None, vector_rows: int | None = None,
-          max_broadcast_rows: int = 500_000, salt: int = 64) -> DataFrame:
+          max_broadcast_bytes: int = 128 << 20, salt: int = 64) -> DataFrame:
     """Long form (key, pos, vector); an id with no vector (-1: pad or
     unknown) gets a zero vector of ``dim`` floats.
 
-    ``vectors`` is (id, vector). Broadcast when the counted table is small;
+    ``vectors`` is (id, vector). Broadcast when rows x dim x 4 bytes is
+    within ``max_broadcast_bytes``;
     otherwise a shuffle join in which missing ids are salted over ``salt``
     keys, so the pad id never piles up in one task.
     """
@@ -98,7 +107,7 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     n_vec = vector_rows if vector_rows is not None else v.count()
     exploded = (ids_df.select(key, F.posexplode_outer(ids_col).alias("pos", "_tid"))
                 .filter(F.col("pos").isNotNull()))
-    if n_vec <= max_broadcast_rows:
+    if n_vec * dim * 4 <= max_broadcast_bytes:
         joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
     else:
         # ids are >= 0 in the vector table; negative ids never match, so
@@ -140,14 +149,25 @@ def build_examples(df: DataFrame, vocab: DataFrame, key: str = "id", text_col: s
 def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tokens",
                    widths=(3, 4, 5, 6, 7)) -> DataFrame:
     """Long (key, width, gram, n) - count of each word n-gram per row,
-    over the whole token array. Grams are produced width by width (two
-    generators), and the count is combined map-side because all grams of a
-    row are made in the same task."""
-    per_width = tokens_df.select(key, F.explode_outer(ngrams_all(F.col(tokens_col), widths))
-                                 .alias("_w"))
-    grams = (per_width.select(key, F.col("_w.width").alias("width"),
-                              F.explode_outer("_w.grams").alias("gram"))
-             .filter(F.col("gram").isNotNull()))
+    over the whole token array.
+
+    Tokens are exploded with their position and the following words come
+    from ``lead`` over (key, pos): codegen'd window work instead of per-gram
+    array slices in interpreted lambdas. The window needs rows clustered by
+    key, which the count reuses, so at most one shuffle moves token rows
+    (none when the input is already partitioned by key), never gram rows.
+    """
+    widths = sorted(set(widths))
+    ex = (tokens_df.select(key, F.posexplode_outer(tokens_col).alias("pos", "w0"))
+          .filter(F.col("w0").isNotNull()))
+    w = Window.partitionBy(key).orderBy("pos")
+    nxt = [F.lead("w0", k).over(w).alias(f"w{k}") for k in range(1, widths[-1])]
+    ex = ex.select(key, "w0", *nxt)
+    items = [F.struct(F.lit(n).alias("width"),
+                      F.when(F.col(f"w{n - 1}").isNotNull(),
+                             F.concat_ws(" ", *[F.col(f"w{i}") for i in range(n)])).alias("gram"))
+             for n in widths]
+    grams = ex.select(key, F.inline(F.array(*items))).filter(F.col("gram").isNotNull())
     return grams.groupBy(key, "width", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 

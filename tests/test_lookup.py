@@ -31,13 +31,20 @@ def test_build_vocabulary_order(spark):
     assert [(r["id"], r["word"], r["n"]) for r in v] == [(4, "b", 3), (5, "a", 2), (6, "c", 2)]
     u = V.build_vocabulary(docs, min_count=2, max_size=None).orderBy("id").collect()
     assert [r["word"] for r in u] == ["b", "a", "c"] and u[0]["id"] == 0
+    monkey = V.TOPK_MAX
+    V.TOPK_MAX = 1
+    try:
+        c = V.build_vocabulary(docs, min_count=1, max_size=3).orderBy("id").collect()
+    finally:
+        V.TOPK_MAX = monkey
+    assert [r["word"] for r in c] == ["b", "a", "c"]
 
 
 def test_embed_zero_vector(spark):
     vecs = spark.createDataFrame([(0, [1.0, 2.0])], "id int, vector array<float>")
     ids = spark.createDataFrame([(1, [0, -1])], "id long, ids array<int>")
-    for bound in (500_000, 0):
-        out = sorted(V.embed(ids, vecs, "id", max_broadcast_rows=bound).collect(),
+    for bound in (1 << 20, 0):
+        out = sorted(V.embed(ids, vecs, "id", max_broadcast_bytes=bound).collect(),
                      key=lambda r: r["pos"])
         assert [list(r["vector"]) for r in out] == [[1.0, 2.0], [0.0, 0.0]]
 
