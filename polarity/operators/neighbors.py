@@ -34,16 +34,29 @@ def _normalise(mat: np.ndarray) -> np.ndarray:
     return np.linalg.norm(mat, axis=1)
 
 
+# Similarity values held at once per task (64 MB of doubles): query rows are
+# scored in slices so a 10k-row Arrow batch against a large vocabulary block
+# never materializes a multi-GB matrix.
+SIM_VALUES_PER_SLICE = 8_000_000
+
+
 def _best(q: np.ndarray, vmat: np.ndarray, vnorm: np.ndarray):
     """Index of the best vocabulary row and its cosine, per query row."""
-    qn = np.linalg.norm(q, axis=1)
-    sims = (q @ vmat.T) / np.maximum(np.outer(qn, vnorm), COSINE_EPS)
-    idx = np.argmax(sims, axis=1)  # first max = lowest id (rows sorted by id)
-    return idx, sims[np.arange(len(idx)), idx]
+    step = max(1, SIM_VALUES_PER_SLICE // max(1, len(vmat)))
+    idx_all = np.empty(len(q), dtype=np.int64)
+    sim_all = np.empty(len(q), dtype=np.float64)
+    for lo in range(0, len(q), step):
+        qs = q[lo:lo + step]
+        qn = np.linalg.norm(qs, axis=1)
+        sims = (qs @ vmat.T) / np.maximum(np.outer(qn, vnorm), COSINE_EPS)
+        idx = np.argmax(sims, axis=1)  # first max = lowest id (rows sorted by id)
+        idx_all[lo:lo + step] = idx
+        sim_all[lo:lo + step] = sims[np.arange(len(idx)), idx]
+    return idx_all, sim_all
 
 
 def nearest(queries: DataFrame, vocab: DataFrame, qid: str = "qid", qvec: str = "vector",
-            max_broadcast_values: int = 16_000_000, block_rows: int = 50_000,
+            max_broadcast_values: int = 16_000_000, block_rows: int = 20_000,
             chunk_rows: int = 50_000) -> DataFrame:
     """K2: (qid, word_id, word, sim) - the vocabulary word most similar to
     each query vector. ``vocab`` is (id, word, vector)."""

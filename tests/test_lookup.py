@@ -61,6 +61,17 @@ def test_nearest_tie_lowest_id_both_plans(spark):
     assert a == b == {1: 2, 2: 9, 3: 2}
 
 
+
+def test_best_slices_agree(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    q, v = rng.normal(size=(37, 5)), rng.normal(size=(11, 5))
+    whole = N._best(q, v, np.linalg.norm(v, axis=1))
+    monkeypatch.setattr(N, "SIM_VALUES_PER_SLICE", 20)  # 1 query row per slice
+    sliced = N._best(q, v, np.linalg.norm(v, axis=1))
+    assert (whole[0] == sliced[0]).all() and np.allclose(whole[1], sliced[1])
+
+
 def test_decode_sentence(spark):
     vocab = spark.createDataFrame([(0, "up", [0.0, 1.0]), (1, "right", [1.0, 0.0])],
                                   "id int, word string, vector array<float>")
