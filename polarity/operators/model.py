@@ -23,6 +23,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,10 +108,21 @@ def fit_semi_nb(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
     """Weighted self-training. Fit on labelled rows, give unlabelled rows
     soft labels from the model, refit on both with the unlabelled rows
     weighted by ``unlabel_weight``; repeat ``rounds`` times."""
+    # the tokenized parts are read once per round: keep them (lineage
+    # recomputes a lost block; no localCheckpoint)
     lab = labeled.select(key, tokens, F.col(label).cast("double").alias("p"),
-                         F.lit(1.0).alias("lam"))
+                         F.lit(1.0).alias("lam")).persist(StorageLevel.MEMORY_AND_DISK)
+    unl = unlabeled.select(key, tokens).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _self_train(lab, unl, key, tokens, unlabel_weight, rounds)
+    finally:
+        lab.unpersist()
+        unl.unpersist()
+
+
+def _self_train(lab: DataFrame, unl: DataFrame, key: str, tokens: str,
+                unlabel_weight: float, rounds: int) -> NBModel:
     model = fit_nb(lab, tokens, "p", "lam")
-    unl = unlabeled.select(key, tokens)
     for _ in range(rounds):
         soft = score_nb(unl, model, key, tokens).select(key, soft_label(F.col("score")).alias("p"))
         soft = checkpoint(soft)  # cut lineage between rounds

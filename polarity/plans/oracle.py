@@ -11,9 +11,10 @@ VOCAB_MIN_COUNT, VOCAB_MAX, SEQ_LEN, MAX_LEN = 5, 2000, 500, 512
 
 def tok(x: str) -> str:
     """The tokenizer of ``functions.text.tokenize`` in DuckDB SQL."""
-    return (r"list_filter(string_split_regex(regexp_replace(regexp_replace(lower(" + x +
+    return (r"coalesce(list_filter(string_split_regex(regexp_replace(regexp_replace(lower(" + x +
             r"), '([^'' ])(''ll|''re|''ve|n''t|''s|''m|''d)', '\1 \2', 'g'), "
-            r"'([^\p{L}\p{N} \t\r\n\f''])', ' \1 ', 'g'), '[ \t\r\n\f]+'), lambda t: t <> '')")
+            r"'([^\p{L}\p{N} \t\r\n\f''])', ' \1 ', 'g'), '[ \t\r\n\f]+'), lambda t: t <> ''), "
+            r"CAST([] AS VARCHAR[]))")
 
 
 STRIP = "regexp_replace({x}, '<[^>]+>', ' ', 'g')"
