@@ -25,6 +25,8 @@ from polarity.session import checkpoint
 # Rows per hash bucket aimed at; bucket tables up to 16**5 rows are broadcast.
 TARGET_BUCKET_ROWS = 200_000
 MAX_BROADCAST_BUCKETS = 16 ** 5
+# a bucket this many times over its expected size holds a repeated key
+HOT_BUCKET_FACTOR = 4
 _LOCAL_BITS = 33
 
 
@@ -37,12 +39,24 @@ def prefix_len(n: int, target: int = TARGET_BUCKET_ROWS) -> int:
 
 def hash_rank(df: DataFrame, hash_col: str, tie_cols: list[str], pos_col: str = "pos",
               n: int | None = None) -> DataFrame:
-    """0-based exact rank of each row ordered by (hash_col, *tie_cols)."""
+    """0-based exact rank of each row ordered by (hash_col, *tie_cols).
+
+    Buckets are even when keys are distinct. A key repeated on a large share
+    of rows hashes into one bucket; that shows in the (bounded) bucket-count
+    table, and the rank then switches to ``ordered_rank`` with a row
+    tie-breaker, which splits even identical keys across tasks. Rows with
+    identical keys are interchangeable, so their relative order is arbitrary.
+    """
     if n is None:
         n = df.count()
     plen = prefix_len(n)
     keyed = df.withColumn("_hr_b", F.substring(F.col(hash_col), 1, plen))
-    counts = keyed.groupBy("_hr_b").agg(F.count(F.lit(1)).alias("_hr_n"))
+    counts = checkpoint(keyed.groupBy("_hr_b").agg(F.count(F.lit(1)).alias("_hr_n")),
+                        "buckets")
+    largest = counts.agg(F.max("_hr_n")).first()[0] or 0
+    if largest > HOT_BUCKET_FACTOR * max(TARGET_BUCKET_ROWS, n / 16 ** plen):
+        tied = df.withColumn("_hr_t", F.monotonically_increasing_id())
+        return ordered_rank(tied, [hash_col, *tie_cols, "_hr_t"], rank_col=pos_col).drop("_hr_t")
     # bounded by 16**plen rows: one small sort, not a data-size one
     running = Window.orderBy("_hr_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_hr_b", F.coalesce(F.sum("_hr_n").over(running),

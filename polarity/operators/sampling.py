@@ -55,7 +55,11 @@ def kth_key(keyed: DataFrame, hcol: str, id_cols: list[str], n: int, k: int):
         return None
     prefix, before, size = "", 0, n
     narrow = keyed.select(hcol, *id_cols)
-    while size > EXACT_ROWS and len(prefix) < 32:
+    while size > EXACT_ROWS:
+        if len(prefix) >= 32:
+            # one key repeated on more than EXACT_ROWS rows: no threshold can
+            # split it; the caller ranks instead
+            raise RepeatedKey(prefix)
         plen = len(prefix) + PREFIX_STEP
         sub = narrow.filter(F.col(hcol).startswith(prefix)) if prefix else narrow
         buckets = (sub.groupBy(F.substring(hcol, 1, plen).alias("b"))
@@ -71,6 +75,10 @@ def kth_key(keyed: DataFrame, hcol: str, id_cols: list[str], n: int, k: int):
     return rows[0].asDict()
 
 
+class RepeatedKey(Exception):
+    """Raised when one sort key covers too many rows for a threshold."""
+
+
 def _threshold(df: DataFrame, seed, id_cols: list[str], k: int, n: int):
     """Threshold for "first k rows in seeded order": False (none), True (all)
     or the k-th key as a dict with the hash under ``_smp_h``."""
@@ -100,10 +108,21 @@ def sample_exact(df: DataFrame, frac: float, seed=7, id_cols="id") -> DataFrame:
     """A seeded sample of exactly round_half_even(frac * n) rows."""
     ids = _keys(id_cols)
     n = df.count()
-    t = _threshold(df, seed, ids, exact_count(frac, n), n)
+    k = exact_count(frac, n)
+    try:
+        t = _threshold(df, seed, ids, k, n)
+    except RepeatedKey:
+        return _first_k_by_rank(df, seed, ids, k, n)
     return df.withColumn(_H, order_key(seed, *ids)).filter(_below(_H, ids, t)).drop(_H)
 
 
+def _first_k_by_rank(df: DataFrame, seed, ids: list[str], k: int, n: int) -> DataFrame:
+    """Exact first-k when keys repeat: rank (skew-safe) and filter."""
+    keyed = df.withColumn(_H, order_key(seed, *ids))
+    return (hash_rank(keyed, _H, ids, "_smp_pos", n=n)
+            .filter(F.col("_smp_pos") < k).drop(_H, "_smp_pos"))
+
+
 def sample_approx(df: DataFrame, frac: float, seed=7, id_cols="id") -> DataFrame:
     """D1, approximate form: keep rows whose hash falls below frac; no count,
     no shuffle, expected size frac * n."""

@@ -96,3 +96,16 @@ def test_complement(spark):
     rest = complement(whole, part, "id")
     assert rest.count() == 30
     assert rest.join(part, "id").count() == 0
+
+
+def test_repeated_hot_key_still_exact(spark, monkeypatch):
+    from polarity.operators import ordering as O
+    monkeypatch.setattr(O, "TARGET_BUCKET_ROWS", 10)
+    monkeypatch.setattr(O, "HOT_BUCKET_FACTOR", 2)
+    monkeypatch.setattr(S, "EXACT_ROWS", 20)
+    # half of all rows share one key
+    df = spark.range(300, numPartitions=6).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") + 1000).alias("id"))
+    r = S.global_rank(df, "id", 3).collect()
+    assert sorted(x["pos"] for x in r) == list(range(300))
+    assert S.sample_exact(df, 0.4, 3).count() == 120
