@@ -281,19 +281,20 @@ def q_total_loss(spark, d):
 
 
 def q_mean_vector(spark, d):
-    real = I.embeddings(spark, d).filter(F.col("role") == "real")
-    return M.mean_vector(real, "embedding").select(F.col("pos").cast("int").alias("pos"),
-                                                   F.round("mean", 9).alias("mean"))
+    e = I.embeddings(spark, d)
+    return M.mean_vector(e, "embedding", ["role"]).select(
+        "role", F.col("pos").cast("int").alias("pos"), F.round("mean", 9).alias("mean"))
 
 
 def q_feature_gap(spark, d):
-    e = I.embeddings(spark, d).filter(F.col("role").isin("real", "fake"))
-    return M.feature_gap(e, F.col("role") == "real", "embedding").select(
+    # drift between real data (labelled and unlabelled) and generated rows
+    e = I.embeddings(spark, d)
+    return M.feature_gap(e, F.col("role") != "fake", "embedding").select(
         F.round("feature_gap", 9).alias("feature_gap"))
 
 
 def q_feature_histogram(spark, d):
-    e = I.embeddings(spark, d).filter(F.col("role").isin("real", "fake"))
+    e = I.embeddings(spark, d)
     return M.feature_histogram(e, HIST_LO, HIST_HI, HIST_BINS, "embedding", ["role"])
 
 

@@ -264,19 +264,18 @@ ORACLE = {
     "unsup_loss": f"{LOSSES} SELECT round(unsup, 9) AS unsup_loss FROM agg",
     "total_loss": f"{LOSSES} SELECT round(sup + 1.0 * unsup, 9) AS total_loss FROM agg",
     "mean_vector": f"""WITH {EMB},
-      ex AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x,
-        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb WHERE role = 'real')
-      SELECT CAST(pos AS INTEGER) AS pos, round(avg(x), 9) AS mean FROM ex GROUP BY pos""",
+      ex AS (SELECT role, unnest(CAST(embedding AS DOUBLE[])) AS x,
+        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb)
+      SELECT role, CAST(pos AS INTEGER) AS pos, round(avg(x), 9) AS mean FROM ex
+      GROUP BY role, pos""",
     "feature_gap": f"""WITH {EMB},
-      ex AS (SELECT role = 'real' AS a, unnest(CAST(embedding AS DOUBLE[])) AS x,
-        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb
-        WHERE role IN ('real', 'fake')),
+      ex AS (SELECT role <> 'fake' AS a, unnest(CAST(embedding AS DOUBLE[])) AS x,
+        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb),
       pd AS (SELECT pos, avg(x) FILTER (WHERE a) AS ma, avg(x) FILTER (WHERE NOT a) AS mb
         FROM ex GROUP BY pos)
       SELECT round(avg(pow(ma - mb, 2)), 9) AS feature_gap FROM pd""",
     "feature_histogram": f"""WITH {EMB},
-      ex AS (SELECT role, unnest(CAST(embedding AS DOUBLE[])) AS x FROM emb
-        WHERE role IN ('real', 'fake'))
+      ex AS (SELECT role, unnest(CAST(embedding AS DOUBLE[])) AS x FROM emb)
       SELECT role, CAST(CASE WHEN x < CAST(-0.5 AS DOUBLE) THEN 0
           WHEN x >= CAST(0.5 AS DOUBLE) THEN 21
           ELSE least(floor((x - CAST(-0.5 AS DOUBLE)) * CAST(20 AS DOUBLE) / CAST(1.0 AS DOUBLE))
