@@ -63,4 +63,4 @@ def k_max(arr, k: int) -> Column:
     top = F.slice(F.sort_array(tagged, asc=False), 1, k)
     by_pos = F.sort_array(F.transform(top, lambda s: F.struct((-s["ni"]).alias("i"),
                                                               s["v"].alias("v"))))
-    return F.transform(by_pos, lambda s: s["v"])
+    return by_pos["v"]

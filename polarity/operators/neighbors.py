@@ -142,9 +142,9 @@ def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
     lookup = found.select(F.col("qid").alias("_qid"), "word").join(vectors, "_qid")
     rows = long_df.select(key, pos, F.col(vec).cast("array<double>").alias("_v"))
     joined = rows.join(lookup, ["_v"], "left")
-    items = F.array_sort(F.collect_list(F.struct(F.col(pos), F.col("word"))))
+    items = F.sort_array(F.collect_list(F.struct(F.col(pos), F.col("word"))))
     return (joined.groupBy(key).agg(items.alias("_w"))
-            .select(key, F.array_join(F.transform("_w", lambda s: s["word"]), " ")
+            .select(key, F.array_join(F.col("_w")["word"], " ")
                     .alias("sentence")))
 
 

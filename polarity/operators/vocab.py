@@ -1,7 +1,7 @@
 """Vocabulary and token lookups.
 
 Token lookups keep the per-document order by carrying the position through
-the join and regrouping with ``array_sort(collect_list(struct(pos, id)))``.
+the join and regrouping with ``sort_array(collect_list(struct(pos, id)))``.
 The vocabulary side is broadcast only when its size is proven (a capped
 vocabulary, or a counted one); otherwise the join is a shuffle join whose
 hot words AQE splits. Arrays are cut to the encoding length *before* they
@@ -82,8 +82,10 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
                            .alias("id")))
-    grouped = joined.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    ids = F.transform(F.col("_items"), lambda s: s["id"])
+    # sort_array and the field extraction are native expressions (array_sort
+    # and transform would run lambdas interpreted)
+    grouped = joined.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    ids = F.col("_items")["id"]
     if pad is not None and n is not None:
         ids = pad_truncate(ids, n, pad)
     return grouped.select(key, ids.alias(out_col))

@@ -139,8 +139,8 @@ def q_linear_score(spark, d):
     e = I.embeddings(spark, d)
     means = M.mean_vector(e.withColumn("out", F.col("target")), "embedding", ["out"])
     w = (means.groupBy("out")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("_m"))
-         .select("out", F.transform("_m", lambda s: s["mean"]).alias("w"),
+         .agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("_m"))
+         .select("out", F.col("_m")["mean"].alias("w"),
                  F.lit(1.0).alias("g"), F.lit(0.0).alias("b")))
     s = linear_score(e, w, "vec_id", "embedding")
     return s.select("vec_id", F.col("out").cast("int").alias("out"),

@@ -28,14 +28,14 @@ def read_vocabulary(spark: SparkSession, path: str, fmt: str = "text") -> DataFr
     ranked = ordered_rank(indexed, ["_f", "_b", "_o"], rank_col="_rank")
     return ranked.select(F.col("_rank").cast("int").alias("id"),
                          F.element_at("p", 1).alias("word"),
-                         F.transform(F.slice("p", 2, 1 << 20), lambda x: x.cast("float"))
+                         F.slice("p", 2, 1 << 20).cast("array<float>")
                          .alias("vector"))
 
 
 def write_vocabulary_text(vocab: DataFrame, path: str) -> None:
     """Write (id, word, vector) in the text form, one file, id order."""
     line = F.concat_ws(" ", F.col("word"),
-                       F.array_join(F.transform("vector", lambda x: x.cast("string")), " "))
+                       F.array_join(F.col("vector").cast("array<string>"), " "))
     vocab.orderBy("id").select(line.alias("value")).coalesce(1).write.text(path)
 
 
@@ -45,8 +45,7 @@ def read_encoded(spark: SparkSession, path: str, key_path: str | None = None) ->
     (row, ids ARRAY<INT>), ``row`` = line number within the file set."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_f"), "value")
-    ids = F.transform(F.split(F.trim("value"), ","),
-                      lambda x: x.cast("double").cast("int"))
+    ids = F.split(F.trim("value"), ",").cast("array<double>").cast("array<int>")
     from polarity.operators.ordering import ordered_rank
     indexed = lines.withColumn("_o", F.monotonically_increasing_id())
     ranked = ordered_rank(indexed, ["_f", "_o"], rank_col="row")
@@ -55,5 +54,5 @@ def read_encoded(spark: SparkSession, path: str, key_path: str | None = None) ->
 
 def write_encoded(df: DataFrame, path: str, ids: str = "ids", order: str = "row") -> None:
     """Write an id matrix one row per line, comma separated, in ``order``."""
-    (df.orderBy(order).select(F.array_join(F.transform(ids, lambda x: x.cast("string")), ",")
+    (df.orderBy(order).select(F.array_join(F.col(ids).cast("array<string>"), ",")
                               .alias("value")).coalesce(1).write.text(path))
