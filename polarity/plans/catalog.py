@@ -21,7 +21,13 @@ from polarity.operators.joins import complement as _complement
 from polarity.operators.neighbors import decode_sentence, linear_score, nearest
 from polarity.plans import inputs as I
 from polarity.plans.pipeline import run_supervised
-from polarity.sources.metrics_log import to_long
+from polarity.session import scratch_path
+from polarity.sources.cache import materialize_once
+from polarity.sources.metrics_log import log_metrics, to_long
+from polarity.sources.models import load_model, save_model
+from polarity.sources.reviews import read_members, read_reviews, write_members, write_reviews
+from polarity.sources.vocab_io import (read_encoded, read_vocabulary, write_encoded,
+                                       write_vocabulary_text)
 
 KEY = "doc_id"
 # Fixed parameters of the registered queries.
@@ -356,6 +362,87 @@ def q_lr_fit(spark, d):
     return T.score_lr(_tokens(spark, d), model, KEY).select(KEY, "pred")
 
 
+# ------------------------------------------------------ sources and sinks (S)
+# Each writes data Spark derives from the test tables into a fresh folder
+# under the shared checkpoint folder, in the file form the reader expects,
+# and reads it back through that reader. The result must equal the table
+# it came from (whole texts, every row).
+
+def q_review_csv(spark, d):
+    """S4 + S1: labelled reviews through the quoted, multi-line CSV form."""
+    path = scratch_path(spark, "reviews-csv")
+    write_reviews(I.labeled_docs(spark, d).select(
+        F.col(KEY).alias("id"), F.col("text").alias("review"), "sentiment"), path)
+    return read_reviews(spark, path)
+
+
+def q_test_csv(spark, d):
+    """S1, test form: the sentiment column is in the file but not returned."""
+    path = scratch_path(spark, "test-csv")
+    write_reviews(I.unlabeled_docs(spark, d).select(
+        F.col(KEY).alias("id"), F.col("text").alias("review"),
+        F.lit(None).cast("string").alias("sentiment")), path)
+    return read_reviews(spark, path, labeled=False)
+
+
+def q_member_files(spark, d):
+    """S4 + S8 + U1: every member's votes written in one job, read back
+    in one scan (only weighted members), then the weighted vote."""
+    root = scratch_path(spark, "members")
+    write_members(I.member_votes(_doc_ids(spark, d), KEY), root, KEY)
+    w = E.member_weights(spark, MEMBER_WEIGHTS)
+    votes = read_members(spark, root, w, layout="partitioned").select("id", "member",
+                                                                     "sentiment")
+    ids = I.unlabeled_ids(spark, d).select(F.col(KEY).alias("id"))
+    return E.ensemble(ids, votes, w, key="id").select(F.col("id").alias(KEY), "sentiment")
+
+
+def q_encoded_csv(spark, d):
+    """S3: the 500-id matrix written one line per document (doc_id order)
+    and read back as (row, ids)."""
+    path = scratch_path(spark, "encoded")
+    write_encoded(q_lookup_ids(spark, d), path, "ids", KEY)
+    return read_encoded(spark, path)
+
+
+def q_vocab_text(spark, d):
+    """S2, text form: "word v1 ... vd" lines in id order, read back with ids
+    from line order."""
+    path = scratch_path(spark, "vocab-text")
+    write_vocabulary_text(_vocab_vectors(spark, d), path)
+    return read_vocabulary(spark, path)
+
+
+def q_cached_split(spark, d):
+    """The three-way split computed once; the second call reads it."""
+    path = scratch_path(spark, "split-cache")
+    materialize_once(spark, lambda: q_split_three(spark, d), path)
+    return materialize_once(spark, lambda: q_split_three(spark, d), path)
+
+
+def q_metrics_log(spark, d):
+    """Step-window metrics appended to a run-partitioned log, read back
+    for one run (partition pruning)."""
+    path = scratch_path(spark, "metric-log")
+    w = _step_windows(spark, d).select(
+        F.col("global_step").alias("step"),
+        F.round("loss", 9).alias("batch-loss"),
+        F.col("samples").cast("double").alias("batch-samples"))
+    log_metrics(w, "events", "step", ["batch-loss", "batch-samples"], path)
+    return (spark.read.parquet(path).filter(F.col("run") == "events")
+            .select("run", "tag", "step", "value"))
+
+
+def q_saved_model_score(spark, d):
+    """The fitted naive Bayes model saved as "<run>--EPOCH-<n>", loaded
+    back and used to score every document."""
+    root = scratch_path(spark, "models")
+    save_model(_nb_model(spark, d), root, "nb", 1)
+    m = load_model(spark, root, "nb", 1)
+    s = T.score_nb(_tokens(spark, d), m, KEY)
+    return s.select(KEY, F.round("score", 6).alias("score"), "pred")
+
+
 QUERIES = {
     "strip_tags": q_strip_tags,
     "encode_label": q_encode_label,
@@ -403,5 +490,13 @@ QUERIES = {
     "submission": q_submission,
     "pipeline_submission": q_pipeline_submission,
     "lr_fit": q_lr_fit,
+    "review_csv": q_review_csv,
+    "test_csv": q_test_csv,
+    "member_files": q_member_files,
+    "encoded_csv": q_encoded_csv,
+    "vocab_text": q_vocab_text,
+    "cached_split": q_cached_split,
+    "metrics_log": q_metrics_log,
+    "saved_model_score": q_saved_model_score,
 }
 

@@ -321,3 +321,21 @@ ORACLE = {
       SELECT doc_id, CASE WHEN score > 0 THEN 'positive' ELSE 'negative' END AS sentiment
       FROM sc_u""",
 }
+
+# Sources and sinks: the round trip must give back the table it started from.
+ORACLE.update({
+    "review_csv": """SELECT d.doc_id AS id, d.text AS review,
+        CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS sentiment
+      FROM documents d JOIN labels l USING (doc_id)""",
+    "test_csv": f"""SELECT doc_id AS id, text AS review FROM documents
+      WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "member_files": ORACLE["ensemble_submission"],
+    "encoded_csv": f"""{LOOKUP} SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row,
+        CAST(list_resize(ids, {SEQ_LEN}, -1) AS INTEGER[]) AS ids FROM lk""",
+    "vocab_text": f"""WITH {TOKS}, {vocab_cte()}
+      SELECT CAST(row_number() OVER (ORDER BY v.id) - 1 AS INTEGER) AS id, v.word,
+        e.embedding AS vector FROM vocab v JOIN embeddings e ON e.vec_id = v.id""",
+    "cached_split": ORACLE["split_three"],
+    "metrics_log": ORACLE["metrics_long"],
+    "saved_model_score": ORACLE["nb_score"],
+})

@@ -58,6 +58,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (never a
+    machine-local one on a cluster); each call gets its own."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/polarity-{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
     folder and continue from that table.
@@ -67,7 +74,6 @@ def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     result is an ordinary Parquet scan with pruning and pushdown.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/polarity-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

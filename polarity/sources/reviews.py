@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +41,45 @@ def read_submission(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SUBMISSION_SCHEMA).options(**CSV_OPTIONS).csv(path)
 
 
+def write_members(votes: DataFrame, root: str, key: str = "id", member: str = "member",
+                  mode: str = "errorifexists") -> None:
+    """Write every member's submission in one job: ``root/member=<name>/``
+    part files of (id, sentiment). Partition folders let ``read_members``
+    read only the weighted members (partition pruning)."""
+    (votes.select(F.col(key).alias("id"), "sentiment", F.col(member).alias("member"))
+     .write.mode(mode).partitionBy("member").options(**CSV_OPTIONS).csv(root))
+
+
 def read_members(spark: SparkSession, root: str, weights: DataFrame,
-                 file_name: str = "submission.csv") -> DataFrame:
+                 file_name: str = "submission.csv", layout: str = "folders",
+                 max_members: int = 100_000) -> DataFrame:
     """S8 + U1: every member's submission in one scan, tagged with the member
-    (its folder name) and its weight: (id, sentiment, member, weight).
+    and its weight: (id, sentiment, member, weight).
+
+    ``folders``: the reference layout ``root/<member>/<file_name>`` (a file,
+    or a folder of part files written by ``write_submission``); the member is
+    the folder holding ``file_name``. ``partitioned``: ``root/member=<m>/``
+    as written by ``write_members``; the member column comes from partition
+    discovery and the filter on the weighted members prunes folders.
 
     Only members listed in ``weights`` are read; ``weights`` is a small
-    (member, weight) table and is broadcast (its size is the member count).
+    (member, weight) table, broadcast after its size is checked.
     """
+    n = weights.count()
+    if n > max_members:
+        raise ValueError(f"{n} members exceed the broadcast bound {max_members}")
     members = [r["member"] for r in weights.select("member").collect()]
-    paths = [f"{root.rstrip('/')}/{m}/{file_name}" for m in members]
-    df = (spark.read.schema(SUBMISSION_SCHEMA).options(**CSV_OPTIONS).csv(paths)
-          .withColumn("member", F.regexp_extract(F.col("_metadata.file_path"),
-                                                 r"([^/]+)/[^/]+/?[^/]*$", 1)))
+    reader = spark.read.schema(SUBMISSION_SCHEMA).options(**CSV_OPTIONS)
+    if layout == "partitioned":
+        df = (spark.read.schema(SUBMISSION_SCHEMA + ", member STRING").options(**CSV_OPTIONS)
+              .csv(root).filter(F.col("member").isin(*members)))
+    elif layout == "folders":
+        paths = [f"{root.rstrip('/')}/{m}/{file_name}" for m in members]
+        # the folder right above file_name, whether file_name is the file
+        # itself or a folder of part files
+        member_of = F.regexp_extract(F.col("_metadata.file_path"),
+                                     "([^/]+)/" + re.escape(file_name) + "(/[^/]*)?$", 1)
+        df = reader.csv(paths).withColumn("member", member_of)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     return df.join(F.broadcast(weights), "member")

@@ -33,10 +33,15 @@ def read_vocabulary(spark: SparkSession, path: str, fmt: str = "text") -> DataFr
 
 
 def write_vocabulary_text(vocab: DataFrame, path: str) -> None:
-    """Write (id, word, vector) in the text form, one file, id order."""
+    """Write (id, word, vector) in the text form, in id order.
+
+    The sort is range partitioned and every task writes its own part file;
+    part files are numbered in range order, so reading the folder in file
+    name order gives id order (no single-task funnel).
+    """
     line = F.concat_ws(" ", F.col("word"),
                        F.array_join(F.col("vector").cast("array<string>"), " "))
-    vocab.orderBy("id").select(line.alias("value")).coalesce(1).write.text(path)
+    vocab.orderBy("id").select(line.alias("value")).write.text(path)
 
 
 def read_encoded(spark: SparkSession, path: str, key_path: str | None = None) -> DataFrame:
@@ -44,15 +49,23 @@ def read_encoded(spark: SparkSession, path: str, key_path: str | None = None) ->
     (floats such as 1.000000000000000000e+00 are cast back to ints):
     (row, ids ARRAY<INT>), ``row`` = line number within the file set."""
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("_f"), "value")
+        F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"), "value")
     ids = F.split(F.trim("value"), ",").cast("array<double>").cast("array<int>")
     from polarity.operators.ordering import ordered_rank
+    # line order = (file, split start, position inside the split); a large
+    # file is read in several splits whose tasks need not run in file order
     indexed = lines.withColumn("_o", F.monotonically_increasing_id())
-    ranked = ordered_rank(indexed, ["_f", "_o"], rank_col="row")
+    ranked = ordered_rank(indexed, ["_f", "_b", "_o"], rank_col="row")
     return ranked.select("row", ids.alias("ids"))
 
 
-def write_encoded(df: DataFrame, path: str, ids: str = "ids", order: str = "row") -> None:
-    """Write an id matrix one row per line, comma separated, in ``order``."""
-    (df.orderBy(order).select(F.array_join(F.col(ids).cast("array<string>"), ",")
-                              .alias("value")).coalesce(1).write.text(path))
+def write_encoded(df: DataFrame, path: str, ids: str = "ids", order="row") -> None:
+    """Write an id matrix one row per line, comma separated, in ``order``.
+
+    Range-partitioned sort, one part file per task, numbered in range order:
+    ``read_encoded`` gives the rows back numbered in the same order.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    (df.orderBy(*order).select(F.array_join(F.col(ids).cast("array<string>"), ",")
+                               .alias("value")).write.text(path))

@@ -17,7 +17,8 @@ from polarity.streaming import score_stream
 TABLES = "documents labels pages embeddings events".split()
 SAMPLE = ["tokenize", "lookup_ids", "build_examples", "split_three", "zip_batches",
           "ensemble_submission", "step_window", "nb_score", "semi_nb_score", "nearest_word",
-          "pipeline_submission", "feature_histogram", "k_max"]
+          "pipeline_submission", "feature_histogram", "k_max", "review_csv", "member_files",
+          "encoded_csv", "vocab_text"]
 
 
 def canon(v):

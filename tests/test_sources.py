@@ -50,6 +50,33 @@ def test_read_members(spark, tmp_out):
                    ("run-b", 1, "negative", 1.5)]
 
 
+def test_read_members_reference_files(spark, tmp_out):
+    # the reference layout: one plain file per member, root/<member>/submission.csv
+    for m, sent in {"20201226-115507": "positive", "20201228-200251": "negative"}.items():
+        os.makedirs(os.path.join(tmp_out, m))
+        pd.DataFrame({"sentiment": [sent, sent]}, index=[7, 9]).to_csv(
+            os.path.join(tmp_out, m, "submission.csv"))
+    w = member_weights(spark, [("20201226-115507", "96.13"), ("20201228-200251", "96.20")])
+    got = sorted((r["member"], r["id"], r["sentiment"])
+                 for r in reviews.read_members(spark, tmp_out, w).collect())
+    assert got == [("20201226-115507", 7, "positive"), ("20201226-115507", 9, "positive"),
+                   ("20201228-200251", 7, "negative"), ("20201228-200251", 9, "negative")]
+
+
+def test_members_partitioned_layout(spark, tmp_out):
+    votes = spark.createDataFrame([(1, "a", "positive"), (1, "b", "negative"), (2, "c", "negative")],
+                                  "id long, member string, sentiment string")
+    root = os.path.join(tmp_out, "m")
+    reviews.write_members(votes, root)
+    w = member_weights(spark, [("a", "1.00"), ("b", "2.00")])
+    df = reviews.read_members(spark, root, w, layout="partitioned")
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [member" in plan and "IN (a,b)" in plan  # pruned folders
+    got = sorted((r["member"], r["id"], r["sentiment"]) for r in df.collect())
+    assert got == [("a", 1, "positive"), ("b", 1, "negative")]
+
+
 def test_encoded_round_trip(spark, tmp_out):
     p = os.path.join(tmp_out, "reviews.csv")
     with open(p, "w") as f:
