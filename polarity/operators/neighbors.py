@@ -23,11 +23,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from polarity.functions.arrays import COSINE_EPS, dot, l2_norm
-from polarity.session import checkpoint
-
-_OUT_SCHEMA = "qid long, word_id int, sim double"
 
 
 def _normalise(mat: np.ndarray) -> np.ndarray:
@@ -41,111 +39,131 @@ SIM_VALUES_PER_SLICE = 8_000_000
 
 
 def _best(q: np.ndarray, vmat: np.ndarray, vnorm: np.ndarray):
-    """Index of the best vocabulary row and its cosine, per query row."""
+    """Index of the best vocabulary row and its cosine, per query row.
+
+    Repeated query vectors (pads, common words) are scored once per batch:
+    rows are de-duplicated and the answers spread back by the inverse index.
+    """
+    uq, inverse = np.unique(q, axis=0, return_inverse=True)
+    inverse = inverse.reshape(-1)
     step = max(1, SIM_VALUES_PER_SLICE // max(1, len(vmat)))
-    idx_all = np.empty(len(q), dtype=np.int64)
-    sim_all = np.empty(len(q), dtype=np.float64)
-    for lo in range(0, len(q), step):
-        qs = q[lo:lo + step]
+    idx_u = np.empty(len(uq), dtype=np.int64)
+    sim_u = np.empty(len(uq), dtype=np.float64)
+    for lo in range(0, len(uq), step):
+        qs = uq[lo:lo + step]
         qn = np.linalg.norm(qs, axis=1)
         sims = (qs @ vmat.T) / np.maximum(np.outer(qn, vnorm), COSINE_EPS)
         idx = np.argmax(sims, axis=1)  # first max = lowest id (rows sorted by id)
-        idx_all[lo:lo + step] = idx
-        sim_all[lo:lo + step] = sims[np.arange(len(idx)), idx]
-    return idx_all, sim_all
+        idx_u[lo:lo + step] = idx
+        sim_u[lo:lo + step] = sims[np.arange(len(idx)), idx]
+    return idx_u[inverse], sim_u[inverse]
+
+
+def _keys(qid) -> list[str]:
+    return [qid] if isinstance(qid, str) else list(qid)
+
 
+def _out_schema(queries: DataFrame, keys: list[str]) -> StructType:
+    fields = [queries.schema[k] for k in keys]
+    return StructType(fields + [StructField("word_id", IntegerType()),
+                                StructField("word", StringType()),
+                                StructField("sim", DoubleType())])
 
-def nearest(queries: DataFrame, vocab: DataFrame, qid: str = "qid", qvec: str = "vector",
+
+def _result(batch: pd.DataFrame, keys: list[str], ids, words, idx, sim) -> pd.DataFrame:
+    out = {k: batch[k].to_numpy() for k in keys}
+    out.update({"word_id": ids[idx], "word": words[idx], "sim": sim})
+    return pd.DataFrame(out)
+
+
+def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector",
             max_broadcast_values: int = 16_000_000, block_rows: int = 20_000,
             chunk_rows: int = 50_000) -> DataFrame:
-    """K2: (qid, word_id, word, sim) - the vocabulary word most similar to
-    each query vector. ``vocab`` is (id, word, vector)."""
+    """K2: (qid..., word_id, word, sim) - the vocabulary word most similar to
+    each query vector. ``vocab`` is (id, word, vector); ``qid`` is one key
+    column or several (carried through unchanged, one output row per input
+    row). The word travels with its vector, so no lookup join follows the
+    search (a join on word_id would pile every pad onto one key)."""
     spark = queries.sparkSession
-    q = queries.select(F.col(qid).cast("long").alias("qid"),
-                       F.col(qvec).cast("array<double>").alias("qv"))
-    v = vocab.select(F.col("id").cast("int").alias("id"),
+    keys = _keys(qid)
+    q = queries.select(*keys, F.col(qvec).cast("array<double>").alias("_qv"))
+    v = vocab.select(F.col("id").cast("int").alias("id"), F.col("word").cast("string"),
                      F.col("vector").cast("array<double>").alias("vec"))
     stats = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
     n_vocab, dim = stats["n"], stats["d"] or 0
+    schema = _out_schema(q, keys)
     if n_vocab == 0:
-        return spark.createDataFrame([], "qid long, word_id int, word string, sim double")
+        return spark.createDataFrame([], schema)
     if n_vocab * dim <= max_broadcast_values:
-        best = _nearest_broadcast(q, v, spark)
-    else:
-        best = _nearest_blocked(q, v, n_vocab, block_rows, chunk_rows)
-    words = vocab.select(F.col("id").cast("int").alias("word_id"), "word")
-    return best.join(F.broadcast(words) if n_vocab * dim <= max_broadcast_values else words,
-                     "word_id").select(F.col("qid").alias(qid), "word_id", "word", "sim")
+        return _nearest_broadcast(q, v, keys, schema, spark)
+    return _nearest_blocked(q, v, keys, schema, n_vocab, block_rows, chunk_rows)
 
 
-def _nearest_broadcast(q: DataFrame, v: DataFrame, spark) -> DataFrame:
+def _nearest_broadcast(q: DataFrame, v: DataFrame, keys, schema, spark) -> DataFrame:
     # size checked by the caller: n_vocab * dim floats
     pdf = v.orderBy("id").toPandas()
     ids = pdf["id"].to_numpy(dtype=np.int32)
+    words = pdf["word"].to_numpy(dtype=object)
     mat = np.vstack(pdf["vec"].to_numpy()).astype(np.float64)
-    bc = spark.sparkContext.broadcast((ids, mat, _normalise(mat)))
+    bc = spark.sparkContext.broadcast((ids, words, mat, _normalise(mat)))
 
     def score(batches):
-        ids_, mat_, norm_ = bc.value
+        ids_, words_, mat_, norm_ = bc.value
         for b in batches:
             if len(b) == 0:
                 continue
-            qm = np.vstack(b["qv"].to_numpy()).astype(np.float64)
+            qm = np.vstack(b["_qv"].to_numpy()).astype(np.float64)
             idx, sim = _best(qm, mat_, norm_)
-            yield pd.DataFrame({"qid": b["qid"].to_numpy(dtype=np.int64),
-                                "word_id": ids_[idx], "sim": sim})
+            yield _result(b, keys, ids_, words_, idx, sim)
 
-    return q.mapInPandas(score, _OUT_SCHEMA)
+    return q.mapInPandas(score, schema)
 
 
-def _nearest_blocked(q: DataFrame, v: DataFrame, n_vocab: int, block_rows: int,
-                     chunk_rows: int) -> DataFrame:
+def _nearest_blocked(q: DataFrame, v: DataFrame, keys, schema, n_vocab: int,
+                     block_rows: int, chunk_rows: int) -> DataFrame:
     n_q = q.count()
     n_blocks = max(1, math.ceil(n_vocab / block_rows))
     n_chunks = max(1, math.ceil(n_q / chunk_rows))
-    qx = q.withColumn("chunk", F.pmod(F.xxhash64("qid"), F.lit(n_chunks))).withColumn(
+    qx = q.withColumn("chunk", F.pmod(F.xxhash64(*keys), F.lit(n_chunks))).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     vx = v.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks))).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
 
     def cell(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(vpdf) == 0:
-            return pd.DataFrame({"qid": [], "word_id": [], "sim": []})
+            none = np.empty(0, dtype=np.int64)
+            return _result(qpdf.iloc[:0], keys, np.empty(0, dtype=np.int32),
+                           np.empty(0, dtype=object), none, np.empty(0, dtype=np.float64))
         vpdf = vpdf.sort_values("id")
         mat = np.vstack(vpdf["vec"].to_numpy()).astype(np.float64)
-        qm = np.vstack(qpdf["qv"].to_numpy()).astype(np.float64)
+        qm = np.vstack(qpdf["_qv"].to_numpy()).astype(np.float64)
         idx, sim = _best(qm, mat, _normalise(mat))
-        return pd.DataFrame({"qid": qpdf["qid"].to_numpy(dtype=np.int64),
-                             "word_id": vpdf["id"].to_numpy(dtype=np.int32)[idx], "sim": sim})
+        return _result(qpdf, keys, vpdf["id"].to_numpy(dtype=np.int32),
+                       vpdf["word"].to_numpy(dtype=object), idx, sim)
 
     per_block = (qx.groupBy("block", "chunk")
                  .cogroup(vx.groupBy("block", "chunk"))
-                 .applyInPandas(cell, _OUT_SCHEMA))
-    win = F.max_by(F.struct("sim", (-F.col("word_id")).alias("nid")),
-                   F.struct("sim", (-F.col("word_id")).alias("nid")))
-    return (per_block.groupBy("qid").agg(win.alias("_b"))
-            .select("qid", (-F.col("_b.nid")).cast("int").alias("word_id"),
-                    F.col("_b.sim").alias("sim")))
+                 .applyInPandas(cell, schema))
+    # best over blocks: highest sim, then lowest id (partial aggregate first)
+    order = F.struct("sim", (-F.col("word_id")).alias("nid"))
+    win = F.max_by(F.struct("word_id", "word", "sim"), order)
+    return (per_block.groupBy(*keys).agg(win.alias("_b"))
+            .select(*keys, "_b.word_id", "_b.word", "_b.sim"))
 
 
 def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
                     pos: str = "pos", vec: str = "vector") -> DataFrame:
     """K3: (key, sentence) - nearest word for every position, joined by
-    blanks in position order. Distinct vectors are searched once (pads and
-    common words repeat), then joined back."""
-    # distinct vectors get ids once; the checkpoint pins them, so a retried
-    # task can never renumber them between the search and the join back
-    vectors = checkpoint(long_df.select(F.col(vec).cast("array<double>").alias("_v"))
-                         .distinct().withColumn("_qid", F.monotonically_increasing_id()))
-    found = nearest(vectors.select(F.col("_qid").alias("qid"), F.col("_v").alias("vector")),
-                    vocab)
-    lookup = found.select(F.col("qid").alias("_qid"), "word").join(vectors, "_qid")
-    rows = long_df.select(key, pos, F.col(vec).cast("array<double>").alias("_v"))
-    joined = rows.join(lookup, ["_v"], "left")
+    blanks in position order.
+
+    Every (key, pos) row is searched where it lies (repeated vectors are
+    scored once per Arrow batch), so the only shuffle is the per-sentence
+    regroup, which carries one short word per row.
+    """
+    found = nearest(long_df.select(key, pos, vec), vocab, qid=[key, pos], qvec=vec)
     items = F.sort_array(F.collect_list(F.struct(F.col(pos), F.col("word"))))
-    return (joined.groupBy(key).agg(items.alias("_w"))
-            .select(key, F.array_join(F.col("_w")["word"], " ")
-                    .alias("sentence")))
+    return (found.groupBy(key).agg(items.alias("_w"))
+            .select(key, F.array_join(F.col("_w")["word"], " ").alias("sentence")))
 
 
 def linear_score(vec_df: DataFrame, weights: DataFrame, key: str = "id", vec: str = "vector",

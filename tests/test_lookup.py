@@ -81,6 +81,33 @@ def test_decode_sentence(spark):
     assert out == {7: "up right", 8: "right"}
 
 
+def test_decode_sentence_repeated_vectors_both_plans(spark, monkeypatch):
+    # many rows share one (pad) vector; words come back without a lookup join
+    vocab = spark.createDataFrame([(3, "pad", [0.0, 0.0]), (4, "up", [0.0, 1.0]),
+                                   (5, "right", [1.0, 0.0])],
+                                  "id int, word string, vector array<float>")
+    rows = [(s, p, [0.0, 0.0] if p % 2 else [1.0, 0.2]) for s in range(6) for p in range(5)]
+    long = spark.createDataFrame(rows, "sid long, pos int, vector array<float>")
+    want = {s: "right pad right pad right" for s in range(6)}
+    got = {r["sid"]: r["sentence"] for r in N.decode_sentence(long, vocab, "sid").collect()}
+    assert got == want
+    orig = N.nearest
+
+    def blocked(q, v, **kw):
+        return orig(q, v, max_broadcast_values=0, block_rows=1, chunk_rows=4, **kw)
+    monkeypatch.setattr(N, "nearest", blocked)
+    got = {r["sid"]: r["sentence"] for r in N.decode_sentence(long, vocab, "sid").collect()}
+    assert got == want
+
+
+def test_best_dedupes_repeated_queries():
+    import numpy as np
+    v = np.array([[1.0, 0.0], [0.0, 1.0]])
+    q = np.array([[0.0, 2.0], [3.0, 0.1], [0.0, 2.0], [0.0, 0.0]])
+    idx, sim = N._best(q, v, np.linalg.norm(v, axis=1))
+    assert list(idx) == [1, 0, 1, 0] and sim[0] == sim[2] == 1.0 and sim[3] == 0.0
+
+
 def test_make_submission_missing_prediction_fails(spark):
     ids = spark.createDataFrame([(1,), (2,)], "id long")
     preds = spark.createDataFrame([(1, 1)], "id long, pred int")
