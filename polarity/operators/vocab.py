@@ -149,25 +149,29 @@ def build_examples(df: DataFrame, vocab: DataFrame, key: str = "id", text_col: s
 
 
 def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tokens",
-                   widths=(3, 4, 5, 6, 7)) -> DataFrame:
+                   widths=(3, 4, 5, 6, 7), partitioned: bool = False) -> DataFrame:
     """Long (key, width, gram, n) - count of each word n-gram per row,
     over the whole token array.
 
-    Tokens are exploded with their position and the following words come
-    from ``lead`` over (key, pos): codegen'd window work instead of per-gram
-    array slices in interpreted lambdas. The window needs rows clustered by
-    key, which the count reuses, so at most one shuffle moves token rows
-    (none when the input is already partitioned by key), never gram rows.
+    Rows (one per document) are hash partitioned on ``key`` first, unless
+    the caller says they already are: the per-row count then needs no
+    further exchange, so neither token rows nor gram rows (five widths,
+    several words each) are ever shuffled. Each gram is built where its row
+    lies from ``slice`` + ``concat_ws`` at the exploded position: native,
+    code-generated expressions, no window, no sort, no lambda.
     """
     widths = sorted(set(widths))
-    ex = (tokens_df.select(key, F.posexplode_outer(tokens_col).alias("pos", "w0"))
-          .filter(F.col("w0").isNotNull()))
-    w = Window.partitionBy(key).orderBy("pos")
-    nxt = [F.lead("w0", k).over(w).alias(f"w{k}") for k in range(1, widths[-1])]
-    ex = ex.select(key, "w0", *nxt)
+    if not partitioned:
+        tokens_df = tokens_df.repartition(key)
+    t = F.col(tokens_col)
+    # explode_outer + null filter: no inferred size filter re-running the
+    # tokenizer below the projection
+    ex = (tokens_df.select(key, tokens_col, F.posexplode_outer(tokens_col).alias("pos", "_w"))
+          .filter(F.col("_w").isNotNull()))
     items = [F.struct(F.lit(n).alias("width"),
-                      F.when(F.col(f"w{n - 1}").isNotNull(),
-                             F.concat_ws(" ", *[F.col(f"w{i}") for i in range(n)])).alias("gram"))
+                      F.when(F.size(t) >= F.col("pos") + F.lit(n),
+                             F.concat_ws(" ", F.slice(t, F.col("pos") + 1, F.lit(n))))
+                      .alias("gram"))
              for n in widths]
     grams = ex.select(key, F.inline(F.array(*items))).filter(F.col("gram").isNotNull())
     return grams.groupBy(key, "width", "gram").agg(F.count(F.lit(1)).alias("n"))

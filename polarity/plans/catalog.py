@@ -108,7 +108,11 @@ def q_build_examples(spark, d):
 
 
 def q_ngram_features(spark, d):
-    return V.ngram_features(_tokens(spark, d), KEY, widths=DEFAULTS.ngram_widths)
+    # documents are partitioned on the key before tokenizing (a narrow scan
+    # is spread out too); the count reuses that partitioning
+    docs = I.table(spark, d, "documents").select(KEY, "text").repartition(KEY)
+    return V.ngram_features(I.with_tokens(docs), KEY, widths=DEFAULTS.ngram_widths,
+                            partitioned=True)
 
 
 # ------------------------------------------------------- vectors, arrays (M, K)

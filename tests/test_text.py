@@ -83,3 +83,21 @@ def test_no_python_udf_in_text_plan(spark):
         tokenize(strip_tags("t")).alias("x"), F.lit(1))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_ngram_features_brute_force(spark):
+    from collections import Counter
+
+    from polarity.operators.vocab import ngram_features
+    rows = [(1, ["a", "b", "a", "b", "a", "b", "a"]), (2, ["x", "y"]), (3, []), (4, None),
+            (5, list("pqrstuvw"))]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    want = Counter()
+    for i, t in rows:
+        for n in (3, 4, 5, 6, 7):
+            for j in range(len(t or []) - n + 1):
+                want[(i, n, " ".join(t[j:j + n]))] += 1
+    for part in (False, True):
+        got = {(r["id"], r["width"], r["gram"]): r["n"]
+               for r in ngram_features(df.repartition(3), "id", partitioned=part).collect()}
+        assert got == dict(want)
