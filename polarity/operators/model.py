@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.functions.text import decode_label
-from polarity.operators.joins import DEFAULT_BROADCAST_ROWS
+from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup
 from polarity.session import checkpoint
 
 CLIP = 30.0
@@ -66,7 +66,9 @@ def fit_nb(docs: DataFrame, tokens: str = "tokens", p: str = "p", lam: str | Non
     big_a, big_b, v = row["A"] or 0.0, row["B"] or 0.0, row["V"]
     weight = (F.log((F.col("a") + 1) / F.lit(big_a + v))
               - F.log((F.col("b") + 1) / F.lit(big_b + v)))
-    weights = per_word.select("word", weight.alias("weight"))
+    # mass = the word's weighted occurrences: tells the scorer its hot words
+    weights = per_word.select("word", weight.alias("weight"),
+                              (F.col("a") + F.col("b")).alias("mass"))
     prior = math.log(row["pos"] / row["neg"]) if row["pos"] and row["neg"] else 0.0
     return NBModel(weights=weights, prior=prior, n_words=v)
 
@@ -77,20 +79,26 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
 
     Vocabulary within the broadcast bound: tokens stream through a broadcast
     hash join and are summed per row map-side (one shuffle of one row per
-    document). Beyond it: term counts per (row, word) first, then a shuffle
-    join on word (AQE splits hot words), then the per-row sum.
+    document). Beyond it: term counts per (row, word) first, then the
+    weights join with the most frequent words answered by a broadcast of
+    the top words and the rest by a shuffle join without hot keys, then the
+    per-row sum.
     """
     ex = df.select(key, F.explode_outer(tokens).alias("word"))
+    w = model.weights.select("word", "weight")
     if model.n_words <= max_broadcast_rows:
-        j = ex.join(F.broadcast(model.weights), "word", "left")
+        j = ex.join(F.broadcast(w), "word", "left")
         sums = j.groupBy(key).agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_s"))
     else:
         tf = ex.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_tf"))
-        known = (tf.filter(F.col("word").isNotNull()).join(model.weights, "word", "left")
-                 .select(key, (F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("_tf"))
-                         .alias("_c")))
-        empty = tf.filter(F.col("word").isNull()).select(key, F.lit(0.0).alias("_c"))
-        sums = known.unionByName(empty).groupBy(key).agg(F.sum("_c").alias("_s"))
+        if "mass" in model.weights.columns:
+            hot = (model.weights.orderBy(F.col("mass").desc(), F.col("word"))
+                   .limit(HOT_KEYS).select("word", "weight"))
+            j = hot_split_lookup(tf, "word", w, hot, F.xxhash64(F.col(key), F.col("word")))
+        else:
+            j = tf.join(w, "word", "left")
+        contrib = F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("_tf")
+        sums = j.groupBy(key).agg(F.sum(contrib).alias("_s"))
     score = F.lit(model.prior) + F.col("_s")
     return sums.select(key, score.alias("score"), (score > 0).cast("int").alias("pred"))
 

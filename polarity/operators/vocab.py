@@ -3,8 +3,10 @@
 Token lookups keep the per-document order by carrying the position through
 the join and regrouping with ``sort_array(collect_list(struct(pos, id)))``.
 The vocabulary side is broadcast only when its size is proven (a capped
-vocabulary, or a counted one); otherwise the join is a shuffle join whose
-hot words AQE splits. Arrays are cut to the encoding length *before* they
+vocabulary, or a counted one); otherwise the most frequent words (a bounded
+top-k) are broadcast and answered first, and the rest goes through a
+shuffle join in which those hot words, and empty rows, no longer share a
+key. Arrays are cut to the encoding length *before* they
 are exploded, so a 20,000-word review costs 500 rows, not 20,000.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from polarity.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
 from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
                                      strip_tags, tokenize)
-from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
 
@@ -61,9 +63,12 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
                          F.col("n").cast("long").alias("n"))
 
 
-def _vocab_side(vocab: DataFrame, max_rows: int, known_rows: int | None):
-    return broadcast_if_small(vocab.select("word", F.col("id").cast("int").alias("_vid")),
-                              max_rows, known_rows)
+def _hot_words(vocab: DataFrame, k: int | None = None) -> DataFrame:
+    """The k most frequent vocabulary words: by ``n`` when the vocabulary
+    carries counts, else by id (built vocabularies, and common word-vector
+    files, number words from the most frequent)."""
+    order = [F.col("n").desc(), F.col("word")] if "n" in vocab.columns else [F.col("id")]
+    return vocab.orderBy(*order).limit(k or HOT_KEYS)
 
 
 def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str = "tokens",
@@ -77,8 +82,16 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
     """
     toks = F.col(tokens_col) if n is None else F.slice(F.col(tokens_col), 1, n)
     exploded = df.select(key, F.posexplode_outer(toks).alias("pos", "word"))
-    v = _vocab_side(vocab, max_broadcast_rows, vocab_rows)
-    joined = exploded.join(v, "word", "left")
+    v = vocab.select("word", F.col("id").cast("int").alias("_vid"))
+    n_vocab = vocab_rows if vocab_rows is not None else vocab.count()
+    if n_vocab <= max_broadcast_rows:
+        joined = exploded.join(F.broadcast(v), "word", "left")
+    else:
+        # too large to broadcast: frequent words are answered by a broadcast
+        # of the top words, the rest by a shuffle join without hot keys
+        hot = _hot_words(vocab).select("word", F.col("id").cast("int").alias("_vid"))
+        joined = hot_split_lookup(exploded, "word", v, hot,
+                                  F.xxhash64(F.col(key), F.col("pos")))
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
                            .alias("id")))

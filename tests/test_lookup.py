@@ -123,3 +123,33 @@ def test_linear_score(spark):
     r = N.linear_score(x, w).collect()[0]
     assert r["out"] == 0 and abs(r["score"] - (2 * 7 / 5 + 1)) < 1e-12
     assert F is not None
+
+
+def _skewed_tokens(spark):
+    rows = [(i, ["the"] * 30 + [f"w{i % 7}", "zzz-unknown", "movie"]) for i in range(40)]
+    rows += [(100, []), (101, None), (102, ["movie"])]
+    return spark.createDataFrame(rows, "id long, tokens array<string>")
+
+
+def test_lookup_ids_hot_split_equals_broadcast(spark, monkeypatch):
+    toks = _skewed_tokens(spark)
+    vocab = V.build_vocabulary(toks, min_count=1, max_size=None)
+    want = {r["id"]: list(r["ids"]) for r in V.lookup_ids(toks, vocab, "id", n=40).collect()}
+    monkeypatch.setattr(V, "HOT_KEYS", 2)  # "the" and "movie" hot, the rest cold
+    for vv in (vocab, vocab.drop("n")):
+        got = V.lookup_ids(toks, vv, "id", n=40, max_broadcast_rows=0)
+        assert {r["id"]: list(r["ids"]) for r in got.collect()} == want
+    assert want[100] == [-1] * 40 and want[101] == [-1] * 40
+
+
+def test_score_nb_hot_split_equals_broadcast(spark, monkeypatch):
+    from polarity.operators import model as T
+    toks = _skewed_tokens(spark)
+    lab = toks.filter("id < 40").withColumn("p", (F.col("id") % 2).cast("double"))
+    m = T.fit_nb(lab, "tokens", "p")
+    want = {r["id"]: round(r["score"], 9) for r in T.score_nb(toks, m, "id").collect()}
+    monkeypatch.setattr(T, "HOT_KEYS", 2)
+    got = {r["id"]: round(r["score"], 9)
+           for r in T.score_nb(toks, m, "id", max_broadcast_rows=0).collect()}
+    assert got == want and len(want) == 43
+    assert want[100] == want[101] == round(m.prior, 9)
