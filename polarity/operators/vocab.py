@@ -22,9 +22,10 @@ from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
 
-# Largest vocabulary cap served by a take-ordered top-k (every partition
-# sends at most this many rows to the final merge task).
-TOPK_MAX = 100_000
+# A capped vocabulary is taken with a take-ordered top-k only while the rows
+# its single merge task receives (cap x partitions of the count table) stay
+# within this bound; beyond it the distributed rank is used.
+TOPK_MERGE_ROWS = 20_000_000
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -46,7 +47,8 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
               .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") >= F.lit(min_count)))
     order = [F.col("n").desc(), F.col("word").asc()]
-    if max_size is not None and max_size <= TOPK_MAX:
+    parts = int(tokens_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if max_size is not None and max_size * parts <= TOPK_MERGE_ROWS:
         top = counts.orderBy(*order).limit(max_size)
         w = Window.orderBy(*order)  # at most max_size rows
         vocab = top.select((F.row_number().over(w) - 1 + first_id).cast("int").alias("id"),

@@ -31,12 +31,12 @@ def test_build_vocabulary_order(spark):
     assert [(r["id"], r["word"], r["n"]) for r in v] == [(4, "b", 3), (5, "a", 2), (6, "c", 2)]
     u = V.build_vocabulary(docs, min_count=2, max_size=None).orderBy("id").collect()
     assert [r["word"] for r in u] == ["b", "a", "c"] and u[0]["id"] == 0
-    monkey = V.TOPK_MAX
-    V.TOPK_MAX = 1
+    monkey = V.TOPK_MERGE_ROWS
+    V.TOPK_MERGE_ROWS = 1  # cap x partitions over the bound: distributed rank
     try:
         c = V.build_vocabulary(docs, min_count=1, max_size=3).orderBy("id").collect()
     finally:
-        V.TOPK_MAX = monkey
+        V.TOPK_MERGE_ROWS = monkey
     assert [r["word"] for r in c] == ["b", "a", "c"]
 
 
