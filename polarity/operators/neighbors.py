@@ -167,16 +167,19 @@ def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
 
 
 def linear_score(vec_df: DataFrame, weights: DataFrame, key: str = "id", vec: str = "vector",
-                 max_units: int = 4096) -> DataFrame:
+                 max_units: int = 4096, max_values: int = 1_000_000) -> DataFrame:
     """M4: (key, out, score) with score = x . (g * w / |w|) + b per output unit.
 
     ``weights`` is (out, w ARRAY, g, b): model parameters, bounded by
-    ``max_units``. They are turned into literal arrays in the projection, so
-    each input row is scored in place - no join, no shuffle.
+    ``max_units`` rows and ``max_values`` weights in all. They are turned
+    into literal arrays in the projection, so each input row is scored in
+    place - no join, no shuffle.
     """
-    n_units = weights.count()
-    if n_units > max_units:
-        raise ValueError(f"{n_units} output units exceed the bound {max_units}")
+    size = weights.agg(F.count(F.lit(1)).alias("n"),
+                       F.sum(F.size("w")).alias("v")).first()
+    if size["n"] > max_units or (size["v"] or 0) > max_values:
+        raise ValueError(f"{size['n']} units / {size['v']} weights exceed the bound "
+                         f"{max_units} / {max_values}")
     rows = weights.select("out", F.col("w").cast("array<double>").alias("w"),
                           F.col("g").cast("double").alias("g"),
                           F.col("b").cast("double").alias("b")).collect()

@@ -447,6 +447,22 @@ def q_saved_model_score(spark, d):
     return s.select(KEY, F.round("score", 6).alias("score"), "pred")
 
 
+def q_stream_nb_score(spark, d):
+    """Structured Streaming: the documents table read as a file stream
+    (available-now trigger), scored per micro-batch with the fitted model,
+    written exactly once per batch and read back."""
+    from polarity.streaming.scoring import score_stream
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(d).select(KEY, "text"))
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    q = score_stream(stream, _nb_model(spark, d), out, ck, key=KEY, text="text", strip=False)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return spark.read.parquet(out).select(KEY, F.round("score", 6).alias("score"), "pred")
+
+
 QUERIES = {
     "strip_tags": q_strip_tags,
     "encode_label": q_encode_label,
@@ -502,5 +518,6 @@ QUERIES = {
     "cached_split": q_cached_split,
     "metrics_log": q_metrics_log,
     "saved_model_score": q_saved_model_score,
+    "stream_nb_score": q_stream_nb_score,
 }
 

@@ -338,4 +338,5 @@ ORACLE.update({
     "cached_split": ORACLE["split_three"],
     "metrics_log": ORACLE["metrics_long"],
     "saved_model_score": ORACLE["nb_score"],
+    "stream_nb_score": ORACLE["nb_score"],
 })
