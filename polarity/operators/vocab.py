@@ -21,6 +21,7 @@ from polarity.functions.text import (attention_mask, encode_with_specials, pad_t
 from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
+from polarity.sources.tables import spread_partitions
 
 # A capped vocabulary is taken with a take-ordered top-k only while the rows
 # its single merge task receives (cap x partitions of the count table) stay
@@ -177,7 +178,7 @@ def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tok
     """
     widths = sorted(set(widths))
     if not partitioned:
-        tokens_df = tokens_df.repartition(key)
+        tokens_df = tokens_df.repartition(spread_partitions(tokens_df.sparkSession), key)
     t = F.col(tokens_col)
     # explode_outer + null filter: no inferred size filter re-running the
     # tokenizer below the projection

@@ -24,6 +24,7 @@ from polarity.plans.pipeline import run_supervised
 from polarity.session import scratch_path
 from polarity.sources.cache import materialize_once
 from polarity.sources.metrics_log import log_metrics, to_long
+from polarity.sources.tables import spread_partitions
 from polarity.sources.models import load_model, save_model
 from polarity.sources.reviews import read_members, read_reviews, write_members, write_reviews
 from polarity.sources.vocab_io import (read_encoded, read_vocabulary, write_encoded,
@@ -110,7 +111,8 @@ def q_build_examples(spark, d):
 def q_ngram_features(spark, d):
     # documents are partitioned on the key before tokenizing (a narrow scan
     # is spread out too); the count reuses that partitioning
-    docs = I.table(spark, d, "documents").select(KEY, "text").repartition(KEY)
+    docs = (I.table(spark, d, "documents").select(KEY, "text")
+            .repartition(spread_partitions(spark), KEY))
     return V.ngram_features(I.with_tokens(docs), KEY, widths=DEFAULTS.ngram_widths,
                             partitioned=True)
 

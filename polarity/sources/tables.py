@@ -23,3 +23,13 @@ def balance(df: DataFrame, key: str | None = None, min_partitions: int | None =
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     return balance(spark.read.parquet(path), key)
+
+
+def spread_partitions(spark: SparkSession) -> int:
+    """Partitions for rows that expand a lot after the shuffle (a document
+    into its n-grams): an explicit count, so AQE does not coalesce them by
+    their small shuffle size into a few heavy tasks. The configured shuffle
+    partitions (sized for the cluster's data) or several tasks per core,
+    whichever is larger, so uneven documents even out."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               4 * spark.sparkContext.defaultParallelism)
