@@ -107,3 +107,36 @@ def test_score_stream(spark, tmp_out):
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(tmp_out, "out"))
     assert out.count() == 30 and set(out.columns) >= {"id", "score", "pred", "sentiment"}
+
+
+def _plan(spark, df) -> str:
+    return spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "simple")
+
+
+def test_ngram_plan_one_exchange_no_window_or_sort(spark):
+    from pyspark.sql import functions as F
+    from polarity.operators.vocab import ngram_features
+    toks = spark.createDataFrame([(1, ["a", "b", "c", "d"])], "id long, tokens array<string>")
+    plan = _plan(spark, ngram_features(toks.select("id", F.col("tokens")), "id"))
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort" not in plan
+
+
+def test_decode_plan_has_no_join(spark):
+    from polarity.operators.neighbors import decode_sentence
+    vocab = spark.createDataFrame([(0, "up", [0.0, 1.0])], "id int, word string, vector array<float>")
+    long = spark.createDataFrame([(7, 0, [0.1, 0.8])], "sid long, pos int, vector array<float>")
+    plan = _plan(spark, decode_sentence(long, vocab, "sid"))
+    assert "Join" not in plan and "MapInPandas" in plan
+
+
+def test_hot_split_plan(spark):
+    from polarity.operators import vocab as V
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toks = spark.createDataFrame([(1, ["the", "a"])], "id long, tokens array<string>")
+        vocab = spark.createDataFrame([(0, "the", 9), (1, "a", 1)], "id int, word string, n long")
+        plan = _plan(spark, V.lookup_ids(toks, vocab, "id", n=4, max_broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin [_jk" in plan
