@@ -154,6 +154,33 @@ def fit_lr(df: DataFrame, tokens: str = "tokens", label: str = "label",
     return Pipeline(stages=[tf, lr]).fit(data)
 
 
+def fit_semi_lr(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
+                tokens: str = "tokens", label: str = "label", unlabel_weight: float = 1.0,
+                rounds: int = 1, **lr_args) -> PipelineModel:
+    """T3 (lr): weighted self-training with logistic regression.
+
+    Binomial logistic regression takes 0/1 labels only, so an unlabelled row
+    with soft label p enters as two weighted rows, (1, lam*p) and
+    (0, lam*(1-p)); their log-loss is exactly the soft-label log-loss.
+    Labelled rows keep weight 1. Soft labels are a lineage cut per round.
+    """
+    lab = labeled.select(key, tokens, F.col(label).cast("double").alias("_y"),
+                         F.lit(1.0).alias("_w"))
+    unl = unlabeled.select(key, tokens)
+    model = fit_lr(lab, tokens, "_y", weight="_w", **lr_args)
+    for _ in range(rounds):
+        soft = checkpoint(score_lr(unl, model, key)
+                          .select(key, F.round("score", SOFT_DECIMALS).alias("_p")))
+        both = F.explode(F.array(
+            F.struct(F.lit(1.0).alias("_y"), (F.lit(float(unlabel_weight)) * F.col("_p")).alias("_w")),
+            F.struct(F.lit(0.0).alias("_y"),
+                     (F.lit(float(unlabel_weight)) * (1 - F.col("_p"))).alias("_w"))))
+        u = (unl.join(soft, key).select(key, tokens, both.alias("_s"))
+             .select(key, tokens, "_s._y", "_s._w").filter(F.col("_w") > 0))
+        model = fit_lr(lab.unionByName(u), tokens, "_y", weight="_w", **lr_args)
+    return model
+
+
 def score_lr(df: DataFrame, model: PipelineModel, key: str = "id") -> DataFrame:
     """T2 (lr): (key, score = P(positive), pred)."""
     out = model.transform(df)

@@ -362,6 +362,20 @@ def q_pipeline_submission(spark, d):
     return res.submission
 
 
+def q_split_use_all(spark, d):
+    """The use-all switch - no validation part, every labelled row trains."""
+    lab = I.labeled_ids(spark, d).select(KEY)
+    return S.split_train_valid(lab, DEFAULTS.valid_frac, DEFAULTS.seed, KEY, use_all=True)
+
+
+def q_semi_lr_fit(spark, d):
+    """T3 with logistic regression (iterative: checked on rows only)."""
+    lab = I.with_tokens(I.labeled_docs(spark, d)).select(KEY, "tokens", "label")
+    unl = I.with_tokens(I.unlabeled_docs(spark, d))
+    model = T.fit_semi_lr(lab, unl, KEY, "tokens", "label", SEMI_WEIGHT, rounds=1, max_iter=20)
+    return T.score_lr(_tokens(spark, d), model, KEY).select(KEY, "pred")
+
+
 def q_lr_fit(spark, d):
     lab = I.with_tokens(I.labeled_docs(spark, d))
     model = T.fit_lr(lab, "tokens", "label", max_iter=20)
@@ -512,6 +526,8 @@ QUERIES = {
     "submission": q_submission,
     "pipeline_submission": q_pipeline_submission,
     "lr_fit": q_lr_fit,
+    "semi_lr_fit": q_semi_lr_fit,
+    "split_use_all": q_split_use_all,
     "review_csv": q_review_csv,
     "test_csv": q_test_csv,
     "member_files": q_member_files,

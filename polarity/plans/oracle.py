@@ -339,4 +339,5 @@ ORACLE.update({
     "metrics_log": ORACLE["metrics_long"],
     "saved_model_score": ORACLE["nb_score"],
     "stream_nb_score": ORACLE["nb_score"],
+    "split_use_all": """SELECT doc_id, 'train' AS part FROM documents JOIN labels USING (doc_id)""",
 })

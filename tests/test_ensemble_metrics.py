@@ -70,3 +70,21 @@ def test_accuracy(spark):
     df = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (1, 0)], "pred int, label int")
     r = M.accuracy(df).collect()[0]
     assert (r["n"], r["correct"], r["tp"], r["fp"], r["tn"], r["fn"]) == (4, 2, 1, 1, 1, 1)
+
+
+def test_fit_semi_lr(spark):
+    from polarity.operators import model as T
+    lab = spark.createDataFrame(
+        [(1, ["good", "fun"], 1), (2, ["bad", "dull"], 0), (3, ["good"], 1), (4, ["bad"], 0)],
+        "id long, tokens array<string>, label int")
+    unl = spark.createDataFrame([(5, ["good", "dull"]), (6, ["fun"])], "id long, tokens array<string>")
+    args = dict(max_iter=30, num_features=64)
+    base = {r["id"]: r["score"] for r in T.score_lr(lab.unionByName(unl, allowMissingColumns=True),
+                                                      T.fit_lr(lab, **args), "id").collect()}
+    # weight 0: every unlabelled row drops out, the fit is the supervised one
+    same = T.fit_semi_lr(lab, unl, "id", unlabel_weight=0.0, **args)
+    got = {r["id"]: r["score"] for r in T.score_lr(lab.unionByName(unl, allowMissingColumns=True),
+                                                     same, "id").collect()}
+    assert all(abs(got[k] - base[k]) < 1e-9 for k in base)
+    semi = T.fit_semi_lr(lab, unl, "id", unlabel_weight=1.0, **args)
+    assert T.score_lr(unl, semi, "id").count() == 2
