@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from polarity.functions.text import decode_label, strip_tags, tokenize
 from polarity.operators.model import NBModel, score_nb
+from polarity.sources.tables import balance
 
 
 def prepare_stream(stream: DataFrame, key: str = "id", text: str = "review",
@@ -32,14 +33,16 @@ def score_stream(stream: DataFrame, model: NBModel, out_path: str, checkpoint_pa
                  trigger: dict | None = None) -> StreamingQuery:
     """Start a query that writes (key, score, pred, sentiment, batch) Parquet
     under ``out_path``; ``checkpoint_path`` must be a shared folder."""
-    prepared = prepare_stream(stream, key, text, strip)
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_nb(batch, model, key)
+        # a micro-batch from a few files arrives in a few splits: spread it
+        # over the cluster before the per-row tokenizing (large batches are
+        # used as they come)
+        prepared = prepare_stream(balance(batch, key), key, text, strip)
+        scored = score_nb(prepared, model, key)
         (scored.withColumn("sentiment", decode_label(F.col("pred")))
          .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}"))
 
-    w = prepared.writeStream.foreachBatch(write_batch).option("checkpointLocation",
-                                                             checkpoint_path)
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation",
+                                                           checkpoint_path)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
