@@ -137,3 +137,20 @@ def test_metric_log(spark, tmp_out):
     got = spark.read.parquet(p).filter(F.col("run") == "r1").orderBy("tag", "step").collect()
     assert [(r["tag"], r["step"], r["value"]) for r in got] == [
         ("batch/acc", 1, 0.9), ("batch/acc", 2, 0.95), ("batch/loss", 1, 0.5), ("batch/loss", 2, 0.4)]
+
+
+def test_encoded_order_survives_many_part_files(spark, tmp_out):
+    from pyspark.sql import functions as F
+    df = (spark.range(300).repartition(7)
+          .select(F.col("id").alias("row"), F.array(F.col("id").cast("int"), F.lit(-1)).alias("ids")))
+    out = os.path.join(tmp_out, "many")
+    # small data: keep AQE from merging the sorted ranges into one file
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        vocab_io.write_encoded(df, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) > 1  # written in parallel, not through one task
+    back = vocab_io.read_encoded(spark, out).orderBy("row").collect()
+    assert [(r["row"], list(r["ids"])) for r in back] == [(i, [i, -1]) for i in range(300)]
