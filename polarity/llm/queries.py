@@ -3,14 +3,37 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
-from polarity.llm import host_rules, mixing, syncmers
-from polarity.llm.common import table
+from pyspark.sql import functions as F
+
+from polarity.llm import (chat, host_rules, mixing, ngram_join, packing, quality_knn, syncmers,
+                          toxicity)
+from polarity.llm.common import fold, table
+
+
+def _scores(scored, limit, *more):
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= limit).cast("int").alias("predicted"), *more)
+
+
+def op1_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels)
+    return _scores(toxicity.score(docs.select("doc_id", "text"), model).drop("text"), 0.5,
+                   "n_windows")
 
 
 def op2_syncmer_fingerprints(spark, sf_dir):
     return syncmers.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_jaccard(spark, sf_dir):
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
 def op5_host_rules(spark, sf_dir):
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
 
@@ -19,4 +42,16 @@ def op7_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_syncmer_fingerprints, op5_host_rules, op7_source_mix)}
+def op8_quality_neighbours(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_knn.train(docs, labels)
+    return _scores(quality_knn.score(docs.select("doc_id", "text"), model).drop("text"), 0.3)
+
+
+def op10_chat_format(spark, sf_dir):
+    return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard,
+    op5_host_rules, op7_source_mix, op8_quality_neighbours, op10_chat_format)}

@@ -80,11 +80,12 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES):
         a = b
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray):
-    """(start, end, row) of every word in order."""
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
+    """(start, end, row) of every word in order; ``between`` marks the bytes
+    that part words."""
     space = np.empty(len(raw) + 2, bool)
     space[0] = space[-1] = True
-    np.take(_SPACE, raw, out=space[1:-1])
+    np.take(between, raw, out=space[1:-1])
     cut = np.zeros(len(raw) + 1, bool)
     cut[offsets] = True  # a text's end ends a word
     inside = ~space
@@ -94,15 +95,24 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray):
     return start, end, row
 
 
-def span_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray,
-              lower: bool = False) -> np.ndarray:
-    """64-bit hash of raw[start:end] for every pair."""
-    p, q = powers(len(raw) + 1)
+def prefix_sums(raw: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Polynomial prefix sums of the bytes, from which any span hashes."""
+    p, _ = powers(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((_TABLE_LOWER if lower else _TABLE)[raw] * p[:len(raw)], out=sums[1:],
               dtype=np.uint64)
-    h = (sums[end] - sums[start]) * q[start]
-    return mix(h + (end - start).astype(np.uint64))
+    return sums
+
+
+def hash_between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes start..end for every pair."""
+    _, q = powers(len(sums))
+    return mix((sums[end] - sums[start]) * q[start] + (end - start).astype(np.uint64))
+
+
+def span_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray,
+              lower: bool = False) -> np.ndarray:
+    return hash_between(prefix_sums(raw, lower), start, end)
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
