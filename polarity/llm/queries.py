@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polarity.llm import (chat, host_rules, mixing, ngram_join, packing, quality_knn, syncmers,
-                          toxicity)
+from polarity.llm import (chat, host_rules, mixing, ngram_join, packing, quality_knn, suffix_dedup,
+                          syncmers, toxicity)
 from polarity.llm.common import fold, table
 
 
@@ -48,10 +48,15 @@ def op8_quality_neighbours(spark, sf_dir):
     return _scores(quality_knn.score(docs.select("doc_id", "text"), model).drop("text"), 0.3)
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark, sf_dir):
     return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard,
-    op5_host_rules, op7_source_mix, op8_quality_neighbours, op10_chat_format)}
+    op5_host_rules, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup,
+    op10_chat_format)}
