@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polarity.llm import (chat, host_rules, mixing, ngram_join, packing, quality_knn, suffix_dedup,
-                          syncmers, toxicity)
+from polarity.llm import (chat, host_rules, kneser_ney, mixing, ngram_join, packing, quality_knn,
+                          suffix_dedup, syncmers, toxicity)
 from polarity.llm.common import fold, table
 
 
@@ -38,6 +38,15 @@ def op5_host_rules(spark, sf_dir):
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_kneser_ney(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold(F.col("doc_id"), 7) == 2
+    model = kneser_ney.train(docs.where(~held).select("text"))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -57,6 +66,5 @@ def op10_chat_format(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard,
-    op5_host_rules, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup,
-    op10_chat_format)}
+    op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard, op5_host_rules,
+    op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format)}
