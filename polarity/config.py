@@ -26,9 +26,6 @@ class Defaults:
     # feature operators
     k_max: int = 8
     ngram_widths: tuple = (3, 4, 5, 6, 7)
-    # vocabulary built from a corpus
-    min_count: int = 5
-    max_vocab: int = 2000
 
 
 DEFAULTS = Defaults()
@@ -47,15 +44,15 @@ POSITIVE = "positive"
 NEGATIVE = "negative"
 CLASSES = (POSITIVE, NEGATIVE)
 
-# The eight active ensemble members and their scores, in the
-# reference's order (member name = run timestamp).
+# The eight active ensemble members (folder names) and their
+# scores, in the reference's order.
 MEMBER_WEIGHTS = (
-    ("20201226-115507", "96.13"),
-    ("20201226-182046", "96.08"),
-    ("20201227-235217", "96.01"),
-    ("20201228-134621", "96.15"),
-    ("20201228-182820", "96.02"),
-    ("20201228-200251", "96.20"),
-    ("20201228-220723", "96.09"),
-    ("20201229-020822", "96.09"),
+    ("submission-20201226-115507-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.13"),
+    ("submission-20201226-182046-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.08"),
+    ("submission-20201227-235217-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.01"),
+    ("submission-20201228-134621-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.15"),
+    ("submission-20201228-182820-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.02"),
+    ("submission-20201228-200251-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.20"),
+    ("submission-20201228-220723-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.09"),
+    ("submission-20201229-020822-RoBERTa-large-Cumulbatch-Alldata-Warmup-Batchlarger-MoreEpoch", "96.09"),
 )

@@ -7,10 +7,10 @@ from polarity.functions.arrays import (argmax, cosine, dot, k_max, l2_norm,
 from polarity.functions.hashing import order_key
 from polarity.functions.text import (attention_mask, decode_label, detokenize,
                                      encode_label, encode_with_specials,
-                                     ngrams, pad_truncate, strip_tags, tokenize)
+                                     pad_truncate, strip_tags, tokenize)
 
 __all__ = [
     "argmax", "cosine", "dot", "k_max", "l2_norm", "log_sum_exp", "softplus",
     "order_key", "attention_mask", "decode_label", "detokenize", "encode_label",
-    "encode_with_specials", "ngrams", "pad_truncate", "strip_tags", "tokenize",
+    "encode_with_specials", "pad_truncate", "strip_tags", "tokenize",
 ]

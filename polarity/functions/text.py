@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,22 +78,3 @@ def encode_with_specials(ids, max_len: int, bos: int = BOS_ID,
 def detokenize(arr) -> Column:
     """P10: join words with single blanks."""
     return F.array_join(_c(arr), " ")
-
-
-def ngrams(tokens, width: int) -> Column:
-    """All contiguous word n-grams of one width, joined by blanks.
-
-    An array shorter than ``width`` gives an empty array (the guard also keeps
-    ``sequence`` from counting down).
-    """
-    t = _c(tokens)
-    grams = F.transform(F.sequence(F.lit(1), F.size(t) - F.lit(width) + F.lit(1)),
-                        lambda i: F.array_join(F.slice(t, i, width), " "))
-    return F.when(F.size(t) >= F.lit(width), grams).otherwise(
-        F.array().cast("array<string>"))
-
-
-def ngrams_all(tokens, widths: Iterable[int]) -> Column:
-    """Array of (width, grams) structs, one per width, for a two-step explode."""
-    return F.array(*[F.struct(F.lit(w).alias("width"), ngrams(tokens, w).alias("grams"))
-                     for w in widths])

@@ -8,19 +8,26 @@ true tie, not an accident of float summation order.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.config import CLASSES
+from polarity.operators.joins import broadcast_if_small
 
-WEIGHT_TYPE = "decimal(10,2)"
-SUM_TYPE = "decimal(20,2)"
-MAX_MEMBERS = 100_000
+# ten digits before the point, eighteen after it: weights given with more
+# decimals are refused, never rounded
+WEIGHT_TYPE = "decimal(28,18)"
+SUM_TYPE = "decimal(38,18)"
 
 
 def member_weights(spark, pairs) -> DataFrame:
-    """(member, weight DECIMAL(10,2)) from (name, score) pairs."""
+    """(member, weight DECIMAL(28,18)) from (name, score) pairs, exactly."""
     rows = [(str(m), str(w)) for m, w in pairs]
+    for m, w in rows:
+        if -Decimal(w).as_tuple().exponent > 18:
+            raise ValueError(f"weight of {m!r} has more than 18 decimals: {w}")
     return (spark.createDataFrame(rows, "member string, weight string")
             .select("member", F.col("weight").cast(WEIGHT_TYPE).alias("weight")))
 
@@ -36,9 +43,7 @@ def weighted_vote(ids: DataFrame, votes: DataFrame, weights: DataFrame,
     reference's dictionary lookup does, on a vote for an unlisted id or an
     unknown class.
     """
-    if weights.count() > MAX_MEMBERS:
-        raise ValueError("too many ensemble members for a broadcast weight table")
-    w = F.broadcast(weights.select("member", F.col("weight").cast(WEIGHT_TYPE)))
+    w = broadcast_if_small(weights.select("member", F.col("weight").cast(WEIGHT_TYPE)))
     v = votes.select(key, "member", label).join(w, "member")
     if strict:
         bad = v.filter(~F.col(label).isin(*classes)).limit(1).collect()

@@ -28,35 +28,53 @@ def complement(df: DataFrame, part: DataFrame, on="id") -> DataFrame:
     Written as a left anti join, not ``NOT IN``, so no null-aware plan.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(part.select(*keys).distinct(), keys, "left_anti")
+    return df.join(part.select(*keys), keys, "left_anti")
 
 
 # Keys treated as possibly hot in a lookup too large to broadcast: the
 # most frequent ones, a bounded top-k (each partition sends at most this
 # many rows to the merge).
 HOT_KEYS = 1_000
-MISS_SALTS = 64
 
 
 def hot_split_lookup(left: DataFrame, on: str, table: DataFrame, hot: DataFrame,
-                     spread, salts: int = MISS_SALTS) -> DataFrame:
-    """Left join ``left`` to ``table`` (unique string key ``on``) when the
-    table is too large to broadcast and some keys of ``left`` are hot.
+                     spread) -> DataFrame:
+    """Left join ``left`` to ``table`` (unique key ``on``, a string or a
+    non-negative whole number) when the table is too large to broadcast and
+    some keys of ``left`` are hot.
 
     ``hot`` is a bounded subset of ``table`` holding the keys that may be
     hot (e.g. the most frequent words); it is broadcast and joined first.
     Rows it answers, and rows with a null key, are given a join key that can
-    match nothing and is spread over ``salts`` values by ``spread``, so the
-    shuffle join with the full table sees no hot key. One pass over
-    ``left``; output = left columns + the table's other columns.
+    match nothing: the 64-bit hash ``spread``, one value per row, so that they
+    spread evenly over any number of partitions and the shuffle join with the
+    full table sees no hot key. One pass over ``left``; output = left columns
+    + the table's other columns.
     """
     vals = [c for c in table.columns if c != on]
     hot_b = F.broadcast(hot.select(F.col(on).alias("_hk"), F.lit(True).alias("_hit"),
                                    *[F.col(c).alias(f"_h_{c}") for c in vals]))
     j1 = left.join(hot_b, left[on] == hot_b["_hk"], "left").drop("_hk")
-    miss = F.concat(F.lit("\u0000"), F.pmod(spread, F.lit(salts)).cast("string"))
-    jkey = F.when(F.col("_hit").isNull() & F.col(on).isNotNull(), F.col(on)).otherwise(miss)
-    cold = table.select(F.col(on).alias("_ck"), *[F.col(c).alias(f"_c_{c}") for c in vals])
+    key = left.schema[on].dataType.simpleString()
+    if key == "string":
+        own, miss, full = F.col(on), F.concat(F.lit("\u0000"), spread.cast("string")), F.col(on)
+    else:  # numbers: misses are negative, which no key of the table is
+        own, miss = F.col(on).cast("long"), spread.bitwiseOR(F.lit(-2 ** 63))
+        full = F.col(on).cast("long")
+    jkey = F.when(F.col("_hit").isNull() & F.col(on).isNotNull(), own).otherwise(miss)
+    cold = table.select(full.alias("_ck"), *[F.col(c).alias(f"_c_{c}") for c in vals])
     j2 = j1.withColumn("_jk", jkey).join(cold, F.col("_jk") == F.col("_ck"), "left")
     return j2.select(*left.columns,
                      *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in vals])
+
+
+def one_row_per_key(pos):
+    """Aggregate over exploded rows (``posexplode_outer`` places): how many
+    rows were exploded into the group."""
+    return F.sum(F.when(F.coalesce(pos, F.lit(0)) == 0, 1).otherwise(0))
+
+
+def repeated_key(key: str):
+    """An expression that fails the job for a key that two rows share."""
+    return F.raise_error(F.concat(F.lit(f"more than one row with {key} "),
+                                  F.coalesce(F.col(key).cast("string"), F.lit("null"))))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from polarity.functions.arrays import log_sum_exp, softplus
 from polarity.operators.joins import broadcast_if_small
 from polarity.operators.ordering import ordered_rank
+from polarity.session import checkpoint
 
 
 def accuracy_columns(pred: str = "pred", label: str = "label") -> list:
@@ -58,7 +59,8 @@ def step_window_metrics(steps: DataFrame, every: int = 50, epoch: str = "epoch",
     partitioned), so one huge epoch is never numbered in a single task.
     """
     order = order or ["step"]
-    ranked = ordered_rank(steps, order, [epoch], rank_col="_rank")
+    needed = list(dict.fromkeys([epoch, *order, loss, size, *([correct] if correct else [])]))
+    ranked = ordered_rank(steps.select(*needed), order, [epoch], rank_col="_rank")
     win = ranked.withColumn("window", (F.col("_rank") / every).cast("long"))
     aggs = [F.count(F.lit(1)).alias("steps"),
             F.sum(F.col(size)).cast("long").alias("samples"),
@@ -67,7 +69,7 @@ def step_window_metrics(steps: DataFrame, every: int = 50, epoch: str = "epoch",
     if correct:
         aggs.append((F.sum(F.col(correct).cast("double"))
                      / F.sum(F.col(size).cast("double"))).alias("acc"))
-    per_win = win.groupBy(epoch, "window").agg(*aggs)
+    per_win = checkpoint(win.groupBy(epoch, "window").agg(*aggs), "windows")
     # windows per epoch -> offsets; one row per epoch
     per_epoch = per_win.groupBy(epoch).agg(F.count(F.lit(1)).alias("_nw"))
     running = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
@@ -85,12 +87,6 @@ def epoch_summary(steps: DataFrame, metrics: list, epoch: str = "epoch") -> Data
         *[F.avg(F.col(m).cast("double")).alias(f"{m}_mean") for m in metrics])
 
 
-def supervised_loss(df: DataFrame, logits: str = "logits", label: str = "label") -> DataFrame:
-    """Mean cross-entropy = mean(LSE(logits) - logits[label])."""
-    picked = F.element_at(F.col(logits).cast("array<double>"), F.col(label) + 1)
-    return df.agg(F.avg(log_sum_exp(logits) - picked).alias("sup_loss"))
-
-
 def gan_losses(df: DataFrame, logits: str = "logits", label: str = "label",
                role: str = "role", unlabel_weight: float = 1.0) -> DataFrame:
     """A7 + A8 in one pass over a table whose ``role`` is 'labeled', 'real'

@@ -11,25 +11,26 @@ With p the (soft) label and lam the row weight of a document:
     score(d) = prior + sum of weight over d's tokens (unknown word: 0)
     pred = score > 0
 
-``lr``: ``pyspark.ml`` HashingTF + LogisticRegression on the same tokens.
+``lr``: ``pyspark.ml`` CountVectorizer + LogisticRegression on the same tokens.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.functions.text import decode_label
-from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup
-from polarity.session import checkpoint
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup,
+                                      one_row_per_key, repeated_key)
+from polarity.session import checkpoint, scratch_path
 
 CLIP = 30.0
 SOFT_DECIMALS = 6
@@ -51,10 +52,15 @@ def fit_nb(docs: DataFrame, tokens: str = "tokens", p: str = "p", lam: str | Non
     # (lam*p, lam*(1-p)), whose group gives the prior's numerator and
     # denominator alongside the word counts
     # (explode_outer: no inferred size filter re-running the tokenizer)
-    occ = d.select(F.explode_outer(F.concat("_t", F.array(F.lit(None).cast("string"))))
-                   .alias("word"), "_p", "_l")
-    grouped = occ.groupBy("word").agg(F.sum(F.col("_l") * F.col("_p")).alias("a"),
-                                      F.sum(F.col("_l") * (1 - F.col("_p"))).alias("b"))
+    return _fit_counts(d.select(F.explode_outer(F.concat("_t", F.array(
+        F.lit(None).cast("string")))).alias("word"), F.lit(1).alias("tf"), "_p", "_l"))
+
+
+def _fit_counts(occ: DataFrame) -> NBModel:
+    """Fit from (word, tf, _p, _l) rows; the null word stands for documents."""
+    mass = F.col("_l") * F.col("tf")
+    grouped = occ.groupBy("word").agg(F.sum(mass * F.col("_p")).alias("a"),
+                                      F.sum(mass * (1 - F.col("_p"))).alias("b"))
     grouped = checkpoint(grouped)
     per_word = grouped.filter(F.col("word").isNotNull())
     row = grouped.agg(
@@ -69,13 +75,17 @@ def fit_nb(docs: DataFrame, tokens: str = "tokens", p: str = "p", lam: str | Non
     # mass = the word's weighted occurrences: tells the scorer its hot words
     weights = per_word.select("word", weight.alias("weight"),
                               (F.col("a") + F.col("b")).alias("mass"))
-    prior = math.log(row["pos"] / row["neg"]) if row["pos"] and row["neg"] else 0.0
+    if not row["pos"] or not row["neg"]:
+        raise ValueError("naive Bayes needs rows of both classes")
+    prior = math.log(row["pos"] / row["neg"])
     return NBModel(weights=weights, prior=prior, n_words=v)
 
 
 def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "tokens",
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """T2 (nb): (key, score, pred) for every input row.
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, carry: tuple = ()) -> DataFrame:
+    """T2 (nb): (key, *carry, score, pred) for every input row; ``carry``
+    names columns that go along. ``key`` must be unique: two rows with one key
+    fail the job, they are never merged.
 
     Vocabulary within the broadcast bound: tokens stream through a broadcast
     hash join and are summed per row map-side (one shuffle of one row per
@@ -84,13 +94,16 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
     the top words and the rest by a shuffle join without hot keys, then the
     per-row sum.
     """
-    ex = df.select(key, F.explode_outer(tokens).alias("word"))
+    ex = df.select(key, *carry, F.posexplode_outer(tokens).alias("_pos", "word"))
+    rows = one_row_per_key(F.col("_pos"))
+    along = [F.first(c).alias(c) for c in carry]
     w = model.weights.select("word", "weight")
     if model.n_words <= max_broadcast_rows:
         j = ex.join(F.broadcast(w), "word", "left")
-        sums = j.groupBy(key).agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_s"))
+        sums = j.groupBy(key).agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_s"),
+                                  rows.alias("_rows"), *along)
     else:
-        tf = ex.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_tf"))
+        tf = ex.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_tf"), rows.alias("_r"), *along)
         if "mass" in model.weights.columns:
             hot = (model.weights.orderBy(F.col("mass").desc(), F.col("word"))
                    .limit(HOT_KEYS).select("word", "weight"))
@@ -98,9 +111,11 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
         else:
             j = tf.join(w, "word", "left")
         contrib = F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("_tf")
-        sums = j.groupBy(key).agg(F.sum(contrib).alias("_s"))
-    score = F.lit(model.prior) + F.col("_s")
-    return sums.select(key, score.alias("score"), (score > 0).cast("int").alias("pred"))
+        sums = j.groupBy(key).agg(F.sum(contrib).alias("_s"), F.sum("_r").alias("_rows"), *along)
+    score = F.when(F.col("_rows") > 1, repeated_key(key)).otherwise(F.lit(model.prior)
+                                                                    + F.col("_s"))
+    return (sums.select(key, *carry, score.alias("score"))
+            .select(key, *carry, "score", (F.col("score") > 0).cast("int").alias("pred")))
 
 
 def soft_label(score) -> F.Column:
@@ -110,41 +125,78 @@ def soft_label(score) -> F.Column:
     return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-s)), SOFT_DECIMALS)
 
 
+def term_table(docs: DataFrame, key: str = "id", tokens: str = "tokens",
+               carry: tuple = ()) -> DataFrame:
+    """(key, *carry, word, tf) of every document, and one row per document
+    with a null word and tf 1, written once as Parquet bucketed by ``key``
+    under the shared checkpoint folder. Sums per document and joins on the key
+    then need no exchange, so fitting, scoring and refitting move per-word and
+    per-document numbers only, never tokens. ``key`` must be unique."""
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(key, *carry, tokens).repartition(n, key)
+    marked = F.concat(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
+                      F.array(F.lit(None).cast("string")))
+    terms = (rows.select(key, *carry, F.explode(marked).alias("word"))
+             .groupBy(key, "word").agg(*[F.first(c).alias(c) for c in carry],
+                                       F.count(F.lit(1)).alias("tf")))
+    tf = F.when(F.col("word").isNull() & (F.col("tf") > 1), repeated_key(key)).otherwise(F.col("tf"))
+    name = f"polarity_terms_{uuid.uuid4().hex}"
+    (terms.withColumn("tf", tf).write.bucketBy(n, key).sortBy(key)
+     .option("path", scratch_path(spark, "terms")).saveAsTable(name))
+    return spark.table(name)
+
+
+def score_terms(terms: DataFrame, model: NBModel, key: str = "id",
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """(key, score, pred) from a term table."""
+    w = model.weights.select("word", "weight")
+    tf = terms.select(key, "word", "tf")
+    if model.n_words <= max_broadcast_rows:
+        j = tf.join(F.broadcast(w), "word", "left")
+    else:
+        hot = (model.weights.orderBy(F.col("mass").desc(), F.col("word"))
+               .limit(HOT_KEYS).select("word", "weight"))
+        j = hot_split_lookup(tf, "word", w, hot, F.xxhash64(F.col(key), F.col("word")))
+    score = F.lit(model.prior) + F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("tf"))
+    return (j.groupBy(key).agg(score.alias("score"))
+            .select(key, "score", (F.col("score") > 0).cast("int").alias("pred")))
+
+
+def fit_semi_terms(terms: DataFrame, key: str = "id", label: str = "label",
+                   unlabel_weight: float = 1.0, rounds: int = 1) -> NBModel:
+    """T3 over a term table whose ``label`` is null on unlabelled documents:
+    fit on labelled ones, give the others soft labels from the model, refit on
+    all with the unlabelled weighted by ``unlabel_weight``; ``rounds`` times."""
+    known = terms.where(F.col(label).isNotNull()).select(
+        "word", "tf", F.col(label).cast("double").alias("_p"), F.lit(1.0).alias("_l"))
+    model = _fit_counts(known)
+    unknown = terms.where(F.col(label).isNull()).select(key, "word", "tf")
+    for _ in range(rounds):
+        soft = score_terms(unknown, model, key).select(
+            key, soft_label(F.col("score")).alias("_p"))
+        both = unknown.join(soft, key).select("word", "tf", "_p",
+                                              F.lit(float(unlabel_weight)).alias("_l"))
+        model = _fit_counts(known.unionByName(both))
+    return model
+
+
 def fit_semi_nb(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
                 tokens: str = "tokens", label: str = "label",
                 unlabel_weight: float = 1.0, rounds: int = 1) -> NBModel:
-    """Weighted self-training. Fit on labelled rows, give unlabelled rows
-    soft labels from the model, refit on both with the unlabelled rows
-    weighted by ``unlabel_weight``; repeat ``rounds`` times."""
-    # the tokenized parts are read once per round: keep them (lineage
-    # recomputes a lost block; no localCheckpoint)
-    lab = labeled.select(key, tokens, F.col(label).cast("double").alias("p"),
-                         F.lit(1.0).alias("lam")).persist(StorageLevel.MEMORY_AND_DISK)
-    unl = unlabeled.select(key, tokens).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _self_train(lab, unl, key, tokens, unlabel_weight, rounds)
-    finally:
-        lab.unpersist()
-        unl.unpersist()
-
-
-def _self_train(lab: DataFrame, unl: DataFrame, key: str, tokens: str,
-                unlabel_weight: float, rounds: int) -> NBModel:
-    model = fit_nb(lab, tokens, "p", "lam")
-    for _ in range(rounds):
-        soft = score_nb(unl, model, key, tokens).select(key, soft_label(F.col("score")).alias("p"))
-        soft = checkpoint(soft)  # cut lineage between rounds
-        u = unl.join(soft, key).select(key, tokens, "p",
-                                       F.lit(float(unlabel_weight)).alias("lam"))
-        model = fit_nb(lab.unionByName(u), tokens, "p", "lam")
-    return model
+    """Weighted self-training from two parts, through one term table."""
+    both = labeled.select(key, tokens, F.col(label).cast("double").alias("_y")).unionByName(
+        unlabeled.select(key, tokens, F.lit(None).cast("double").alias("_y")))
+    return fit_semi_terms(term_table(both, key, tokens, ("_y",)), key, "_y", unlabel_weight, rounds)
 
 
 def fit_lr(df: DataFrame, tokens: str = "tokens", label: str = "label",
-           weight: str | None = None, num_features: int = 1 << 18, max_iter: int = 50,
-           reg: float = 0.0) -> PipelineModel:
-    """T1 (lr): HashingTF + LogisticRegression (optionally row weighted)."""
-    tf = HashingTF(inputCol=tokens, outputCol="_features", numFeatures=num_features)
+           weight: str | None = None, max_iter: int = 50, reg: float = 0.0) -> PipelineModel:
+    """T1 (lr): word counts + LogisticRegression (optionally row weighted).
+    Every distinct word is a feature of its own; the driver holds one weight
+    and one word per feature, as the optimiser does."""
+    n = df.select(F.explode(tokens).alias("_w")).distinct().count()
+    tf = CountVectorizer(inputCol=tokens, outputCol="_features", vocabSize=max(1, n), minDF=1.0)
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter,
                             regParam=reg, predictionCol="_pred",
                             probabilityCol="_prob", rawPredictionCol="_raw")
@@ -181,10 +233,11 @@ def fit_semi_lr(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
     return model
 
 
-def score_lr(df: DataFrame, model: PipelineModel, key: str = "id") -> DataFrame:
-    """T2 (lr): (key, score = P(positive), pred)."""
+def score_lr(df: DataFrame, model: PipelineModel, key: str = "id",
+             carry: tuple = ()) -> DataFrame:
+    """T2 (lr): (key, *carry, score = P(positive), pred)."""
     out = model.transform(df)
-    return out.select(key, vector_to_array("_prob")[1].alias("score"),
+    return out.select(key, *carry, vector_to_array("_prob")[1].alias("score"),
                       F.col("_pred").cast("int").alias("pred"))
 
 

@@ -1,18 +1,15 @@
-"""Nearest word by cosine (K2, J7), sentence decoding (K3), and the
+"""Nearest words by cosine (K2, J7), sentence decoding (K3), and the
 weight-normalised linear score (M4).
 
-Nearest-word search is exact top-1 with no pair table: query vectors are
-scored against the vocabulary matrix inside Arrow batches (one matrix
-product per batch, numpy). Two plans:
+Nearest-word search is exact, with no pair table and no shuffle of queries or
+vocabulary: the vocabulary's distinct vectors are read in blocks of bounded
+size, each block is broadcast once, and the query rows stream past it in Arrow
+batches (one matrix product per batch, numpy) with the best words so far.
+Between blocks the rows are written to the checkpoint folder, so a lost
+executor repeats one block at most. A vocabulary of one block needs no write.
 
-- vocabulary within ``max_broadcast_values`` floats: the matrix is a
-  broadcast variable and queries stream through ``mapInPandas`` - no shuffle;
-- larger: vocabulary rows are dealt into blocks and queries into chunks, each
-  (block, chunk) cell is one ``cogroup`` task, and the per-block winners are
-  reduced per query with ``max_by``. Memory per task is bounded by the block
-  and chunk sizes, not by the data.
-
-Ties go to the lowest word id.
+Words that share a vector are scored once and come in order of id, so exact
+ties go to the lowest id whatever the rounding of a matrix product.
 """
 
 from __future__ import annotations
@@ -23,39 +20,51 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
-
-from polarity.functions.arrays import COSINE_EPS, dot, l2_norm
-
-
-def _normalise(mat: np.ndarray) -> np.ndarray:
-    return np.linalg.norm(mat, axis=1)
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
+                               StructType)
 
+from polarity.functions.arrays import COSINE_EPS
+from polarity.functions.text import detokenize
+from polarity.session import checkpoint
 
 # Similarity values held at once per task (64 MB of doubles): query rows are
 # scored in slices so a 10k-row Arrow batch against a large vocabulary block
 # never materializes a multi-GB matrix.
 SIM_VALUES_PER_SLICE = 8_000_000
 
+FOUND = ArrayType(StructType([StructField("sim", DoubleType()), StructField("id", IntegerType()),
+                              StructField("word", StringType())]))
 
-def _best(q: np.ndarray, vmat: np.ndarray, vnorm: np.ndarray):
-    """Index of the best vocabulary row and its cosine, per query row.
+
+def _top(q: np.ndarray, vmat: np.ndarray, vnorm: np.ndarray, first_id: np.ndarray, k: int):
+    """The k best vocabulary rows and their cosines, per query row, by
+    descending cosine, then ascending first id.
 
     Repeated query vectors (pads, common words) are scored once per batch:
     rows are de-duplicated and the answers spread back by the inverse index.
     """
     uq, inverse = np.unique(q, axis=0, return_inverse=True)
     inverse = inverse.reshape(-1)
+    k = min(k, len(vmat))
     step = max(1, SIM_VALUES_PER_SLICE // max(1, len(vmat)))
-    idx_u = np.empty(len(uq), dtype=np.int64)
-    sim_u = np.empty(len(uq), dtype=np.float64)
+    idx_u = np.empty((len(uq), k), dtype=np.int64)
+    sim_u = np.empty((len(uq), k), dtype=np.float64)
     for lo in range(0, len(uq), step):
         qs = uq[lo:lo + step]
         qn = np.linalg.norm(qs, axis=1)
         sims = (qs @ vmat.T) / np.maximum(np.outer(qn, vnorm), COSINE_EPS)
-        idx = np.argmax(sims, axis=1)  # first max = lowest id (rows sorted by id)
+        if k == 1:
+            idx = sims.argmax(axis=1)[:, None]  # rows come by first id
+        else:
+            # every row at or above the k-th value, so a tie at the edge is
+            # settled by id and not by the partition
+            edge = np.partition(sims, len(vmat) - k, axis=1)[:, len(vmat) - k]
+            idx = np.empty((len(qs), k), dtype=np.int64)
+            for i, (row, e) in enumerate(zip(sims, edge)):
+                at = np.flatnonzero(row >= e)
+                idx[i] = at[np.lexsort((first_id[at], -row[at]))][:k]
         idx_u[lo:lo + step] = idx
-        sim_u[lo:lo + step] = sims[np.arange(len(idx)), idx]
+        sim_u[lo:lo + step] = np.take_along_axis(sims, idx, axis=1)
     return idx_u[inverse], sim_u[inverse]
 
 
@@ -63,92 +72,68 @@ def _keys(qid) -> list[str]:
     return [qid] if isinstance(qid, str) else list(qid)
 
 
-def _out_schema(queries: DataFrame, keys: list[str]) -> StructType:
-    fields = [queries.schema[k] for k in keys]
-    return StructType(fields + [StructField("word_id", IntegerType()),
-                                StructField("word", StringType()),
-                                StructField("sim", DoubleType())])
-
-
-def _result(batch: pd.DataFrame, keys: list[str], ids, words, idx, sim) -> pd.DataFrame:
-    out = {k: batch[k].to_numpy() for k in keys}
-    out.update({"word_id": ids[idx], "word": words[idx], "sim": sim})
-    return pd.DataFrame(out)
-
-
-def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector",
-            max_broadcast_values: int = 16_000_000, block_rows: int = 20_000,
-            chunk_rows: int = 50_000) -> DataFrame:
-    """K2: (qid..., word_id, word, sim) - the vocabulary word most similar to
-    each query vector. ``vocab`` is (id, word, vector); ``qid`` is one key
-    column or several (carried through unchanged, one output row per input
-    row). The word travels with its vector, so no lookup join follows the
-    search (a join on word_id would pile every pad onto one key)."""
-    spark = queries.sparkSession
-    keys = _keys(qid)
-    q = queries.select(*keys, F.col(qvec).cast("array<double>").alias("_qv"))
-    v = vocab.select(F.col("id").cast("int").alias("id"), F.col("word").cast("string"),
-                     F.col("vector").cast("array<double>").alias("vec"))
-    stats = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    n_vocab, dim = stats["n"], stats["d"] or 0
-    schema = _out_schema(q, keys)
-    if n_vocab == 0:
-        return spark.createDataFrame([], schema)
-    if n_vocab * dim <= max_broadcast_values:
-        return _nearest_broadcast(q, v, keys, schema, spark)
-    return _nearest_blocked(q, v, keys, schema, n_vocab, block_rows, chunk_rows)
-
-
-def _nearest_broadcast(q: DataFrame, v: DataFrame, keys, schema, spark) -> DataFrame:
-    # size checked by the caller: n_vocab * dim floats
-    pdf = v.orderBy("id").toPandas()
-    ids = pdf["id"].to_numpy(dtype=np.int32)
-    words = pdf["word"].to_numpy(dtype=object)
-    mat = np.vstack(pdf["vec"].to_numpy()).astype(np.float64)
-    bc = spark.sparkContext.broadcast((ids, words, mat, _normalise(mat)))
+def _search(q: DataFrame, block: DataFrame, k: int, keep: list[str]) -> DataFrame:
+    """``q`` (keep..., _qv, _best) with _best improved by one block."""
+    # size checked by the caller: at most max_broadcast_values floats
+    pdf = block.toPandas()
+    words = [[(int(w["id"]), w["word"]) for w in ws] for ws in pdf["words"]]
+    order = np.argsort([w[0][0] for w in words], kind="stable")
+    words = [words[i] for i in order]
+    mat = np.vstack(pdf["vec"].to_numpy()[order]).astype(np.float64)
+    first = np.array([w[0][0] for w in words])
+    shipped = q.sparkSession.sparkContext.broadcast((words, first, mat,
+                                                     np.linalg.norm(mat, axis=1)))
 
     def score(batches):
-        ids_, words_, mat_, norm_ = bc.value
+        words_, first_, mat_, norm_ = shipped.value
         for b in batches:
             if len(b) == 0:
                 continue
             qm = np.vstack(b["_qv"].to_numpy()).astype(np.float64)
-            idx, sim = _best(qm, mat_, norm_)
-            yield _result(b, keys, ids_, words_, idx, sim)
-
-    return q.mapInPandas(score, schema)
-
-
-def _nearest_blocked(q: DataFrame, v: DataFrame, keys, schema, n_vocab: int,
-                     block_rows: int, chunk_rows: int) -> DataFrame:
-    n_q = q.count()
-    n_blocks = max(1, math.ceil(n_vocab / block_rows))
-    n_chunks = max(1, math.ceil(n_q / chunk_rows))
-    qx = q.withColumn("chunk", F.pmod(F.xxhash64(*keys), F.lit(n_chunks))).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    vx = v.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks))).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-
-    def cell(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(vpdf) == 0:
-            none = np.empty(0, dtype=np.int64)
-            return _result(qpdf.iloc[:0], keys, np.empty(0, dtype=np.int32),
-                           np.empty(0, dtype=object), none, np.empty(0, dtype=np.float64))
-        vpdf = vpdf.sort_values("id")
-        mat = np.vstack(vpdf["vec"].to_numpy()).astype(np.float64)
-        qm = np.vstack(qpdf["_qv"].to_numpy()).astype(np.float64)
-        idx, sim = _best(qm, mat, _normalise(mat))
-        return _result(qpdf, keys, vpdf["id"].to_numpy(dtype=np.int32),
-                       vpdf["word"].to_numpy(dtype=object), idx, sim)
-
-    per_block = (qx.groupBy("block", "chunk")
-                 .cogroup(vx.groupBy("block", "chunk"))
-                 .applyInPandas(cell, schema))
-    # best over blocks: highest sim, then lowest id (partial aggregate first)
-    order = F.struct("sim", (-F.col("word_id")).alias("nid"))
-    win = F.max_by(F.struct("word_id", "word", "sim"), order)
-    return (per_block.groupBy(*keys).agg(win.alias("_b"))
-            .select(*keys, "_b.word_id", "_b.word", "_b.sim"))
+            idx, sim = _top(qm, mat_, norm_, first_, k)
+            best = []
+            for i, (rows, values) in enumerate(zip(idx, sim)):
+                found = [(v, w_id, w) for r, v in zip(rows, values) for w_id, w in words_[r][:k]]
+                found += [(f["sim"], f["id"], f["word"]) for f in b["_best"].iloc[i]]
+                found.sort(key=lambda f: (-f[0], f[1]))
+                best.append([{"sim": float(v), "id": w_id, "word": w} for v, w_id, w in found[:k]])
+            yield b.assign(_best=pd.Series(best, index=b.index, dtype=object))
+    return q.mapInPandas(score, q.schema)
+
+
+def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector", k: int = 1,
+            max_broadcast_values: int = 16_000_000) -> DataFrame:
+    """K2: (qid..., word_id, word, sim), and ``rank`` from 0 if ``k`` > 1 -
+    the k vocabulary words most similar to each query vector, by descending
+    cosine, then ascending id. ``vocab`` is (id, word, vector); ``qid`` is one
+    key column or several, carried through; every input row gives its own
+    rows, also where keys repeat. An empty vocabulary is an error. The word
+    travels with its vector, so no lookup join follows the search."""
+    keys = _keys(qid)
+    q = queries.select(*keys, F.col(qvec).cast("array<double>").alias("_qv"),
+                       F.array().cast(FOUND).alias("_best"))
+    v = (vocab.select(F.col("id").cast("int").alias("id"), F.col("word").cast("string"),
+                      F.col("vector").cast("array<double>").alias("vec"))
+         .groupBy("vec").agg(F.slice(F.sort_array(F.collect_list(F.struct("id", "word"))), 1, k)
+                             .alias("words")))
+    v = checkpoint(v, "vectors")
+    stats = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    if not stats["n"]:
+        raise ValueError("the vocabulary has no vectors to search")
+    blocks = max(1, math.ceil(stats["n"] * (stats["d"] or 1) / max_broadcast_values))
+    at = F.pmod(F.xxhash64(F.col("words")[0]["id"]), F.lit(blocks))
+    for i in range(blocks):
+        q = _search(q, v.where(at == i) if blocks > 1 else v, k, keys) \
+            if blocks == 1 or not v.where(at == i).isEmpty() else q
+        if i < blocks - 1:
+            q = checkpoint(q, "nearest")
+    if k == 1:
+        best = F.col("_best")[0]
+        return q.select(*keys, best["id"].alias("word_id"), best["word"].alias("word"),
+                        best["sim"].alias("sim"))
+    return q.select(*keys, F.posexplode("_best").alias("rank", "_f")).select(
+        *keys, "rank", F.col("_f.id").alias("word_id"), F.col("_f.word").alias("word"),
+        F.col("_f.sim").alias("sim"))
 
 
 def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
@@ -163,36 +148,55 @@ def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
     found = nearest(long_df.select(key, pos, vec), vocab, qid=[key, pos], qvec=vec)
     items = F.sort_array(F.collect_list(F.struct(F.col(pos), F.col("word"))))
     return (found.groupBy(key).agg(items.alias("_w"))
-            .select(key, F.array_join(F.col("_w")["word"], " ").alias("sentence")))
+            .select(key, detokenize(F.col("_w")["word"]).alias("sentence")))
 
 
 def linear_score(vec_df: DataFrame, weights: DataFrame, key: str = "id", vec: str = "vector",
-                 max_units: int = 4096, max_values: int = 1_000_000) -> DataFrame:
-    """M4: (key, out, score) with score = x . (g * w / |w|) + b per output unit.
-
-    ``weights`` is (out, w ARRAY, g, b): model parameters, bounded by
-    ``max_units`` rows and ``max_values`` weights in all. They are turned
-    into literal arrays in the projection, so each input row is scored in
-    place - no join, no shuffle.
+                 max_values: int = 4_000_000) -> DataFrame:
+    """M4: (key, out, score) with score = x . (g * w / |w|) + b per output
+    unit; a unit of norm 0 scores b (the reference gives NaN there).
+
+    ``weights`` is (out, w ARRAY, g, b). Units are taken in blocks of at most
+    ``max_values`` weights (at least one unit): each block is a broadcast
+    matrix, and rows are scored where they lie, one product per Arrow batch.
+    Any number of units is scored, block after block.
     """
-    size = weights.agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(F.size("w")).alias("v")).first()
-    if size["n"] > max_units or (size["v"] or 0) > max_values:
-        raise ValueError(f"{size['n']} units / {size['v']} weights exceed the bound "
-                         f"{max_units} / {max_values}")
-    rows = weights.select("out", F.col("w").cast("array<double>").alias("w"),
-                          F.col("g").cast("double").alias("g"),
-                          F.col("b").cast("double").alias("b")).collect()
-    x = F.col(vec).cast("array<double>")
-    scores = []
-    for r in sorted(rows, key=lambda r: r["out"]):
-        norm = math.sqrt(sum(t * t for t in r["w"]))
-        wn = F.array(*[F.lit(t * r["g"] / norm if norm > 0 else 0.0) for t in r["w"]])
-        scores.append(F.struct(F.lit(r["out"]).alias("out"),
-                               (dot(x, wn) + F.lit(r["b"])).alias("score")))
-    return vec_df.select(key, F.explode_outer(F.array(*scores)).alias("_s")).select(
-        key, F.col("_s.out").alias("out"), F.col("_s.score").alias("score"))
-
-
-def unit_norm(vec) -> F.Column:
-    return l2_norm(vec)
+    x = vec_df.select(key, F.col(vec).cast("array<double>").alias("_x"))
+    w = checkpoint(weights.select("out", F.col("w").cast("array<double>").alias("w"),
+                                  F.col("g").cast("double").alias("g"),
+                                  F.col("b").cast("double").alias("b")), "weights")
+    size = w.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("w")).alias("d")).first()
+    blocks = max(1, math.ceil(size["n"] * (size["d"] or 1) / max_values))
+    out_type = w.schema["out"].dataType
+    schema = StructType([vec_df.schema[key], StructField("out", out_type),
+                         StructField("score", DoubleType())])
+    parts = [_score_block(x, w.where(F.pmod(F.xxhash64("out"), F.lit(blocks)) == i), key, schema)
+             for i in range(blocks)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+def _score_block(x: DataFrame, units: DataFrame, key: str, schema: StructType) -> DataFrame:
+    rows = sorted(units.collect(), key=lambda r: r["out"])  # bounded by the block
+    if not rows:
+        return x.sparkSession.createDataFrame([], schema)
+    mat = np.array([r["w"] for r in rows], dtype=np.float64)
+    norm = np.linalg.norm(mat, axis=1, keepdims=True)
+    scaled = np.where(norm > 0, mat * np.array([[r["g"]] for r in rows]) / np.where(norm > 0, norm, 1),
+                      0.0)
+    shipped = x.sparkSession.sparkContext.broadcast(
+        ([r["out"] for r in rows], scaled, np.array([r["b"] for r in rows])))
+
+    def score(batches):
+        outs, m, b = shipped.value
+        for batch in batches:
+            step = max(1, SIM_VALUES_PER_SLICE // len(outs))
+            for lo in range(0, len(batch), step):
+                part = batch.iloc[lo:lo + step]
+                s = np.vstack(part["_x"].to_numpy()) @ m.T + b
+                yield pd.DataFrame({key: np.repeat(part[key].to_numpy(), len(outs)),
+                                    "out": np.tile(np.array(outs), len(part)),
+                                    "score": s.ravel()})
+    return x.mapInPandas(score, schema)

@@ -15,13 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polarity.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
+from polarity.config import BOS_ID, EOS_ID, PAD_ID, UNK_ID
 from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
                                      strip_tags, tokenize)
-from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup,
+                                      one_row_per_key, repeated_key)
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
-from polarity.sources.tables import spread_partitions
 
 # A capped vocabulary is taken with a take-ordered top-k only while the rows
 # its single merge task receives (cap x partitions of the count table) stay
@@ -30,11 +30,11 @@ TOPK_MERGE_ROWS = 20_000_000
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
-                     min_count: int = 5, max_size: int | None = 2000,
+                     min_count: int = 1, max_size: int | None = None,
                      first_id: int = 0) -> DataFrame:
-    """V1: (id, word, n) - words seen at least ``min_count`` times, by
-    descending count then word, numbered from ``first_id``, at most
-    ``max_size`` of them.
+    """V1: (id, word, n) - every word, by descending count then word,
+    numbered from ``first_id``. Only a caller that asks for it gets less:
+    words seen at least ``min_count`` times, at most ``max_size`` of them.
 
     The word count is a partial + final hash aggregate, so a word holding a
     third of all tokens is combined map-side. With a cap the top-k is a
@@ -58,8 +58,8 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
         return checkpoint(vocab)
     # uncapped, or a cap too large for one task's take-ordered merge:
     # exact distributed rank on (count desc, word)
-    ranked = ordered_rank(counts.withColumn("_neg_n", -F.col("n")), ["_neg_n", "word"],
-                          rank_col="_rank")
+    ranked = ordered_rank(counts.select("word", "n", (-F.col("n")).alias("_neg_n")),
+                          ["_neg_n", "word"], rank_col="_rank")
     if max_size is not None:
         ranked = ranked.filter(F.col("_rank") < max_size)
     return ranked.select((F.col("_rank") + first_id).cast("int").alias("id"), "word",
@@ -77,14 +77,17 @@ def _hot_words(vocab: DataFrame, k: int | None = None) -> DataFrame:
 def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str = "tokens",
                n: int | None = 500, unk: int = -1, pad: int | None = -1,
                out_col: str = "ids", vocab_rows: int | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               carry: tuple = ()) -> DataFrame:
     """Word -> id through ``vocab`` (word, id); a miss is ``unk``; order
     kept; cut to ``n`` first and padded with ``pad`` (no padding if None).
 
-    Returns (key, out_col) for every input row, including empty ones.
+    Returns (key, *carry, out_col) for every input row, including empty ones;
+    ``carry`` names columns that go along. ``key`` must be unique: two rows
+    with one key fail the job (they would be mixed), they are never merged.
     """
     toks = F.col(tokens_col) if n is None else F.slice(F.col(tokens_col), 1, n)
-    exploded = df.select(key, F.posexplode_outer(toks).alias("pos", "word"))
+    exploded = df.select(key, *carry, F.posexplode_outer(toks).alias("pos", "word"))
     v = vocab.select("word", F.col("id").cast("int").alias("_vid"))
     n_vocab = vocab_rows if vocab_rows is not None else vocab.count()
     if n_vocab <= max_broadcast_rows:
@@ -100,23 +103,25 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
                            .alias("id")))
     # sort_array and the field extraction are native expressions (array_sort
     # and transform would run lambdas interpreted)
-    grouped = joined.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    ids = F.col("_items")["id"]
+    grouped = joined.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"),
+                                      one_row_per_key(F.col("pos")).alias("_rows"),
+                                      *[F.first(c).alias(c) for c in carry])
+    ids = F.when(F.col("_rows") > 1, repeated_key(key)).otherwise(F.col("_items")["id"])
     if pad is not None and n is not None:
         ids = pad_truncate(ids, n, pad)
-    return grouped.select(key, ids.alias(out_col))
+    return grouped.select(key, *carry, ids.alias(out_col))
 
 
 def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str = "ids",
           dim: int | None = None, vector_rows: int | None = None,
-          max_broadcast_bytes: int = 128 << 20, salt: int = 64) -> DataFrame:
+          max_broadcast_bytes: int = 128 << 20) -> DataFrame:
     """Long form (key, pos, vector); an id with no vector (-1: pad or
     unknown) gets a zero vector of ``dim`` floats.
 
     ``vectors`` is (id, vector). Broadcast when rows x dim x 4 bytes is
-    within ``max_broadcast_bytes``;
-    otherwise a shuffle join in which missing ids are salted over ``salt``
-    keys, so the pad id never piles up in one task.
+    within ``max_broadcast_bytes``; otherwise the most frequent ids (a counted
+    top-k) are answered by a broadcast of their vectors, and the rest by a
+    shuffle join in which they, and ids below 0, spread over all partitions.
     """
     if dim is None:
         dim = vectors.select(F.size("vector")).first()[0]
@@ -128,12 +133,13 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     if n_vec * dim * 4 <= max_broadcast_bytes:
         joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
     else:
-        # ids are >= 0 in the vector table; negative ids never match, so
-        # spread them over negative salt keys instead of one hot key
-        jkey = F.when(F.col("_tid") >= 0, F.col("_tid")).otherwise(
-            -1 - F.pmod(F.col("pos"), F.lit(salt)))
-        exploded = exploded.withColumn("_jk", jkey)
-        joined = exploded.join(v, exploded["_jk"] == v["_jid"], "left").drop("_jk")
+        top = (exploded.where("_tid >= 0").groupBy("_tid").count()
+               .orderBy(F.desc("count"), "_tid").limit(HOT_KEYS).select("_tid"))
+        table = v.select(F.col("_jid").alias("_tid"), "_vec")
+        hot = checkpoint(table.join(F.broadcast(top), "_tid", "left_semi"))
+        spread = F.xxhash64(F.col(key), F.col("pos"))
+        known = exploded.withColumn("_tid", F.when(F.col("_tid") >= 0, F.col("_tid")))
+        joined = hot_split_lookup(known, "_tid", table, hot, spread)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return joined.select(key, F.col("pos").cast("int").alias("pos"),
                          F.coalesce(F.col("_vec"), zero).alias("vector"))
@@ -141,15 +147,15 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
 
 def encode_reviews(df: DataFrame, vocab: DataFrame, key: str = "id", text_col: str = "review",
                    max_len: int = 512, strip: bool = True,
-                   vocab_rows: int | None = None) -> DataFrame:
-    """P8 over a corpus: (key, input_ids) with begin/end ids, unknown = 3,
-    padded with 0 to ``max_len``. ``vocab`` ids must start at 4."""
+                   vocab_rows: int | None = None, carry: tuple = ()) -> DataFrame:
+    """P8 over a corpus: (key, *carry, input_ids) with begin/end ids, unknown
+    = 3, padded with 0 to ``max_len``. ``vocab`` ids must start at 4."""
     text = strip_tags(text_col) if strip else F.col(text_col)
-    toks = df.select(key, tokenize(text).alias("tokens"))
+    toks = df.select(key, *carry, tokenize(text).alias("tokens"))
     ids = lookup_ids(toks, vocab, key, n=max_len - 2, unk=UNK_ID, pad=None,
-                     out_col="_ids", vocab_rows=vocab_rows)
+                     out_col="_ids", vocab_rows=vocab_rows, carry=carry)
     enc = encode_with_specials(F.col("_ids"), max_len, BOS_ID, EOS_ID)
-    return ids.select(key, pad_truncate(enc, max_len, PAD_ID).alias("input_ids"))
+    return ids.select(key, *carry, pad_truncate(enc, max_len, PAD_ID).alias("input_ids"))
 
 
 def build_examples(df: DataFrame, vocab: DataFrame, key: str = "id", text_col: str = "review",
@@ -157,40 +163,44 @@ def build_examples(df: DataFrame, vocab: DataFrame, key: str = "id", text_col: s
                    strip: bool = True, vocab_rows: int | None = None) -> DataFrame:
     """(key, input_ids, attention_mask, label) - label null when the row
     is unlabelled (the key then identifies it, as the original id did)."""
-    enc = encode_reviews(df, vocab, key, text_col, max_len, strip, vocab_rows)
-    out = enc.select(key, "input_ids", attention_mask("input_ids").alias("attention_mask"))
-    labels = df.select(key, (F.col(label_col).cast("int") if label_col
-                             else F.lit(None).cast("int")).alias("label"))
-    return out.join(labels, key, "left")
+    label = (F.col(label_col) if label_col else F.lit(None)).cast("int").alias("label")
+    enc = encode_reviews(df.select(key, text_col, label), vocab, key, text_col, max_len, strip,
+                         vocab_rows, carry=("label",))
+    return enc.select(key, "input_ids", attention_mask("input_ids").alias("attention_mask"),
+                      "label")
 
 
 def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tokens",
-                   widths=(3, 4, 5, 6, 7), partitioned: bool = False) -> DataFrame:
+                   widths=(3, 4, 5, 6, 7)) -> DataFrame:
     """Long (key, width, gram, n) - count of each word n-gram per row,
     over the whole token array.
 
-    Rows (one per document) are hash partitioned on ``key`` first, unless
-    the caller says they already are: the per-row count then needs no
-    further exchange, so neither token rows nor gram rows (five widths,
-    several words each) are ever shuffled. Each gram is built where its row
-    lies from ``slice`` + ``concat_ws`` at the exploded position: native,
-    code-generated expressions, no window, no sort, no lambda.
+    A row's grams are counted where the row lies: its grams of one width are
+    built at the exploded (width) row, sorted, and run lengths of the sorted
+    array become (gram, n) rows through one ``inline``. Nothing is exchanged,
+    so a wide scan is used as it is; rows that share a key are counted apart.
     """
     widths = sorted(set(widths))
-    if not partitioned:
-        tokens_df = tokens_df.repartition(spread_partitions(tokens_df.sparkSession), key)
     t = F.col(tokens_col)
-    # explode_outer + null filter: no inferred size filter re-running the
-    # tokenizer below the projection
-    ex = (tokens_df.select(key, tokens_col, F.posexplode_outer(tokens_col).alias("pos", "_w"))
-          .filter(F.col("_w").isNotNull()))
-    items = [F.struct(F.lit(n).alias("width"),
-                      F.when(F.size(t) >= F.col("pos") + F.lit(n),
-                             F.concat_ws(" ", F.slice(t, F.col("pos") + 1, F.lit(n))))
-                      .alias("gram"))
-             for n in widths]
-    grams = ex.select(key, F.inline(F.array(*items))).filter(F.col("gram").isNotNull())
-    return grams.groupBy(key, "width", "gram").agg(F.count(F.lit(1)).alias("n"))
+    per = tokens_df.select(key, tokens_col, F.explode(F.array(*[F.lit(n) for n in widths]))
+                           .alias("width")).filter(F.size(t) >= F.col("width"))
+    grams = F.array_sort(F.transform(
+        F.sequence(F.lit(1), F.size(t) - F.col("width") + 1),
+        lambda i: F.array_join(F.slice(t, i, F.col("width")), " ")))
+    # let: the sorted array is made once per row, not once per element
+    runs = F.get(F.transform(F.array(grams), _run_lengths), F.lit(0))
+    return (per.select(key, "width", F.inline(runs))
+            .select(key, "width", "gram", F.col("n").cast("long").alias("n")))
+
+
+def _run_lengths(g):
+    """(gram, n) of a sorted array: from the places where the value changes."""
+    ends = F.filter(F.sequence(F.lit(0), F.size(g) - 1),
+                    lambda i: ~F.coalesce(F.get(g, i + 1) == F.get(g, i), F.lit(False)))
+    return F.get(F.transform(F.array(ends), lambda e: F.transform(
+        e, lambda at, k: F.struct(F.get(g, at).alias("gram"),
+                                  (at - F.coalesce(F.get(e, k - 1), F.lit(-1))).alias("n")))),
+        F.lit(0))
 
 
 def vocabulary_vectors(vocab: DataFrame, vectors: DataFrame, vec_id: str = "vec_id",
@@ -200,6 +210,3 @@ def vocabulary_vectors(vocab: DataFrame, vectors: DataFrame, vec_id: str = "vec_
     v = vectors.select(F.col(vec_id).cast("int").alias("id"),
                        F.col(vec_col).cast("array<float>").alias("vector"))
     return vocab.select("id", "word").join(v, "id")
-
-
-FIRST_ID_WITH_SPECIALS = FIRST_WORD_ID

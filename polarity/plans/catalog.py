@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.config import DEFAULTS, FIRST_WORD_ID, MEMBER_WEIGHTS
-from polarity.functions.arrays import argmax, k_max, log_sum_exp
+from polarity.functions.arrays import argmax, cosine, k_max, log_sum_exp
 from polarity.functions.text import encode_label, pad_truncate, strip_tags
 from polarity.operators import ensemble as E
 from polarity.operators import metrics as M
@@ -20,20 +20,18 @@ from polarity.operators import vocab as V
 from polarity.operators.joins import complement as _complement
 from polarity.operators.neighbors import decode_sentence, linear_score, nearest
 from polarity.plans import inputs as I
-from polarity.plans.pipeline import run_supervised
+from polarity.plans.pipeline import run_semi, run_supervised
 from polarity.session import scratch_path
 from polarity.sources.cache import materialize_once
 from polarity.sources.metrics_log import log_metrics, to_long
-from polarity.sources.tables import spread_partitions
 from polarity.sources.models import load_model, save_model
-from polarity.sources.reviews import read_members, read_reviews, write_members, write_reviews
-from polarity.sources.vocab_io import (read_encoded, read_vocabulary, write_encoded,
-                                       write_vocabulary_text)
+from polarity.sources.reviews import (CSV_OPTIONS, read_members, read_reviews, write_members,
+                                      write_reviews, write_submission)
+from polarity.sources.vocab_io import (read_encoded, read_encoded_part, read_vocabulary,
+                                       write_encoded, write_encoded_part, write_vocabulary_text)
 
 KEY = "doc_id"
 # Fixed parameters of the registered queries.
-VOCAB_MIN_COUNT = 5
-VOCAB_MAX = 2000
 SEQ_LEN = 500
 HIST_LO, HIST_HI, HIST_BINS = -0.5, 0.5, 20
 SEMI_WEIGHT = 0.5
@@ -44,8 +42,7 @@ def _tokens(spark, d) -> DataFrame:
 
 
 def _vocab(spark, d, first_id: int = 0) -> DataFrame:
-    return V.build_vocabulary(_tokens(spark, d), min_count=VOCAB_MIN_COUNT,
-                              max_size=VOCAB_MAX, first_id=first_id)
+    return V.build_vocabulary(_tokens(spark, d), first_id=first_id)
 
 
 def _vocab_vectors(spark, d, roles=None) -> DataFrame:
@@ -84,8 +81,13 @@ def q_build_vocabulary(spark, d):
 
 
 def q_lookup_ids(spark, d):
+    return V.lookup_ids(_tokens(spark, d), _vocab(spark, d), KEY, n=SEQ_LEN, unk=-1, pad=-1)
+
+
+def q_lookup_ids_shuffled(spark, d):
+    """J2 beyond broadcast: hot words first, the rest through a shuffle join."""
     return V.lookup_ids(_tokens(spark, d), _vocab(spark, d), KEY, n=SEQ_LEN, unk=-1, pad=-1,
-                        vocab_rows=VOCAB_MAX)
+                        max_broadcast_rows=0)
 
 
 def _examples(spark, d):
@@ -93,7 +95,7 @@ def _examples(spark, d):
     lab = I.table(spark, d, "labels").select(KEY, F.col("quality").alias("label"))
     vocab = _vocab(spark, d, first_id=FIRST_WORD_ID)
     return V.build_examples(docs.join(lab, KEY, "left"), vocab, KEY, "text", "label",
-                            DEFAULTS.max_len, vocab_rows=VOCAB_MAX)
+                            DEFAULTS.max_len)
 
 
 def q_encode_specials(spark, d):
@@ -109,12 +111,7 @@ def q_build_examples(spark, d):
 
 
 def q_ngram_features(spark, d):
-    # documents are partitioned on the key before tokenizing (a narrow scan
-    # is spread out too); the count reuses that partitioning
-    docs = (I.table(spark, d, "documents").select(KEY, "text")
-            .repartition(spread_partitions(spark), KEY))
-    return V.ngram_features(I.with_tokens(docs), KEY, widths=DEFAULTS.ngram_widths,
-                            partitioned=True)
+    return V.ngram_features(_tokens(spark, d), KEY, widths=DEFAULTS.ngram_widths)
 
 
 # ------------------------------------------------------- vectors, arrays (M, K)
@@ -124,11 +121,26 @@ def q_vocab_vectors(spark, d):
 
 
 def q_embed_tokens(spark, d):
-    ids = V.lookup_ids(_tokens(spark, d), _vocab(spark, d), KEY, n=SEQ_LEN,
-                       vocab_rows=VOCAB_MAX)
+    return _embedded(spark, d)
+
+
+def q_embed_tokens_shuffled(spark, d):
+    """J3 beyond broadcast: frequent ids first, the rest through a shuffle join."""
+    return _embedded(spark, d, max_broadcast_bytes=0)
+
+
+def _embedded(spark, d, **how):
+    ids = V.lookup_ids(_tokens(spark, d), _vocab(spark, d), KEY, n=SEQ_LEN)
     vecs = I.embeddings(spark, d).select(F.col("vec_id").alias("id"),
                                          F.col("embedding").alias("vector"))
-    return V.embed(ids, vecs, KEY)
+    return V.embed(ids, vecs, KEY, **how)
+
+
+def q_cosine(spark, d):
+    """M3: each vector with its own reverse."""
+    e = I.embeddings(spark, d)
+    return e.select("vec_id", F.round(cosine("embedding", F.reverse("embedding")), 9)
+                    .alias("cosine"))
 
 
 def q_log_sum_exp(spark, d):
@@ -160,11 +172,26 @@ def q_linear_score(spark, d):
 
 
 def q_nearest_word(spark, d):
+    return _nearest(spark, d).select("qid", "word_id", "word", F.round("sim", 6).alias("sim"))
+
+
+def q_nearest_word_blocked(spark, d):
+    """K2 with a vocabulary in many blocks (a few dozen vectors each)."""
+    return _nearest(spark, d, max_broadcast_values=4096).select(
+        "qid", "word_id", "word", F.round("sim", 6).alias("sim"))
+
+
+def q_nearest_word_k(spark, d):
+    """K2: the three nearest words of each vector."""
+    return _nearest(spark, d, k=3).select("qid", "rank", "word_id", "word",
+                                          F.round("sim", 6).alias("sim"))
+
+
+def _nearest(spark, d, **how):
     queries = I.embeddings(spark, d).filter(F.col("role") == "fake")
-    found = nearest(queries.select(F.col("vec_id").alias("qid"),
-                                   F.col("embedding").alias("vector")),
-                    _vocab_vectors(spark, d, ["labeled", "real"]))
-    return found.select("qid", "word_id", "word", F.round("sim", 6).alias("sim"))
+    return nearest(queries.select(F.col("vec_id").alias("qid"),
+                                  F.col("embedding").alias("vector")),
+                   _vocab_vectors(spark, d, ["labeled", "real"]), **how)
 
 
 def q_decode_sentence(spark, d):
@@ -262,6 +289,13 @@ def q_step_window(spark, d):
                                           "samples", F.round("loss", 9).alias("loss"))
 
 
+def q_step_window_acc(spark, d):
+    """A5 with the accuracy of each window of steps."""
+    w = M.step_window_metrics(I.steps(spark, d), DEFAULTS.report_every, "epoch",
+                              ["ts", "event_id"], "loss", "batch_size", "correct")
+    return w.select("epoch", "window", "samples", F.round("acc", 9).alias("acc"))
+
+
 def q_metrics_long(spark, d):
     w = _step_windows(spark, d).select(
         F.col("global_step").alias("step"),
@@ -299,9 +333,9 @@ def q_mean_vector(spark, d):
 
 
 def q_feature_gap(spark, d):
-    # drift between real data (labelled and unlabelled) and generated rows
-    e = I.embeddings(spark, d)
-    return M.feature_gap(e, F.col("role") != "fake", "embedding").select(
+    # drift between unlabelled real rows and generated rows
+    e = I.embeddings(spark, d).filter(F.col("role") != "labeled")
+    return M.feature_gap(e, F.col("role") == "real", "embedding").select(
         F.round("feature_gap", 9).alias("feature_gap"))
 
 
@@ -332,19 +366,27 @@ def q_nb_score(spark, d):
     return s.select(KEY, F.round("score", 6).alias("score"), "pred")
 
 
+def q_nb_score_shuffled(spark, d):
+    """T2 beyond broadcast: heavy words first, the rest through a shuffle join."""
+    s = T.score_nb(_tokens(spark, d), _nb_model(spark, d), KEY, max_broadcast_rows=0)
+    return s.select(KEY, F.round("score", 6).alias("score"), "pred")
+
+
 def q_accuracy(spark, d):
-    m = _nb_model(spark, d)
-    lab = I.with_tokens(I.labeled_docs(spark, d))
-    scored = T.score_nb(lab.select(KEY, "tokens"), m, KEY).join(lab.select(KEY, "label"), KEY)
+    terms = T.term_table(I.with_tokens(I.labeled_docs(spark, d)), KEY, "tokens", ("label",))
+    m = T.fit_semi_terms(terms, KEY, "label", rounds=0)
+    labels = terms.where("word is null").select(KEY, "label")  # bucketed alike: no exchange
+    scored = T.score_terms(terms, m, KEY).join(labels, KEY)
     return M.accuracy(scored).select("n", "correct", F.round("accuracy", 9).alias("accuracy"),
                                      "tp", "fp", "tn", "fn")
 
 
 def q_semi_nb_score(spark, d):
-    lab = I.with_tokens(I.labeled_docs(spark, d)).select(KEY, "tokens", "label")
-    unl = I.with_tokens(I.unlabeled_docs(spark, d))
-    m = T.fit_semi_nb(lab, unl, KEY, "tokens", "label", SEMI_WEIGHT, rounds=1)
-    s = T.score_nb(_tokens(spark, d), m, KEY)
+    # tokenized once: fitted, scored and refitted from one term table
+    lab = I.table(spark, d, "labels").select(KEY, F.col("quality").cast("int").alias("label"))
+    docs = I.with_tokens(I.documents(spark, d).join(lab, KEY, "left"))
+    terms = T.term_table(docs, KEY, "tokens", ("label",))
+    s = T.score_terms(terms, T.fit_semi_terms(terms, KEY, "label", SEMI_WEIGHT, rounds=1), KEY)
     return s.select(KEY, F.round("score", 6).alias("score"), "pred")
 
 
@@ -355,11 +397,28 @@ def q_submission(spark, d):
     return T.make_submission(test.select(KEY), preds, KEY)
 
 
+def _supervised(spark, d):
+    return run_supervised(I.labeled_docs(spark, d), I.unlabeled_docs(spark, d), KEY, "text",
+                          "sentiment", DEFAULTS, use_all=False)
+
+
 def q_pipeline_submission(spark, d):
-    train = I.labeled_docs(spark, d)
-    test = I.unlabeled_docs(spark, d)
-    res = run_supervised(train, test, KEY, "text", "sentiment", DEFAULTS, use_all=False)
-    return res.submission
+    return _supervised(spark, d).submission
+
+
+def _rounded(metrics, *more):
+    return metrics.select("n", "correct", F.round("accuracy", 9).alias("accuracy"), "tp", "fp",
+                          "tn", "fn", *more)
+
+
+def q_pipeline_valid_metrics(spark, d):
+    """T4: loss and accuracy on the validation part of the supervised run."""
+    return _rounded(_supervised(spark, d).valid_metrics, F.round("loss", 6).alias("loss"))
+
+
+def q_pipeline_semi_metrics(spark, d):
+    """The semi-supervised run: three-way split, self-training, test accuracy."""
+    return _rounded(run_semi(I.labeled_docs(spark, d), KEY, "text", "sentiment", DEFAULTS)[0])
 
 
 def q_split_use_all(spark, d):
@@ -396,6 +455,15 @@ def q_review_csv(spark, d):
     return read_reviews(spark, path)
 
 
+def q_corpus_csv(spark, d):
+    """S1, two-column corpus with the columns in another order and no id: rows
+    are numbered in file order."""
+    path = scratch_path(spark, "corpus-csv")
+    (I.labeled_docs(spark, d).orderBy(KEY).select("sentiment", F.col("text").alias("review"))
+     .write.options(**CSV_OPTIONS).csv(path))
+    return read_reviews(spark, path)
+
+
 def q_test_csv(spark, d):
     """S1, test form: the sentiment column is in the file but not returned."""
     path = scratch_path(spark, "test-csv")
@@ -417,6 +485,28 @@ def q_member_files(spark, d):
     return E.ensemble(ids, votes, w, key="id").select(F.col("id").alias(KEY), "sentiment")
 
 
+def q_member_folders(spark, d):
+    """S4 + S8: the reference's layout, a submission folder per member."""
+    root = scratch_path(spark, "member-folders")
+    votes = materialize_once(spark, lambda: I.member_votes(_doc_ids(spark, d), KEY),
+                             scratch_path(spark, "votes"))
+    for m, _ in MEMBER_WEIGHTS:
+        write_submission(votes.where(F.col("member") == m), f"{root}/{m}/submission.csv", KEY)
+    w = E.member_weights(spark, MEMBER_WEIGHTS)
+    read = read_members(spark, root, w).select("id", "member", "sentiment")
+    ids = I.unlabeled_ids(spark, d).select(F.col(KEY).alias("id"))
+    return E.ensemble(ids, read, w, key="id").select(F.col("id").alias(KEY), "sentiment")
+
+
+def q_encoded_parts(spark, d):
+    """S3: ids and labels of the labelled part as two matrices, read back paired."""
+    path = scratch_path(spark, "encoded-part")
+    toks = I.with_tokens(I.labeled_docs(spark, d)).select(KEY, "tokens", "label")
+    write_encoded_part(V.lookup_ids(toks, _vocab(spark, d), KEY, n=SEQ_LEN, carry=("label",)),
+                       path, order=KEY)
+    return read_encoded_part(spark, path)
+
+
 def q_encoded_csv(spark, d):
     """S3: the 500-id matrix written one line per document (doc_id order)
     and read back as (row, ids)."""
@@ -537,5 +627,17 @@ QUERIES = {
     "metrics_log": q_metrics_log,
     "saved_model_score": q_saved_model_score,
     "stream_nb_score": q_stream_nb_score,
+    "lookup_ids_shuffled": q_lookup_ids_shuffled,
+    "embed_tokens_shuffled": q_embed_tokens_shuffled,
+    "nb_score_shuffled": q_nb_score_shuffled,
+    "cosine": q_cosine,
+    "nearest_word_blocked": q_nearest_word_blocked,
+    "nearest_word_k": q_nearest_word_k,
+    "step_window_acc": q_step_window_acc,
+    "pipeline_valid_metrics": q_pipeline_valid_metrics,
+    "pipeline_semi_metrics": q_pipeline_semi_metrics,
+    "corpus_csv": q_corpus_csv,
+    "member_folders": q_member_folders,
+    "encoded_parts": q_encoded_parts,
 }
 

@@ -8,7 +8,8 @@
 | features / logits       | embeddings: logits = first two values, target label%2;  |
 |                         | role by label: 0-3 labeled, 4-7 real, 8-9 fake          |
 | training step log       | events: epoch user_id%3, order (ts, event_id),          |
-|                         | loss value, batch size event_id%2+1                     |
+|                         | loss value, batch size event_id%2+1,                    |
+|                         | correct answers event_id%(batch size+1)                 |
 | member submissions      | one vote per (member, document) from md5(member:doc_id) |
 """
 
@@ -87,7 +88,9 @@ def steps(spark, sf_dir) -> DataFrame:
     return ev.select("event_id", "ts", "user_id", "event_type",
                      (F.col("user_id") % 3).cast("int").alias("epoch"),
                      F.col("value").cast("double").alias("loss"),
-                     (F.col("event_id") % 2 + 1).cast("long").alias("batch_size"))
+                     (F.col("event_id") % 2 + 1).cast("long").alias("batch_size"),
+                     (F.col("event_id") % (F.col("event_id") % 2 + 2)).cast("long")
+                     .alias("correct"))
 
 
 def member_votes(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from polarity.config import MEMBER_WEIGHTS
 
-VOCAB_MIN_COUNT, VOCAB_MAX, SEQ_LEN, MAX_LEN = 5, 2000, 500, 512
+SEQ_LEN, MAX_LEN = 500, 512
 
 
 def tok(x: str) -> str:
@@ -30,10 +30,9 @@ TOKS = f"toks AS (SELECT doc_id, {tok('text')} AS tokens FROM documents)"
 
 def vocab_cte(first_id: int = 0, name: str = "vocab", toks: str = "toks") -> str:
     return f"""wc_{name} AS (SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM {toks})
-      GROUP BY word HAVING count(*) >= {VOCAB_MIN_COUNT}),
+      GROUP BY word),
     {name} AS (SELECT CAST(rn - 1 + {first_id} AS INTEGER) AS id, word, CAST(n AS BIGINT) AS n
-      FROM (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rn FROM wc_{name})
-      WHERE rn <= {VOCAB_MAX})"""
+      FROM (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rn FROM wc_{name}))"""
 
 
 def lookup_cte(name: str, toks: str, vocab: str, n: int, unk: int) -> str:
@@ -84,7 +83,7 @@ TILED = f"""lab AS (SELECT d.doc_id, l.quality AS label FROM documents d JOIN la
 
 
 def _weights_values() -> str:
-    return ", ".join(f"('{m}', CAST({w} AS DECIMAL(10,2)))" for m, w in MEMBER_WEIGHTS)
+    return ", ".join(f"('{m}', CAST({w} AS DECIMAL(28,18)))" for m, w in MEMBER_WEIGHTS)
 
 
 VOTES = f"""w(member, weight) AS (VALUES {_weights_values()}),
@@ -94,8 +93,8 @@ VOTES = f"""w(member, weight) AS (VALUES {_weights_values()}),
       AS s FROM vh WHERE substr(h, 2, 1) <> '0'),
     ids AS (SELECT DISTINCT doc_id FROM {UNLABELED}),
     agg AS (SELECT doc_id,
-      sum(CASE WHEN s = 'positive' THEN weight ELSE CAST(0 AS DECIMAL(10,2)) END) AS pos,
-      sum(CASE WHEN s = 'negative' THEN weight ELSE CAST(0 AS DECIMAL(10,2)) END) AS neg
+      sum(CASE WHEN s = 'positive' THEN weight ELSE CAST(0 AS DECIMAL(28,18)) END) AS pos,
+      sum(CASE WHEN s = 'negative' THEN weight ELSE CAST(0 AS DECIMAL(28,18)) END) AS neg
       FROM vv GROUP BY doc_id),
     tally AS (SELECT ids.doc_id, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg
       FROM ids LEFT JOIN agg USING (doc_id))"""
@@ -148,6 +147,21 @@ NB = f"""WITH {TOKS},
       FROM toks t JOIN labels l USING (doc_id)),
     {nb_fit_cte('m', 'lab')}"""
 
+ACCURACY = """count(*) AS n, CAST(count_if(pred = label) AS BIGINT) AS correct,
+        round(avg(CAST(pred = label AS DOUBLE)), 9) AS accuracy,
+        CAST(count_if(pred = 1 AND label = 1) AS BIGINT) AS tp,
+        CAST(count_if(pred = 1 AND label <> 1) AS BIGINT) AS fp,
+        CAST(count_if(pred <> 1 AND label <> 1) AS BIGINT) AS tn,
+        CAST(count_if(pred <> 1 AND label = 1) AS BIGINT) AS fn"""
+
+SUPERVISED = f"""WITH
+      stoks AS (SELECT doc_id, {tok(STRIP.format(x='text'))} AS tokens FROM documents),
+      {rank_cte('r', '(SELECT doc_id FROM documents JOIN labels USING (doc_id))', '230')},
+      train AS (SELECT s.tokens, CAST(l.quality AS DOUBLE) AS p, CAST(1.0 AS DOUBLE) AS lam
+        FROM r JOIN stoks s USING (doc_id) JOIN labels l USING (doc_id)
+        WHERE r.p >= ceil(r.n * CAST(0.1 AS DOUBLE))),
+      {nb_fit_cte('m', 'train')}"""
+
 ORACLE = {
     "strip_tags": "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM pages",
     "encode_label": """SELECT d.doc_id,
@@ -269,8 +283,8 @@ ORACLE = {
       SELECT role, CAST(pos AS INTEGER) AS pos, round(avg(x), 9) AS mean FROM ex
       GROUP BY role, pos""",
     "feature_gap": f"""WITH {EMB},
-      ex AS (SELECT role <> 'fake' AS a, unnest(CAST(embedding AS DOUBLE[])) AS x,
-        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb),
+      ex AS (SELECT role = 'real' AS a, unnest(CAST(embedding AS DOUBLE[])) AS x,
+        unnest(generate_series(0, len(embedding) - 1)) AS pos FROM emb WHERE role <> 'labeled'),
       pd AS (SELECT pos, avg(x) FILTER (WHERE a) AS ma, avg(x) FILTER (WHERE NOT a) AS mb
         FROM ex GROUP BY pos)
       SELECT round(avg(pow(ma - mb, 2)), 9) AS feature_gap FROM pd""",
@@ -287,14 +301,9 @@ ORACLE = {
     "nb_score": f"""{NB}, {nb_score_cte('all', 'm', 'toks')}
       SELECT doc_id, round(score, 6) AS score, CAST(score > 0 AS INTEGER) AS pred FROM sc_all""",
     "accuracy": f"""{NB}, {nb_score_cte('lab', 'm', 'lab')},
-      j AS (SELECT CAST(score > 0 AS INTEGER) AS pred, l.quality AS label
+      j AS (SELECT score, CAST(score > 0 AS INTEGER) AS pred, l.quality AS label
         FROM sc_lab JOIN labels l USING (doc_id))
-      SELECT count(*) AS n, CAST(count_if(pred = label) AS BIGINT) AS correct,
-        round(avg(CAST(pred = label AS DOUBLE)), 9) AS accuracy,
-        CAST(count_if(pred = 1 AND label = 1) AS BIGINT) AS tp,
-        CAST(count_if(pred = 1 AND label <> 1) AS BIGINT) AS fp,
-        CAST(count_if(pred <> 1 AND label <> 1) AS BIGINT) AS tn,
-        CAST(count_if(pred <> 1 AND label = 1) AS BIGINT) AS fn FROM j""",
+      SELECT {ACCURACY} FROM j""",
     "semi_nb_score": f"""{NB},
       unl AS (SELECT doc_id, tokens FROM toks WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
       {nb_score_cte('u', 'm', 'unl')},
@@ -309,17 +318,61 @@ ORACLE = {
       {nb_score_cte('u', 'm', 'unl')}
       SELECT doc_id, CASE WHEN score > 0 THEN 'positive' ELSE 'negative' END AS sentiment
       FROM sc_u""",
-    "pipeline_submission": f"""WITH
-      stoks AS (SELECT doc_id, {tok(STRIP.format(x='text'))} AS tokens FROM documents),
-      {rank_cte('r', '(SELECT doc_id FROM documents JOIN labels USING (doc_id))', '230')},
-      train AS (SELECT s.tokens, CAST(l.quality AS DOUBLE) AS p, CAST(1.0 AS DOUBLE) AS lam
-        FROM r JOIN stoks s USING (doc_id) JOIN labels l USING (doc_id)
-        WHERE r.p >= ceil(r.n * CAST(0.1 AS DOUBLE))),
-      {nb_fit_cte('m', 'train')},
+    "pipeline_submission": f"""{SUPERVISED},
       unl AS (SELECT doc_id, tokens FROM stoks WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
       {nb_score_cte('u', 'm', 'unl')}
       SELECT doc_id, CASE WHEN score > 0 THEN 'positive' ELSE 'negative' END AS sentiment
       FROM sc_u""",
+    "pipeline_valid_metrics": f"""{SUPERVISED},
+      val AS (SELECT s.doc_id, s.tokens FROM r JOIN stoks s USING (doc_id)
+        WHERE r.p < ceil(r.n * CAST(0.1 AS DOUBLE))),
+      {nb_score_cte('v', 'm', 'val')},
+      j AS (SELECT score, CAST(score > 0 AS INTEGER) AS pred, l.quality AS label,
+          CASE WHEN l.quality = 1 THEN -score ELSE score END AS z
+        FROM sc_v JOIN labels l USING (doc_id))
+      SELECT {ACCURACY}, round(avg(greatest(z, 0) + ln(1 + exp(-abs(z)))), 6) AS loss FROM j""",
+    "pipeline_semi_metrics": f"""WITH {TOKS},
+      base AS (SELECT t.doc_id, t.tokens, l.quality AS label FROM toks t JOIN labels l
+        USING (doc_id)),
+      {rank_cte('r', '(SELECT doc_id FROM base)', '7')},
+      t AS (SELECT doc_id, p < round_even(n * (CAST(1 AS DOUBLE) - CAST(0.3 AS DOUBLE)), 0)
+        AS in_train FROM r),
+      {rank_cte('r2', '(SELECT doc_id FROM t WHERE in_train)', '7/labeled')},
+      part AS (SELECT t.doc_id, CASE
+          WHEN r2.p < round_even(r2.n * CAST(0.2 AS DOUBLE), 0) THEN 'labeled'
+          WHEN t.in_train THEN 'unlabeled' ELSE 'test' END AS part
+        FROM t LEFT JOIN r2 USING (doc_id)),
+      lab AS (SELECT b.tokens, CAST(b.label AS DOUBLE) AS p, CAST(1.0 AS DOUBLE) AS lam
+        FROM base b JOIN part USING (doc_id) WHERE part = 'labeled'),
+      {nb_fit_cte('m', 'lab')},
+      unl AS (SELECT b.doc_id, b.tokens FROM base b JOIN part USING (doc_id)
+        WHERE part = 'unlabeled'),
+      {nb_score_cte('u', 'm', 'unl')},
+      soft AS (SELECT doc_id, round(1.0 / (1.0 + exp(-greatest(least(score, 30.0), -30.0))), 6) AS p
+        FROM sc_u),
+      train2 AS (SELECT tokens, p, lam FROM lab
+        UNION ALL SELECT u.tokens, s.p, CAST(1.0 AS DOUBLE) FROM unl u JOIN soft s USING (doc_id)),
+      {nb_fit_cte('m2', 'train2')},
+      tst AS (SELECT b.doc_id, b.tokens FROM base b JOIN part USING (doc_id) WHERE part = 'test'),
+      {nb_score_cte('t', 'm2', 'tst')},
+      j AS (SELECT CAST(score > 0 AS INTEGER) AS pred, b.label FROM sc_t JOIN base b USING (doc_id))
+      SELECT {ACCURACY} FROM j""",
+    "cosine": f"""SELECT vec_id, round({COS.format(a='v', b='list_reverse(v)')}, 9) AS cosine
+      FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)""",
+    "nearest_word_k": f"""{VOCAB_VEC},
+      q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS qv FROM emb WHERE role = 'fake'),
+      s AS (SELECT q.qid, vv.id AS word_id, vv.word, {COS.format(a='q.qv', b='vv.vec')} AS sim
+        FROM q, vv),
+      k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, word_id) - 1 AS rank
+        FROM s)
+      SELECT qid, CAST(rank AS INTEGER) AS rank, word_id, word, round(sim, 6) AS sim FROM k
+      WHERE rank < 3""",
+    "step_window_acc": f"""WITH {STEPS},
+      rk AS (SELECT *, event_id % (bs + 1) AS correct,
+          row_number() OVER (PARTITION BY epoch ORDER BY ts, event_id) - 1 AS r FROM st)
+      SELECT epoch, CAST(r // 50 AS BIGINT) AS "window", CAST(sum(bs) AS BIGINT) AS samples,
+        round(sum(CAST(correct AS DOUBLE)) / sum(CAST(bs AS DOUBLE)), 9) AS acc
+      FROM rk GROUP BY epoch, r // 50""",
 }
 
 # Sources and sinks: the round trip must give back the table it started from.
@@ -340,4 +393,16 @@ ORACLE.update({
     "saved_model_score": ORACLE["nb_score"],
     "stream_nb_score": ORACLE["nb_score"],
     "split_use_all": """SELECT doc_id, 'train' AS part FROM documents JOIN labels USING (doc_id)""",
+    "corpus_csv": """SELECT CAST(row_number() OVER (ORDER BY d.doc_id) - 1 AS BIGINT) AS id,
+        d.text AS review,
+        CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS sentiment
+      FROM documents d JOIN labels l USING (doc_id)""",
+    "member_folders": ORACLE["ensemble_submission"],
+    "encoded_parts": f"""{LOOKUP} SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT)
+        AS row, CAST(list_resize(ids, {SEQ_LEN}, -1) AS INTEGER[]) AS ids, l.quality AS label
+      FROM lk JOIN labels l USING (doc_id)""",
+    "lookup_ids_shuffled": ORACLE["lookup_ids"],
+    "embed_tokens_shuffled": ORACLE["embed_tokens"],
+    "nb_score_shuffled": ORACLE["nb_score"],
+    "nearest_word_blocked": ORACLE["nearest_word"],
 })

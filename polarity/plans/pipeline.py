@@ -50,16 +50,16 @@ def run_supervised(train_df: DataFrame, test_df: DataFrame, key: str = "id",
     train = split.filter(F.col("part") == "train")
     if kind == "nb":
         model = fit_nb(train.select("tokens", F.col("label").alias("p")), "tokens", "p")
-        scorer = lambda d: score_nb(d, model, key)
+        scorer = lambda d, carry=(): score_nb(d, model, key, carry=carry)
     elif kind == "lr":
         model = fit_lr(train, "tokens", "label")
-        scorer = lambda d: score_lr(d, model, key)
+        scorer = lambda d, carry=(): score_lr(d, model, key, carry)
     else:
         raise ValueError(f"unknown classifier kind {kind!r}")
     metrics = None
     if not use_all:
         valid = split.filter(F.col("part") == "valid")
-        scored = scorer(valid.select(key, "tokens")).join(valid.select(key, "label"), key)
+        scored = scorer(valid.select(key, "tokens", "label"), ("label",))
         # log loss of the score read as a logit, softplus(s) - y*s, written
         # as softplus(-s) for y = 1 so it keeps its digits for large |s|
         loss = softplus(F.when(F.col("label") == 1, -F.col("score")).otherwise(F.col("score")))
@@ -86,7 +86,7 @@ def run_semi(corpus: DataFrame, key: str = "id", text: str = "review",
     unl = parts.filter(F.col("part") == "unlabeled")
     test = parts.filter(F.col("part") == "test")
     model = fit_semi_nb(lab, unl, key, "tokens", "label", cfg.unlabel_weight, rounds)
-    scored = score_nb(test.select(key, "tokens"), model, key).join(test.select(key, "label"), key)
+    scored = score_nb(test.select(key, "tokens", "label"), model, key, carry=("label",))
     n_l, n_u = lab.count(), unl.count()
     if not n_u > n_l:
         raise ValueError("the unlabelled part must be larger than the labelled part")

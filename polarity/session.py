@@ -8,8 +8,12 @@ temporary folder; a cluster without it is an error, never a local /tmp.
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,15 +58,62 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; set it to a shared folder "
             "(HDFS/object store) before running lineage-cutting operators")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="polarity-ckpt-"))
+    own = tempfile.mkdtemp(prefix="polarity-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)  # this process's alone
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers the package, wherever they start: added to the
+    application once as a zip file (as ``--py-files`` would)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    top = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="polarity-zip-")  # the driver's, served by Spark
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "polarity.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, names in os.walk(top):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for n in names:
+                if n.endswith(".py"):
+                    f = os.path.join(base, n)
+                    z.write(f, os.path.join("polarity", os.path.relpath(f, top)))
+    sc.addPyFile(path)
+
+
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (never a
     machine-local one on a cluster); each call gets its own."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/polarity-{name}-{uuid.uuid4().hex}"
+    _scratch.append(f"{root}/polarity-{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders made after the first ``since`` (see
+    ``scratch_mark``), once nothing reads them any more: results that were
+    returned but not yet written still do. Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = _scratch[since:]
+    del _scratch[since:]
+    for p in done:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(done)
+
+
+def scratch_mark() -> int:
+    return len(_scratch)
 
 
 def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:

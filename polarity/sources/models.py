@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from polarity.operators.model import NBModel
 from polarity.sources.cache import _exists
@@ -43,6 +42,6 @@ def load_model(spark: SparkSession, root: str, run: str, epoch: int, kind: str =
         raise FileNotFoundError(f"no saved model at {path}")
     if kind == "nb":
         meta = spark.read.parquet(f"{path}/meta").first()
-        weights = spark.read.parquet(f"{path}/weights").select("word", F.col("weight"))
+        weights = spark.read.parquet(f"{path}/weights")  # word, weight, mass
         return NBModel(weights=weights, prior=meta["prior"], n_words=meta["n_words"])
     return PipelineModel.load(path)

@@ -21,10 +21,6 @@ def balance(df: DataFrame, key: str | None = None, min_partitions: int | None =
     return df.repartition(target, key) if key else df.repartition(target)
 
 
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    return balance(spark.read.parquet(path), key)
-
-
 def spread_partitions(spark: SparkSession) -> int:
     """Partitions for rows that expand a lot after the shuffle (a document
     into its n-grams): an explicit count, so AQE does not coalesce them by

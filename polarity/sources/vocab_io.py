@@ -12,7 +12,9 @@ def read_vocabulary(spark: SparkSession, path: str, fmt: str = "text") -> DataFr
     ``text``: one "word v1 v2 ... vd" line per word (the common word-vector
     file form); ids follow file order (0-based). The id is taken from the
     line's position within its file plus the sizes of earlier files, so it
-    does not depend on how the read is split. ``parquet``: (id, word, vector).
+    does not depend on how the read is split. Every line keeps its number: a
+    line without a word or a vector fails the job. ``parquet``: (id, word,
+    vector).
     """
     if fmt == "parquet":
         return spark.read.parquet(path).select(F.col("id").cast("int"), "word",
@@ -20,16 +22,18 @@ def read_vocabulary(spark: SparkSession, path: str, fmt: str = "text") -> DataFr
     lines = (spark.read.option("wholetext", "false").text(path)
              .select(F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_b"), "value"))
-    parts = lines.select("_f", "_b", F.split(F.trim("value"), " +").alias("p")).filter(
-        F.size("p") > 1)
+    parts = lines.select("_f", "_b", F.split(F.trim("value"), " +").alias("p"))
     from polarity.operators.ordering import ordered_rank
     # line order = (file, byte offset of the line); monotonic per split
     indexed = parts.withColumn("_o", F.monotonically_increasing_id())
     ranked = ordered_rank(indexed, ["_f", "_b", "_o"], rank_col="_rank")
+    bad = F.raise_error(F.concat(F.lit("no word with a vector in line "),
+                                 F.col("_rank").cast("string")))
     return ranked.select(F.col("_rank").cast("int").alias("id"),
                          F.element_at("p", 1).alias("word"),
-                         F.slice("p", 2, 1 << 20).cast("array<float>")
-                         .alias("vector"))
+                         F.when(F.size("p") < 2, bad).otherwise(
+                             F.slice(F.col("p"), F.lit(2), F.size("p") - 1))
+                         .cast("array<float>").alias("vector"))
 
 
 def write_vocabulary_text(vocab: DataFrame, path: str) -> None:
@@ -44,7 +48,7 @@ def write_vocabulary_text(vocab: DataFrame, path: str) -> None:
     vocab.orderBy("id").select(line.alias("value")).write.text(path)
 
 
-def read_encoded(spark: SparkSession, path: str, key_path: str | None = None) -> DataFrame:
+def read_encoded(spark: SparkSession, path: str) -> DataFrame:
     """S3: a matrix written one row per line as comma-separated numbers
     (floats such as 1.000000000000000000e+00 are cast back to ints):
     (row, ids ARRAY<INT>), ``row`` = line number within the file set."""
@@ -69,3 +73,24 @@ def write_encoded(df: DataFrame, path: str, ids: str = "ids", order="row") -> No
     order = [order] if isinstance(order, str) else list(order)
     (df.orderBy(*order).select(F.array_join(F.col(ids).cast("array<string>"), ",")
                                .alias("value")).write.text(path))
+
+
+def write_encoded_part(df: DataFrame, path: str, ids: str = "ids", label: str = "label",
+                       order="row") -> None:
+    """A labelled part as two matrices, ``path/ids`` and ``path/labels`` (one
+    label per line), both in ``order``: row i of one belongs to row i of the
+    other."""
+    write_encoded(df, f"{path}/ids", ids, order)
+    write_encoded(df.withColumn("_l", F.array(F.col(label))), f"{path}/labels", "_l", order)
+
+
+def read_encoded_part(spark: SparkSession, path: str) -> DataFrame:
+    """(row, ids, label): the two matrices of ``write_encoded_part``, paired by
+    line number; parts of different length fail the job."""
+    ids = read_encoded(spark, f"{path}/ids")
+    labels = read_encoded(spark, f"{path}/labels").withColumnRenamed("ids", "_l")
+    bad = F.raise_error(F.concat(F.lit("ids and labels differ at row "),
+                                 F.col("row").cast("string")))
+    both = ids.join(labels, "row", "full")
+    return both.select("row", F.when(F.col("ids").isNull() | F.col("_l").isNull(), bad)
+                       .otherwise(F.col("ids")).alias("ids"), F.element_at("_l", 1).alias("label"))

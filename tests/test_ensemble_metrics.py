@@ -78,7 +78,7 @@ def test_fit_semi_lr(spark):
         [(1, ["good", "fun"], 1), (2, ["bad", "dull"], 0), (3, ["good"], 1), (4, ["bad"], 0)],
         "id long, tokens array<string>, label int")
     unl = spark.createDataFrame([(5, ["good", "dull"]), (6, ["fun"])], "id long, tokens array<string>")
-    args = dict(max_iter=30, num_features=64)
+    args = dict(max_iter=30)
     base = {r["id"]: r["score"] for r in T.score_lr(lab.unionByName(unl, allowMissingColumns=True),
                                                       T.fit_lr(lab, **args), "id").collect()}
     # weight 0: every unlabelled row drops out, the fit is the supervised one
@@ -88,3 +88,30 @@ def test_fit_semi_lr(spark):
     assert all(abs(got[k] - base[k]) < 1e-9 for k in base)
     semi = T.fit_semi_lr(lab, unl, "id", unlabel_weight=1.0, **args)
     assert T.score_lr(unl, semi, "id").count() == 2
+
+
+def test_lr_fit_is_optimal(spark):
+    """First-order optimality: with the fitted weights the gradient of the
+    regularised log loss is near zero."""
+    import numpy as np
+
+    from polarity.operators import model as T
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(12)]
+    rows = []
+    for i in range(120):
+        y = int(rng.random() < 0.5)
+        toks = [w for k, w in enumerate(words) if rng.random() < (0.6 if k % 2 == y else 0.3)]
+        rows.append((i, toks or ["w0"], y))
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, label int")
+    reg = 0.05
+    m = T.fit_lr(df, max_iter=300, reg=reg)
+    vocab, lr = m.stages[0].vocabulary, m.stages[1]
+    assert sorted(vocab) == sorted(words)  # a feature per word, none shared
+    x = np.array([[t.count(w) for w in vocab] for _, t, _ in rows], float)
+    y = np.array([r[2] for r in rows], float)
+    beta, b = lr.coefficients.toArray(), lr.intercept
+    p = 1 / (1 + np.exp(-(x @ beta + b)))
+    sd = x.std(axis=0, ddof=1)  # the penalty is on standardised features
+    grad = x.T @ (p - y) / len(y) + reg * beta * sd * sd
+    assert np.abs(grad).max() < 1e-3 and abs((p - y).mean()) < 1e-3

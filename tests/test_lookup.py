@@ -56,20 +56,52 @@ def test_nearest_tie_lowest_id_both_plans(spark):
     q = spark.createDataFrame([(1, [3.0, 0.0]), (2, [0.0, 0.5]), (3, [0.0, 0.0])],
                               "qid long, vector array<double>")
     a = {r["qid"]: r["word_id"] for r in N.nearest(q, vocab).collect()}
-    b = {r["qid"]: r["word_id"] for r in N.nearest(q, vocab, max_broadcast_values=0,
-                                                   block_rows=1, chunk_rows=2).collect()}
+    b = {r["qid"]: r["word_id"] for r in N.nearest(q, vocab, max_broadcast_values=2).collect()}
     assert a == b == {1: 2, 2: 9, 3: 2}
 
 
+def test_nearest_equal_vectors_many_dimensions(spark):
+    """Words that share a vector: the lowest id, on one block and on many."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(60, 64)).astype("float32").tolist()
+    rows = [(i, f"w{i}", base[i % 60]) for i in range(180)]  # three ids per vector
+    vocab = spark.createDataFrame(rows, "id int, word string, vector array<float>")
+    qs = [(i, [x * 1.5 for x in base[i % 60]]) for i in range(90)]
+    q = spark.createDataFrame(qs, "qid long, vector array<double>")
+    for how in ({}, {"max_broadcast_values": 64 * 7}):
+        got = {r["qid"]: r["word_id"] for r in N.nearest(q, vocab, **how).collect()}
+        assert got == {i: i % 60 for i in range(90)}
+        top = N.nearest(q, vocab, k=4, **how).where("qid = 3").orderBy("rank").collect()
+        assert [r["word_id"] for r in top[:3]] == [3, 63, 123]
+
+
+def test_nearest_keeps_every_row_and_needs_a_vocabulary(spark):
+    vocab = spark.createDataFrame([(0, "up", [0.0, 1.0]), (1, "right", [1.0, 0.0])],
+                                  "id int, word string, vector array<float>")
+    q = spark.createDataFrame([(7, [0.0, 1.0]), (7, [1.0, 0.0]), (8, [0.0, 2.0])],
+                              "qid long, vector array<double>")
+    for bound in (1 << 20, 2):
+        got = sorted((r["qid"], r["word"]) for r in
+                     N.nearest(q, vocab, max_broadcast_values=bound).collect())
+        assert got == [(7, "right"), (7, "up"), (8, "up")]
+    with pytest.raises(ValueError, match="no vectors"):
+        N.nearest(q, vocab.where("false"))
 
-def test_best_slices_agree(monkeypatch):
+
+def test_top_slices_agree(monkeypatch):
     import numpy as np
     rng = np.random.default_rng(0)
     q, v = rng.normal(size=(37, 5)), rng.normal(size=(11, 5))
-    whole = N._best(q, v, np.linalg.norm(v, axis=1))
-    monkeypatch.setattr(N, "SIM_VALUES_PER_SLICE", 20)  # 1 query row per slice
-    sliced = N._best(q, v, np.linalg.norm(v, axis=1))
-    assert (whole[0] == sliced[0]).all() and np.allclose(whole[1], sliced[1])
+    ids = np.arange(11)
+    for k in (1, 3, 20):
+        whole = N._top(q, v, np.linalg.norm(v, axis=1), ids, k)
+        with monkeypatch.context() as m:
+            m.setattr(N, "SIM_VALUES_PER_SLICE", 20)  # 1 query row per slice
+            sliced = N._top(q, v, np.linalg.norm(v, axis=1), ids, k)
+        assert (whole[0] == sliced[0]).all() and np.allclose(whole[1], sliced[1])
+        sims = (q @ v.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(v, axis=1))
+        assert (whole[0] == np.argsort(-sims, axis=1, kind="stable")[:, :k]).all()
 
 
 def test_decode_sentence(spark):
@@ -94,18 +126,19 @@ def test_decode_sentence_repeated_vectors_both_plans(spark, monkeypatch):
     orig = N.nearest
 
     def blocked(q, v, **kw):
-        return orig(q, v, max_broadcast_values=0, block_rows=1, chunk_rows=4, **kw)
+        return orig(q, v, max_broadcast_values=2, **kw)
     monkeypatch.setattr(N, "nearest", blocked)
     got = {r["sid"]: r["sentence"] for r in N.decode_sentence(long, vocab, "sid").collect()}
     assert got == want
 
 
-def test_best_dedupes_repeated_queries():
+def test_top_dedupes_repeated_queries():
     import numpy as np
     v = np.array([[1.0, 0.0], [0.0, 1.0]])
     q = np.array([[0.0, 2.0], [3.0, 0.1], [0.0, 2.0], [0.0, 0.0]])
-    idx, sim = N._best(q, v, np.linalg.norm(v, axis=1))
-    assert list(idx) == [1, 0, 1, 0] and sim[0] == sim[2] == 1.0 and sim[3] == 0.0
+    idx, sim = N._top(q, v, np.linalg.norm(v, axis=1), np.arange(2), 1)
+    assert list(idx[:, 0]) == [1, 0, 1, 0]
+    assert sim[0, 0] == sim[2, 0] == 1.0 and sim[3, 0] == 0.0
 
 
 def test_make_submission_missing_prediction_fails(spark):
@@ -125,6 +158,61 @@ def test_linear_score(spark):
     assert F is not None
 
 
+def test_linear_score_blocks_and_zero_norm(spark):
+    rows = [(i, [float(i), 1.0], 1.0, 0.5) for i in range(5)] + [(9, [0.0, 0.0], 1.0, 7.0)]
+    w = spark.createDataFrame(rows, "out int, w array<double>, g double, b double")
+    x = spark.createDataFrame([(1, [1.0, 1.0]), (2, [0.5, -1.0])], "id long, vector array<double>")
+    whole = sorted(tuple(r) for r in N.linear_score(x, w).collect())
+    parts = sorted(tuple(r) for r in N.linear_score(x, w, max_values=2).collect())
+    assert whole == parts and len(whole) == 12
+    assert {r[2] for r in whole if r[1] == 9} == {7.0}
+
+
+def test_repeated_keys_fail(spark):
+    from polarity.operators import model as T
+    vocab = spark.createDataFrame([(0, "a")], "id int, word string")
+    for rows in ([(1, ["a"]), (1, ["b"])], [(1, []), (1, None)]):
+        toks = spark.createDataFrame(rows, "id long, tokens array<string>")
+        for bound in (10, 0):
+            with pytest.raises(Exception, match="more than one row with id 1"):
+                V.lookup_ids(toks, vocab, "id", n=4, max_broadcast_rows=bound).collect()
+    lab = spark.createDataFrame([(1, ["a"], 1.0), (2, ["b"], 0.0)],
+                                "id long, tokens array<string>, p double")
+    m = T.fit_nb(lab, "tokens", "p")
+    twice = spark.createDataFrame([(1, ["a"]), (1, ["b"])], "id long, tokens array<string>")
+    for bound in (10, 0):
+        with pytest.raises(Exception, match="more than one row with id 1"):
+            T.score_nb(twice, m, "id", max_broadcast_rows=bound).collect()
+    with pytest.raises(ValueError, match="both classes"):
+        T.fit_nb(lab.where("p = 1"), "tokens", "p")
+
+
+def test_shuffle_join_has_no_hot_partition(spark):
+    """One word on most rows, 200 partitions: no partition far above the median."""
+    from polarity.operators.joins import hot_split_lookup
+    left = spark.range(200_000).select(
+        "id", F.when(F.col("id") % 10 < 6, F.lit("the")).when(F.col("id") % 10 < 8, None)
+        .otherwise(F.concat(F.lit("w"), F.col("id") % 5000)).alias("word"))
+    table = spark.range(5000).select(F.concat(F.lit("w"), "id").alias("word"),
+                                     F.col("id").cast("int").alias("v")).unionAll(
+        spark.createDataFrame([("the", -5)], "word string, v int"))
+    conf = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = hot_split_lookup(left, "word", table, table.where("word = 'the'"),
+                               F.xxhash64("id")).withColumn("p", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in out.groupBy("p").count().collect())
+        assert out.where("word = 'the' and v = -5").count() == 120_000
+        assert out.where("word like 'w%' and v is not null").count() == 40_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
 def _skewed_tokens(spark):
     rows = [(i, ["the"] * 30 + [f"w{i % 7}", "zzz-unknown", "movie"]) for i in range(40)]
     rows += [(100, []), (101, None), (102, ["movie"])]

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 from polarity.plans import inputs as I
+from polarity.plans.catalog import QUERIES
 from polarity.plans.pipeline import run_semi, run_supervised
 from polarity.operators.model import fit_nb
 from polarity.streaming import score_stream
@@ -46,7 +47,8 @@ def duck():
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"lr_fit", "semi_lr_fit"}
+    own = set(QUERIES)
+    assert own - set(E.oracle_sql()) == {"lr_fit", "semi_lr_fit"}
 
 
 def test_entry(spark):
@@ -114,12 +116,24 @@ def _plan(spark, df) -> str:
         df._jdf.queryExecution(), "simple")
 
 
-def test_ngram_plan_one_exchange_no_window_or_sort(spark):
-    from pyspark.sql import functions as F
+def test_ngram_plan_has_no_exchange(spark):
     from polarity.operators.vocab import ngram_features
     toks = spark.createDataFrame([(1, ["a", "b", "c", "d"])], "id long, tokens array<string>")
-    plan = _plan(spark, ngram_features(toks.select("id", F.col("tokens")), "id"))
-    assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort" not in plan
+    plan = _plan(spark, ngram_features(toks, "id"))
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_term_table_needs_no_further_exchange_by_key(spark):
+    from polarity.operators import model as T
+    toks = I.with_tokens(I.labeled_docs(spark, SF001))
+    terms = T.term_table(toks, "doc_id", "tokens", ("label",))
+    m = T.fit_semi_terms(terms, "doc_id", "label", rounds=0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(spark, T.score_terms(terms, m, "doc_id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_decode_plan_has_no_join(spark):

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from polarity.operators.ensemble import member_weights
+from polarity.operators.ensemble import ensemble, member_weights
 from polarity.operators.model import fit_nb, fit_lr, score_lr
 from polarity.sources import cache, models, reviews, vocab_io
 from polarity.sources.metrics_log import log_metrics
@@ -124,7 +124,7 @@ def test_models_save_load(spark, tmp_out):
     with pytest.raises(FileNotFoundError):
         models.load_model(spark, tmp_out, "run1", 4)
     lab = spark.createDataFrame([(1, ["good"], 1), (2, ["bad"], 0)], "id long, tokens array<string>, label int")
-    lr = fit_lr(lab, max_iter=5, num_features=64)
+    lr = fit_lr(lab, max_iter=5)
     models.save_model(lr, tmp_out, "lr", 1)
     lr2 = models.load_model(spark, tmp_out, "lr", 1, kind="lr")
     assert score_lr(lab, lr2).count() == 2
@@ -154,3 +154,87 @@ def test_encoded_order_survives_many_part_files(spark, tmp_out):
     assert len(parts) > 1  # written in parallel, not through one task
     back = vocab_io.read_encoded(spark, out).orderBy("row").collect()
     assert [(r["row"], list(r["ids"])) for r in back] == [(i, [i, -1]) for i in range(300)]
+
+
+def test_reviews_by_header_name(spark, tmp_out):
+    import os
+
+    def write(name, text):
+        path = os.path.join(tmp_out, name)
+        with open(path, "w", newline="") as f:
+            f.write(text)
+        return path
+    two = write("two.csv", 'sentiment,review\npositive,"a, ""b""\nc"\nnegative,""\n')
+    assert [tuple(r) for r in reviews.read_reviews(spark, two).orderBy("id").collect()] == [
+        (0, 'a, "b"\nc', "positive"), (1, "", "negative")]
+    blank = write("blank.csv", ",review,sentiment\n5,x,positive\n")
+    assert [tuple(r) for r in reviews.read_reviews(spark, blank).collect()] == [(5, "x", "positive")]
+    other = write("other.csv", "review,Unnamed: 0\nx,7\n")
+    assert [tuple(r) for r in reviews.read_reviews(spark, other, labeled=False).collect()] == [(7, "x")]
+    with pytest.raises(ValueError, match="sentiment"):
+        reviews.read_reviews(spark, other)
+    with pytest.raises(Exception, match="not an id: 1_5.txt"):
+        reviews.read_reviews(spark, write("bad.csv", "id,review,sentiment\n1_5.txt,x,positive\n")).collect()
+    with pytest.raises(Exception):
+        reviews.read_reviews(spark, write("long.csv", "id,review,sentiment\n1,x,positive,more\n")).collect()
+
+
+def test_members_with_odd_names_and_lost_ones(spark, tmp_out):
+    import os
+    names = ["run a", "run%b", "run+c", "plain"]
+    votes = spark.createDataFrame([(i, m, "positive") for i in range(3) for m in names],
+                                  "id long, member string, sentiment string")
+    w = member_weights(spark, [(m, "1.5") for m in names])
+    root, parts = os.path.join(tmp_out, "folders"), os.path.join(tmp_out, "parts")
+    for m in names:
+        reviews.write_submission(votes.where(votes.member == m), f"{root}/{m}/submission.csv")
+    reviews.write_members(votes, parts)
+    for r, layout in ((root, "folders"), (parts, "partitioned")):
+        got = reviews.read_members(spark, r, w, layout=layout).groupBy("member").count().collect()
+        assert {x["member"]: x["count"] for x in got} == {m: 3 for m in names}
+        lost = member_weights(spark, [("plain", "1"), ("absent", "1")])
+        with pytest.raises(FileNotFoundError, match="absent"):
+            reviews.read_members(spark, r, lost, layout=layout)
+
+
+def test_vote_weights_are_exact(spark):
+    w = member_weights(spark, [("a", "0.9613"), ("b", "0.4829"), ("c", "0.4829")])
+    ids = spark.createDataFrame([(1,)], "id long")
+    votes = spark.createDataFrame([(1, "a", "positive"), (1, "b", "negative"),
+                                   (1, "c", "negative")],
+                                  "id long, member string, sentiment string")
+    assert ensemble(ids, votes, w).collect()[0]["sentiment"] == "negative"
+    with pytest.raises(ValueError, match="18 decimals"):
+        member_weights(spark, [("a", "0." + "1" * 19)])
+
+
+def test_vocabulary_line_without_vector_fails(spark, tmp_out):
+    import os
+    path = os.path.join(tmp_out, "vec.txt")
+    with open(path, "w") as f:
+        f.write("a 1 2\nb\nc 3 4\n")
+    with pytest.raises(Exception, match="no word with a vector in line 1"):
+        vocab_io.read_vocabulary(spark, path).collect()
+
+
+def test_encoded_part_pairs_rows(spark, tmp_out):
+    import os
+
+    from polarity.sources.vocab_io import read_encoded_part, write_encoded_part
+    df = spark.createDataFrame([(i, [i, i + 1, -1], i % 2) for i in range(50)],
+                               "row long, ids array<int>, label int").repartition(4)
+    path = os.path.join(tmp_out, "part")
+    write_encoded_part(df, path)
+    got = sorted(tuple(r) for r in read_encoded_part(spark, path).collect())
+    assert got == [(i, [i, i + 1, -1], i % 2) for i in range(50)]
+
+
+def test_drop_scratch(spark):
+    import os
+
+    from polarity.session import checkpoint, drop_scratch, scratch_mark
+    mark = scratch_mark()
+    df = checkpoint(spark.range(3).toDF("id"), "gone")
+    folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert df.count() == 3 and os.path.isdir(folder)
+    assert drop_scratch(spark, mark) == 1 and not os.path.exists(folder)

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from polarity.functions import (argmax, attention_mask, cosine, encode_label,
-                                encode_with_specials, k_max, log_sum_exp, ngrams,
+                                encode_with_specials, k_max, log_sum_exp,
                                 pad_truncate, softplus, strip_tags, tokenize)
 
 
@@ -47,11 +47,6 @@ def test_encode_with_specials(spark):
     assert one(spark, e, [([9, 8, 7],), ([],)], "a array<int>") == [[1, 9, 8, 2], [1, 2, 0, 0]]
 
 
-def test_ngrams(spark):
-    rows = [(["a", "b"],), (["a", "b", "c", "d"],)]
-    assert one(spark, ngrams("t", 3), rows, "t array<string>") == [[], ["a b c", "b c d"]]
-
-
 def test_k_max(spark):
     rows = [([3.0, 1.0, 9.0, 9.0, 2.0],), ([4.0],), ([5.0, 1.0, 7.0],)]
     assert one(spark, k_max("a", 2), rows, "a array<double>") == [[9.0, 9.0], [4.0], [5.0, 7.0]]
@@ -97,7 +92,6 @@ def test_ngram_features_brute_force(spark):
         for n in (3, 4, 5, 6, 7):
             for j in range(len(t or []) - n + 1):
                 want[(i, n, " ".join(t[j:j + n]))] += 1
-    for part in (False, True):
-        got = {(r["id"], r["width"], r["gram"]): r["n"]
-               for r in ngram_features(df.repartition(3), "id", partitioned=part).collect()}
-        assert got == dict(want)
+    got = {(r["id"], r["width"], r["gram"]): r["n"]
+           for r in ngram_features(df.repartition(3), "id").collect()}
+    assert got == dict(want)
