@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, fold
+from polarity.llm.common import arrow_batches, labelled_sample
 
 BINS = 4096
 DIM = 64
@@ -138,14 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
     LABELLED_BYTES bytes, in order of a hash of their id; documents whose
     crc32 of the id modulo ``folds`` is 0 are held out."""
     arrow_batches(docs.sparkSession)
-    lab = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id"), folds) != 0)).select(
-        "doc_id", F.col(label_col).cast("int").alias("_y")).dropDuplicates(["doc_id"])
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).where(
-        F.octet_length("_text") <= LABELLED_BYTES)
-    rows = (text.join(lab, "doc_id").withColumn("_h", F.xxhash64(F.lit("knn"), "doc_id"))
-            .orderBy("_h", "_text").limit(LABELLED).select("_text", "_y").collect())
+    texts, y = labelled_sample(docs, labels, label_col, folds, LABELLED, LABELLED_BYTES, "knn")
     df, n = document_frequencies(docs)
-    return fit([r[0] for r in rows], [r[1] for r in rows], df, n)
+    return fit(texts, y, df, n)
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text",
