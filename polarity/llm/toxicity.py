@@ -21,11 +21,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, fold
+from polarity.llm.common import arrow_batches, labelled_sample
 
 WINDOW = 32
 STRIDE = 16
@@ -33,7 +32,7 @@ DIM = 8
 HIDDEN = 8
 CHAR_BINS = 4096
 #: bounds of the labelled sample: documents, and bytes of each of them
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 5000
 TRAIN_BYTES = 16_384
 MIN_DOCS = 3
 #: lengths in bytes of the starts (positive) and ends (negative) of words that
@@ -69,6 +68,8 @@ def char_codes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _ranges(start, width):
     """start[0], start[0] + 1, ... for every range, in one array."""
     ends = np.cumsum(width)
+    if not len(ends):
+        return np.zeros(0, np.int64)
     return np.repeat(start - ends + width, width) + np.arange(ends[-1])
 
 
@@ -249,6 +250,81 @@ def _init(words: np.ndarray, odds: np.ndarray, rng) -> dict:
     return {"words": words, "word": word, "char": r(CHAR_BINS, DIM) * np.float32(0.1), "net": net}
 
 
+class _Words:
+    """The distinct words of the training texts: for each the numbers of its
+    vectors (of the known ones) and its trigram codes; and the words of every
+    text as numbers of these. Read chunk by chunk, so that the byte-wise
+    arrays stay small."""
+
+    def __init__(self, texts: list[str]):
+        raw, offsets = W.utf8(pa.array(texts, pa.large_string()))
+        hashes, codes, width, number, row, base = [], [], [], [], [], 0
+        for a, b in W.chunks(offsets, 1 << 20):
+            o = offsets[a:b + 1]
+            part, po = raw[o[0]:o[-1]], o - o[0]
+            h, start, end, num, r = distinct_words(part, po)
+            hashes.append(h)
+            codes.append(char_codes(part, po)[_ranges(start, end - start)] if len(start)
+                         else np.zeros(0, np.int32))
+            width.append(end - start)
+            number.append(num + base)
+            row.append(r + a)
+            base += len(start)
+        hashes = np.concatenate(hashes, 1) if hashes else np.zeros((1 + len(AFFIXES), 0), np.uint64)
+        codes = np.concatenate(codes) if codes else np.zeros(0, np.int32)
+        width = np.concatenate(width) if width else np.zeros(0, np.int64)
+        _, first, same = np.unique(hashes[0], return_index=True, return_inverse=True)
+        at = np.cumsum(width) - width
+        self.hashes = hashes[:, first]
+        self.codes = codes[_ranges(at[first], width[first])] if len(first) else codes
+        self.width = width[first]
+        self.at = np.cumsum(self.width) - self.width
+        self.number = same.ravel()[np.concatenate(number)] if number else np.zeros(0, np.int64)
+        self.row = np.concatenate(row) if row else np.zeros(0, np.int64)
+
+    def vocabulary(self, y: np.ndarray):
+        """Sorted hashes of the words and affixes in MIN_DOCS texts or more,
+        and the log odds of each for label 1."""
+        pairs = np.unique(self.number * len(y) + self.row)
+        word, doc = pairs // len(y), pairs % len(y)
+        known, odds = [], []
+        for h in self.hashes:
+            u, inverse = np.unique(h, return_inverse=True)
+            both = np.unique(inverse.ravel()[word] * len(y) + doc)
+            feature, label = both // len(y), y[both % len(y)]
+            df, pos = np.bincount(feature, minlength=len(u)), np.bincount(feature, label, len(u))
+            use = (df >= MIN_DOCS) & (u != 0)
+            known.append(u[use])
+            odds.append(np.log(((pos + 0.5) / (y.sum() + 1))
+                               / ((df - pos + 0.5) / (len(y) - y.sum() + 1)))[use])
+        known, odds = np.concatenate(known), np.concatenate(odds)
+        order = np.argsort(known)
+        return known[order], odds[order].astype(np.float32)
+
+    def place(self, known: np.ndarray) -> None:
+        self.ids = np.stack([word_ids(known, h) for h in self.hashes], 1).astype(np.int32)
+
+    def inputs(self, m: dict, words: np.ndarray) -> np.ndarray:
+        u, inverse = np.unique(words, return_inverse=True)
+        if not len(u):
+            return np.zeros((0, DIM), np.float32)
+        w = self.width[u]
+        x = CHAR_SCALE * np.add.reduceat(m["char"][self.codes[_ranges(self.at[u], w)]],
+                                         np.cumsum(w) - w, axis=0)
+        return (x + m["word"][self.ids[u]].sum(1))[inverse.ravel()]
+
+    def gradients(self, m: dict, words: np.ndarray, dx: np.ndarray) -> dict:
+        g = {"word": np.zeros_like(m["word"]), "char": np.zeros_like(m["char"])}
+        if len(words):
+            for f in range(self.ids.shape[1]):
+                np.add.at(g["word"], self.ids[words, f], dx)
+            w = self.width[words]
+            np.add.at(g["char"], self.codes[_ranges(self.at[words], w)],
+                      np.repeat(dx * CHAR_SCALE, w, axis=0))
+        g["word"][0] = 0  # what training has not seen has no vector
+        return g
+
+
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 1) -> dict:
     """Train on whole texts; an all-alike or empty label set gives a constant."""
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -258,23 +334,13 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 1
         m["net"] = {k: np.zeros_like(v) for k, v in m["net"].items()}
         m["net"]["o"][0] = 4.0 if len(y) and y[0] else -4.0
         return m
-    raw, offsets = W.utf8(pa.array(texts, pa.large_string()))
-    hashes, start, end, number, row = distinct_words(raw, offsets)
-    h, start, end = hashes[:, number], start[number], end[number]
-    known, inverse = np.unique(h.ravel(), return_inverse=True)
-    pairs = np.unique(inverse.ravel().astype(np.int64) * len(y) + np.tile(row, len(h)))
-    word_of, doc_of = pairs // len(y), pairs % len(y)
-    df = np.bincount(word_of, minlength=len(known))
-    pos = np.bincount(word_of, y[doc_of], len(known))
-    odds = np.log(((pos + 0.5) / (y.sum() + 1)) / ((df - pos + 0.5) / (len(y) - y.sum() + 1)))
-    use = (df >= MIN_DOCS) & (known != 0)
-    m = _init(known[use], np.clip(odds[use], -3, 3).astype(np.float32) / 3, rng)
+    data = _Words(texts)
+    known, odds = data.vocabulary(y)
+    m = _init(known, np.clip(odds, -3, 3) / 3, rng)
+    data.place(known)
     net = m["net"]
-    codes = char_codes(raw, offsets)
-    ids = np.stack([word_ids(m["words"], f) for f in h], 1)
-    width = end - start
-    first = W.row_starts(row, len(y))
-    wrow, wstart, wlen = windows(row, len(y))
+    first = W.row_starts(data.row, len(y))
+    wrow, wstart, wlen = windows(data.row, len(y))
     wfirst = W.row_starts(wrow, len(y))
     weight = np.where(y > 0, min(4.0, float(np.sqrt((y == 0).sum() / y.sum()))), 1.0)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in
@@ -285,36 +351,25 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 1
         order = rng.permutation(len(y))
         for a in range(0, len(order), BATCH):
             docs = np.sort(order[a:a + BATCH])
-            spans = np.concatenate([np.arange(first[i], first[i + 1]) for i in docs])
-            place = np.zeros(len(ids) + 1, np.int64)
-            place[spans] = np.arange(len(spans))
-            x = m["word"][ids[spans]].sum(1)
-            if len(spans):
-                edges = np.concatenate([[0], np.cumsum(width[spans])[:-1]])
-                x += CHAR_SCALE * np.add.reduceat(
-                    m["char"][codes[_ranges(start[spans], width[spans])]], edges, axis=0)
-            wins = np.concatenate([np.arange(wfirst[i], wfirst[i + 1]) for i in docs])
-            local = np.repeat(np.arange(len(docs)), wfirst[docs + 1] - wfirst[docs])
-            ws, wl = place[np.minimum(wstart[wins], len(ids))], wlen[wins]
+            size = first[docs + 1] - first[docs]
+            spans = _ranges(first[docs], size) if size.sum() else np.zeros(0, np.int64)
+            x = data.inputs(m, data.number[spans])
+            n_wins = wfirst[docs + 1] - wfirst[docs]
+            wins, local = _ranges(wfirst[docs], n_wins), np.repeat(np.arange(len(docs)), n_wins)
+            # a window's place among the batch's words
+            ws = wstart[wins] - np.repeat(first[docs] - (np.cumsum(size) - size), n_wins)
+            wl = wlen[wins]
             z = np.concatenate([forward(net, _window_inputs(x, ws[i:i + 8192], wl[i:i + 8192]),
                                         wl[i:i + 8192]) for i in range(0, len(wins), 8192)])
             best = np.lexsort((z, local))[np.searchsorted(local, np.arange(len(docs)), "right") - 1]
-            xin, bl, bs = _window_inputs(x, ws[best], wl[best]), wl[best], ws[best]
+            bs, bl = ws[best], wl[best]
+            xin = _window_inputs(x, bs, bl)
             zb, state = forward(net, xin, bl, keep=True)
             dz = ((_sig(zb) - y[docs]) * weight[docs] / len(docs)).astype(np.float32)
             g, dx = backward(net, xin, bl, state, dz)
             t = np.arange(WINDOW)[:, None]
             live = t < bl
-            at, dx = (bs + t)[live], dx[live]
-            g["word"] = np.zeros_like(m["word"])
-            g["char"] = np.zeros_like(m["char"])
-            if len(at):
-                word = spans[at]
-                for f in range(ids.shape[1]):
-                    np.add.at(g["word"], ids[word, f], dx)
-                np.add.at(g["char"], codes[_ranges(start[word], width[word])],
-                          np.repeat(dx * CHAR_SCALE, width[word], axis=0))
-            g["word"][0] = 0  # what training has not seen has no vector
+            g |= data.gradients(m, data.number[spans[(bs + t)[live]]], dx[live])
             step += 1
             for k, grad in g.items():
                 target = m[k] if k in ("word", "char") else net[k]
@@ -330,13 +385,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
     """Fit on at most TRAIN_DOCS labelled documents of at most TRAIN_BYTES
     bytes, in order of a hash of their id; documents whose crc32 of the id
     modulo ``folds`` is 0 are held out."""
-    lab = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id"), folds) != 0)).select(
-        "doc_id", F.col(label_col).cast("int").alias("_y")).dropDuplicates(["doc_id"])
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).where(
-        F.octet_length("_text") <= TRAIN_BYTES)
-    rows = (text.join(lab, "doc_id").withColumn("_h", F.xxhash64(F.lit("train"), "doc_id"))
-            .orderBy("_h", "_text").limit(TRAIN_DOCS).select("_text", "_y").collect())
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    return fit(*labelled_sample(docs, labels, label_col, folds, TRAIN_DOCS, TRAIN_BYTES, "train"))
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", score_col: str = "score",
