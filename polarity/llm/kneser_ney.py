@@ -38,9 +38,9 @@ from polarity.llm.common import arrow_batches, checkpoint, scratch_path
 #: hashes of the marks before and after a text (no word hashes are reserved;
 #: a clash has the odds of any other 64-bit one)
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-#: tokens per bucket, aimed at; pairs a task gathers before it sends them
-BUCKET_TOKENS = 4_000_000
-FLUSH = 4_000_000
+#: tokens per bucket, aimed at; tokens a task gathers before it sends them
+BUCKET_TOKENS = 2_500_000
+FLUSH = 3_000_000
 #: words per word file, aimed at
 SHARD_WORDS = 1_000_000
 #: part of a task's tokens from which a word is reported as frequent
@@ -115,11 +115,13 @@ def _blob_rows(buckets, blobs, names=("bucket", "blob")):
                                       names=list(names))
 
 
-def _send(v: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int):
-    """Distinct bigrams with counts, one packed value per bucket."""
-    both, code = np.unique(np.concatenate([v, w]), return_inverse=True)
+def _send(s: np.ndarray, hot: np.ndarray, buckets: int):
+    """Distinct bigrams of sequences with counts, one packed value per bucket."""
+    both, code = np.unique(s, return_inverse=True)
     code = code.ravel()
-    pair, c = np.unique(code[:len(v)] * len(both) + code[len(v):], return_counts=True)
+    inside = np.flatnonzero(s[1:] != START)
+    pair, c = np.unique(code[inside] * len(both) + code[inside + 1], return_counts=True)
+    del code, inside
     v, w = both[pair // len(both)], both[pair % len(both)]
     bucket = bucket_of(v, w, hot, buckets)
     order = np.argsort(bucket, kind="stable")
@@ -138,18 +140,15 @@ def _send(v: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int):
 def _pairs(hot: np.ndarray, buckets: int):
     """mapInArrow: texts -> packed bigram counts by bucket."""
     def run(batches):
-        vs, ws, held = [], [], 0
+        held: list[np.ndarray] = []
         for batch in batches:
             for _, _, s, _ in text_blocks(batch.column(0)):
-                inside = np.flatnonzero(s[1:] != START)
-                vs.append(s[:-1][inside])
-                ws.append(s[1:][inside])
-                held += len(inside)
-                if held >= FLUSH:
-                    yield _send(np.concatenate(vs), np.concatenate(ws), hot, buckets)
-                    vs, ws, held = [], [], 0
+                held.append(s)
+                if sum(map(len, held)) >= FLUSH:
+                    yield _send(np.concatenate(held), hot, buckets)
+                    held = []
         if held:
-            yield _send(np.concatenate(vs), np.concatenate(ws), hot, buckets)
+            yield _send(np.concatenate(held), hot, buckets)
     return run
 
 
@@ -273,9 +272,8 @@ def _merge_words(root: str):
         files = [write_array(root, f"words-{shard}", words)]
         files += [write_array(root, f"{name}-{shard}", x) for name, x in zip(_WORD_COLUMNS, sums)]
         real = (words != START)
-        token = np.where(words == END, sums[4] * np.uint64(0), sums[0])
         after = sums[4]
-        meta = [len(words), int(token[real].sum()), int((real & (words != END)).sum()),
+        meta = [len(words), int(sums[0][real].sum()), int((real & (words != END)).sum()),
                 int(after.sum())] + [int((after == k).sum()) for k in (1, 2, 3, 4)] + [
                 int((after >= 3).sum())]
         return pa.table({"shard": pa.array([shard], pa.int32()),
@@ -392,12 +390,12 @@ def bigram_counts(model: dict, v: np.ndarray, w: np.ndarray) -> np.ndarray:
     bucket = bucket_of(v, w, model["hot"], model["buckets"])
     order = np.argsort(keys)
     order = order[np.argsort(bucket[order], kind="stable")]
-    edges = np.searchsorted(bucket[order], np.arange(model["buckets"] + 1))
+    there, edges = np.unique(bucket[order], return_index=True)
     out = np.zeros(len(keys), np.int64)
-    for b, (files, n, big) in model["bigrams"].items():
-        at = order[edges[b]:edges[b + 1]]
-        if not len(at):
+    for b, at in zip(there.tolist(), np.split(order, edges[1:])):
+        if b not in model["bigrams"]:
             continue
+        files, n, big = model["bigrams"][b]
         place = _find(mapped(files[0], np.uint64, n), keys[at])
         hit = np.flatnonzero(place >= 0)
         c = mapped(files[1], np.uint8, n)[place[hit]].astype(np.int64)

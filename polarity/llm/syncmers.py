@@ -59,10 +59,10 @@ def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
             / F.greatest(F.size(u), F.lit(1))))
 
 
-def id_buckets(docs: DataFrame, key: Column, rows: int = BUCKET_ROWS) -> Column:
+def id_buckets(docs: DataFrame, key: Column) -> Column:
     """Bucket number of a key, rising with it: counts of quantile pivots below
     it, found through a two-level tree of literals (MAX_BUCKETS at most)."""
-    n = min(MAX_BUCKETS, max(1, -(-docs.count() // rows)))
+    n = min(MAX_BUCKETS, max(1, -(-docs.count() // BUCKET_ROWS)))
     if n == 1:
         return F.lit(0)
     pivots = docs.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 20 * n)).first()[0]

@@ -59,6 +59,8 @@ TEXTS = ["the cat sat on the mat", "The cat sat on a hat", "a dog sat on the mat
 @pytest.mark.parametrize("bucket,shard", [(4_000_000, 1_000_000), (40, 2), (200, 1)])
 def test_against_brute_force(spark, monkeypatch, bucket, shard):
     monkeypatch.setattr(K, "BUCKET_TOKENS", bucket)
+    monkeypatch.setattr(K, "FLUSH", bucket)
+    monkeypatch.setattr(K, "CHUNK", bucket)
     monkeypatch.setattr(K, "SHARD_WORDS", shard)
     train = TEXTS[:8] + TEXTS[:3]
     df = spark.createDataFrame([(t,) for t in train], "text string").repartition(3)
