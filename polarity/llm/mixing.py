@@ -105,11 +105,11 @@ def cuts(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> Data
                               F.coalesce("_cut_at", F.lit(1)).alias("_cut_at")), "mix-cuts")
 
 
-def taken() -> Column:
-    """Words taken of a row that carries its source's cut."""
-    part = F.floor(F.col("size") * (F.col("_rest") - F.col("_cut_before")) / F.col("_cut_at"))
-    return (F.col("_epochs") * F.col("size")
-            + F.when(F.col("_mx_key") < F.col("_cut_key"), F.col("size"))
+def taken(size: Column) -> Column:
+    """Words taken of a row of that size that carries its source's cut."""
+    part = F.floor(size * (F.col("_rest") - F.col("_cut_before")) / F.col("_cut_at"))
+    return (F.col("_epochs") * size
+            + F.when(F.col("_mx_key") < F.col("_cut_key"), size)
             .when(F.col("_mx_key") == F.col("_cut_key"), part).otherwise(0)).cast("long")
 
 
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     rows = checkpoint(sized(docs, id_col, text_col, source_col, seed), "mix-sizes")
     at = small_or_plain(cuts(rows, weights, max_epochs))
     return rows.join(at, "_mx_s").select("doc_id", "source", "size", "source_size", "target",
-                                         taken().alias("taken"))
+                                         taken(F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
@@ -130,17 +130,18 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     Documents of which nothing is taken go; documents without words are kept
     in sources of which anything is taken (they cost no budget)."""
     rows = checkpoint(sized(docs, seed=seed), "mix-sizes")
-    at = small_or_plain(cuts(rows, weights, max_epochs))
+    at = small_or_plain(cuts(rows, weights, max_epochs).drop("source_size", "target"))
     names = docs.columns
     d = docs.select(*names, source_key(F.col("source")).alias("_mx_s"),
                     mix_key(F.col("doc_id"), seed).alias("_mx_key"))
     d = d.join(at, "_mx_s")
     # within the cut only rows at the cut key need their word count
-    d = d.withColumn("size", n_words(F.col("text"))).withColumn("_taken", taken())
-    whole = F.when(F.col("size") > 0, F.floor(F.col("_taken") / F.col("size"))).otherwise(
+    size = F.col("_mx_size")
+    d = d.withColumn("_mx_size", n_words(F.col("text"))).withColumn("_taken", taken(size))
+    whole = F.when(size > 0, F.floor(F.col("_taken") / size)).otherwise(
         F.when(F.col("_epochs") > 0, F.col("_epochs"))
         .when((F.col("_rest") > 0) & (F.col("_mx_key") < F.col("_cut_key")), 1).otherwise(0))
-    part = F.when(F.col("size") > 0, F.col("_taken") % F.col("size")).otherwise(0)
+    part = F.when(size > 0, F.col("_taken") % size).otherwise(0)
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")),
                       F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
     d = d.withColumn("_part", F.explode(copies))

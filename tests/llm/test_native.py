@@ -82,15 +82,16 @@ def test_mix_repeated_ids_and_no_rows(spark):
 
 
 def test_mixed_documents_follow_the_mix(spark):
-    rows = [(i, s, t, len(t or "")) for i, s, t in mix_rows()]
-    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars int")
+    rows = [(i, s, t, len(t or ""), "own", 5) for i, s, t in mix_rows()]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars int, "
+                                     "size string, target int")
     taken = {r.doc_id: r.taken for r in M.mix(df).collect()}
     out = M.mixed_documents(df)
     assert out.columns == df.columns and out.schema["n_chars"].dataType.simpleString() == "int"
     sums = Counter()
     for r in out.collect():
         sums[r.doc_id] += len(words(r.text))
-        assert r.n_chars == len(r.text or "")
+        assert r.n_chars == len(r.text or "") and r["size"] == "own" and r.target == 5
     assert all(sums[i] == t for i, t in taken.items())
 
 
