@@ -37,7 +37,14 @@ SLACK = 8
 ITEMS_PER_TASK = 50_000
 MERGE_GAIN = 0.02
 #: word encodings a worker remembers (about 200 bytes each)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
+#: words encoded as one string: words of letters parted by blanks (each ends in
+#: one token that ends a word), others by PART, a special token
+TOGETHER = 64
+PART = "<|startoftext|>"
+WORD_END = "</w>"
+#: marks that make a token run of their own after letters (no apostrophe)
+MARKS = b".,;:!?#*$%&|\"()"
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -53,8 +60,70 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.part = self.tokenizer.token_to_id(PART)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True  # their strings are ordinary text
         self.known: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+
+    def learn(self, words) -> None:
+        """Remember the ids of each word. A word of letters and then marks has
+        the ids of both parts, so only parts that are new are encoded."""
+        known = self.known
+        letters, others, joined = set(), set(), []
+        for w in words:
+            core = w.rstrip(MARKS)
+            text = core.decode("utf-8")
+            if text.isalpha() and text.lower().isalpha():
+                if core not in known:
+                    letters.add(core)
+                if len(core) < len(w):
+                    tail = w[len(core):]
+                    joined.append((w, core, tail))
+                    if tail not in known:
+                        others.add(tail)
+            else:
+                others.add(w)
+        others |= self._learn_letters(list(letters))
+        special = [w for w in others if b"<|" in w]
+        for w in special:
+            ids = self.plain.encode(w.decode("utf-8"), add_special_tokens=False).ids
+            known[w] = np.asarray(ids, "<u4").tobytes()
+        self._learn_parted([w for w in others if b"<|" not in w])
+        for w, core, tail in joined:
+            known[w] = known[core] + known[tail]
+
+    def _encoded(self, words: list[bytes], between: bytes):
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        texts = [between.join(g).decode("utf-8") for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts,
+                                                                     add_special_tokens=False)):
+            yield group, np.asarray(e.ids, "<u4")
+
+    def _learn_letters(self, words: list[bytes]) -> set[bytes]:
+        """Learn words of letters; those of a group whose words do not end
+        where word-ending tokens say (letters to Python, but not to the
+        tokenizer) are returned."""
+        left: set[bytes] = set()
+        for group, ids in self._encoded(words, b" "):
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(group) or (cuts and cuts[-1] != len(ids)):
+                left.update(group)
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, cut in zip(group, cuts):
+                self.known[w] = raw[4 * at:4 * cut]
+                at = cut
+        return left
+
+    def _learn_parted(self, words: list[bytes]) -> None:
+        for group, ids in self._encoded(words, PART.encode()):
+            raw, at = ids.tobytes(), 0
+            for w, cut in zip(group, [*np.flatnonzero(ids == self.part).tolist(), len(ids)]):
+                self.known[w] = raw[4 * at:4 * cut]
+                at = cut + 1
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -63,11 +132,7 @@ class WordEncoder:
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
             new = set().union(*parts)
-        if new:
-            new = sorted(new)
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(
-                    [w.decode("utf-8") for w in new], add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, "<u4").tobytes()
+        self.learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
