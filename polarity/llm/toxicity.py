@@ -41,6 +41,8 @@ AFFIXES = (4, 5, 6, 7, -4)
 CHAR_SCALE = np.float32(0.2)
 EPOCHS = 6
 BATCH = 128
+#: small samples are gone through more often, in smaller batches
+MIN_STEPS = 200
 RATE = 0.02
 CHUNK = 2 << 20
 
@@ -345,12 +347,14 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 1
     weight = np.where(y > 0, min(4.0, float(np.sqrt((y == 0).sum() / y.sum()))), 1.0)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in
                {**net, "word": m["word"], "char": m["char"]}.items()}
+    batch = min(BATCH, max(16, len(y) // 8))
+    epochs = max(epochs, -(-MIN_STEPS * batch // len(y)))
     step = 0
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(len(y))
-        for a in range(0, len(order), BATCH):
-            docs = np.sort(order[a:a + BATCH])
+        for a in range(0, len(order), batch):
+            docs = np.sort(order[a:a + batch])
             size = first[docs + 1] - first[docs]
             spans = _ranges(first[docs], size) if size.sum() else np.zeros(0, np.int64)
             x = data.inputs(m, data.number[spans])
