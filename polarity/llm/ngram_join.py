@@ -2,21 +2,23 @@
 
 1. Every text becomes its set of word shingles (64-bit hashes); equal sets are
    one class.
-2. Shingles are ordered globally: rare ones by hash, those that recur within
-   read tasks (a first pass; the most frequent of them, FREQUENT at most) after
-   them by frequency. Any order is correct; this one keeps shared passages out
-   of prefixes.
+2. Shingles are ordered globally: those whose hash is in the lowest COUNTED
+   part by the number of classes that hold them (counted over all classes, in
+   one exchange of that part), then the others by hash. Any order is correct;
+   this one puts rare shingles into prefixes and keeps shared passages out.
 3. Two sets can reach the threshold only if their prefixes share a shingle.
    Classes with one prefix and one size form a group; groups are posted under
-   the shingles of their prefix, and lists with the same groups are kept once
-   (under their first shingle).
+   those shingles of their prefix that others have too, and lists with the
+   same groups are kept once (under their first shingle).
 4. Group pairs are filtered by size and by the place of the shared shingle,
    expanded to members and verified on whole sets: first each member against
-   one member of its list, drawn by hash, whose links already join dense
-   groups; then, in lists that still hold several components, each member
-   outside the largest against all others, in blocks of bounded size.
-   Components of the verified links are the result; every link between
-   different components has been verified, so none is lost.
+   one member of its list, drawn by hash; these links already join most of a
+   dense group. Then, in lists that still hold several components, each
+   member outside the largest meets all members of other components: short
+   lists as pairs (once each, and only those not tried before), long ones in
+   blocks of bounded size. Components of the verified links are the result;
+   every pair that may link different components has been compared, so no
+   link between different texts is lost.
 
 Contract: A-Z count as lower case; fewer than ``width`` words make one shingle
 of them all; texts without words (and null) have no shingles and no links;
@@ -38,9 +40,10 @@ from polarity.llm.components import components
 WIDTH = 4
 #: Jaccard threshold in percent
 PERCENT = 85
-#: shingles of known frequency that are shipped to tasks (16 MB at most)
-FREQUENT = 1_000_000
-#: sets in a block of a long list
+#: part of all shingles that are counted; above the longest prefix (0.15)
+COUNTED = 0.2
+#: lists of more comparisons than this are compared in blocks of BLOCK sets
+PAIRS = 20_000
 BLOCK = 256
 
 
@@ -96,55 +99,31 @@ def _blocks(batch: pa.RecordBatch, column: int, width: int):
         yield a, b, *shingle_sets(raw[o[0]:o[-1]], o - o[0], width)
 
 
-def frequent_shingles(docs: DataFrame, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, ranks) of the shingles most often seen twice or more
-    within a batch of rows, by the sum of those counts."""
-    def run(batches):
-        for batch in batches:
-            parts = [g for _, _, g, _ in _blocks(batch, 0, width)]
-            if parts:
-                u, c = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(W.signed(u[c > 1])), pa.array(c[c > 1])], names=["h", "c"])
-    seen = (docs.select("text").mapInArrow(run, "h long, c long")
-            .groupBy("h").agg(F.sum("c").alias("c")).where("c >= 4"))
-    top = seen.orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
-    h = top["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    rank = np.log2(top["c"].to_numpy(np.float64) + 1)
-    return h[order], np.ceil(rank[order] * 4).astype(np.int32)
-
-
 def prefix_length(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def _prefixes(width: int, frequent):
-    """mapInArrow: (doc_id, text) -> (doc_id, cls, n, prefix, ranks)."""
+def _tokens(width: int):
+    """mapInArrow: (doc_id, text) -> doc_id, cls, n, the number of shingles
+    that are counted, and these in order of hash (more if a prefix needs
+    them)."""
+    limit = np.uint64(int(COUNTED * 2 ** 64))
+
     def run(batches):
-        hot, rank = frequent.value
         for batch in batches:
             for a, b, grams, bounds in _blocks(batch, 1, width):
-                ids, n = set_ids(grams, bounds), np.diff(bounds)
-                ranks = np.zeros(len(grams), np.int32)
-                if len(hot) and len(grams):
-                    at = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
-                    ranks = np.where(hot[at] == grams, rank[at], 0)
-                has = np.add.reduceat(np.append(ranks, 0), np.minimum(bounds[:-1], len(ranks)))
-                for i in np.flatnonzero((has > 0) & (n > 0)):
-                    s = slice(bounds[i], bounds[i + 1])
-                    order = np.argsort(ranks[s], kind="stable")
-                    grams[s], ranks[s] = grams[s][order], ranks[s][order]
-                size = np.where(n > 0, prefix_length(n), 0)
+                n = np.diff(bounds)
+                low = np.concatenate([[0], np.cumsum(grams < limit)])
+                counted = low[bounds[1:]] - low[bounds[:-1]]
+                size = np.where(n > 0, np.maximum(counted, prefix_length(n)), 0)
                 ends = np.concatenate([[0], np.cumsum(size)])
                 take = np.repeat(bounds[:-1] - ends[:-1], size) + np.arange(ends[-1])
-                off = pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()),
-                     pa.array(n.astype(np.int64)),
-                     pa.ListArray.from_arrays(off, pa.array(W.signed(grams[take]))),
-                     pa.ListArray.from_arrays(off, pa.array(ranks[take].astype(np.int32)))],
-                    names=["doc_id", "cls", "n", "prefix", "ranks"])
+                    [batch.column(0).slice(a, b - a), pa.array(set_ids(grams, bounds), pa.binary()),
+                     pa.array(n.astype(np.int64)), pa.array(counted.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                              pa.array(W.signed(grams[take])))],
+                    names=["doc_id", "cls", "n", "counted", "tokens"])
     return run
 
 
@@ -198,7 +177,7 @@ def _compare(block: dict, percent: int = PERCENT):
 
 
 def _block_links(batches):
-    """mapInArrow over rows sorted by (token, i, j): links of every block."""
+    """mapInArrow over rows sorted by (g, i, j): links of every block."""
     key, held = None, None
 
     def done():
@@ -209,7 +188,7 @@ def _block_links(batches):
     found: list = []
     for batch in batches:
         cols = {n: batch.column(n) for n in batch.schema.names}
-        keys = list(zip(*(cols[c].to_pylist() for c in ("token", "i", "j"))))
+        keys = list(zip(*(cols[c].to_pylist() for c in ("g", "i", "j"))))
         left, comp = cols["side"].to_pylist(), cols["comp"].to_pylist()
         flat = cols["hashes"].flatten().to_numpy()
         ends = np.concatenate([[0], np.cumsum(cols["hashes"].value_lengths().to_numpy())])
@@ -228,102 +207,180 @@ def _block_links(batches):
 
 
 def _pairs(found):
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()),
-                                       pa.array([b for _, b in found], pa.binary())],
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                       pa.array([b for _, b in found], pa.int64())],
                                       names=["u", "v"])
 
 
 # ---------------------------------------------------------------- join
 
-def _lists(t: DataFrame) -> DataFrame:
-    """(token, cls, n, p): members of every list that can hold a pair."""
-    t = t.where("n > 0").withColumn("gid", F.xxhash64("n", "prefix"))
-    members = checkpoint(t.groupBy("gid", "cls").agg(F.min("n").alias("n")), "members")
-    sizes = members.groupBy("gid").agg(F.count(F.lit(1)).alias("k"))
-    groups = t.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-                                  F.first("ranks").alias("ranks"))
-    posts = (groups.join(sizes, "gid")
-             .select("gid", "n", "k", F.posexplode(F.arrays_zip("prefix", "ranks")))
-             .select("gid", "n", "k", F.col("pos").alias("p"), F.col("col.prefix").alias("token"),
-                     F.col("col.ranks").alias("rank")))
+def _posted(t: DataFrame) -> DataFrame:
+    """(token, ref, n, p, common, late): the prefix shingles of every class
+    that other classes have too. p: place in the prefix, from 0; shingles that
+    are counted come in order of count (1 first, which are not posted), then
+    the late ones in order of hash."""
+    rows = t.select("ref", F.posexplode("tokens").alias("pos", "token"))
     each = Window.partitionBy("token")
-    posts = checkpoint(posts.withColumn("_k", F.sum("k").over(each)).where("_k > 1").drop("_k"),
-                       "posts")
-    lists = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("rank").alias("rank"),
-                                       F.sum(F.xxhash64("gid").cast("decimal(38,0)")).alias("h"))
+    rows = checkpoint(rows.withColumn("common", F.count(F.lit(1)).over(each)).where("common > 1"),
+                      "shared")
+    rows = rows.join(t.select("ref", "n", "counted"), "ref")
+    rows = rows.withColumn("late", F.col("pos") >= F.col("counted"))
+    rows = rows.withColumn("common", F.when(F.col("late"), 0).otherwise(F.col("common")))
+    own = Window.partitionBy("ref")
+    alone = F.col("counted") - F.count(F.when(~F.col("late"), 1)).over(own)
+    number = F.row_number().over(own.orderBy("late", "common", "pos")) - 1
+    rows = rows.withColumn("p", F.when(F.col("late"), F.col("pos")).otherwise(alone + number))
+    return rows.where(F.col("p") < prefix_length_of(F.col("n"))).drop("pos", "counted")
+
+
+def prefix_length_of(n: Column) -> Column:
+    return n - F.floor((n * PERCENT + 99) / 100) + 1
+
+
+def _lists(t: DataFrame) -> DataFrame:
+    """(token, ref, n, p): members of every list that can hold a pair."""
+    posts = checkpoint(_posted(t), "posts")
+    whole = posts.groupBy("ref", "n").agg(
+        F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("token", "p").cast("decimal(38,0)")).alias("h"))
+    # one group: all of the prefix is shared, and alike
+    gid = F.when(F.col("c") == prefix_length_of(F.col("n")), F.xxhash64("n", "h")).otherwise(
+        F.xxhash64("ref"))
+    members = checkpoint(whole.select("ref", "n", gid.alias("gid")), "members")
+    groups = members.groupBy("gid").agg(F.min("ref").alias("ref"), F.count(F.lit(1)).alias("k"))
+    at = posts.join(checkpoint(groups, "groups"), "ref").select("token", "gid", "k", "p", "common",
+                                                                "late")
+    at = checkpoint(at, "group-posts")
+    rank = F.struct("late", "common", F.col("token").bitwiseXOR(F.lit(-2 ** 63)).alias("h"))
+    lists = at.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("k").alias("k"), F.min(rank).alias("rank"),
+        F.sum(F.xxhash64("gid").cast("decimal(38,0)")).alias("h")).where("k > 1")
     kept = lists.groupBy("m", "h").agg(F.min(F.struct("rank", "token")).alias("f")).select(
         F.col("f.token").alias("token"))
-    return checkpoint(posts.join(kept, "token").select("token", "gid", "p")
-                      .join(members, "gid").select("token", "cls", "n", "p"), "lists")
+    return checkpoint(at.join(kept, "token").select("token", "gid", "p")
+                      .join(members, "gid").select("token", "ref", "n", "p"), "lists")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    a = sets.select(F.col("cls").alias("u"), F.col("hashes").alias("hu"))
-    b = sets.select(F.col("cls").alias("v"), F.col("hashes").alias("hv"))
+    a = sets.select(F.col("ref").alias("u"), F.col("hashes").alias("hu"))
+    b = sets.select(F.col("ref").alias("v"), F.col("hashes").alias("hv"))
     both = F.size(F.array_intersect("hu", "hv")).cast("long")
     rows = pairs.join(a, "u").join(b, "v").select(
         "u", "v", both.alias("c"), (F.size("hu") + F.size("hv")).cast("long").alias("s"))
     return rows.where(F.col("c") * 100 >= (F.col("s") - F.col("c")) * PERCENT).select("u", "v")
 
 
+def _pair_columns(pairs: DataFrame) -> DataFrame:
+    """(u, v) of rows (ref, n, p) and their partners c (ref, n, p), once."""
+    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"))
+    return pairs.where(F.col("ref") != F.col("c.ref")).where(ok).select(
+        F.greatest("ref", "c.ref").alias("u"), F.least("ref", "c.ref").alias("v")).distinct()
+
+
 def _drawn_pairs(lists: DataFrame) -> DataFrame:
     """Each member with the one drawn for its list, as far as they may link."""
-    draw = F.xxhash64("token", "cls")
-    centre = lists.groupBy("token").agg(F.min(F.struct(draw.alias("h"), "cls", "n", "p"))
-                                        .alias("c"))
-    m = lists.join(centre, "token").where("cls != c.cls").where(
-        _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p")))
-    return m.select(F.greatest("cls", "c.cls").alias("u"),
-                    F.least("cls", "c.cls").alias("v")).distinct()
-
-
-def _open_blocks(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of lists with several components, dealt into blocks: those
-    outside the list's largest component on the left, all on the right."""
-    m = checkpoint(lists.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
-                   .select("token", "cls", F.coalesce("component", "cls").alias("comp")), "open")
+    draw = F.xxhash64("token", "ref").alias("h")
+    centre = lists.groupBy("token").agg(F.min(F.struct(draw, "ref", "n", "p")).alias("c"))
+    return _pair_columns(lists.join(centre, "token"))
+
+
+def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """(token, ref, n, p, comp, top, m, out) of lists with several components:
+    the largest one, the members, and those outside it. Members that no size
+    and place in the list would let link are left out."""
+    m = checkpoint(lists.join(comps.select(F.col("node").alias("ref"), "component"), "ref", "left")
+                   .select("token", "ref", "n", "p", F.coalesce("component", "ref").alias("comp")),
+                   "members")
+    room = m.groupBy("token").agg(F.max(F.col("n") - F.col("p")).alias("room"),
+                                  F.min("n").alias("least"), F.min("comp").alias("c0"),
+                                  F.max("comp").alias("c1")).where("c0 != c1").drop("c0", "c1")
+    partner = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+    m = m.join(room, "token").where(
+        F.least(F.col("n") - F.col("p"), "room") >= _need(F.col("n"), partner))
+    m = checkpoint(m.select("token", "ref", "n", "p", "comp"), "members")
     parts = m.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-    at = parts.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("top"),
-                                    F.sum("c").alias("m"), F.count(F.lit(1)).alias("parts"))
-    at = at.where("parts > 1").select(
-        "token", F.col("top.comp").alias("top"), F.ceil(F.col("m") / BLOCK).cast("int").alias("nr"),
-        F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("nl"))
-    m = m.join(at, "token")
-    h = F.xxhash64("cls")
+    at = parts.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("t"), F.sum("c").alias("m"),
+                                    F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    at = at.select("token", F.col("t.comp").alias("top"), "m", (F.col("m") - F.col("t.c"))
+                   .alias("out"))
+    return checkpoint(m.join(at, "token"), "open")
+
+
+def _short_pairs(lists: DataFrame) -> DataFrame:
+    """All pairs that may link, of members outside the largest component with
+    members of others, in lists of at most PAIRS comparisons."""
+    short = lists.where(F.col("m") * F.col("out") <= PAIRS)
+    other = short.select("token", F.struct("ref", "n", "p", "comp").alias("c"))
+    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"))
+    return _pair_columns(short.where("comp != top").join(other, "token").where(
+        (F.col("comp") != F.col("c.comp")) & ok))
+
+
+def _long_blocks(lists: DataFrame) -> DataFrame:
+    """(g, ref, comp, i, j, side): members of the other lists dealt into
+    blocks: those outside the largest component on the left, all on the right.
+    Lists of one largest component are mostly the same documents under other
+    shingles; where taking them as one list sends fewer sets, they are."""
+    m = lists.where(F.col("m") * F.col("out") > PAIRS)
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK)
+    sent = (F.col("out") * blocks("m") + F.col("m") * blocks("out")).alias("sent")
+    apart = (m.groupBy("top", "token").agg(F.first("m").alias("m"), F.first("out").alias("out"))
+             .select("top", sent).groupBy("top").agg(F.sum("sent").alias("apart")))
+    once = m.select("top", "ref", "comp").distinct()
+    whole = once.groupBy("top").agg(F.count(F.lit(1)).alias("m"),
+                                    F.count(F.when(F.col("comp") != F.col("top"), 1)).alias("out"))
+    one = checkpoint(whole.join(apart, "top").where(sent <= F.col("apart"))
+                     .select("top", "m", "out"), "one")
+    joint = once.join(one, "top").select(F.concat(F.lit("c"), "top").alias("g"), "ref", "comp", "top",
+                                         "m", "out")
+    single = m.join(one.select("top"), "top", "left_anti").select(
+        F.concat(F.lit("l"), "token").alias("g"), "ref", "comp", "top", "m", "out")
+    m = joint.unionAll(single).withColumn("nr", blocks("m").cast("int")).withColumn(
+        "nl", blocks("out").cast("int"))
+    h = F.xxhash64("ref")
     left = m.where("comp != top").select(
-        "token", "cls", "comp", F.pmod(h, "nl").cast("int").alias("i"),
+        "g", "ref", "comp", F.pmod(h, "nl").cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("j"), F.lit(True).alias("side"))
     right = m.select(
-        "token", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("i"),
+        "g", "ref", "comp", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("i"),
         F.pmod(h, "nr").cast("int").alias("j"), F.lit(False).alias("side"))
     return left.unionAll(right)
 
 
 def classes(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, cls, n) of every document, (node, component) of linked
+    """((doc_id, cls, n) of every document, (cls, component) of linked
     classes)."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
+    arrow_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(d, width))
-    t = checkpoint(d.mapInArrow(_prefixes(width, frequent), "doc_id long, cls binary, n long, "
-                                "prefix array<long>, ranks array<int>"), "prefixes")
+    t = d.mapInArrow(_tokens(width), "doc_id long, cls binary, n long, counted long, "
+                                     "tokens array<long>")
+    t = checkpoint(t.withColumn("ref", F.monotonically_increasing_id()), "sets")
+    thin = t.select("doc_id", "cls", "n")
+    first = t.where("n > 0").groupBy("cls").agg(F.min("ref").alias("ref"))
+    first = checkpoint(first.select("ref"), "classes")
+    t = t.join(small_or_plain(first), "ref", "left_semi")
     lists = _lists(t)
-    wanted = lists.select("cls").distinct()
-    one = t.select("doc_id", "cls").join(wanted, "cls", "left_semi").groupBy("cls").agg(
-        F.min(F.coalesce("doc_id", F.lit(-2 ** 63))).alias("_id"))
-    one = checkpoint(one, "wanted")
+    wanted = checkpoint(t.join(small_or_plain(checkpoint(lists.select("ref").distinct(), "refs")),
+                               "ref", "left_semi")
+                        .select("ref", "cls", F.coalesce("doc_id", F.lit(-2 ** 63)).alias("_id")),
+                        "wanted")
     texts = (d.withColumn("_id", F.coalesce("doc_id", F.lit(-2 ** 63)))
-             .join(small_or_plain(one.select("_id").distinct()), "_id", "left_semi").select("text"))
+             .join(small_or_plain(wanted.select("_id").distinct()), "_id", "left_semi")
+             .select("text"))
     sets = texts.mapInArrow(_sets(width), "cls binary, hashes array<long>")
-    sets = checkpoint(sets.join(small_or_plain(one.select("cls")), "cls", "left_semi")
-                      .groupBy("cls").agg(F.first("hashes").alias("hashes")), "sets")
-    links = checkpoint(_verified(_drawn_pairs(lists), sets), "drawn")
+    sets = checkpoint(sets.join(small_or_plain(wanted.select("cls", "ref")), "cls")
+                      .select("ref", "hashes").dropDuplicates(["ref"]), "hashes")
+    tried = checkpoint(_drawn_pairs(lists), "pairs")
+    links = checkpoint(_verified(tried, sets), "links")
     comps = checkpoint(components(links), "comps")
-    blocks = (_open_blocks(lists, comps).join(sets, "cls").repartition("token", "i", "j")
-              .sortWithinPartitions("token", "i", "j"))
-    more = checkpoint(blocks.mapInArrow(_block_links, "u binary, v binary").distinct(), "more")
-    return t.select("doc_id", "cls", "n"), components(links.unionAll(more))
+    left = _open_lists(lists, comps)
+    rest = checkpoint(_short_pairs(left).join(tried, ["u", "v"], "left_anti"), "pairs")
+    links = links.unionAll(checkpoint(_verified(rest, sets), "links"))
+    blocks = (_long_blocks(left).join(sets, "ref").repartition("g", "i", "j")
+              .sortWithinPartitions("g", "i", "j"))
+    links = links.unionAll(checkpoint(
+        blocks.mapInArrow(_block_links, "u long, v long").distinct(), "links"))
+    comps = components(links).withColumnRenamed("node", "ref")
+    return thin, wanted.select("ref", "cls").join(comps, "ref").select("cls", "component")
 
 
 def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -331,8 +388,8 @@ def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     t, comps = classes(docs, width)
     comps = checkpoint(comps, "comps")
     per = t.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"))
-    per = per.join(comps.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", F.coalesce("component", "cls").alias("comp"), "id")
+    per = per.join(comps, "cls", "left").select(
+        "cls", F.coalesce(F.col("component").cast("string"), F.hex("cls")).alias("comp"), "id")
     per = checkpoint(per, "classes")
     least = per.groupBy("comp").agg(F.min("id").alias("component_id"))
     ids = checkpoint(per.join(least, "comp").select("cls", "component_id"), "class-ids")

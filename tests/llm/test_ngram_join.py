@@ -69,6 +69,7 @@ def test_against_brute_force(spark):
 def test_blocks_smaller_than_lists(spark, monkeypatch):
     """Long lists dealt into many blocks lose no link."""
     monkeypatch.setattr(J, "BLOCK", 3)
+    monkeypatch.setattr(J, "PAIRS", 4)
     docs = corpus(seed=9, groups=4, copies=20)
     assert got(spark, docs) == brute(docs)
 
