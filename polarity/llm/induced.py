@@ -104,14 +104,19 @@ def join_segments(segments) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _s_types(t: np.ndarray) -> np.ndarray:
-    """Whether each suffix is smaller than the next one (the last is not)."""
-    n = len(t)
-    s = np.zeros(n, bool)
-    differ = np.flatnonzero(t[:-1] != t[1:])
-    if len(differ):
-        up = t[differ] < t[differ + 1]
-        runs = np.diff(np.concatenate([[-1], differ]))
-        s[:differ[-1] + 1] = np.repeat(up, runs)
+    """Whether each suffix is smaller than the next one (the last is not),
+    from the end, block by block: a run of one byte has the type of its end."""
+    s = np.zeros(len(t), bool)
+    after = False
+    for b in range(len(t) - 1, 0, -CHUNK):
+        a = max(0, b - CHUNK)
+        x, y = t[a:b], t[a + 1:b + 1]
+        differ = np.flatnonzero(x != y)
+        s[a:b] = after
+        if len(differ):
+            runs = np.diff(np.concatenate([[-1], differ]))
+            s[a:a + differ[-1] + 1] = np.repeat(x[differ] < y[differ], runs)
+        after = s[a]
     return s
 
 

@@ -8,7 +8,10 @@ this text or another, goes. Texts meet without being compared in pairs:
    so windows whose anchor occurs once in the corpus cannot repeat. Equal
    texts are one class; all of a repeated class of DEPTH bytes goes.
 2. For each repeated anchor, the segment of the windows that picked it is
-   sent to the anchor's shard; equal segments are counted and sent once.
+   sent to the anchor's shard; equal segments are counted and sent once. An
+   anchor of many different segments is split: equal windows hold the anchor
+   at the same place, so windows are parted by that place, PART places a part,
+   and a part goes to the shard named by the bytes that all its windows share.
 3. A shard sorts the suffixes of its segments by external induced sorting
    (``induced``) and reads off which windows share DEPTH bytes with another.
 4. Repeated windows go back to their texts as byte ranges, are merged into
@@ -36,7 +39,11 @@ from polarity.llm.common import arrow_batches, checkpoint, small_or_plain
 DEPTH = 400
 K = 32
 #: bytes of segments per shard, aimed at
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
+#: distinct segments of one anchor from which it is split over shards, and the
+#: windows of a part
+HOT_SEGMENTS = 1000
+PART = 64
 #: bytes of a text handled at once (windows of neighbouring pieces overlap)
 PIECE = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
@@ -118,8 +125,8 @@ def _anchors(depth: int, k: int):
 
 def _segments(depth: int, k: int):
     """mapInArrow: (tk, text, repeated anchors) -> a row per run of windows of
-    such an anchor: tk, start, windows, h, sk (names anchor place and bytes),
-    and the bytes where sk is new to the batch."""
+    such an anchor: tk, start, windows, place of the anchor, h, sk (names that
+    place and the bytes), and the bytes where sk is new to the batch."""
     def run(batches):
         for batch in batches:
             tks = batch.column(0).to_pylist()
@@ -137,8 +144,8 @@ def _segments(depth: int, k: int):
                         s, c = int(start[j]), int(count[j])
                         seg = raw[s:s + c + depth - 1].tobytes()
                         sk = hashlib.md5(b"%d|" % (int(anchor[j]) - s) + seg).digest()
-                        out.append((tks[a + i], int(shift[i]) + s, c, int(h[j]), sk,
-                                    None if sk in seen else seg))
+                        out.append((tks[a + i], int(shift[i]) + s, c, int(anchor[j]) - s, int(h[j]),
+                                    sk, None if sk in seen else seg))
                         seen.add(sk)
                 if len(out) > 20_000:
                     yield _rows(out)
@@ -147,8 +154,8 @@ def _segments(depth: int, k: int):
     return run
 
 
-_SEG = [("tk", pa.binary()), ("start", pa.int64()), ("windows", pa.int64()), ("h", pa.int64()),
-        ("sk", pa.binary()), ("seg", pa.binary())]
+_SEG = [("tk", pa.binary()), ("start", pa.int64()), ("windows", pa.int64()), ("place", pa.int64()),
+        ("h", pa.int64()), ("sk", pa.binary()), ("seg", pa.binary())]
 
 
 def _rows(out):
@@ -159,31 +166,57 @@ def _rows(out):
 
 # ---------------------------------------------------------------- shards
 
+def _parts(depth: int):
+    """mapInArrow over segments of hot anchors (sk, windows, c, place, seg):
+    (sk, at, windows, c, key, seg) of their parts."""
+    part = min(PART, depth)  # the windows of a part share a byte at least
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for sk, windows, c, place, seg in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                # window i holds the anchor at place - i
+                for q in range((place - windows + 1) // part, place // part + 1):
+                    shared = place - part * q
+                    a, b = max(0, shared - part + 1), min(windows, shared + 1)
+                    core = seg[shared:shared - part + 1 + depth]
+                    key = hashlib.md5(b"%d|" % q + core).digest()[:8]
+                    out.append((sk, a, b - a, c, int.from_bytes(key, "little", signed=True),
+                                seg[a:b + depth - 1]))
+            cols = list(zip(*out)) if out else [()] * 6
+            types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)],
+                                             names=["sk", "at", "windows", "c", "key", "seg"])
+    return run
+
+
 def _shard(depth: int):
-    """mapInArrow over a shard's distinct segments (sk, windows, c, seg): the
-    ranges of windows that occur elsewhere. All of a segment that occurs twice
-    do; the others are sorted with the shard."""
+    """mapInArrow over a shard's distinct segments or parts (sk, at, windows,
+    c, seg): the ranges of windows that occur elsewhere. All of a segment that
+    occurs twice do; the others are sorted with the shard."""
     def run(batches):
-        meta: dict[bytes, tuple] = {}
+        meta: dict[tuple, tuple] = {}
 
         def segments():
             for batch in batches:
-                for sk, windows, c, seg in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                    if sk not in meta:  # other read tasks may have sent it too
-                        meta[sk] = (windows, c)
+                for sk, at, windows, c, seg in zip(*(batch.column(i).to_pylist()
+                                                     for i in range(5))):
+                    if (sk, at) not in meta:  # other read tasks may have sent it too
+                        meta[sk, at] = (windows, c)
                         yield seg
         text, starts = induced.join_segments(segments())
         if not meta:
             return
         twice = induced.repeated(text, len(text) - induced.MARGIN, depth)
         out = []
-        for (sk, (windows, c)), s in zip(meta.items(), starts):
+        for ((sk, at), (windows, c)), s in zip(meta.items(), starts):
             if c > 1:
-                out.append((sk, [{"a": 0, "b": windows}]))
+                out.append((sk, [{"a": at, "b": at + windows}]))
                 continue
             hit = np.flatnonzero(np.diff(np.concatenate([[0], twice[s:s + windows], [0]])))
             if len(hit):
-                out.append((sk, [{"a": int(x), "b": int(y)} for x, y in hit.reshape(-1, 2)]))
+                out.append((sk, [{"a": at + int(x), "b": at + int(y)} for x, y in
+                                 hit.reshape(-1, 2)]))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in out], pa.binary()),
              pa.array([r[1] for r in out], pa.list_(pa.struct([("a", pa.int64()),
@@ -211,26 +244,33 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
         F.collect_set("h").alias("h")), "wanted")
     some = d.join(small_or_plain(wanted.select("tk", "id")), ["tk", "id"], "left_semi")
     some = some.join(wanted, ["tk", "id"]).select("tk", "text", "h")
-    schema = "tk binary, start long, windows long, h long, sk binary, seg binary"
+    schema = ("tk binary, start long, windows long, place long, h long, sk binary, "
+              "seg binary")
     segs = checkpoint(some.mapInArrow(_segments(depth, k), schema), "segments")
     # a text's row may repeat; its runs count once
-    places = segs.select("tk", "start", "windows", "h", "sk").distinct()
+    places = segs.select("tk", "start", "windows", "place", "h", "sk").distinct()
     per = places.groupBy("h", "sk").agg(F.count(F.lit(1)).alias("c"),
-                                        F.first("windows").alias("windows"))
+                                        F.first("windows").alias("windows"),
+                                        F.first("place").alias("place"))
     per = checkpoint(per, "distinct")
-    several = per.groupBy("h").agg(F.count(F.lit(1)).alias("s")).where("s > 1").select("h")
-    hot = checkpoint(per.join(several, "h").select("sk", "h", "c", "windows"), "to-sort")
+    several = per.groupBy("h").agg(F.count(F.lit(1)).alias("s")).where("s > 1")
+    todo = checkpoint(per.join(several, "h").select("sk", "h", "c", "windows", "place", "s"),
+                      "to-sort")
     alike = per.where("c > 1").join(several, "h", "left_anti").select(
         "sk", F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))
         .alias("ranges"))
-    size = hot.agg(F.sum(F.col("windows") + depth)).first()[0] or 0
-    sent = (segs.where("seg is not null").select("sk", "seg")
-            .join(small_or_plain(hot), "sk"))
-    shards = (sent.repartition(max(1, -(-size // SHARD_BYTES)), "h")
-              .select("sk", "windows", "c", "seg")
+    size = todo.agg(F.sum(F.col("windows") + depth)).first()[0] or 0
+    sent = segs.where("seg is not null").select("sk", "seg").join(small_or_plain(todo), "sk")
+    parts = (sent.where(F.col("s") > HOT_SEGMENTS).select("sk", "windows", "c", "place", "seg")
+             .mapInArrow(_parts(depth), "sk binary, at long, windows long, c long, key long, "
+                                        "seg binary"))
+    whole = sent.where(F.col("s") <= HOT_SEGMENTS).select(
+        "sk", F.lit(0).cast("long").alias("at"), "windows", "c", F.col("h").alias("key"), "seg")
+    shards = (whole.unionAll(parts).repartition(max(1, -(-size // SHARD_BYTES)), "key")
+              .select("sk", "at", "windows", "c", "seg")
               .mapInArrow(_shard(depth), "sk binary, ranges array<struct<a:long,b:long>>"))
     ranges = checkpoint(shards.unionAll(alike), "ranges")
-    spans = places.join(small_or_plain(ranges), "sk").select(
+    spans = places.join(small_or_plain(ranges, size=F.size("ranges") * 16 + 40), "sk").select(
         "tk", F.explode(F.transform("ranges", lambda r: F.struct(
             (F.col("start") + r["a"]).alias("a"),
             (F.col("start") + r["b"] + (depth - 1)).alias("b")))).alias("span"))
@@ -264,10 +304,11 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, k: int = K, readable: bo
     names = docs.columns
     found = repeated_runs(docs, depth, k)
     rows = docs.withColumn("_sd_tk", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    rows = rows.join(small_or_plain(found.select(F.col("tk").alias("_sd_tk"),
-                                                 F.col("whole").alias("_sd_whole"),
-                                                 F.col("spans").alias("_sd_spans"))),
-                     "_sd_tk", "left").select(*names, "_sd_whole", "_sd_spans")
+    found = found.select(F.col("tk").alias("_sd_tk"), F.col("whole").alias("_sd_whole"),
+                         F.col("spans").alias("_sd_spans"))
+    size = F.greatest(F.size("_sd_spans"), F.lit(0)) * 24 + 60
+    rows = rows.join(small_or_plain(found, size=size), "_sd_tk", "left").select(
+        *names, "_sd_whole", "_sd_spans")
     at = names.index("text")
     schema = StructType(docs.schema.fields + [
         StructField(kept_col, StringType() if readable else BinaryType()), StructField(removed_col, LongType()),

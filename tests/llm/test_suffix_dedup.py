@@ -39,10 +39,13 @@ def corpus(seed, n=60):
     return texts
 
 
-@pytest.mark.parametrize("seed,shard,piece", [(1, S.SHARD_BYTES, S.PIECE), (2, 2000, 97),
-                                              (3, 500, 300)])
-def test_against_brute_force(spark, monkeypatch, seed, shard, piece):
+@pytest.mark.parametrize("seed,shard,hot,part", [
+    (1, S.SHARD_BYTES, S.HOT_SEGMENTS, S.PART), (2, 2000, 1, 7), (3, 500, 3, 16), (4, 900, 1, 64)])
+def test_against_brute_force(spark, monkeypatch, seed, shard, hot, part):
+    """One shard; many; and anchors split into parts."""
     monkeypatch.setattr(S, "SHARD_BYTES", shard)
+    monkeypatch.setattr(S, "HOT_SEGMENTS", hot)
+    monkeypatch.setattr(S, "PART", part)
     texts = corpus(seed)
     rows = [(i, t, "w") for i, t in enumerate(texts)] + [(None, "own " * 30, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, tk string").repartition(4)
