@@ -36,7 +36,7 @@ SLACK = 8
 #: items a merge task holds at most, and least shrinking that pays for a round
 ITEMS_PER_TASK = 50_000
 MERGE_GAIN = 0.02
-#: word encodings a worker remembers (about 200 bytes each)
+#: word encodings a task remembers (about 200 bytes each)
 CACHE_WORDS = 1_000_000
 #: words encoded as one string: words of letters parted by blanks (each ends in
 #: one token that ends a word), others by PART, a special token
@@ -251,6 +251,7 @@ def _first_round(path: str, capacity: int, slack: int, with_ids: bool):
                         crcs.append(zlib.crc32(cut))
                         if with_ids:
                             kept.append(cut)
+        enc.known.clear()  # workers live on: their memory is for the next stage
         total = np.asarray(lengths, np.int64)
         columns = {"doc_id": pa.array(ids, pa.int64()), "piece": pa.array(pieces, pa.int32()),
                    "start": pa.array(starts, pa.int64()), "length": pa.array(total),
