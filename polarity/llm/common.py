@@ -3,6 +3,9 @@ partition counts and size-checked broadcasts."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from polarity.session import checkpoint, ensure_checkpoint_dir, scratch_path
 
 __all__ = ["WS", "SPLIT", "checkpoint", "ensure_checkpoint_dir", "scratch_path", "fold",
            "words", "n_words", "let", "small_or_plain", "arrow_batches", "table",
-           "labelled_sample"]
+           "labelled_sample", "trim_memory"]
 
 #: the bytes that part words, and the same as a pattern (fixed values)
 WS = " \t\n\x0b\x0c\r"
@@ -80,3 +83,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
     rows = (text.join(F.broadcast(drawn), "doc_id").orderBy("doc_id", "_text").limit(n)
             .select("_text", "_y").collect())
     return [r[0] for r in rows], [r[1] for r in rows]
+
+
+def trim_memory() -> None:
+    """Give what training has freed back to the system (glibc keeps it): the
+    driver's Python lives on beside its JVM."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

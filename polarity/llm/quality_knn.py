@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, labelled_sample
+from polarity.llm.common import arrow_batches, labelled_sample, trim_memory
 
 BINS = 4096
 DIM = 64
@@ -140,7 +140,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
     arrow_batches(docs.sparkSession)
     texts, y = labelled_sample(docs, labels, label_col, folds, LABELLED, LABELLED_BYTES, "knn")
     df, n = document_frequencies(docs)
-    return fit(texts, y, df, n)
+    model = fit(texts, y, df, n)
+    trim_memory()
+    return model
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text",

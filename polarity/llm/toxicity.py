@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, labelled_sample
+from polarity.llm.common import arrow_batches, labelled_sample, trim_memory
 
 WINDOW = 32
 STRIDE = 16
@@ -32,7 +32,7 @@ DIM = 8
 HIDDEN = 8
 CHAR_BINS = 4096
 #: bounds of the labelled sample: documents, and bytes of each of them
-TRAIN_DOCS = 5000
+TRAIN_DOCS = 4000
 TRAIN_BYTES = 16_384
 MIN_DOCS = 3
 #: lengths in bytes of the starts (positive) and ends (negative) of words that
@@ -216,7 +216,7 @@ def _window_inputs(x, start, length):
     return out
 
 
-def logits(model: dict, raw: np.ndarray, offsets: np.ndarray, block: int = 8192):
+def logits(model: dict, raw: np.ndarray, offsets: np.ndarray, block: int = 4096):
     """(logit, row) of all windows of all texts."""
     x, row = token_inputs(model, raw, offsets)
     wrow, start, length = windows(row, len(offsets) - 1)
@@ -363,8 +363,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 1
             # a window's place among the batch's words
             ws = wstart[wins] - np.repeat(first[docs] - (np.cumsum(size) - size), n_wins)
             wl = wlen[wins]
-            z = np.concatenate([forward(net, _window_inputs(x, ws[i:i + 8192], wl[i:i + 8192]),
-                                        wl[i:i + 8192]) for i in range(0, len(wins), 8192)])
+            z = np.concatenate([forward(net, _window_inputs(x, ws[i:i + 2048], wl[i:i + 2048]),
+                                        wl[i:i + 2048]) for i in range(0, len(wins), 2048)])
             best = np.lexsort((z, local))[np.searchsorted(local, np.arange(len(docs)), "right") - 1]
             bs, bl = ws[best], wl[best]
             xin = _window_inputs(x, bs, bl)
@@ -389,7 +389,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
     """Fit on at most TRAIN_DOCS labelled documents of at most TRAIN_BYTES
     bytes, in order of a hash of their id; documents whose crc32 of the id
     modulo ``folds`` is 0 are held out."""
-    return fit(*labelled_sample(docs, labels, label_col, folds, TRAIN_DOCS, TRAIN_BYTES, "train"))
+    model = fit(*labelled_sample(docs, labels, label_col, folds, TRAIN_DOCS, TRAIN_BYTES, "train"))
+    trim_memory()
+    return model
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", score_col: str = "score",
