@@ -43,7 +43,7 @@ PERCENT = 85
 #: part of all shingles that are counted; above the longest prefix (0.15)
 COUNTED = 0.2
 #: lists of more comparisons than this are compared in blocks of BLOCK sets
-PAIRS = 20_000
+PAIRS = 2_000
 BLOCK = 256
 
 
@@ -94,7 +94,7 @@ def set_ids(grams: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 
 def _blocks(batch: pa.RecordBatch, column: int, width: int):
     raw, offsets = W.utf8(batch.column(column))
-    for a, b in W.chunks(offsets, 2 << 20):
+    for a, b in W.chunks(offsets, 1 << 19):
         o = offsets[a:b + 1]
         yield a, b, *shingle_sets(raw[o[0]:o[-1]], o - o[0], width)
 
