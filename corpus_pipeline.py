@@ -25,8 +25,9 @@ def reject_toxic(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document, that of the smallest id, of each group of near copies."""
-    return ngram_join.one_of_each(docs)
+    """One document, that of the smallest id, of each group of near copies:
+    80 % of the 5-word shingles."""
+    return ngram_join.one_of_each(docs, width=5, percent=80)
 
 
 def cut_repeats(spark, docs, sf_dir):

@@ -2,10 +2,11 @@
 
 1. Every text becomes its set of word shingles (64-bit hashes); equal sets are
    one class.
-2. Shingles are ordered globally: those whose hash is in the lowest COUNTED
-   part by the number of classes that hold them (counted over all classes, in
-   one exchange of that part), then the others by hash. Any order is correct;
-   this one puts rare shingles into prefixes and keeps shared passages out.
+2. Shingles are ordered globally: those whose hash is in the lowest part
+   (COUNTED_MORE percent more than the longest prefix) by the number of
+   classes that hold them (counted over all classes, in one exchange of that
+   part), then the others by hash. Any order is correct; this one puts rare
+   shingles into prefixes and keeps shared passages out.
 3. Two sets can reach the threshold only if their prefixes share a shingle.
    Classes with one prefix and one size form a group; groups are posted under
    those shingles of their prefix that others have too, and lists with the
@@ -37,11 +38,13 @@ from polarity.llm import words as W
 from polarity.llm.common import arrow_batches, checkpoint, small_or_plain
 from polarity.llm.components import components
 
-WIDTH = 4
-#: Jaccard threshold in percent
-PERCENT = 85
-#: part of all shingles that are counted; above the longest prefix (0.15)
-COUNTED = 0.2
+#: words of a shingle and Jaccard threshold in percent of near duplicates; the
+#: query op4 gives its own (4 and 85)
+WIDTH = 5
+PERCENT = 80
+#: percent of all shingles that are counted beyond the longest prefix's
+#: 100 - threshold
+COUNTED_MORE = 5
 #: lists of more comparisons than this are compared in blocks of BLOCK sets
 PAIRS = 2_000
 BLOCK = 256
@@ -99,15 +102,15 @@ def _blocks(batch: pa.RecordBatch, column: int, width: int):
         yield a, b, *shingle_sets(raw[o[0]:o[-1]], o - o[0], width)
 
 
-def prefix_length(n):
-    return n - (PERCENT * n + 99) // 100 + 1
+def prefix_length(n, percent: int = PERCENT):
+    return n - (percent * n + 99) // 100 + 1
 
 
-def _tokens(width: int):
+def _tokens(width: int, percent: int):
     """mapInArrow: (doc_id, text) -> doc_id, cls, n, the number of shingles
     that are counted, and these in order of hash (more if a prefix needs
     them)."""
-    limit = np.uint64(int(COUNTED * 2 ** 64))
+    limit = np.uint64(min((100 - percent + COUNTED_MORE) * 2 ** 64 // 100, 2 ** 64 - 1))
 
     def run(batches):
         for batch in batches:
@@ -115,7 +118,7 @@ def _tokens(width: int):
                 n = np.diff(bounds)
                 low = np.concatenate([[0], np.cumsum(grams < limit)])
                 counted = low[bounds[1:]] - low[bounds[:-1]]
-                size = np.where(n > 0, np.maximum(counted, prefix_length(n)), 0)
+                size = np.where(n > 0, np.maximum(counted, prefix_length(n, percent)), 0)
                 ends = np.concatenate([[0], np.cumsum(size)])
                 take = np.repeat(bounds[:-1] - ends[:-1], size) + np.arange(ends[-1])
                 yield pa.RecordBatch.from_arrays(
@@ -140,18 +143,18 @@ def _sets(width: int):
 
 # ---------------------------------------------------------------- filters
 
-def _need(n1: Column, n2: Column) -> Column:
+def _need(n1: Column, n2: Column, percent: int) -> Column:
     """Least intersection of sets of these sizes at the threshold."""
-    return F.ceil((n1 + n2) * F.lit(PERCENT) / F.lit(100 + PERCENT))
+    return F.ceil((n1 + n2) * F.lit(percent) / F.lit(100 + percent))
 
 
-def _may_link(n1, p1, n2, p2) -> Column:
+def _may_link(n1, p1, n2, p2, percent: int) -> Column:
     """Size filter, and the bound from the first shared shingle's places."""
-    near = (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * PERCENT)
-    return near & (F.least(n1 - p1, n2 - p2) >= _need(n1, n2))
+    near = (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent)
+    return near & (F.least(n1 - p1, n2 - p2) >= _need(n1, n2, percent))
 
 
-def _compare(block: dict, percent: int = PERCENT):
+def _compare(block: dict, percent: int):
     """Verified links of one block: each left member against all right ones of
     other components, by marking its shingles among theirs."""
     hashes = np.concatenate(block["sets"])
@@ -176,34 +179,36 @@ def _compare(block: dict, percent: int = PERCENT):
     return list(out)
 
 
-def _block_links(batches):
+def _block_links(percent: int):
     """mapInArrow over rows sorted by (g, i, j): links of every block."""
-    key, held = None, None
-
-    def done():
-        if held and any(held["left"]) and not all(held["left"]):
-            block = {"sets": held["sets"], "left": np.array(held["left"]), "comp": held["comp"]}
-            return _compare(block)
-        return []
-    found: list = []
-    for batch in batches:
-        cols = {n: batch.column(n) for n in batch.schema.names}
-        keys = list(zip(*(cols[c].to_pylist() for c in ("g", "i", "j"))))
-        left, comp = cols["side"].to_pylist(), cols["comp"].to_pylist()
-        flat = cols["hashes"].flatten().to_numpy()
-        ends = np.concatenate([[0], np.cumsum(cols["hashes"].value_lengths().to_numpy())])
-        for r, k in enumerate(keys):
-            if k != key:
-                found += done()
-                key, held = k, {"sets": [], "left": [], "comp": []}
-            held["sets"].append(flat[ends[r]:ends[r + 1]].copy())
-            held["left"].append(left[r])
-            held["comp"].append(comp[r])
-        if len(found) > 10_000:
-            yield _pairs(found)
-            found = []
-    found += done()
-    yield _pairs(found)
+    def run(batches):
+        key, held = None, None
+
+        def done():
+            if held and any(held["left"]) and not all(held["left"]):
+                block = {"sets": held["sets"], "left": np.array(held["left"]), "comp": held["comp"]}
+                return _compare(block, percent)
+            return []
+        found: list = []
+        for batch in batches:
+            cols = {n: batch.column(n) for n in batch.schema.names}
+            keys = list(zip(*(cols[c].to_pylist() for c in ("g", "i", "j"))))
+            left, comp = cols["side"].to_pylist(), cols["comp"].to_pylist()
+            flat = cols["hashes"].flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(cols["hashes"].value_lengths().to_numpy())])
+            for r, k in enumerate(keys):
+                if k != key:
+                    found += done()
+                    key, held = k, {"sets": [], "left": [], "comp": []}
+                held["sets"].append(flat[ends[r]:ends[r + 1]].copy())
+                held["left"].append(left[r])
+                held["comp"].append(comp[r])
+            if len(found) > 10_000:
+                yield _pairs(found)
+                found = []
+        found += done()
+        yield _pairs(found)
+    return run
 
 
 def _pairs(found):
@@ -214,7 +219,7 @@ def _pairs(found):
 
 # ---------------------------------------------------------------- join
 
-def _posted(t: DataFrame) -> DataFrame:
+def _posted(t: DataFrame, percent: int) -> DataFrame:
     """(token, ref, n, p, common, late): the prefix shingles of every class
     that other classes have too. p: place in the prefix, from 0; shingles that
     are counted come in order of count (1 first, which are not posted), then
@@ -230,20 +235,20 @@ def _posted(t: DataFrame) -> DataFrame:
     alone = F.col("counted") - F.count(F.when(~F.col("late"), 1)).over(own)
     number = F.row_number().over(own.orderBy("late", "common", "pos")) - 1
     rows = rows.withColumn("p", F.when(F.col("late"), F.col("pos")).otherwise(alone + number))
-    return rows.where(F.col("p") < prefix_length_of(F.col("n"))).drop("pos", "counted")
+    return rows.where(F.col("p") < prefix_length_of(F.col("n"), percent)).drop("pos", "counted")
 
 
-def prefix_length_of(n: Column) -> Column:
-    return n - F.floor((n * PERCENT + 99) / 100) + 1
+def prefix_length_of(n: Column, percent: int) -> Column:
+    return n - F.floor((n * percent + 99) / 100) + 1
 
 
-def _lists(t: DataFrame) -> DataFrame:
+def _lists(t: DataFrame, percent: int) -> DataFrame:
     """(token, ref, n, p): members of every list that can hold a pair."""
-    posts = checkpoint(_posted(t), "posts")
+    posts = checkpoint(_posted(t, percent), "posts")
     whole = posts.groupBy("ref", "n").agg(
         F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("token", "p").cast("decimal(38,0)")).alias("h"))
     # one group: all of the prefix is shared, and alike
-    gid = F.when(F.col("c") == prefix_length_of(F.col("n")), F.xxhash64("n", "h")).otherwise(
+    gid = F.when(F.col("c") == prefix_length_of(F.col("n"), percent), F.xxhash64("n", "h")).otherwise(
         F.xxhash64("ref"))
     members = checkpoint(whole.select("ref", "n", gid.alias("gid")), "members")
     groups = members.groupBy("gid").agg(F.min("ref").alias("ref"), F.count(F.lit(1)).alias("k"))
@@ -260,30 +265,30 @@ def _lists(t: DataFrame) -> DataFrame:
                       .join(members, "gid").select("token", "ref", "n", "p"), "lists")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("ref").alias("u"), F.col("hashes").alias("hu"))
     b = sets.select(F.col("ref").alias("v"), F.col("hashes").alias("hv"))
     both = F.size(F.array_intersect("hu", "hv")).cast("long")
     rows = pairs.join(a, "u").join(b, "v").select(
         "u", "v", both.alias("c"), (F.size("hu") + F.size("hv")).cast("long").alias("s"))
-    return rows.where(F.col("c") * 100 >= (F.col("s") - F.col("c")) * PERCENT).select("u", "v")
+    return rows.where(F.col("c") * 100 >= (F.col("s") - F.col("c")) * percent).select("u", "v")
 
 
-def _pair_columns(pairs: DataFrame) -> DataFrame:
+def _pair_columns(pairs: DataFrame, percent: int) -> DataFrame:
     """(u, v) of rows (ref, n, p) and their partners c (ref, n, p), once."""
-    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"))
+    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"), percent)
     return pairs.where(F.col("ref") != F.col("c.ref")).where(ok).select(
         F.greatest("ref", "c.ref").alias("u"), F.least("ref", "c.ref").alias("v")).distinct()
 
 
-def _drawn_pairs(lists: DataFrame) -> DataFrame:
+def _drawn_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Each member with the one drawn for its list, as far as they may link."""
     draw = F.xxhash64("token", "ref").alias("h")
     centre = lists.groupBy("token").agg(F.min(F.struct(draw, "ref", "n", "p")).alias("c"))
-    return _pair_columns(lists.join(centre, "token"))
+    return _pair_columns(lists.join(centre, "token"), percent)
 
 
-def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
+def _open_lists(lists: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """(token, ref, n, p, comp, top, m, out) of lists with several components:
     the largest one, the members, and those outside it. Members that no size
     and place in the list would let link are left out."""
@@ -293,9 +298,9 @@ def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
     room = m.groupBy("token").agg(F.max(F.col("n") - F.col("p")).alias("room"),
                                   F.min("n").alias("least"), F.min("comp").alias("c0"),
                                   F.max("comp").alias("c1")).where("c0 != c1").drop("c0", "c1")
-    partner = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+    partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
     m = m.join(room, "token").where(
-        F.least(F.col("n") - F.col("p"), "room") >= _need(F.col("n"), partner))
+        F.least(F.col("n") - F.col("p"), "room") >= _need(F.col("n"), partner, percent))
     m = checkpoint(m.select("token", "ref", "n", "p", "comp"), "members")
     parts = m.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     at = parts.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("t"), F.sum("c").alias("m"),
@@ -305,14 +310,14 @@ def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return checkpoint(m.join(at, "token"), "open")
 
 
-def _short_pairs(lists: DataFrame) -> DataFrame:
+def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs that may link, of members outside the largest component with
     members of others, in lists of at most PAIRS comparisons."""
     short = lists.where(F.col("m") * F.col("out") <= PAIRS)
     other = short.select("token", F.struct("ref", "n", "p", "comp").alias("c"))
-    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"))
+    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"), percent)
     return _pair_columns(short.where("comp != top").join(other, "token").where(
-        (F.col("comp") != F.col("c.comp")) & ok))
+        (F.col("comp") != F.col("c.comp")) & ok), percent)
 
 
 def _long_blocks(lists: DataFrame) -> DataFrame:
@@ -346,19 +351,20 @@ def _long_blocks(lists: DataFrame) -> DataFrame:
     return left.unionAll(right)
 
 
-def classes(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, width: int = WIDTH,
+            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """((doc_id, cls, n) of every document, (cls, component) of linked
     classes)."""
     arrow_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    t = d.mapInArrow(_tokens(width), "doc_id long, cls binary, n long, counted long, "
+    t = d.mapInArrow(_tokens(width, percent), "doc_id long, cls binary, n long, counted long, "
                                      "tokens array<long>")
     t = checkpoint(t.withColumn("ref", F.monotonically_increasing_id()), "sets")
     thin = t.select("doc_id", "cls", "n")
     first = t.where("n > 0").groupBy("cls").agg(F.min("ref").alias("ref"))
     first = checkpoint(first.select("ref"), "classes")
     t = t.join(small_or_plain(first), "ref", "left_semi")
-    lists = _lists(t)
+    lists = _lists(t, percent)
     wanted = checkpoint(t.join(small_or_plain(checkpoint(lists.select("ref").distinct(), "refs")),
                                "ref", "left_semi")
                         .select("ref", "cls", F.coalesce("doc_id", F.lit(-2 ** 63)).alias("_id")),
@@ -369,23 +375,23 @@ def classes(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     sets = texts.mapInArrow(_sets(width), "cls binary, hashes array<long>")
     sets = checkpoint(sets.join(small_or_plain(wanted.select("cls", "ref")), "cls")
                       .select("ref", "hashes").dropDuplicates(["ref"]), "hashes")
-    tried = checkpoint(_drawn_pairs(lists), "pairs")
-    links = checkpoint(_verified(tried, sets), "links")
+    tried = checkpoint(_drawn_pairs(lists, percent), "pairs")
+    links = checkpoint(_verified(tried, sets, percent), "links")
     comps = checkpoint(components(links), "comps")
-    left = _open_lists(lists, comps)
-    rest = checkpoint(_short_pairs(left).join(tried, ["u", "v"], "left_anti"), "pairs")
-    links = links.unionAll(checkpoint(_verified(rest, sets), "links"))
+    left = _open_lists(lists, comps, percent)
+    rest = checkpoint(_short_pairs(left, percent).join(tried, ["u", "v"], "left_anti"), "pairs")
+    links = links.unionAll(checkpoint(_verified(rest, sets, percent), "links"))
     blocks = (_long_blocks(left).join(sets, "ref").repartition("g", "i", "j")
               .sortWithinPartitions("g", "i", "j"))
     links = links.unionAll(checkpoint(
-        blocks.mapInArrow(_block_links, "u long, v long").distinct(), "links"))
+        blocks.mapInArrow(_block_links(percent), "u long, v long").distinct(), "links"))
     comps = components(links).withColumnRenamed("node", "ref")
     return thin, wanted.select("ref", "cls").join(comps, "ref").select("cls", "component")
 
 
-def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
-    t, comps = classes(docs, width)
+    t, comps = classes(docs, width, percent)
     comps = checkpoint(comps, "comps")
     per = t.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"))
     per = per.join(comps, "cls", "left").select(
@@ -399,11 +405,11 @@ def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                        .alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text and any others) with one document of each
     component, that of the smallest id. Rows that repeat an id are few or
     none; only they are compared as rows, and equal ones count as one."""
-    rows = checkpoint(join_components(docs, width), "join")
+    rows = checkpoint(join_components(docs, width, percent), "join")
     gone = checkpoint(rows.where("doc_id != component_id").select("doc_id").distinct(), "dropped")
     kept = docs.join(small_or_plain(gone), "doc_id", "left_anti").select(*docs.columns)
     twice = checkpoint(rows.groupBy("doc_id").count().where("count > 1 and doc_id is not null")

@@ -31,7 +31,7 @@ def op3_best_fit_packing(spark, sf_dir):
 
 
 def op4_ngram_jaccard(spark, sf_dir):
-    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 def op5_host_rules(spark, sf_dir):
