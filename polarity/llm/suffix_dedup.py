@@ -12,6 +12,8 @@ this text or another, goes. Texts meet without being compared in pairs:
    anchor of many different segments is split: equal windows hold the anchor
    at the same place, so windows are parted by that place, PART places a part,
    and a part goes to the shard named by the bytes that all its windows share.
+   Bytes that many parts share (a passage in many texts) are no shard: there
+   each window is named by its place and bytes, and names are counted.
 3. A shard sorts the suffixes of its segments by external induced sorting
    (``induced``) and reads off which windows share DEPTH bytes with another.
 4. Repeated windows go back to their texts as byte ranges, are merged into
@@ -40,8 +42,9 @@ DEPTH = 400
 K = 32
 #: bytes of segments per shard, aimed at
 SHARD_BYTES = 2 << 20
-#: distinct segments of one anchor from which it is split over shards, and the
-#: windows of a part
+#: distinct segments of one anchor from which it is split over shards (also
+#: parts of one key from which their windows are counted), and the windows of
+#: a part
 HOT_SEGMENTS = 1000
 PART = 64
 #: bytes of a text handled at once (windows of neighbouring pieces overlap)
@@ -166,9 +169,10 @@ def _rows(out):
 
 # ---------------------------------------------------------------- shards
 
-def _parts(depth: int):
+def _parts(depth: int, bytes_too: bool = True):
     """mapInArrow over segments of hot anchors (sk, windows, c, place, seg):
-    (sk, at, windows, c, key, seg) of their parts."""
+    (sk, at, windows, c, key, seg) of their parts; seg is null without
+    ``bytes_too``."""
     part = min(PART, depth)  # the windows of a part share a byte at least
 
     def run(batches):
@@ -182,7 +186,7 @@ def _parts(depth: int):
                     core = seg[shared:shared - part + 1 + depth]
                     key = hashlib.md5(b"%d|" % q + core).digest()[:8]
                     out.append((sk, a, b - a, c, int.from_bytes(key, "little", signed=True),
-                                seg[a:b + depth - 1]))
+                                seg[a:b + depth - 1] if bytes_too else None))
             cols = list(zip(*out)) if out else [()] * 6
             types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)],
@@ -190,6 +194,40 @@ def _parts(depth: int):
     return run
 
 
+def _windows(depth: int):
+    """mapInArrow over parts of hot keys (sk, at, windows, c, key, seg): (sk,
+    at, c, wk), a row per window. wk names the key and the window's bytes:
+    equal windows have their anchor at one place, so lie in parts of one key."""
+    def run(batches):
+        for batch in batches:
+            for i in range(0, len(batch), 256):
+                out = []
+                for sk, at, windows, c, key, seg in zip(*(
+                        batch.column(j).slice(i, 256).to_pylist() for j in range(6))):
+                    head = b"%d|" % key
+                    for w in range(windows):
+                        out.append((sk, at + w, c,
+                                    hashlib.md5(head + seg[w:w + depth]).digest()))
+                cols = list(zip(*out)) if out else [()] * 4
+                types = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)],
+                                                 names=["sk", "at", "c", "wk"])
+    return run
+
+
+def _counted(parts: DataFrame, depth: int) -> DataFrame:
+    """(sk, ranges) of the windows in ``parts`` that occur elsewhere. Nothing
+    is gathered by key: equal windows meet as partial counts."""
+    once = parts.dropDuplicates(["sk", "at"])  # other read tasks may have sent it too
+    w = checkpoint(once.mapInArrow(_windows(depth), "sk binary, at long, c long, wk binary"),
+                   "windows")
+    twice = checkpoint(w.groupBy("wk").agg(F.sum("c").alias("n")).where("n > 1").select("wk"),
+                       "twice")
+    return w.join(small_or_plain(twice), "wk", "left_semi").groupBy("sk").agg(
+        F.collect_list(F.struct("at", (F.col("at") + 1).alias("b"))).alias("ranges")).select(
+            "sk", F.col("ranges").cast("array<struct<a:long,b:long>>").alias("ranges"))
+
+
 def _shard(depth: int):
     """mapInArrow over a shard's distinct segments or parts (sk, at, windows,
     c, seg): the ranges of windows that occur elsewhere. All of a segment that
@@ -261,15 +299,24 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
         .alias("ranges"))
     size = todo.agg(F.sum(F.col("windows") + depth)).first()[0] or 0
     sent = segs.where("seg is not null").select("sk", "seg").join(small_or_plain(todo), "sk")
-    parts = (sent.where(F.col("s") > HOT_SEGMENTS).select("sk", "windows", "c", "place", "seg")
-             .mapInArrow(_parts(depth), "sk binary, at long, windows long, c long, key long, "
-                                        "seg binary"))
+    hot = sent.where(F.col("s") > HOT_SEGMENTS).select("sk", "windows", "c", "place", "seg")
+    schema = "sk binary, at long, windows long, c long, key long, seg binary"
+    parts = hot.mapInArrow(_parts(depth), schema)
+    # a passage of more bytes than parts share gives one key in every text
+    crowded = checkpoint(hot.mapInArrow(_parts(depth, bytes_too=False), schema).groupBy("key").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_SEGMENTS).select("key"), "crowded")
+    done = alike
+    if not crowded.isEmpty():
+        crowded = small_or_plain(crowded)
+        done = alike.unionAll(_counted(parts.join(crowded, "key", "left_semi").select(
+            *parts.columns), depth))
+        parts = parts.join(crowded, "key", "left_anti").select(*parts.columns)
     whole = sent.where(F.col("s") <= HOT_SEGMENTS).select(
         "sk", F.lit(0).cast("long").alias("at"), "windows", "c", F.col("h").alias("key"), "seg")
     shards = (whole.unionAll(parts).repartition(max(1, -(-size // SHARD_BYTES)), "key")
               .select("sk", "at", "windows", "c", "seg")
               .mapInArrow(_shard(depth), "sk binary, ranges array<struct<a:long,b:long>>"))
-    ranges = checkpoint(shards.unionAll(alike), "ranges")
+    ranges = checkpoint(shards.unionAll(done), "ranges")
     spans = places.join(small_or_plain(ranges, size=F.size("ranges") * 16 + 40), "sk").select(
         "tk", F.explode(F.transform("ranges", lambda r: F.struct(
             (F.col("start") + r["a"]).alias("a"),
