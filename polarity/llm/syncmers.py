@@ -2,14 +2,16 @@
 
 Units are words. A k-mer of words is an anchor if the smallest hash among its
 inner s-mers lies at its first or last place; that depends on the k-mer alone,
-so an edit moves no anchor outside the words it touches. The fingerprint is
-the bottom sketch of the distinct anchors: the SKETCH smallest hashes, in hex.
-Texts with fewer anchors (most) keep every one, and likeness is then exactly
-the Jaccard similarity of the anchor sets.
+so an edit moves no anchor outside the words it touches. Every anchor is kept
+with its place (the number of its first word, from 0), so what two texts share
+can be found and aligned. The fingerprint is the whole set of distinct anchors,
+sorted, in hex, and likeness is the Jaccard similarity of these sets. The
+bottom sketch, the SKETCH smallest of them, is a column of its own.
 
 Contract: null text is empty; texts with fewer than k words have one anchor,
-the hash of all their words; texts without words have an empty fingerprint,
-and two empty ones have likeness 1. Rows with one id are ordered by text hash.
+the hash of all their words, at 0; texts without words have an empty
+fingerprint, and two empty ones have likeness 1. Rows with one id are ordered
+by text hash.
 """
 
 from __future__ import annotations
@@ -27,36 +29,59 @@ MAX_BUCKETS = 4096
 _FAN = 64
 
 
-def anchors(text: Column, k: int = K) -> Column:
-    """Distinct 32-bit anchors of a text (inner s-mers are single words)."""
+_MASK = 0xFFFFFFFF
+
+
+def _packed(text: Column, k: int) -> Column:
+    """All anchors of a text in order of place, repeated ones too: a long each,
+    the place above the 32 bits of the hash (inner s-mers are single words)."""
     def of(h: Column) -> Column:
         def inner_least(i: Column) -> Column:
             edge = F.least(F.get(h, i), F.get(h, i + (k - 1)))
             return edge <= F.least(*[F.get(h, i + j) for j in range(1, k - 1)]) if k > 3 \
                 else edge <= F.get(h, i + 1)
         at = F.filter(F.sequence(F.lit(0), F.size(h) - k), inner_least)
-        some = F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
-        full = F.when(F.size(h) >= k, some).when(
-            F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
-        return F.array_distinct(F.transform(full, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))))
+        some = F.transform(at, lambda i: F.shiftleft(i.cast("long"), 32).bitwiseOR(
+            F.xxhash64(*[F.get(h, i + j) for j in range(k)]).bitwiseAND(F.lit(_MASK))))
+        return F.when(F.size(h) >= k, some).when(
+            F.size(h) > 0, F.array(F.xxhash64(h).bitwiseAND(F.lit(_MASK)))).otherwise(
+                F.array().cast("array<bigint>"))
     return let(F.transform(words(text), lambda w: F.xxhash64(w)), of)
 
 
-def sketch(text: Column, k: int = K, size: int = SKETCH) -> Column:
-    return F.slice(F.array_sort(anchors(text, k)), 1, size)
+def _hashes(packed: Column) -> Column:
+    return F.array_distinct(F.transform(packed, lambda x: x.bitwiseAND(F.lit(_MASK))))
+
+
+def _places(packed: Column) -> Column:
+    return F.transform(packed, lambda x: F.struct(
+        x.bitwiseAND(F.lit(_MASK)).alias("hash"), F.shiftright(x, 32).cast("int").alias("position")))
+
+
+def anchors(text: Column, k: int = K) -> Column:
+    """Distinct 32-bit anchors of a text."""
+    return _hashes(_packed(text, k))
+
+
+def placed_anchors(text: Column, k: int = K) -> Column:
+    """(hash, position) of every anchor of a text in order of position, the
+    number of its first word."""
+    return _places(_packed(text, k))
+
 
+def sketch(hashes: Column, size: int = SKETCH) -> Column:
+    """The smallest of a sorted set of anchors."""
+    return F.slice(hashes, 1, size)
 
-def as_text(sk: Column) -> Column:
-    return F.array_join(F.transform(sk, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
+def as_text(hashes: Column) -> Column:
+    return F.lower(F.array_join(F.transform(hashes, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """Jaccard estimate: of the ``size`` smallest hashes of both sketches, the
-    share in both (exact while both sets are whole)."""
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two sets; 1 if both are empty."""
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(
-        let(least, lambda u: F.size(F.array_intersect(F.array_intersect(a, b), u))
-            / F.greatest(F.size(u), F.lit(1))))
+        let(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n)))
 
 
 def id_buckets(docs: DataFrame, key: Column) -> Column:
@@ -104,28 +129,40 @@ def with_next(docs: DataFrame, made: dict[str, Column], keep: list[str]) -> Data
             .where("_ghost = 0").drop("_k", "_t", "_b", "_ghost"))
 
 
+def _made(text: Column, k: int) -> Column:
+    """A text's anchors (packed) and its sorted set of hashes."""
+    return let(_packed(text, k), lambda p: F.struct(
+        p.alias("packed"), F.sort_array(_hashes(p)).alias("set")))
+
+
 def fingerprints(docs: DataFrame, k: int = K, size: int = SKETCH) -> DataFrame:
-    """(doc_id, fingerprint) of every document."""
-    return docs.select("doc_id", as_text(sketch(F.coalesce("text", F.lit("")), k, size))
-                       .alias("fingerprint"))
+    """(doc_id, fingerprint, sketch, anchors) of every document."""
+    out = let(_made(F.coalesce("text", F.lit("")), k), lambda m: F.struct(
+        as_text(m["set"]).alias("fingerprint"), as_text(sketch(m["set"], size)).alias("sketch"),
+        _places(m["packed"]).alias("anchors")))
+    return docs.select("doc_id", out.alias("_o")).select("doc_id", "_o.*")
 
 
 def compare_with_edits(docs: DataFrame, k: int = K, size: int = SKETCH) -> DataFrame:
     """Each document's fingerprint, that of its edited text (the last third
-    replaced by the start of the next document) and both likenesses."""
+    replaced by the start of the next document), both likenesses, and the
+    document's bottom sketch and placed anchors."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(d, {"_sk": sketch(F.col("text"), k, size)}, ["text", "_sk"])
+    rows = with_next(d, {"_m": _made(F.col("text"), k)}, ["text", "_m.set"])
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third),
                       F.substring(F.col("_next.text"), F.lit(1), third))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "_sk",
-                       F.col("_next._sk").alias("_nsk"), edited.alias("_e"))
-    out = let(sketch(F.col("_e"), k, size), lambda e: F.struct(
-        as_text(e).alias("fp"), likeness(F.col("_sk"), e, size).alias("near")))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), F.col("_m.set").alias("_set"),
+                       F.col("_m.packed").alias("_packed"), F.col("_next.set").alias("_nset"),
+                       edited.alias("_e"))
+    out = let(F.sort_array(anchors(F.col("_e"), k)), lambda e: F.struct(
+        as_text(e).alias("fp"), likeness(F.col("_set"), e).alias("near")))
     return (rows.withColumn("_o", out)
             .select("doc_id", "n_chars", F.sha2("_e", 256).alias("edited_sha256"),
-                    as_text(F.col("_sk")).alias("fingerprint"),
+                    as_text(F.col("_set")).alias("fingerprint"),
                     F.col("_o.fp").alias("edited_fingerprint"),
                     F.col("_o.near").alias("near_edited"),
-                    likeness(F.col("_sk"), F.col("_nsk"), size).alias("near_next")))
+                    likeness(F.col("_set"), F.col("_nset")).alias("near_next"),
+                    as_text(sketch(F.col("_set"), size)).alias("sketch"),
+                    _places(F.col("_packed")).alias("anchors")))
