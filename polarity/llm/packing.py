@@ -9,8 +9,9 @@ until one task holds what is left or a round merges next to nothing. Only bins
 that are not full ever move, as small rows; every round is written, so a lost
 executor repeats one round at most.
 
-Contract: null text is empty and packs as the end token alone; repeated rows
-are packed as often as they occur; no rows give no rows.
+Contract: null text is empty and packs as the end token alone; strings of
+special tokens in a text are those tokens; repeated rows are packed as often as
+they occur; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -61,8 +62,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self.tokenizer.token_to_id(PART)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # their strings are ordinary text
         self.known: dict[bytes, bytes] = {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -87,9 +86,10 @@ class WordEncoder:
             else:
                 others.add(w)
         others |= self._learn_letters(list(letters))
+        # a special token's string in a text is that token, as the plain call has it
         special = [w for w in others if b"<|" in w]
         for w in special:
-            ids = self.plain.encode(w.decode("utf-8"), add_special_tokens=False).ids
+            ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
             known[w] = np.asarray(ids, "<u4").tobytes()
         self._learn_parted([w for w in others if b"<|" not in w])
         for w, core, tail in joined:

@@ -1,12 +1,12 @@
-"""The ten training-data queries: each applies its operator, with production
+"""The training-data queries: each applies its operator, with production
 parameters, to its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polarity.llm import (chat, host_rules, kneser_ney, mixing, ngram_join, packing, quality_knn,
-                          suffix_dedup, syncmers, toxicity)
+from polarity.llm import (chat, elias_fano, host_rules, kneser_ney, mixing, ngram_join, packing,
+                          quality_knn, suffix_dedup, syncmers, toxicity, vector_codes)
 from polarity.llm.common import fold, table
 
 
@@ -65,6 +65,15 @@ def op10_chat_format(spark, sf_dir):
     return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_ids(spark, sf_dir):
+    return elias_fano.read(elias_fano.write(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard, op5_host_rules,
-    op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format)}
+    op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format, op11_vector_codes,
+    op12_token_ids)}

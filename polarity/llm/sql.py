@@ -82,4 +82,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND host_rate <= 0.6) AS kept, rules_failed, host_rate
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source"""
 
-ORACLE = {"op5_host_rules": OP5, "op7_source_mix": OP7}
+_FLOOR_MEAN = "((s - ((s % n) + n) % n) // n)"
+
+
+def _lloyd(rounds: int, entries: int, parts: int = 4) -> str:
+    """Product codes by brute force: every part against every entry."""
+    dist = ("list_inner_product(x, x) - 2 * list_inner_product(x, c) "
+            "+ list_inner_product(c, c)")
+    sql = f"""
+WITH v AS (
+  SELECT vec_id, label, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v,
+         row_number() OVER (ORDER BY vec_id NULLS LAST) AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT r, q AS part, w, list_slice(v, q * w + 1, (q + 1) * w) AS x
+  FROM v, (SELECT unnest(range({parts})) AS q)),
+b0 AS (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= {entries})"""
+    for k in range(rounds + 1):
+        sql += f""",
+a{k} AS (
+  SELECT r, part, min(struct_pack(d := {dist}, e := entry)) AS m
+  FROM p JOIN b{k} USING (part) GROUP BY r, part)"""
+        if k < rounds:
+            sql += f""",
+s{k} AS (
+  SELECT part, m.e AS entry, i, sum(x[i]::BIGINT)::HUGEINT AS s, count(*) AS n
+  FROM a{k} JOIN p USING (r, part), (SELECT unnest(range(1, w + 1)) AS i FROM (SELECT max(w) AS w FROM p))
+  GROUP BY ALL),
+b{k + 1} AS (
+  SELECT part, entry, coalesce(new, c) AS c
+  FROM b{k} LEFT JOIN (SELECT part, entry, list({_FLOOR_MEAN}::DOUBLE ORDER BY i) AS new
+                       FROM s{k} GROUP BY part, entry) USING (part, entry))"""
+    return sql + f""",
+o AS (
+  SELECT r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' ORDER BY part) AS code,
+         sum(m.d)::BIGINT AS error
+  FROM a{rounds} GROUP BY r),
+h AS (
+  SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(c) AS y, unnest(range(len(c))) AS i FROM b{rounds}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       codebooks_sha256
+FROM v JOIN o USING (r), h"""
+
+
+OP11 = _lloyd(rounds=4, entries=256)
+
+ORACLE = {"op5_host_rules": OP5, "op7_source_mix": OP7, "op11_vector_codes": OP11}

@@ -8,13 +8,12 @@ from polarity.llm import packing as P
 
 TEXTS = ["", None, "  \n", "Hello, world!", "Café café İstanbul Σσς",
          "tab\there\x0bvt\x0cff\rcr nbsp em", "a" * 300, "it's we'll I'D 12345 x_y",
-         "<|endoftext|> <|startoftext|>x", "word " * 5000, "你好世界 \U0001F600\U0001F600",
+         "<|endoftext|> <|startoftext|>x", "a<|endoftext|>B<|ENDOFTEXT|> <|end", "word " * 5000, "你好世界 \U0001F600\U0001F600",
          "\x1cfs\x1dgs\x85nel ​zw"] + [f"doc {i} " * (i * 7 % 60) for i in range(60)]
 
 
 def whole(texts):
     t = Tokenizer.from_file(P.tokenizer_path())
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
