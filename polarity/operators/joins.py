@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polarity.session import checkpoint
+
 # Broadcast only tables whose row count is checked below this bound (the
 # hash relation of a few million short rows stays well under 1 GB).
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -31,6 +33,9 @@ def complement(df: DataFrame, part: DataFrame, on="id") -> DataFrame:
     return df.join(part.select(*keys), keys, "left_anti")
 
 
+# Values over which rows with a null key are dealt (they match nothing).
+DEALT_NULLS = 1 << 20
+
 # Keys treated as possibly hot in a lookup too large to broadcast: the
 # most frequent ones, a bounded top-k (each partition sends at most this
 # many rows to the merge).
@@ -68,6 +73,52 @@ def hot_split_lookup(left: DataFrame, on: str, table: DataFrame, hot: DataFrame,
                      *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in vals])
 
 
+def dealt_lookup(left: DataFrame, on: str | list, table: DataFrame, counts: DataFrame, spread,
+                 rows_per_task: int, count_col: str = "n", how: str = "left") -> DataFrame:
+    """Join ``left`` to ``table`` (unique key ``on``) by a shuffle in which no
+    key of ``left`` puts more than about ``rows_per_task`` rows into a task.
+
+    ``counts`` is (on..., ``count_col``): how often keys occur in ``left``;
+    keys below the bound may be missing. A key of more rows is warm: it is
+    copied ceil(count / rows_per_task) times in ``table``, and its rows in
+    ``left`` are dealt over the copies by ``spread`` (a 64-bit hash, one value
+    per row). There are at most (rows of ``left``) / ``rows_per_task`` warm
+    keys, so their copy numbers are broadcast behind a count; how warm a key is
+    decides everything, its place in a ranking nothing. Keys that ``table``
+    lacks are dealt as well, and rows with a null key over DEALT_NULLS values.
+    Output = left columns + the table's other columns.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    values = [c for c in table.columns if c not in keys]
+    warm = checkpoint(counts.where(F.col(count_col) > rows_per_task).select(
+        *keys, F.ceil(F.col(count_col) / rows_per_task).cast("int").alias("_copies")), "warm")
+    copies = broadcast_if_small(warm.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_copies"))
+
+    def with_copies(df):
+        same = _every([F.col(k) == F.col(f"_w_{k}") for k in keys])
+        return df.join(copies, same, "left").drop(*[f"_w_{k}" for k in keys])
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    number = F.when(null, F.lit(DEALT_NULLS)).otherwise(F.coalesce("_copies", F.lit(1)))
+    dealt = with_copies(left).withColumn("_copy", F.pmod(spread, number).cast("int"))
+    each = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+    copied = with_copies(table).select(*[F.col(k).alias(f"_t_{k}") for k in keys],
+                                       *[F.col(c).alias(f"_t_{c}") for c in values],
+                                       F.explode(each).alias("_t_copy"))
+    same = _every([F.col(k) == F.col(f"_t_{k}") for k in keys]
+                  + [F.col("_copy") == F.col("_t_copy")])
+    return dealt.join(copied, same, how).select(
+        *left.columns, *[F.col(f"_t_{c}").alias(c) for c in values])
+
+
+def _every(conditions: list):
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
+
+
 def one_row_per_key(pos):
     """Aggregate over exploded rows (``posexplode_outer`` places): how many
     rows were exploded into the group."""

@@ -1,6 +1,6 @@
-"""Exact ranks without a single-partition window.
+"""Exact ranks and running totals without a single-partition window.
 
-Two shapes:
+Three shapes:
 
 - ``hash_rank``: rank by a uniform hash key (seeded shuffles). Rows fall into
   hash-prefix buckets of even size; a bounded table of bucket counts gives
@@ -10,6 +10,9 @@ Two shapes:
   keys split evenly even when one group holds a third of all rows), sorted
   inside each partition, numbered, and pinned by a reliable checkpoint; a
   per-partition count table (one row per partition) gives the offsets.
+- ``running_total``: cumulative sums of values in a sort order, in two passes:
+  sums inside each range partition, then the totals of earlier partitions of
+  the same group carried on.
 """
 
 from __future__ import annotations
@@ -100,3 +103,57 @@ def ordered_rank(df: DataFrame, order_cols: list, group_cols: list | None = None
     else:
         ranked = ranked.withColumn(rank_col, F.col("_or_g").cast("long"))
     return ranked.drop("_or_mid", "_or_p", "_or_off", "_or_g")
+
+
+def running_total(df: DataFrame, order_cols: list, totals: dict, group_cols: list | None = None,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df`` with, for each ``totals`` item (new column -> value column), the
+    sum of the values up to and with the row, in the order of ``order_cols``
+    inside each group of ``group_cols`` (null is a group of its own; a null
+    value counts as 0).
+
+    Rows are range-partitioned on the full key, so a group that holds a third
+    of all rows is spread over many tasks; sums inside (partition, group) are
+    one window, and only groups at a partition's edges - two a partition -
+    can have rows before it: their totals per partition are added up in
+    partition order and broadcast. Rows with equal keys get an arbitrary but
+    fixed order. Whole numbers and decimals give exact totals.
+    """
+    groups = list(group_cols or [])
+    keys = groups + list(order_cols)
+    spark = df.sparkSession
+    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = checkpoint(df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+                        .withColumn("_rt_mid", F.monotonically_increasing_id()), "running")
+    staged = staged.withColumn("_rt_p", F.shiftright("_rt_mid", _LOCAL_BITS))
+    value = {c: F.coalesce(F.col(v), F.lit(0)) for c, v in totals.items()}
+    # the first and last group of every partition: all that may span several
+    edge = F.struct(*[F.col(g).alias(f"_rt_{i}") for i, g in enumerate(groups)],
+                    F.lit(0).alias("_rt_one"))
+    ends = staged.groupBy("_rt_p").agg(F.min_by(edge, F.col("_rt_mid")).alias("a"),
+                                       F.max_by(edge, F.col("_rt_mid")).alias("b"))
+    ends = ends.select(F.explode(F.array("a", "b")).alias("e")).select("e.*").distinct()
+    same = [F.col(g).eqNullSafe(F.col(f"_rt_{i}")) for i, g in enumerate(groups)]
+    at_edge = staged.join(F.broadcast(ends), _all(same), "left_semi") if groups else staged
+    sums = at_edge.groupBy("_rt_p", *groups).agg(*[F.sum(v).alias(f"_rt_t_{c}")
+                                                   for c, v in value.items()])
+    before = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(
+        "_rt_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition at most
+    carry = checkpoint(sums.select(
+        F.col("_rt_p").alias("_rt_q"), *[F.col(g).alias(f"_rt_{i}") for i, g in enumerate(groups)],
+        *[F.sum(f"_rt_t_{c}").over(before).alias(f"_rt_c_{c}") for c in totals]), "carry")
+    here = Window.partitionBy("_rt_p", *groups).orderBy("_rt_mid").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = staged.select(*df.columns, "_rt_p", *[F.sum(v).over(here).alias(f"_rt_l_{c}")
+                                                  for c, v in value.items()])
+    # two rows per partition at most
+    out = local.join(F.broadcast(carry), _all([F.col("_rt_p") == F.col("_rt_q"), *same]), "left")
+    return out.select(*df.columns, *[
+        (F.coalesce(F.col(f"_rt_c_{c}"), F.lit(0)) + F.col(f"_rt_l_{c}")).alias(c) for c in totals])
+
+
+def _all(conditions: list):
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
