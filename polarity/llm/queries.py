@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polarity.llm import (chat, elias_fano, host_rules, kneser_ney, mixing, ngram_join, packing,
-                          quality_knn, suffix_dedup, syncmers, toxicity, vector_codes)
+                          prefix_trie, quality_knn, suffix_dedup, syncmers, toxicity, vector_codes)
 from polarity.llm.common import fold, table
 
 
@@ -73,7 +73,11 @@ def op12_token_ids(spark, sf_dir):
     return elias_fano.read(elias_fano.write(table(spark, sf_dir, "documents")))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard, op5_host_rules,
     op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format, op11_vector_codes,
-    op12_token_ids)}
+    op12_token_ids, op13_prefix_trie)}

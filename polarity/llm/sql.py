@@ -131,4 +131,48 @@ FROM v JOIN o USING (r), h"""
 
 OP11 = _lloyd(rounds=4, entries=256)
 
-ORACLE = {"op5_host_rules": OP5, "op7_source_mix": OP7, "op11_vector_codes": OP11}
+# crc32 of a short text, bit by bit (DuckDB has none)
+_CRC32 = """(xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+  range(1, length({0}) + 1),
+  lambda i: list_prepend(ascii({0}[i])::BIGINT, list_transform(range(8), lambda j: -1::BIGINT))))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+                    WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END),
+  4294967295::BIGINT))"""
+
+OP13 = rf"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hd AS (
+  SELECT conv_id, t, conv_id - conv_id % 20 AS base,
+         ({_CRC32.format("(conv_id::VARCHAR)")} % 4)::BIGINT AS h FROM own),
+built AS (
+  SELECT hd.conv_id, list_concat(coalesce(list_slice(b.t, 1, h), []), list_slice(hd.t, h + 1, len(hd.t))) AS t
+  FROM hd LEFT JOIN own b ON hd.base = b.conv_id),
+m AS (
+  SELECT conv_id, d, list_slice(t, 1, d) AS path, d = len(t) AS ends
+  FROM built, LATERAL (SELECT unnest(range(0, len(t) + 1)) AS d)),
+n AS (
+  SELECT path, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY path),
+k AS (
+  SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children
+  FROM n WHERE depth > 0 GROUP BY 1),
+v AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE
+           (n_convs - 1) * len(regexp_extract_all(path[depth].x, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN k USING (path)),
+sub AS (
+  SELECT m.path, sum((v.n_children = 0)::INT) AS n_leaves, sum(v.saved) AS saved_tokens
+  FROM v JOIN m ON m.conv_id = v.conv_id AND m.d <= v.depth GROUP BY m.path)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs,
+       v.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM v JOIN sub USING (path)
+LEFT JOIN n p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.path = list_slice(v.path, 1, v.depth - 1)"""
+
+ORACLE = {"op5_host_rules": OP5, "op7_source_mix": OP7, "op11_vector_codes": OP11,
+          "op13_prefix_trie": OP13}
