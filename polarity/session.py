@@ -99,16 +99,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _scratch[-1]
 
 
-def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+def drop_scratch(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
     """Delete the scratch folders made after the first ``since`` (see
-    ``scratch_mark``), once nothing reads them any more: results that were
-    returned but not yet written still do. Returns how many."""
+    ``scratch_mark``) and up to ``until``, once nothing reads them any more:
+    results that were returned but not yet written still do. Returns how many."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    done = _scratch[since:]
-    del _scratch[since:]
-    for p in done:
-        path = jvm.org.apache.hadoop.fs.Path(p)
+    until = len(_scratch) if until is None else until
+    done = [i for i in range(since, until) if _scratch[i]]
+    for i in done:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch[i])
         path.getFileSystem(conf).delete(path, True)
+        _scratch[i] = ""  # places stay, so that earlier marks do
+    while _scratch and not _scratch[-1]:
+        _scratch.pop()
     return len(done)
 
 
