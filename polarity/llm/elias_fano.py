@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polarity.llm.common import arrow_batches, checkpoint, scratch_path
+from polarity.llm.common import arrow_batches, checkpoint, scratch_path, trim_memory
 from polarity.llm.kneser_ney import _filesystem
 from polarity.llm.packing import encoder, tokenizer_path
 
@@ -245,6 +245,7 @@ def _write(path: str, folder: str, end_id: int):
                 for d, ids in zip(doc_id[a:a + 200], enc.encode(text.slice(a, 200).to_pylist())):
                     shard.add(d, ids + end)
         enc.known.clear()  # workers live on: their memory is for the next stage
+        trim_memory()
         done = shard.close()
         if done:
             yield pa.RecordBatch.from_arrays(

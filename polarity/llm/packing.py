@@ -47,7 +47,7 @@ WORD_END = "</w>"
 #: marks that make a token run of their own after letters (no apostrophe)
 MARKS = b".,;:!?#*$%&|\"()"
 
-_encoders: dict[str, "WordEncoder"] = {}
+_encoders: dict[tuple[str, int], "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -57,8 +57,9 @@ class WordEncoder:
     are its words' ids in order; a worker encodes each frequent word once.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.cache_words = cache_words
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self.tokenizer.token_to_id(PART)
@@ -129,7 +130,7 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text."""
         parts = [t.split() for t in texts]
         new = set().union(*parts).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + len(new) > self.cache_words:
             self.known.clear()
             new = set().union(*parts)
         self.learn(new)
@@ -137,10 +138,11 @@ class WordEncoder:
         return [b"".join(map(get, p)) for p in parts]
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> WordEncoder:
+    key = (path, cache_words)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, cache_words)
+    return _encoders[key]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
