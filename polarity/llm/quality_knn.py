@@ -7,6 +7,11 @@ broadcast (LABELLED x DIM floats: 1 MB); every document's exact cosines with
 all of them are blocked matrix products in tasks, and the nearest NEIGHBOURS
 vote with their similarity as weight.
 
+Scores are made of whole numbers as far as sums go (weights, directions and
+vectors are rounded to steps of 2^-12, 2^-20 and 2^-24, and their products add
+up below 2^53), so that no order of summation rounds and a score depends on the
+text alone, not on the rows or the shape of its block.
+
 Contract: null and empty texts have no direction and score the sample's mean
 label; so does everything where nothing is labelled (0.5 without labels);
 equal texts score alike; columns of the input are kept as they are.
@@ -31,6 +36,10 @@ SHARPNESS = 4
 LABELLED = 4000
 LABELLED_BYTES = 16_384
 CHUNK = 1 << 20
+#: steps of weights, directions and unit vectors
+WEIGHT, DIRECTION, UNIT = 2.0 ** 12, 2.0 ** 20, 2.0 ** 24
+#: labelled vectors a key can tell apart
+PLACES = 1 << 13
 
 _rng = np.random.Generator(np.random.PCG64(11))
 _MIX = _rng.integers(0, BINS, (3, 256)).astype(np.int32)
@@ -112,7 +121,10 @@ def fit(texts: list[str], labels: list[int], df: np.ndarray, n: int) -> dict:
     x = np.concatenate([weighted(c, idf) for _, c in text_blocks(pa.array(texts,
                                                                           pa.large_string()))])
     v = leading(x, DIM)
-    return {"idf": idf, "v": v, "points": unit(x @ v), "y": y, "mean": mean}
+    points = unit(x @ v)
+    return {"idf": idf, "v": v, "points": points, "y": y, "mean": mean,
+            "whole_v": np.rint(v * DIRECTION).astype(np.float64),
+            "whole_points": np.rint(points * UNIT).astype(np.float64)}
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -120,17 +132,37 @@ def unit(x: np.ndarray) -> np.ndarray:
     return np.where(norm > 1e-6, x / np.maximum(norm, 1e-6), 0).astype(np.float32)
 
 
+def directions(model: dict, c: np.ndarray) -> np.ndarray:
+    """Unit vectors of the texts in steps of 1 / UNIT; 0 where a text has no
+    direction but rounding."""
+    x = np.rint(np.log1p(c) * model["idf"] * np.float32(WEIGHT)).astype(np.float64)
+    p = x @ model["whole_v"]
+    square = np.zeros(len(c))
+    for j in range(p.shape[1]):  # one order, whatever the block
+        square += p[:, j] * p[:, j]
+    norm = np.sqrt(square)
+    real = norm > 64 * x.max(axis=1, initial=0)
+    return np.where(real[:, None], np.rint(p / np.where(real, norm, 1)[:, None] * UNIT), 0)
+
+
 def vote(model: dict, c: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
-    """Similarity-weighted mean label of the k nearest, drawn slightly to the
-    sample's mean."""
-    points, y = model["points"], model["y"]
+    """Similarity-weighted mean label of the k nearest (the first of equally
+    near ones), drawn slightly to the sample's mean."""
+    y = model["y"].astype(np.float64)
     if not len(y):
         return np.full(len(c), model["mean"])
-    sims = unit(weighted(c, model["idf"]) @ model["v"]) @ points.T
+    sims = (directions(model, c) @ model["whole_points"].T).astype(np.int64)
     k = min(k, len(y))
-    near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(sims, near, 1).astype(np.float64), 0) ** SHARPNESS
-    return (w * y[near]).sum(1) / (w.sum(1) + 0.1) + model["mean"] * 0.1 / (w.sum(1) + 0.1)
+    key = sims * PLACES
+    key -= np.arange(len(y))
+    near = np.sort(np.argpartition(-key, k - 1, axis=1)[:, :k], axis=1)
+    total, voted = np.zeros(len(c)), np.zeros(len(c))
+    for j in range(k):
+        s = np.maximum(sims[np.arange(len(c)), near[:, j]], 0) / (UNIT * UNIT)
+        w = (s * s) ** (SHARPNESS // 2)
+        total += w
+        voted += w * y[near[:, j]]
+    return (voted + model["mean"] * 0.1) / (total + 0.1)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5) -> dict:
@@ -152,7 +184,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text",
     names = docs.columns
     at = names.index(text_col)
     schema = StructType(docs.schema.fields + [StructField(score_col, DoubleType())])
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB, by LABELLED and DIM
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 8 MB, by LABELLED and DIM
 
     def run(batches):
         for batch in batches:

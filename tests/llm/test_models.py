@@ -82,6 +82,24 @@ def test_scores_do_not_depend_on_neighbours(model, monkeypatch):
     assert np.allclose(alone, whole, atol=1e-5)
 
 
+def test_votes_do_not_depend_on_the_block():
+    """Bit for bit, whatever texts share a block."""
+    texts, labels = corpus(220, seed=6)
+    texts += ["", "x", "dup dup", "dup dup", "long " * 3000] + texts[:20]
+    df = np.zeros(Q.BINS)
+    for _, c in Q.text_blocks(pa.array(texts)):
+        df += (c > 0).sum(0)
+    m = Q.fit(texts[:150], labels[:150], df, len(texts))
+    c = np.concatenate([c for _, c in Q.text_blocks(pa.array(texts))])
+    whole = Q.vote(m, c)
+    assert (whole[:20] == whole[-20:]).all() and whole[222] == whole[223]
+    for size in (1, 2, 3, 17, 64, 100):
+        parts = [Q.vote(m, c[i:i + size]) for i in range(0, len(c), size)]
+        assert (np.concatenate(parts) == whole).all()
+    order = np.random.default_rng(1).permutation(len(c))
+    assert (Q.vote(m, c[order]) == whole[order]).all()
+
+
 def test_constant_without_both_labels():
     assert T.score_texts(T.fit([], []), pa.array(["a", ""]))[0].max() < 0.5
     assert T.score_texts(T.fit(["a"], [1]), pa.array(["a", None], pa.string()))[0].min() > 0.5
