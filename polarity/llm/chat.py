@@ -19,7 +19,9 @@ columns are ignored; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+import queue
 import re
+import threading
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -484,44 +486,109 @@ def _conversations(batches):
             pass
 
 
-#: characters of a chunk of formatted output, from which a new one begins
+#: characters of a chunk of formatted output, from which a new one begins, and
+#: chunks that may wait to be taken
 CHUNK_CHARS = 1 << 20
+WAITING = 4
+
+
+class Chunks:
+    """A sink that cuts what a program emits into chunks, while it runs."""
+
+    def __init__(self, give):
+        self.give, self.number = give, 0
+        self._new()
+
+    def _new(self) -> None:
+        self.parts, self.spans, self.at = [], [], 0
+
+    def feed(self, text: str, marked: bool) -> None:
+        self.parts.append(text)
+        if marked:
+            self.spans.append((self.at, self.at + len(text)))
+        self.at += len(text)
+        if self.at >= CHUNK_CHARS:
+            self._cut()
+
+    def _cut(self) -> None:
+        self.give(self.number, "".join(self.parts), self.spans)
+        self.number += 1
+        self._new()
+
+    def close(self) -> None:
+        if self.parts or not self.number:
+            self._cut()
+
+
+def _pulled(produce):
+    """What ``produce(give)`` gives, as an iterator: it runs in a thread that
+    stays WAITING items ahead."""
+    taken, left = queue.Queue(WAITING), threading.Event()
+
+    def give(item):
+        while not left.is_set():
+            try:
+                return taken.put(item, timeout=1)
+            except queue.Full:
+                continue
+        raise RuntimeError("nobody takes the output any more")
+
+    def work():
+        try:
+            produce(lambda item: give((item, None)))
+            give((None, StopIteration()))
+        except BaseException as e:  # noqa: BLE001 - raised where the output is taken
+            if not left.is_set():
+                give((None, e))
+    threading.Thread(target=work, daemon=True).start()
+    try:
+        while True:
+            item, end = taken.get()
+            if isinstance(end, StopIteration):
+                return
+            if end is not None:
+                raise end
+            yield item
+    finally:
+        left.set()
 
 
 def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """(conv_id, chunk, formatted, loss_spans): each conversation's text, in
     chunks of about CHUNK_CHARS (most have one), with the spans of the chunk
-    under the loss mask."""
+    under the loss mask. The template runs once over a conversation, however
+    long; its output is cut, never its turns."""
+    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def run(batches):
         program = compile_template(template)
-        out: list = []
 
-        def flush():
-            cols = list(zip(*out))
-            out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                 pa.array(cols[2], pa.string()),
-                 pa.array([[{"start": a, "end": b} for a, b in s] for s in cols[3]], spans_type)],
-                names=["conv_id", "chunk", "formatted", "loss_spans"])
-        spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for conv, messages in _conversations(batches):
-            chunk = 0
-            while True:
-                taken, size = [], 0
-                for m in messages:
-                    taken.append(m)
-                    size += len(m["text"])
+        def produce(give):
+            out: list = []
+
+            def flush():
+                cols = list(zip(*out))
+                out.clear()
+                give(pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
+                     pa.array(cols[2], pa.string()),
+                     pa.array([[{"start": a, "end": b} for a, b in s] for s in cols[3]],
+                              spans_type)], names=["conv_id", "chunk", "formatted", "loss_spans"]))
+            size = 0
+            for conv, messages in _conversations(batches):
+                def keep(number, text, spans, conv=conv):
+                    nonlocal size
+                    out.append((conv, number, text, spans))
+                    size += len(text)
                     if size >= CHUNK_CHARS:
-                        break
-                if not taken:
-                    break
-                out.append((conv, chunk, *render(program, taken)))
-                chunk += 1
-                if sum(len(o[2]) for o in out) >= CHUNK_CHARS:
-                    yield flush()
-        if out:
-            yield flush()
+                        flush()
+                        size = 0
+                sink = Chunks(keep)
+                program({"messages": messages}, sink.feed)
+                sink.close()
+            if out:
+                flush()
+        yield from _pulled(produce)
     return _by_conversation(rows).mapInArrow(
         run, "conv_id long, chunk int, formatted string, "
              "loss_spans array<struct<start:long,end:long>>")

@@ -53,6 +53,34 @@ def test_digests_read_back(spark):
             assert whole[c][1] == "".join(t or "" for r, t in turns if r == "assistant")
 
 
+def test_template_runs_once_over_a_long_conversation(spark, monkeypatch):
+    template = ("BEGIN{% set n = 'x' %}{% for m in messages %}{{ loop.index }}{% if loop.first %}^{% endif %}"
+                "{% generation %}{{ m.text }}{% endgeneration %}{% endfor %}END")
+    turns = {1: [("user", f"turn {i} " + "long " * 50_000) for i in range(12)], 2: [("user", "")]}
+    rows = [(c, i, r, t) for c, ts in turns.items() for i, (r, t) in enumerate(ts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = sorted(C.format_conversations(df, template).collect(), key=lambda r: (r.conv_id, r.chunk))
+    assert sum(r.conv_id == 1 for r in out) > 1
+    program = C.compile_template(template)
+    for c, ts in turns.items():
+        want, spans = C.render(program, [{"role": r, "text": t} for r, t in ts])
+        mine = [r for r in out if r.conv_id == c]
+        assert [r.chunk for r in mine] == list(range(len(mine)))
+        assert "".join(r.formatted for r in mine) == want
+        assert "".join(r.formatted[s.start:s.end] for r in mine for s in r.loss_spans) == "".join(
+            want[a:b] for a, b in spans)
+
+
+def test_a_failing_program_fails_the_output():
+    def produce(give):
+        give(1)
+        raise ValueError("broken")
+    got = C._pulled(produce)
+    assert next(got) == 1
+    with pytest.raises(ValueError, match="broken"):
+        next(got)
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert C.digests(df).collect() == []
