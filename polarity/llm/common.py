@@ -13,7 +13,7 @@ from polarity.session import checkpoint, ensure_checkpoint_dir, scratch_path
 
 __all__ = ["WS", "SPLIT", "checkpoint", "ensure_checkpoint_dir", "scratch_path", "fold",
            "words", "n_words", "let", "small_or_plain", "arrow_batches", "table",
-           "labelled_sample", "trim_memory"]
+           "labelled_sample", "trim_memory", "tidy"]
 
 #: the bytes that part words, and the same as a pattern (fixed values)
 WS = " \t\n\x0b\x0c\r"
@@ -92,3 +92,12 @@ def trim_memory() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def tidy(run):
+    """``run`` for mapInArrow, after which the worker gives its memory back
+    (workers live on beside the executor's JVM, stage after stage)."""
+    def both(batches):
+        yield from run(batches)
+        trim_memory()
+    return both

@@ -35,8 +35,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, checkpoint, small_or_plain
+from polarity.llm.common import arrow_batches, checkpoint, small_or_plain, tidy
 from polarity.llm.components import components
+from polarity.session import drop_scratch, scratch_mark
 
 #: words of a shingle and Jaccard threshold in percent of near duplicates; the
 #: query op4 gives its own (4 and 85)
@@ -107,9 +108,9 @@ def prefix_length(n, percent: int = PERCENT):
 
 
 def _tokens(width: int, percent: int):
-    """mapInArrow: (doc_id, text) -> doc_id, cls, n, the number of shingles
-    that are counted, and these in order of hash (more if a prefix needs
-    them)."""
+    """mapInArrow: (doc_id, text, said) -> doc_id, said, cls, n, the number of
+    shingles that are counted, and these in order of hash (more if a prefix
+    needs them)."""
     limit = np.uint64(min((100 - percent + COUNTED_MORE) * 2 ** 64 // 100, 2 ** 64 - 1))
 
     def run(batches):
@@ -122,11 +123,12 @@ def _tokens(width: int, percent: int):
                 ends = np.concatenate([[0], np.cumsum(size)])
                 take = np.repeat(bounds[:-1] - ends[:-1], size) + np.arange(ends[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(set_ids(grams, bounds), pa.binary()),
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                     pa.array(set_ids(grams, bounds), pa.binary()),
                      pa.array(n.astype(np.int64)), pa.array(counted.astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                               pa.array(W.signed(grams[take])))],
-                    names=["doc_id", "cls", "n", "counted", "tokens"])
+                    names=["doc_id", "said", "cls", "n", "counted", "tokens"])
     return run
 
 
@@ -353,14 +355,15 @@ def _long_blocks(lists: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, width: int = WIDTH,
             percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, cls, n) of every document, (cls, component) of linked
-    classes)."""
+    """((doc_id, said, cls, n) of every document, with a hash of its text;
+    (cls, component) of linked classes)."""
     arrow_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    t = d.mapInArrow(_tokens(width, percent), "doc_id long, cls binary, n long, counted long, "
-                                     "tokens array<long>")
+    t = d.withColumn("said", said()).mapInArrow(
+        tidy(_tokens(width, percent)), "doc_id long, said long, cls binary, n long, counted long, "
+                                 "tokens array<long>")
     t = checkpoint(t.withColumn("ref", F.monotonically_increasing_id()), "sets")
-    thin = t.select("doc_id", "cls", "n")
+    thin = t.select("doc_id", "said", "cls", "n")
     first = t.where("n > 0").groupBy("cls").agg(F.min("ref").alias("ref"))
     first = checkpoint(first.select("ref"), "classes")
     t = t.join(small_or_plain(first), "ref", "left_semi")
@@ -372,7 +375,7 @@ def classes(docs: DataFrame, width: int = WIDTH,
     texts = (d.withColumn("_id", F.coalesce("doc_id", F.lit(-2 ** 63)))
              .join(small_or_plain(wanted.select("_id").distinct()), "_id", "left_semi")
              .select("text"))
-    sets = texts.mapInArrow(_sets(width), "cls binary, hashes array<long>")
+    sets = texts.mapInArrow(tidy(_sets(width)), "cls binary, hashes array<long>")
     sets = checkpoint(sets.join(small_or_plain(wanted.select("cls", "ref")), "cls")
                       .select("ref", "hashes").dropDuplicates(["ref"]), "hashes")
     tried = checkpoint(_drawn_pairs(lists, percent), "pairs")
@@ -389,33 +392,65 @@ def classes(docs: DataFrame, width: int = WIDTH,
     return thin, wanted.select("ref", "cls").join(comps, "ref").select("cls", "component")
 
 
-def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per document."""
+def said() -> Column:
+    """Tells texts under one id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _decided(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, said, n, component_id, first) of every document: the smallest
+    id of its component, and the (id, text hash) that comes first there, rows
+    without an id last; both null without shingles."""
     t, comps = classes(docs, width, percent)
     comps = checkpoint(comps, "comps")
-    per = t.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "said")
+    per = t.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"), F.min(place).alias("first"))
     per = per.join(comps, "cls", "left").select(
-        "cls", F.coalesce(F.col("component").cast("string"), F.hex("cls")).alias("comp"), "id")
+        "cls", F.coalesce(F.col("component").cast("string"), F.hex("cls")).alias("comp"), "id", "first")
     per = checkpoint(per, "classes")
-    least = per.groupBy("comp").agg(F.min("id").alias("component_id"))
-    ids = checkpoint(per.join(least, "comp").select("cls", "component_id"), "class-ids")
+    least = per.groupBy("comp").agg(F.min("id").alias("component_id"), F.min("first").alias("first"))
+    ids = checkpoint(per.select("cls", "comp").join(least, "comp")
+                     .select("cls", "component_id", "first"), "class-ids")
     rows = t.join(small_or_plain(ids), "cls", "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"),
-                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-                       .alias("component_id"))
+    some = F.col("n") > 0
+    return rows.select("doc_id", "said", "n", F.when(some, F.col("component_id")).alias("component_id"),
+                       F.when(some, F.col("first")).alias("first"))
+
+
+def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per document."""
+    return _decided(docs, width, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+        .alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with one document of each
-    component, that of the smallest id. Rows that repeat an id are few or
-    none; only they are compared as rows, and equal ones count as one."""
-    rows = checkpoint(join_components(docs, width, percent), "join")
-    gone = checkpoint(rows.where("doc_id != component_id").select("doc_id").distinct(), "dropped")
-    kept = docs.join(small_or_plain(gone), "doc_id", "left_anti").select(*docs.columns)
-    twice = checkpoint(rows.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-                       .select("doc_id"), "twice")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(small_or_plain(twice), "doc_id", "left_anti").select(*docs.columns)
-    return once.unionAll(kept.join(small_or_plain(twice), "doc_id", "left_semi")
-                         .select(*docs.columns).dropDuplicates())
+    """``docs`` (doc_id, text and any others) with one row of each component:
+    that of the smallest id (rows without an id come last), under one id that
+    of the least text hash, and one of rows that agree in both. Texts without
+    words are linked with nothing and all stay."""
+    mark = scratch_mark()
+    rows = checkpoint(_decided(docs, width, percent).where("n > 0").select(
+        "doc_id", "said", F.when(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                                 & (F.col("said") == F.col("first.said")), True)
+        .otherwise(False).alias("stays")), "join")
+    per = rows.groupBy("doc_id", "said").agg(F.max("stays").alias("stays"),
+                                             F.count(F.lit(1)).alias("n"))
+    until = scratch_mark()
+    per = checkpoint(per.where("not stays or n > 1"), "dropped")
+    drop_scratch(docs.sparkSession, mark, until)  # the result reads ``per`` alone
+
+    def of(which):
+        return small_or_plain(per.where(which).select(F.col("doc_id").alias("_d"),
+                                                      F.col("said").alias("_s")))
+    same = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_said") == F.col("_s"))
+    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"),
+                        said().alias("_said"))
+    kept = named.join(of("not stays"), same, "left_anti")
+    if per.where("stays").isEmpty():
+        return kept.select("row.*")
+    twice = of("stays")
+    once = kept.join(twice, same, "left_anti")
+    return once.unionAll(kept.join(twice, same, "left_semi").dropDuplicates(["_id", "_said"])
+                         ).select("row.*")

@@ -88,6 +88,21 @@ def test_one_of_each_keeps_columns(spark):
         [(1, "a b c d e", "y"), (7, None, "z"), (8, "", None), (9, "p q r s t u", "w")], key=repr)
 
 
+def test_one_of_each_decides_by_text(spark):
+    a, near, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(62)), "p q r s t u v"
+    kept = lambda rows: sorted(
+        map(tuple, J.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, _id string")
+                                 ).collect()), key=repr)
+    # an unrelated text under a dropped id stays; two near copies under one id do not
+    assert kept([(1, near, "x"), (5, a, "y"), (5, b, "z")]) == [(1, near, "x"), (5, b, "z")]
+    assert len(kept([(7, a, "x"), (7, near, "y"), (7, b, "z")])) == 2
+    # rows without an id: one of each component, none before a row with one
+    assert len(kept([(None, a, "x"), (None, near, "y"), (None, b, "z")])) == 2
+    assert kept([(None, a, "x"), (9, near, "y")]) == [(9, near, "y")]
+    # equal rows are one, rows without words all stay
+    assert len(kept([(1, a, "x")] * 3 + [(1, a, "y"), (2, "", "x"), (2, "", "x"), (None, None, None)])) == 4
+
+
 @pytest.mark.parametrize("links", [
     [(b"a", b"b"), (b"b", b"c"), (b"d", b"e"), (b"x", b"x"), (b"c", b"a")],
     [(bytes([i]), bytes([i + 1])) for i in range(60)],
