@@ -79,5 +79,5 @@ def op13_prefix_trie(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_syncmer_fingerprints, op3_best_fit_packing, op4_ngram_jaccard, op5_host_rules,
-    op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format, op11_vector_codes,
-    op12_token_ids, op13_prefix_trie)}
+    op6_kneser_ney, op7_source_mix, op8_quality_neighbours, op9_suffix_dedup, op10_chat_format,
+    op11_vector_codes, op12_token_ids, op13_prefix_trie)}

@@ -36,7 +36,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from polarity.llm import induced
 from polarity.llm import words as W
-from polarity.llm.common import arrow_batches, checkpoint, small_or_plain
+from polarity.llm.common import arrow_batches, checkpoint, small_or_plain, tidy
+from polarity.session import drop_scratch, scratch_mark
 
 DEPTH = 400
 K = 32
@@ -219,7 +220,7 @@ def _counted(parts: DataFrame, depth: int) -> DataFrame:
     """(sk, ranges) of the windows in ``parts`` that occur elsewhere. Nothing
     is gathered by key: equal windows meet as partial counts."""
     once = parts.dropDuplicates(["sk", "at"])  # other read tasks may have sent it too
-    w = checkpoint(once.mapInArrow(_windows(depth), "sk binary, at long, c long, wk binary"),
+    w = checkpoint(once.mapInArrow(tidy(_windows(depth)), "sk binary, at long, c long, wk binary"),
                    "windows")
     twice = checkpoint(w.groupBy("wk").agg(F.sum("c").alias("n")).where("n > 1").select("wk"),
                        "twice")
@@ -268,10 +269,11 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
     whether all does, and else the byte ranges covered by repeated windows."""
     spark = docs.sparkSession
     arrow_batches(spark)
+    mark = scratch_mark()
     text = F.coalesce("text", F.lit(""))
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-2 ** 63)).alias("id"),
                     F.unhex(F.md5(text.cast("binary"))).alias("tk"), text.alias("text"))
-    t = checkpoint(d.mapInArrow(_anchors(depth, k), "id long, tk binary, n_bytes long, "
+    t = checkpoint(d.mapInArrow(tidy(_anchors(depth, k)), "id long, tk binary, n_bytes long, "
                                                     "h array<long>"), "anchors")
     classes = checkpoint(t.where(F.col("n_bytes") >= depth).groupBy("tk").agg(
         F.count(F.lit(1)).alias("c"), F.min("id").alias("id"), F.first("h").alias("h")), "texts")
@@ -284,14 +286,18 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
     some = some.join(wanted, ["tk", "id"]).select("tk", "text", "h")
     schema = ("tk binary, start long, windows long, place long, h long, sk binary, "
               "seg binary")
-    segs = checkpoint(some.mapInArrow(_segments(depth, k), schema), "segments")
-    # a text's row may repeat; its runs count once
-    places = segs.select("tk", "start", "windows", "place", "h", "sk").distinct()
+    segs = checkpoint(some.mapInArrow(tidy(_segments(depth, k)), schema), "segments")
+    places = segs.select("tk", "start", "windows", "place", "h", "sk")
+    # a text's row may repeat under one id; its runs count once
+    if not t.where(F.col("n_bytes") >= depth).groupBy("tk", "id").count().where("count > 1").isEmpty():
+        places = places.distinct()
     per = places.groupBy("h", "sk").agg(F.count(F.lit(1)).alias("c"),
                                         F.first("windows").alias("windows"),
                                         F.first("place").alias("place"))
     per = checkpoint(per, "distinct")
-    several = per.groupBy("h").agg(F.count(F.lit(1)).alias("s")).where("s > 1")
+    # an anchor of very many segments is one row here, and broadcast where few are
+    several = small_or_plain(checkpoint(
+        per.groupBy("h").agg(F.count(F.lit(1)).alias("s")).where("s > 1"), "several"))
     todo = checkpoint(per.join(several, "h").select("sk", "h", "c", "windows", "place", "s"),
                       "to-sort")
     alike = per.where("c > 1").join(several, "h", "left_anti").select(
@@ -315,7 +321,7 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
         "sk", F.lit(0).cast("long").alias("at"), "windows", "c", F.col("h").alias("key"), "seg")
     shards = (whole.unionAll(parts).repartition(max(1, -(-size // SHARD_BYTES)), "key")
               .select("sk", "at", "windows", "c", "seg")
-              .mapInArrow(_shard(depth), "sk binary, ranges array<struct<a:long,b:long>>"))
+              .mapInArrow(tidy(_shard(depth)), "sk binary, ranges array<struct<a:long,b:long>>"))
     ranges = checkpoint(shards.unionAll(done), "ranges")
     spans = places.join(small_or_plain(ranges, size=F.size("ranges") * 16 + 40), "sk").select(
         "tk", F.explode(F.transform("ranges", lambda r: F.struct(
@@ -323,9 +329,12 @@ def repeated_runs(docs: DataFrame, depth: int = DEPTH, k: int = K) -> DataFrame:
             (F.col("start") + r["b"] + (depth - 1)).alias("b")))).alias("span"))
     spans = spans.groupBy("tk").agg(F.collect_list("span").alias("spans"))
     whole = classes.where("c > 1").select("tk", F.lit(True).alias("whole"))
-    return checkpoint(whole.join(spans, "tk", "full").select(
+    until = scratch_mark()
+    out = checkpoint(whole.join(spans, "tk", "full").select(
         "tk", F.coalesce("whole", F.lit(False)).alias("whole"),
         F.when(F.col("whole"), None).otherwise(F.col("spans")).alias("spans")), "spans")
+    drop_scratch(spark, mark, until)  # the result reads ``out`` alone
+    return out
 
 
 # ---------------------------------------------------------------- removal

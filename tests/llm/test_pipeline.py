@@ -8,7 +8,6 @@ import test_native as N
 import test_ngram_join as J
 import test_packing as K
 
-from polarity.llm import suffix_dedup as S
 from polarity.llm import toxicity as T
 
 
@@ -16,7 +15,7 @@ from polarity.llm import toxicity as T
 def folder(tmp_path_factory, spark):
     rng = random.Random(10)
     word = lambda: "".join(rng.choice(["ba", "ko", "ti", "re", "lu"]) for _ in range(3))
-    passage = " ".join(word() for _ in range(90))
+    passage = " ".join(word() for _ in range(53))  # 370 bytes: under op9's depth
     rows, labels = [], []
     for i in range(160):
         ws = [word() for _ in range(rng.choice([8, 60, 150]))]
@@ -61,7 +60,7 @@ def test_stages_match_brute_force(spark, folder, tmp_path):
     assert {r[0] for r in rows[2]} == {c for _, _, c in comp}
     # repeats: texts are what the removal leaves
     import test_suffix_dedup as D
-    left = D.brute([r[1] for r in rows[2]], S.DEPTH)
+    left = D.brute([r[1] for r in rows[2]], P.REPEATED_BYTES)
     texts = {r[0]: r[1] for r in rows[3]}
     import hashlib
     for r, (_, removed, _, sha) in zip(rows[2], left):
