@@ -15,6 +15,11 @@ from polarity.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
 from polarity.session import checkpoint
 
 REJECT = 0.5
+#: bytes of a repeat that is cut: below the shortest passage of over 50 words
+REPEATED_BYTES = 240
+#: bytes of the strings that bring such repeats together: long enough not to
+#: occur twice by chance
+ANCHOR_BYTES = 64
 
 
 def reject_toxic(spark, docs, sf_dir):
@@ -31,8 +36,8 @@ def drop_near_duplicates(spark, docs, sf_dir):
 
 
 def cut_repeats(spark, docs, sf_dir):
-    """Texts without the bytes that repeat."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the bytes of REPEATED_BYTES-byte strings that repeat."""
+    return suffix_dedup.without_repeats(docs, depth=REPEATED_BYTES, k=ANCHOR_BYTES)
 
 
 def mix_sources(spark, docs, sf_dir):
