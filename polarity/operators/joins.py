@@ -36,41 +36,8 @@ def complement(df: DataFrame, part: DataFrame, on="id") -> DataFrame:
 # Values over which rows with a null key are dealt (they match nothing).
 DEALT_NULLS = 1 << 20
 
-# Keys treated as possibly hot in a lookup too large to broadcast: the
-# most frequent ones, a bounded top-k (each partition sends at most this
-# many rows to the merge).
-HOT_KEYS = 1_000
-
-
-def hot_split_lookup(left: DataFrame, on: str, table: DataFrame, hot: DataFrame,
-                     spread) -> DataFrame:
-    """Left join ``left`` to ``table`` (unique key ``on``, a string or a
-    non-negative whole number) when the table is too large to broadcast and
-    some keys of ``left`` are hot.
-
-    ``hot`` is a bounded subset of ``table`` holding the keys that may be
-    hot (e.g. the most frequent words); it is broadcast and joined first.
-    Rows it answers, and rows with a null key, are given a join key that can
-    match nothing: the 64-bit hash ``spread``, one value per row, so that they
-    spread evenly over any number of partitions and the shuffle join with the
-    full table sees no hot key. One pass over ``left``; output = left columns
-    + the table's other columns.
-    """
-    vals = [c for c in table.columns if c != on]
-    hot_b = F.broadcast(hot.select(F.col(on).alias("_hk"), F.lit(True).alias("_hit"),
-                                   *[F.col(c).alias(f"_h_{c}") for c in vals]))
-    j1 = left.join(hot_b, left[on] == hot_b["_hk"], "left").drop("_hk")
-    key = left.schema[on].dataType.simpleString()
-    if key == "string":
-        own, miss, full = F.col(on), F.concat(F.lit("\u0000"), spread.cast("string")), F.col(on)
-    else:  # numbers: misses are negative, which no key of the table is
-        own, miss = F.col(on).cast("long"), spread.bitwiseOR(F.lit(-2 ** 63))
-        full = F.col(on).cast("long")
-    jkey = F.when(F.col("_hit").isNull() & F.col(on).isNotNull(), own).otherwise(miss)
-    cold = table.select(full.alias("_ck"), *[F.col(c).alias(f"_c_{c}") for c in vals])
-    j2 = j1.withColumn("_jk", jkey).join(cold, F.col("_jk") == F.col("_ck"), "left")
-    return j2.select(*left.columns,
-                     *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in vals])
+# Copies of warm keys that a partition of a dealt lookup gets, about.
+PIECES = 16
 
 
 def dealt_lookup(left: DataFrame, on: str | list, table: DataFrame, counts: DataFrame, spread,
@@ -112,6 +79,14 @@ def dealt_lookup(left: DataFrame, on: str | list, table: DataFrame, counts: Data
         *left.columns, *[F.col(f"_t_{c}").alias(c) for c in values])
 
 
+def task_share(spark, total: int, least: int = 100_000) -> int:
+    """Rows of one copy of a key in a dealt lookup: a PIECES-th of an even
+    share of ``total`` over the shuffle partitions (so that chance, which puts
+    several copies into one partition, evens out), at least ``least``."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-int(total) // (PIECES * parts)))
+
+
 def _every(conditions: list):
     out = conditions[0]
     for c in conditions[1:]:

@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.functions.text import decode_label
-from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup,
-                                      one_row_per_key, repeated_key)
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, one_row_per_key,
+                                      repeated_key, task_share)
 from polarity.session import checkpoint, scratch_path
 
 CLIP = 30.0
 SOFT_DECIMALS = 6
+# Term rows that one task of a dealt lookup may hold, at least.
+ROWS_PER_TASK = 100_000
 
 
 @dataclass
@@ -89,9 +91,8 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
 
     Vocabulary within the broadcast bound: tokens stream through a broadcast
     hash join and are summed per row map-side (one shuffle of one row per
-    document). Beyond it: term counts per (row, word) first, then the
-    weights join with the most frequent words answered by a broadcast of
-    the top words and the rest by a shuffle join without hot keys, then the
+    document). Beyond it: term counts per (row, word) first, then the weights
+    by a shuffle join in which words are copied by their counts, then the
     per-row sum.
     """
     ex = df.select(key, *carry, F.posexplode_outer(tokens).alias("_pos", "word"))
@@ -104,12 +105,7 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
                                   rows.alias("_rows"), *along)
     else:
         tf = ex.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_tf"), rows.alias("_r"), *along)
-        if "mass" in model.weights.columns:
-            hot = (model.weights.orderBy(F.col("mass").desc(), F.col("word"))
-                   .limit(HOT_KEYS).select("word", "weight"))
-            j = hot_split_lookup(tf, "word", w, hot, F.xxhash64(F.col(key), F.col("word")))
-        else:
-            j = tf.join(w, "word", "left")
+        j = _weighted(tf, model, key)
         contrib = F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("_tf")
         sums = j.groupBy(key).agg(F.sum(contrib).alias("_s"), F.sum("_r").alias("_rows"), *along)
     score = F.when(F.col("_rows") > 1, repeated_key(key)).otherwise(F.lit(model.prior)
@@ -118,6 +114,21 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
             .select(key, *carry, "score", (F.col("score") > 0).cast("int").alias("pred")))
 
 
+def _weighted(tf: DataFrame, model: NBModel, key: str) -> DataFrame:
+    """Term rows with their weight, by a shuffle join in which a word of more
+    rows than a task's share is copied by the mass the model gave it (by a
+    count where it kept none)."""
+    if "mass" in model.weights.columns:
+        counts = model.weights.select("word", F.ceil("mass").alias("n"))
+    else:
+        counts = checkpoint(tf.where("word is not null").groupBy("word")
+                            .agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return dealt_lookup(tf, "word", model.weights.select("word", "weight"), counts,
+                        F.xxhash64(F.col(key), F.col("word")),
+                        task_share(tf.sparkSession, total, ROWS_PER_TASK))
+
+
 def soft_label(score) -> F.Column:
     """Probability of the positive class from a score, clipped and rounded so
     the refit does not hinge on the last bits of a float sum."""
@@ -155,9 +166,7 @@ def score_terms(terms: DataFrame, model: NBModel, key: str = "id",
     if model.n_words <= max_broadcast_rows:
         j = tf.join(F.broadcast(w), "word", "left")
     else:
-        hot = (model.weights.orderBy(F.col("mass").desc(), F.col("word"))
-               .limit(HOT_KEYS).select("word", "weight"))
-        j = hot_split_lookup(tf, "word", w, hot, F.xxhash64(F.col(key), F.col("word")))
+        j = _weighted(tf, model, key)
     score = F.lit(model.prior) + F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("tf"))
     return (j.groupBy(key).agg(score.alias("score"))
             .select(key, "score", (F.col("score") > 0).cast("int").alias("pred")))

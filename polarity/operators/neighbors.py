@@ -1,12 +1,13 @@
 """Nearest words by cosine (K2, J7), sentence decoding (K3), and the
 weight-normalised linear score (M4).
 
-Nearest-word search is exact, with no pair table and no shuffle of queries or
-vocabulary: the vocabulary's distinct vectors are read in blocks of bounded
-size, each block is broadcast once, and the query rows stream past it in Arrow
-batches (one matrix product per batch, numpy) with the best words so far.
-Between blocks the rows are written to the checkpoint folder, so a lost
-executor repeats one block at most. A vocabulary of one block needs no write.
+Nearest-word search is exact, with no pair table, and nothing of the vocabulary
+passes through the driver: its distinct vectors are written once as Parquet
+blocks of bounded size in the checkpoint folder, and tasks read them there. A
+task takes its query rows in Arrow batches past one block after the other (one
+matrix product per batch and block, numpy) with the best words so far. Where
+queries are few and blocks many, the blocks are dealt over several tasks per
+query part, and the best words of a row's tasks are merged by one aggregate.
 
 Words that share a vector are scored once and come in order of id, so exact
 ties go to the lowest id whatever the rounding of a matrix product.
@@ -18,14 +19,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
 from polarity.functions.arrays import COSINE_EPS
 from polarity.functions.text import detokenize
-from polarity.session import checkpoint
+from polarity.session import checkpoint, scratch_path
+from polarity.sources.files import read_folder
 
 # Similarity values held at once per task (64 MB of doubles): query rows are
 # scored in slices so a 10k-row Arrow batch against a large vocabulary block
@@ -72,33 +75,64 @@ def _keys(qid) -> list[str]:
     return [qid] if isinstance(qid, str) else list(qid)
 
 
-def _search(q: DataFrame, block: DataFrame, k: int, keep: list[str]) -> DataFrame:
-    """``q`` (keep..., _qv, _best) with _best improved by one block."""
-    # size checked by the caller: at most max_broadcast_values floats
-    pdf = block.toPandas()
-    words = [[(int(w["id"]), w["word"]) for w in ws] for ws in pdf["words"]]
-    order = np.argsort([w[0][0] for w in words], kind="stable")
-    words = [words[i] for i in order]
-    mat = np.vstack(pdf["vec"].to_numpy()[order]).astype(np.float64)
-    first = np.array([w[0][0] for w in words])
-    shipped = q.sparkSession.sparkContext.broadcast((words, first, mat,
-                                                     np.linalg.norm(mat, axis=1)))
-
-    def score(batches):
-        words_, first_, mat_, norm_ = shipped.value
+_blocks: dict[str, tuple] = {}
+
+
+def _block(path: str):
+    """(words, first ids, vectors, norms) of a block, by first id; None if it
+    is empty. A worker keeps the last one it read."""
+    if path not in _blocks:
+        t = read_folder(path, ["vec", "words"])
+        _blocks.clear()
+        _blocks[path] = None
+        if t is not None and t.num_rows:
+            words = [[(w["id"], w["word"]) for w in ws] for ws in t.column("words").to_pylist()]
+            order = np.argsort([w[0][0] for w in words], kind="stable")
+            vec = t.column("vec").combine_chunks()
+            flat = vec.flatten() if isinstance(vec, pa.ListArray) else pa.concat_arrays(
+                [c.flatten() for c in vec.chunks])
+            mat = flat.to_numpy(zero_copy_only=False).reshape(len(words), -1)[order]
+            words = [words[i] for i in order]
+            _blocks[path] = (words, np.array([w[0][0] for w in words]), mat,
+                             np.linalg.norm(mat, axis=1))
+    return _blocks[path]
+
+
+def _search(root: str, blocks: int, groups: int, k: int):
+    """mapInPandas: rows (..., _qv, _best[, _group]) with _best improved by all
+    blocks, or by those of the row's group."""
+    def improve(b, block):
+        words, first, mat, norm = block
+        idx, sim = _top(np.vstack(b["_qv"].to_numpy()).astype(np.float64), mat, norm, first, k)
+        best = []
+        for rows, values, old in zip(idx, sim, b["_best"]):
+            found = [(v, w_id, w) for r, v in zip(rows, values) for w_id, w in words[r][:k]]
+            found += [(f["sim"], f["id"], f["word"]) for f in old]
+            found.sort(key=lambda f: (-f[0], f[1]))
+            best.append([{"sim": float(v), "id": w_id, "word": w} for v, w_id, w in found[:k]])
+        return b.assign(_best=pd.Series(best, index=b.index, dtype=object))
+
+    def run(batches):
         for b in batches:
-            if len(b) == 0:
-                continue
-            qm = np.vstack(b["_qv"].to_numpy()).astype(np.float64)
-            idx, sim = _top(qm, mat_, norm_, first_, k)
-            best = []
-            for i, (rows, values) in enumerate(zip(idx, sim)):
-                found = [(v, w_id, w) for r, v in zip(rows, values) for w_id, w in words_[r][:k]]
-                found += [(f["sim"], f["id"], f["word"]) for f in b["_best"].iloc[i]]
-                found.sort(key=lambda f: (-f[0], f[1]))
-                best.append([{"sim": float(v), "id": w_id, "word": w} for v, w_id, w in found[:k]])
-            yield b.assign(_best=pd.Series(best, index=b.index, dtype=object))
-    return q.mapInPandas(score, q.schema)
+            for g, part in b.groupby("_group", sort=False) if groups > 1 else [(0, b)]:
+                if not len(part):
+                    continue
+                for i in range(int(g), blocks, groups):
+                    block = _block(f"{root}/block={i}")
+                    if block is not None:
+                        part = improve(part, block)
+                yield part
+    return run
+
+
+def _best_per_vector(vocab: DataFrame, k: int) -> DataFrame:
+    """(vec, words): the k lowest ids of each distinct vector. A rank limit is
+    applied before the shuffle, so words that share a vector are never
+    gathered."""
+    w = Window.partitionBy("vec").orderBy("id", "word")
+    return (vocab.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+            .groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("id", "word")))
+                                .alias("words")))
 
 
 def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector", k: int = 1,
@@ -108,25 +142,38 @@ def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector
     cosine, then ascending id. ``vocab`` is (id, word, vector); ``qid`` is one
     key column or several, carried through; every input row gives its own
     rows, also where keys repeat. An empty vocabulary is an error. The word
-    travels with its vector, so no lookup join follows the search."""
+    travels with its vector, so no lookup join follows the search. A task
+    holds one block of ``max_broadcast_values`` numbers at a time."""
+    spark = queries.sparkSession
     keys = _keys(qid)
     q = queries.select(*keys, F.col(qvec).cast("array<double>").alias("_qv"),
                        F.array().cast(FOUND).alias("_best"))
-    v = (vocab.select(F.col("id").cast("int").alias("id"), F.col("word").cast("string"),
-                      F.col("vector").cast("array<double>").alias("vec"))
-         .groupBy("vec").agg(F.slice(F.sort_array(F.collect_list(F.struct("id", "word"))), 1, k)
-                             .alias("words")))
+    v = _best_per_vector(vocab.select(
+        F.col("id").cast("int").alias("id"), F.col("word").cast("string"),
+        F.col("vector").cast("array<double>").alias("vec")).where("vec is not null"), k)
     v = checkpoint(v, "vectors")
     stats = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
     if not stats["n"]:
         raise ValueError("the vocabulary has no vectors to search")
     blocks = max(1, math.ceil(stats["n"] * (stats["d"] or 1) / max_broadcast_values))
+    root = scratch_path(spark, "vector-blocks")
     at = F.pmod(F.xxhash64(F.col("words")[0]["id"]), F.lit(blocks))
-    for i in range(blocks):
-        q = _search(q, v.where(at == i) if blocks > 1 else v, k, keys) \
-            if blocks == 1 or not v.where(at == i).isEmpty() else q
-        if i < blocks - 1:
-            q = checkpoint(q, "nearest")
+    v.withColumn("block", at).repartition(blocks, "block").write.partitionBy("block").parquet(root)
+    cores = spark.sparkContext.defaultParallelism
+    groups = min(blocks, max(1, cores // max(1, q.rdd.getNumPartitions())))
+    if groups > 1:
+        # few queries: pinned with a number a row, then once per group of blocks
+        q = checkpoint(q.withColumn("_row", F.monotonically_increasing_id()), "queries")
+        q = (q.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+             .repartition(cores, "_group", "_row"))
+        q = q.mapInPandas(_search(root, blocks, groups, k), q.schema)
+        order = F.array_sort(F.flatten(F.collect_list("_best")), lambda a, b: F.when(
+            a["sim"] > b["sim"], -1).when(a["sim"] < b["sim"], 1).otherwise(
+            F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)))
+        q = q.groupBy("_row").agg(*[F.first(c).alias(c) for c in keys],  # groups x k words
+                                  F.slice(order, 1, k).alias("_best"))
+    else:
+        q = q.mapInPandas(_search(root, blocks, 1, k), q.schema)
     if k == 1:
         best = F.col("_best")[0]
         return q.select(*keys, best["id"].alias("word_id"), best["word"].alias("word"),

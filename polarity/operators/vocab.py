@@ -3,11 +3,10 @@
 Token lookups keep the per-document order by carrying the position through
 the join and regrouping with ``sort_array(collect_list(struct(pos, id)))``.
 The vocabulary side is broadcast only when its size is proven (a capped
-vocabulary, or a counted one); otherwise the most frequent words (a bounded
-top-k) are broadcast and answered first, and the rest goes through a
-shuffle join in which those hot words, and empty rows, no longer share a
-key. Arrays are cut to the encoding length *before* they
-are exploded, so a 20,000-word review costs 500 rows, not 20,000.
+vocabulary, or a counted one); otherwise through a shuffle join in which every
+word of more tokens than a task's share is copied by its count and its tokens
+are dealt over the copies, as empty rows are. Arrays are cut to the encoding
+length *before* they are exploded, so a 20,000-word review costs 500 rows, not 20,000.
 """
 
 from __future__ import annotations
@@ -18,8 +17,8 @@ from pyspark.sql import functions as F
 from polarity.config import BOS_ID, EOS_ID, PAD_ID, UNK_ID
 from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
                                      strip_tags, tokenize)
-from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, HOT_KEYS, hot_split_lookup,
-                                      one_row_per_key, repeated_key)
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, one_row_per_key,
+                                      repeated_key, task_share)
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
 
@@ -27,6 +26,8 @@ from polarity.session import checkpoint
 # its single merge task receives (cap x partitions of the count table) stay
 # within this bound; beyond it the distributed rank is used.
 TOPK_MERGE_ROWS = 20_000_000
+# Tokens that one task of a dealt lookup may hold, at least.
+ROWS_PER_TASK = 100_000
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -66,12 +67,20 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
                          F.col("n").cast("long").alias("n"))
 
 
-def _hot_words(vocab: DataFrame, k: int | None = None) -> DataFrame:
-    """The k most frequent vocabulary words: by ``n`` when the vocabulary
-    carries counts, else by id (built vocabularies, and common word-vector
-    files, number words from the most frequent)."""
-    order = [F.col("n").desc(), F.col("word")] if "n" in vocab.columns else [F.col("id")]
-    return vocab.orderBy(*order).limit(k or HOT_KEYS)
+def _word_counts(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(word, n): a built vocabulary's own counts; for one without (a file of
+    word vectors), the tokens are counted, so that a frequent word it lacks
+    is dealt as well."""
+    if "n" in vocab.columns:
+        return vocab.select("word", "n")
+    return checkpoint(tokens.where("word is not null").groupBy("word")
+                      .agg(F.count(F.lit(1)).alias("n")), "word-counts")
+
+
+def _dealt(left: DataFrame, on: str, table: DataFrame, counts: DataFrame, spread) -> DataFrame:
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return dealt_lookup(left, on, table, counts, spread,
+                        task_share(left.sparkSession, total, ROWS_PER_TASK))
 
 
 def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str = "tokens",
@@ -93,11 +102,10 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
     if n_vocab <= max_broadcast_rows:
         joined = exploded.join(F.broadcast(v), "word", "left")
     else:
-        # too large to broadcast: frequent words are answered by a broadcast
-        # of the top words, the rest by a shuffle join without hot keys
-        hot = _hot_words(vocab).select("word", F.col("id").cast("int").alias("_vid"))
-        joined = hot_split_lookup(exploded, "word", v, hot,
-                                  F.xxhash64(F.col(key), F.col("pos")))
+        # too large to broadcast: a shuffle join in which a word of many tokens
+        # is copied by its count and its tokens are dealt over the copies
+        joined = _dealt(exploded, "word", v, _word_counts(vocab, exploded),
+                        F.xxhash64(F.col(key), F.col("pos")))
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
                            .alias("id")))
@@ -119,9 +127,9 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     unknown) gets a zero vector of ``dim`` floats.
 
     ``vectors`` is (id, vector). Broadcast when rows x dim x 4 bytes is
-    within ``max_broadcast_bytes``; otherwise the most frequent ids (a counted
-    top-k) are answered by a broadcast of their vectors, and the rest by a
-    shuffle join in which they, and ids below 0, spread over all partitions.
+    within ``max_broadcast_bytes``; otherwise by a shuffle join in which an id
+    of many positions is copied by its count, and its positions, like ids
+    below 0, are dealt over all partitions.
     """
     if dim is None:
         dim = vectors.select(F.size("vector")).first()[0]
@@ -133,13 +141,11 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     if n_vec * dim * 4 <= max_broadcast_bytes:
         joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
     else:
-        top = (exploded.where("_tid >= 0").groupBy("_tid").count()
-               .orderBy(F.desc("count"), "_tid").limit(HOT_KEYS).select("_tid"))
-        table = v.select(F.col("_jid").alias("_tid"), "_vec")
-        hot = checkpoint(table.join(F.broadcast(top), "_tid", "left_semi"))
-        spread = F.xxhash64(F.col(key), F.col("pos"))
         known = exploded.withColumn("_tid", F.when(F.col("_tid") >= 0, F.col("_tid")))
-        joined = hot_split_lookup(known, "_tid", table, hot, spread)
+        counts = checkpoint(known.where("_tid is not null").groupBy("_tid")
+                            .agg(F.count(F.lit(1)).alias("n")), "id-counts")
+        joined = _dealt(known, "_tid", v.select(F.col("_jid").alias("_tid"), "_vec"), counts,
+                        F.xxhash64(F.col(key), F.col("pos")))
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return joined.select(key, F.col("pos").cast("int").alias("pos"),
                          F.coalesce(F.col("_vec"), zero).alias("vector"))

@@ -17,8 +17,11 @@ from polarity.operators import metrics as M
 from polarity.operators import model as T
 from polarity.operators import sampling as S
 from polarity.operators import vocab as V
+from polarity.operators.epochs import epoch_batches
 from polarity.operators.joins import complement as _complement
+from polarity.operators.logistic import fit_lr_terms, score_lr_terms
 from polarity.operators.neighbors import decode_sentence, linear_score, nearest
+from polarity.operators.ordering import running_total
 from polarity.plans import inputs as I
 from polarity.plans.pipeline import run_semi, run_supervised
 from polarity.session import scratch_path
@@ -35,6 +38,8 @@ KEY = "doc_id"
 SEQ_LEN = 500
 HIST_LO, HIST_HI, HIST_BINS = -0.5, 0.5, 20
 SEMI_WEIGHT = 0.5
+EPOCHS = 10
+LR_REG, LR_ITERATIONS = 0.1, 20
 
 
 def _tokens(spark, d) -> DataFrame:
@@ -237,6 +242,11 @@ def q_assign_batches(spark, d):
                             KEY)
 
 
+def q_epoch_batches(spark, d):
+    """Ten shuffled epochs from one rank."""
+    return epoch_batches(_doc_ids(spark, d), DEFAULTS.batch_size, EPOCHS, DEFAULTS.split_seed, KEY)
+
+
 def _tiled(spark, d):
     lab = I.labeled_ids(spark, d)
     unl = I.unlabeled_ids(spark, d)
@@ -296,6 +306,15 @@ def q_step_window_acc(spark, d):
     return w.select("epoch", "window", "samples", F.round("acc", 9).alias("acc"))
 
 
+def q_running_samples(spark, d):
+    """W2 at data size: samples seen so far, over all steps and in the epoch."""
+    steps = I.steps(spark, d).select("event_id", "ts", "epoch", "batch_size")
+    order = ["ts", "event_id"]
+    inside = running_total(steps, order, {"epoch_samples": "batch_size"}, ["epoch"])
+    return running_total(inside, order, {"samples": "batch_size"}).select(
+        "event_id", "epoch", "epoch_samples", "samples")
+
+
 def q_metrics_long(spark, d):
     w = _step_windows(spark, d).select(
         F.col("global_step").alias("step"),
@@ -344,6 +363,11 @@ def q_feature_histogram(spark, d):
     return M.feature_histogram(e, HIST_LO, HIST_HI, HIST_BINS, "embedding", ["role"])
 
 
+def q_exponential_histogram(spark, d):
+    """A11 without bounds given."""
+    return M.exponential_histogram(I.embeddings(spark, d), "embedding", ["role"])
+
+
 def q_latest_prediction(spark, d):
     return M.latest_per_id(I.steps(spark, d), "user_id", "event_type", ["ts", "event_id"])
 
@@ -441,6 +465,15 @@ def q_lr_fit(spark, d):
     return T.score_lr(_tokens(spark, d), model, KEY).select(KEY, "pred")
 
 
+def q_lr_table_score(spark, d):
+    """T1 / T2 with the weights as a table (iterative: no SQL)."""
+    lab = I.table(spark, d, "labels").select(KEY, F.col("quality").cast("int").alias("label"))
+    docs = I.with_tokens(I.documents(spark, d).join(lab, KEY, "left"))
+    terms = T.term_table(docs, KEY, "tokens", ("label",))
+    model = fit_lr_terms(terms, KEY, reg=LR_REG, max_iter=LR_ITERATIONS, tol=1e-4)
+    return score_lr_terms(terms, model, KEY).select(KEY, "pred")
+
+
 # ------------------------------------------------------ sources and sinks (S)
 # Each writes data Spark derives from the test tables into a fresh folder
 # under the shared checkpoint folder, in the file form the reader expects,
@@ -594,6 +627,7 @@ QUERIES = {
     "split_three": q_split_three,
     "split_train_valid": q_split_train_valid,
     "assign_batches": q_assign_batches,
+    "epoch_batches": q_epoch_batches,
     "tile_labeled": q_tile_labeled,
     "zip_batches": q_zip_batches,
     "weighted_vote": q_weighted_vote,
@@ -608,6 +642,8 @@ QUERIES = {
     "mean_vector": q_mean_vector,
     "feature_gap": q_feature_gap,
     "feature_histogram": q_feature_histogram,
+    "exponential_histogram": q_exponential_histogram,
+    "running_samples": q_running_samples,
     "latest_prediction": q_latest_prediction,
     "nb_weights": q_nb_weights,
     "nb_score": q_nb_score,
@@ -616,6 +652,7 @@ QUERIES = {
     "submission": q_submission,
     "pipeline_submission": q_pipeline_submission,
     "lr_fit": q_lr_fit,
+    "lr_table_score": q_lr_table_score,
     "semi_lr_fit": q_semi_lr_fit,
     "split_use_all": q_split_use_all,
     "review_csv": q_review_csv,

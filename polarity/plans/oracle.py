@@ -5,6 +5,7 @@ oracle: same column names, same rounding, same seeded order keys."""
 from __future__ import annotations
 
 from polarity.config import MEMBER_WEIGHTS
+from polarity.operators.epochs import PRIME, round_keys
 
 SEQ_LEN, MAX_LEN = 500, 512
 
@@ -162,6 +163,34 @@ SUPERVISED = f"""WITH
         WHERE r.p >= ceil(r.n * CAST(0.1 AS DOUBLE))),
       {nb_fit_cte('m', 'train')}"""
 
+def epochs_sql(epochs: int, size: int, seed) -> str:
+    """The keyed permutation of positions, pass by pass; positions that need
+    more passes than WALKS would come out at n or more and fail the compare."""
+    walks = 12
+    keys = ", ".join(
+        f"({e}, " + ", ".join(f"{m}::BIGINT, {c}::BIGINT" for m, c in round_keys(seed, e)) + ")"
+        for e in range(epochs))
+    sq = lambda v, k: f"(({v} * m{k} + c{k}) % {PRIME})"
+    moved = lambda v, k: f"({sq(v, k)} * {sq(v, k)} % {PRIME})"
+    ctes, last = [], "w0"
+    for i in range(walks):
+        steps = (f"s{i}a AS (SELECT *, (x // b + {moved('(x % b)', 0)}) % a AS l, x % b AS r FROM {last}), "
+                 f"s{i}b AS (SELECT * REPLACE ((r + {moved('l', 1)}) % b AS r) FROM s{i}a), "
+                 f"s{i}c AS (SELECT * REPLACE ((l + {moved('r', 2)}) % a AS l) FROM s{i}b), "
+                 f"s{i}d AS (SELECT * REPLACE ((r + {moved('l', 3)}) % b AS r) FROM s{i}c), ")
+        keep = "l * b + r" if i == 0 else "CASE WHEN x < n THEN x ELSE l * b + r END"
+        ctes.append(steps + f"w{i + 1} AS (SELECT * EXCLUDE (l, r) REPLACE ({keep} AS x) FROM s{i}d)")
+        last = f"w{i + 1}"
+    names = ", ".join(f"m{k}, c{k}" for k in range(4))
+    return f"""WITH {rank_cte('r', '(SELECT doc_id FROM documents)', str(seed))},
+      k(epoch, {names}) AS (VALUES {keys}),
+      g AS (SELECT count(*) AS n, greatest(1, ceil(sqrt(count(*))))::BIGINT AS a FROM documents),
+      w0 AS (SELECT r.doc_id, k.*, g.n, g.a, greatest(1, (g.n + g.a - 1) // g.a) AS b, r.p::BIGINT AS x
+             FROM r, k, g), {", ".join(ctes)}
+      SELECT doc_id, CAST(epoch AS INTEGER) AS epoch, CAST(x // {size} AS BIGINT) AS batch_id,
+        CAST(x % {size} AS INTEGER) AS slot FROM {last}"""
+
+
 ORACLE = {
     "strip_tags": "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM pages",
     "encode_label": """SELECT d.doc_id,
@@ -247,6 +276,27 @@ ORACLE = {
     "assign_batches": f"""WITH {rank_cte('r', '(SELECT doc_id FROM documents)', '7:0')}
       SELECT doc_id, 0 AS epoch, CAST(p // 64 AS BIGINT) AS batch_id,
         CAST(p % 64 AS INTEGER) AS slot FROM r""",
+    "epoch_batches": epochs_sql(10, 64, 7),
+    "running_samples": f"""WITH {STEPS}
+      SELECT event_id, epoch,
+        CAST(sum(bs) OVER (PARTITION BY epoch ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+          AS epoch_samples,
+        CAST(sum(bs) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS samples
+      FROM st""",
+    "exponential_histogram": f"""WITH {EMB},
+      ex AS (SELECT role, unnest(CAST(embedding AS DOUBLE[])) AS x FROM emb),
+      p AS (SELECT role, CAST(sign(x) AS INTEGER) AS sign, abs(x) AS s,
+        CASE WHEN x <> 0 THEN CAST(floor(log2(abs(x))) AS INTEGER) END AS g FROM ex WHERE x IS NOT NULL),
+      q AS (SELECT role, sign, s, CASE WHEN s < pow(2.0::DOUBLE, g) THEN g - 1
+        WHEN s >= pow(2.0::DOUBLE, g + 1) THEN g + 1 ELSE g END AS exponent FROM p),
+      b AS (SELECT role, sign, exponent,
+        CAST(floor((s / pow(2.0::DOUBLE, exponent) - 1) * 8) AS INTEGER) AS sub_bucket FROM q)
+      SELECT role, sign, exponent, sub_bucket,
+        CASE WHEN sign = 0 THEN 0.0 ELSE least((1 + sub_bucket / 8.0::DOUBLE) * sign,
+          (1 + (sub_bucket + 1) / 8.0::DOUBLE) * sign) * pow(2.0::DOUBLE, exponent) END::DOUBLE AS lo,
+        CASE WHEN sign = 0 THEN 0.0 ELSE greatest((1 + sub_bucket / 8.0::DOUBLE) * sign,
+          (1 + (sub_bucket + 1) / 8.0::DOUBLE) * sign) * pow(2.0::DOUBLE, exponent) END::DOUBLE AS hi,
+        count(*) AS n FROM b GROUP BY ALL""",
     "tile_labeled": f"WITH {TILED} SELECT doc_id, copy, label FROM tiled",
     "zip_batches": f"""WITH {TILED},
       {rank_cte('lr', 'tiled', '1:0', ('doc_id', 'copy'))},

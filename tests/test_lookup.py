@@ -187,30 +187,38 @@ def test_repeated_keys_fail(spark):
         T.fit_nb(lab.where("p = 1"), "tokens", "p")
 
 
-def test_shuffle_join_has_no_hot_partition(spark):
-    """One word on most rows, 200 partitions: no partition far above the median."""
-    from polarity.operators.joins import hot_split_lookup
-    left = spark.range(200_000).select(
-        "id", F.when(F.col("id") % 10 < 6, F.lit("the")).when(F.col("id") % 10 < 8, None)
-        .otherwise(F.concat(F.lit("w"), F.col("id") % 5000)).alias("word"))
-    table = spark.range(5000).select(F.concat(F.lit("w"), "id").alias("word"),
-                                     F.col("id").cast("int").alias("v")).unionAll(
-        spark.createDataFrame([("the", -5)], "word string, v int"))
-    conf = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.enabled": "false",
+def test_dealt_lookup_has_no_hot_partition(spark):
+    """Zipf counts, 2,000 partitions: warm keys of every rank are dealt by
+    their counts, and so are nulls and a frequent word that the table lacks."""
+    from polarity.operators import joins as J
+    counts = {f"w{i}": 120_000 // i for i in range(1, 4001)}
+    counts["lost"] = 60_000
+    table = spark.createDataFrame([(w, i) for i, w in enumerate(counts) if w != "lost"],
+                                  "word string, v int")
+    freq = spark.createDataFrame(list(counts.items()), "word string, n long")
+    left = (freq.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+            .select("word", "i").unionAll(spark.range(100_000).selectExpr(
+                "cast(null as string) as word", "cast(id as int) as i")))
+    conf = {"spark.sql.shuffle.partitions": "2000", "spark.sql.adaptive.enabled": "false",
             "spark.sql.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = hot_split_lookup(left, "word", table, table.where("word = 'the'"),
-                               F.xxhash64("id")).withColumn("p", F.spark_partition_id())
-        sizes = sorted(r["count"] for r in out.groupBy("p").count().collect())
-        assert out.where("word = 'the' and v = -5").count() == 120_000
-        assert out.where("word like 'w%' and v is not null").count() == 40_000
+        share = J.task_share(spark, sum(counts.values()), least=1)
+        out = J.dealt_lookup(left, "word", table, freq, F.xxhash64("word", "i"), share)
+        assert out.columns == ["word", "i", "v"]
+        out = out.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+            F.count(F.lit(1)).alias("n"), F.count("v").alias("found"),
+            F.count_if(F.col("word") == "lost").alias("lost")).collect()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert sum(r["found"] for r in out) == sum(counts.values()) - 60_000
+    assert sum(r["lost"] for r in out) == 60_000
+    assert sum(r["n"] for r in out) == sum(counts.values()) + 100_000
+    sizes = sorted(r["n"] for r in out)
+    assert len(sizes) > 1900 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
 
 
 def _skewed_tokens(spark):
@@ -219,24 +227,24 @@ def _skewed_tokens(spark):
     return spark.createDataFrame(rows, "id long, tokens array<string>")
 
 
-def test_lookup_ids_hot_split_equals_broadcast(spark, monkeypatch):
+def test_lookup_ids_dealt_equals_broadcast(spark, monkeypatch):
     toks = _skewed_tokens(spark)
     vocab = V.build_vocabulary(toks, min_count=1, max_size=None)
     want = {r["id"]: list(r["ids"]) for r in V.lookup_ids(toks, vocab, "id", n=40).collect()}
-    monkeypatch.setattr(V, "HOT_KEYS", 2)  # "the" and "movie" hot, the rest cold
+    monkeypatch.setattr(V, "ROWS_PER_TASK", 7)  # "the", "movie" and the unknown word are warm
     for vv in (vocab, vocab.drop("n")):
         got = V.lookup_ids(toks, vv, "id", n=40, max_broadcast_rows=0)
         assert {r["id"]: list(r["ids"]) for r in got.collect()} == want
     assert want[100] == [-1] * 40 and want[101] == [-1] * 40
 
 
-def test_score_nb_hot_split_equals_broadcast(spark, monkeypatch):
+def test_score_nb_dealt_equals_broadcast(spark, monkeypatch):
     from polarity.operators import model as T
     toks = _skewed_tokens(spark)
     lab = toks.filter("id < 40").withColumn("p", (F.col("id") % 2).cast("double"))
     m = T.fit_nb(lab, "tokens", "p")
     want = {r["id"]: round(r["score"], 9) for r in T.score_nb(toks, m, "id").collect()}
-    monkeypatch.setattr(T, "HOT_KEYS", 2)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 7)
     got = {r["id"]: round(r["score"], 9)
            for r in T.score_nb(toks, m, "id", max_broadcast_rows=0).collect()}
     assert got == want and len(want) == 43
