@@ -26,7 +26,7 @@ from polarity.plans import inputs as I
 from polarity.plans.pipeline import run_semi, run_supervised
 from polarity.session import scratch_path
 from polarity.sources.cache import materialize_once
-from polarity.sources.metrics_log import log_metrics, to_long
+from polarity.sources.metrics_log import log_metrics, read_metrics, to_long
 from polarity.sources.models import load_model, save_model
 from polarity.sources.reviews import (CSV_OPTIONS, read_members, read_reviews, write_members,
                                       write_reviews, write_submission)
@@ -557,23 +557,25 @@ def q_vocab_text(spark, d):
 
 
 def q_cached_split(spark, d):
-    """The three-way split computed once; the second call reads it."""
+    """The three-way split computed once for these files and parameters;
+    the second call reads it."""
     path = scratch_path(spark, "split-cache")
-    materialize_once(spark, lambda: q_split_three(spark, d), path)
-    return materialize_once(spark, lambda: q_split_three(spark, d), path)
+    state = {"inputs": [f"{d}/documents.parquet"], "params": {"query": "split_three"}}
+    materialize_once(spark, lambda: q_split_three(spark, d), path, **state)
+    return materialize_once(spark, lambda: q_split_three(spark, d), path, **state)
 
 
 def q_metrics_log(spark, d):
-    """Step-window metrics appended to a run-partitioned log, read back
-    for one run (partition pruning)."""
+    """Step-window metrics committed to a run-partitioned log, twice as a
+    rerun would, read back for one run (partition pruning)."""
     path = scratch_path(spark, "metric-log")
     w = _step_windows(spark, d).select(
         F.col("global_step").alias("step"),
         F.round("loss", 9).alias("batch-loss"),
         F.col("samples").cast("double").alias("batch-samples"))
-    log_metrics(w, "events", "step", ["batch-loss", "batch-samples"], path)
-    return (spark.read.parquet(path).filter(F.col("run") == "events")
-            .select("run", "tag", "step", "value"))
+    for _ in range(2):
+        log_metrics(w, "events", "step", ["batch-loss", "batch-samples"], path)
+    return read_metrics(spark, path, "events")
 
 
 def q_saved_model_score(spark, d):

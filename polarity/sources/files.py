@@ -1,10 +1,23 @@
-"""Files of the shared folder, as tasks read them without a session."""
+"""Files of the shared folder: as the driver asks for them through Spark's file
+systems, and as tasks read them without a session."""
 
 from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path), the driver's view."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def filesystem(uri: str):

@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from polarity.operators.model import NBModel
-from polarity.sources.cache import _exists
+from polarity.sources.files import exists
 
 
 def model_path(root: str, run: str, epoch: int) -> str:
@@ -38,7 +38,7 @@ def save_model(model, root: str, run: str, epoch: int, overwrite: bool = True) -
 
 def load_model(spark: SparkSession, root: str, run: str, epoch: int, kind: str = "nb"):
     path = model_path(root, run, epoch)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"no saved model at {path}")
     if kind == "nb":
         meta = spark.read.parquet(f"{path}/meta").first()

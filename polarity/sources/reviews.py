@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polarity.operators.joins import broadcast_if_small
-from polarity.sources.cache import _exists
+from polarity.sources.files import exists
 
 SUBMISSION_SCHEMA = "id LONG, sentiment STRING"
 # Quoted fields may hold newlines and doubled quotes ("" inside "...").
@@ -128,6 +128,6 @@ def _glob_escape(path: str) -> str:
 
 
 def _check_members(spark: SparkSession, members: list[str], paths: list[str]) -> None:
-    lost = [m for m, p in zip(members, paths) if not _exists(spark, p)]
+    lost = [m for m, p in zip(members, paths) if not exists(spark, p)]
     if lost:
         raise FileNotFoundError(f"no submission of weighted members {lost}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from polarity.operators.ensemble import ensemble, member_weights
 from polarity.operators.model import fit_nb, fit_lr, score_lr
 from polarity.sources import cache, models, reviews, vocab_io
-from polarity.sources.metrics_log import log_metrics
+from polarity.sources.metrics_log import log_metrics, read_metrics
 
 HARD = ['plain', 'quote " inside', 'line\nbreak', 'trailing backslash\\', 'comma, and "both"\n']
 
@@ -114,6 +114,61 @@ def test_materialize_once(spark, tmp_out):
     assert len(calls) == 2
 
 
+def test_cache_follows_inputs_and_parameters(spark, tmp_out):
+    source, p = os.path.join(tmp_out, "in"), os.path.join(tmp_out, "keyed")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(source)
+
+    def get(**params):
+        return cache.materialize_once(spark, build, p, inputs=[source], params=params).count()
+    spark.range(3).write.parquet(source)
+    assert get(n=1) == 3 and get(n=1) == 3 and len(calls) == 1
+    spark.range(4).write.mode("append").parquet(source)  # one more file
+    assert get(n=1) == 7 and get(n=1) == 7 and len(calls) == 2
+    assert get(n=2) == 7 and len(calls) == 3  # other parameters
+    name = sorted(f for f in os.listdir(source) if f.endswith(".parquet"))[0]
+    at = os.path.getmtime(os.path.join(source, name))
+    os.utime(os.path.join(source, name), (at + 5, at + 5))  # rewritten in place
+    assert get(n=2) == 7 and len(calls) == 4
+    os.remove(os.path.join(p, cache.MANIFEST))  # crash before the manifest
+    assert get(n=2) == 7 and len(calls) == 5
+    table = spark.read.parquet(source)
+    assert cache.manifest(spark, [table]) == cache.manifest(spark, [table])
+    with pytest.raises(FileNotFoundError):
+        cache.manifest(spark, [os.path.join(tmp_out, "none")])
+
+
+def test_metric_log_reruns_replace(spark, tmp_out):
+    p = os.path.join(tmp_out, "log")
+
+    def log(rows, run="007", tags=("a", "b")):
+        wide = spark.createDataFrame(rows, "step long, a double, b double")
+        return log_metrics(wide, run, "step", list(tags), p, part_steps=10)
+
+    def points(run="007"):
+        return sorted(tuple(r) for r in read_metrics(spark, p, run).collect())
+    log([(1, 1.0, 2.0), (25, 3.0, None)])
+    once = points()
+    assert once[0] == ("007", "a", 1, 1.0) and len(once) == 4
+    log([(1, 1.0, 2.0), (25, 3.0, None)])
+    assert sorted(map(str, points())) == sorted(map(str, once))  # a retry doubles nothing
+    log([(2, 9.0, 9.0)], tags=("a",))  # same range: other points stay
+    log([(1, 5.0, 0.0)], tags=("a",))  # the point is replaced
+    got = {(t, s): v for _, t, s, v in points()}
+    assert got == {("a", 1): 5.0, ("b", 1): 2.0, ("a", 2): 9.0, ("a", 25): 3.0, ("b", 25): None}
+    log([(1, 8.0, 8.0)], run="8")  # another run
+    assert len(points()) == 5 and len(points("8")) == 2
+    log([])
+    assert len(points()) == 5
+    with pytest.raises(Exception, match="two values of one point"):
+        log([(1, 1.0, 1.0), (1, 2.0, 1.0)])
+    plan = read_metrics(spark, p, "8")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan
+
+
 def test_models_save_load(spark, tmp_out):
     docs = spark.createDataFrame([(["good", "fun"], 1.0), (["bad"], 0.0)], "tokens array<string>, p double")
     m = fit_nb(docs)
