@@ -22,6 +22,7 @@ from polarity.operators.joins import complement as _complement
 from polarity.operators.logistic import fit_lr_terms, score_lr_terms
 from polarity.operators.neighbors import decode_sentence, linear_score, nearest
 from polarity.operators.ordering import running_total
+from polarity.operators.vector_index import build_index, nearest_indexed
 from polarity.plans import inputs as I
 from polarity.plans.pipeline import run_semi, run_supervised
 from polarity.session import scratch_path
@@ -192,11 +193,21 @@ def q_nearest_word_k(spark, d):
                                           F.round("sim", 6).alias("sim"))
 
 
+def q_nearest_word_indexed(spark, d):
+    """K2 through the random-projection index, three words of each vector."""
+    vocab = _vocab_vectors(spark, d, ["labeled", "real"])
+    index = build_index(vocab, scratch_path(spark, "vector-index"))
+    return nearest_indexed(_vector_queries(spark, d), index, vocab, k=3).select(
+        "qid", "rank", "word_id", "word", F.round("sim", 6).alias("sim"))
+
+
+def _vector_queries(spark, d):
+    return I.embeddings(spark, d).filter(F.col("role") == "fake").select(
+        F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+
+
 def _nearest(spark, d, **how):
-    queries = I.embeddings(spark, d).filter(F.col("role") == "fake")
-    return nearest(queries.select(F.col("vec_id").alias("qid"),
-                                  F.col("embedding").alias("vector")),
-                   _vocab_vectors(spark, d, ["labeled", "real"]), **how)
+    return nearest(_vector_queries(spark, d), _vocab_vectors(spark, d, ["labeled", "real"]), **how)
 
 
 def q_decode_sentence(spark, d):
@@ -672,6 +683,7 @@ QUERIES = {
     "cosine": q_cosine,
     "nearest_word_blocked": q_nearest_word_blocked,
     "nearest_word_k": q_nearest_word_k,
+    "nearest_word_indexed": q_nearest_word_indexed,
     "step_window_acc": q_step_window_acc,
     "pipeline_valid_metrics": q_pipeline_valid_metrics,
     "pipeline_semi_metrics": q_pipeline_semi_metrics,

@@ -48,7 +48,8 @@ def duck():
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
     own = set(QUERIES)
-    assert own - set(E.oracle_sql()) == {"lr_fit", "semi_lr_fit", "lr_table_score"}
+    assert own - set(E.oracle_sql()) == {"lr_fit", "semi_lr_fit", "lr_table_score",
+                                            "nearest_word_indexed"}
 
 
 def test_entry(spark):
