@@ -12,14 +12,16 @@
    those shingles of their prefix that others have too, and lists with the
    same groups are kept once (under their first shingle).
 4. Group pairs are filtered by size and by the place of the shared shingle,
-   expanded to members and verified on whole sets: first each member against
-   one member of its list, drawn by hash; these links already join most of a
-   dense group. Then, in lists that still hold several components, each
-   member outside the largest meets all members of other components: short
-   lists as pairs (once each, and only those not tried before), long ones in
-   blocks of bounded size. Components of the verified links are the result;
-   every pair that may link different components has been compared, so no
-   link between different texts is lost.
+   made distinct, and only then expanded to members and verified on whole sets.
+   First each group meets one of its list, drawn by hash: all its members
+   against that group's first one, and against their own group's; these links
+   already join most of a dense group. Then, in lists that still hold several
+   components, members outside the largest meet all members of other
+   components: in short lists as pairs of groups' parts (the members in one
+   component), expanded once each and only where not tried before, in long ones
+   in blocks of bounded size. Components of the verified links are the result;
+   every pair that may link different components has been compared, so no link
+   between different texts is lost.
 
 Contract: A-Z count as lower case; fewer than ``width`` words make one shingle
 of them all; texts without words (and null) have no shingles and no links;
@@ -49,6 +51,9 @@ COUNTED_MORE = 5
 #: lists of more comparisons than this are compared in blocks of BLOCK sets
 PAIRS = 2_000
 BLOCK = 256
+#: rows by shingle up to which they are broadcast; more are joined by a shuffle
+#: whose hot shingles AQE splits
+SPREAD = 200_000
 
 
 # ---------------------------------------------------------------- sets
@@ -227,9 +232,10 @@ def _posted(t: DataFrame, percent: int) -> DataFrame:
     are counted come in order of count (1 first, which are not posted), then
     the late ones in order of hash."""
     rows = t.select("ref", F.posexplode("tokens").alias("pos", "token"))
-    each = Window.partitionBy("token")
-    rows = checkpoint(rows.withColumn("common", F.count(F.lit(1)).over(each)).where("common > 1"),
-                      "shared")
+    # counted by partial sums and joined back: a shingle of all texts is no task
+    counts = checkpoint(rows.groupBy("token").agg(F.count(F.lit(1)).alias("common"))
+                        .where("common > 1"), "counts")
+    rows = checkpoint(rows.join(small_or_plain(counts, SPREAD), "token"), "shared")
     rows = rows.join(t.select("ref", "n", "counted"), "ref")
     rows = rows.withColumn("late", F.col("pos") >= F.col("counted"))
     rows = rows.withColumn("common", F.when(F.col("late"), 0).otherwise(F.col("common")))
@@ -244,8 +250,9 @@ def prefix_length_of(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100) + 1
 
 
-def _lists(t: DataFrame, percent: int) -> DataFrame:
-    """(token, ref, n, p): members of every list that can hold a pair."""
+def _lists(t: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((token, gid, n, p): groups of every list that can hold a pair;
+    (ref, n, gid): members of all groups)."""
     posts = checkpoint(_posted(t, percent), "posts")
     whole = posts.groupBy("ref", "n").agg(
         F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("token", "p").cast("decimal(38,0)")).alias("h"))
@@ -254,17 +261,17 @@ def _lists(t: DataFrame, percent: int) -> DataFrame:
         F.xxhash64("ref"))
     members = checkpoint(whole.select("ref", "n", gid.alias("gid")), "members")
     groups = members.groupBy("gid").agg(F.min("ref").alias("ref"), F.count(F.lit(1)).alias("k"))
-    at = posts.join(checkpoint(groups, "groups"), "ref").select("token", "gid", "k", "p", "common",
-                                                                "late")
+    at = posts.join(checkpoint(groups, "groups"), "ref").select("token", "gid", "k", "n", "p",
+                                                                "common", "late")
     at = checkpoint(at, "group-posts")
     rank = F.struct("late", "common", F.col("token").bitwiseXOR(F.lit(-2 ** 63)).alias("h"))
     lists = at.groupBy("token").agg(
         F.count(F.lit(1)).alias("m"), F.sum("k").alias("k"), F.min(rank).alias("rank"),
         F.sum(F.xxhash64("gid").cast("decimal(38,0)")).alias("h")).where("k > 1")
-    kept = lists.groupBy("m", "h").agg(F.min(F.struct("rank", "token")).alias("f")).select(
-        F.col("f.token").alias("token"))
-    return checkpoint(at.join(kept, "token").select("token", "gid", "p")
-                      .join(members, "gid").select("token", "ref", "n", "p"), "lists")
+    kept = checkpoint(lists.groupBy("m", "h").agg(F.min(F.struct("rank", "token")).alias("f"))
+                      .select(F.col("f.token").alias("token")), "kept")
+    lists = at.join(small_or_plain(kept, SPREAD), "token").select("token", "gid", "n", "p")
+    return checkpoint(lists, "lists"), members
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -276,34 +283,43 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.where(F.col("c") * 100 >= (F.col("s") - F.col("c")) * percent).select("u", "v")
 
 
-def _pair_columns(pairs: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of rows (ref, n, p) and their partners c (ref, n, p), once."""
-    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"), percent)
-    return pairs.where(F.col("ref") != F.col("c.ref")).where(ok).select(
-        F.greatest("ref", "c.ref").alias("u"), F.least("ref", "c.ref").alias("v")).distinct()
+def _once(pairs: DataFrame) -> DataFrame:
+    """(u, v) of rows (ref, other): each pair of different ones once."""
+    return pairs.where("ref != other").select(
+        F.greatest("ref", "other").alias("u"), F.least("ref", "other").alias("v")).distinct()
 
 
-def _drawn_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Each member with the one drawn for its list, as far as they may link."""
-    draw = F.xxhash64("token", "ref").alias("h")
-    centre = lists.groupBy("token").agg(F.min(F.struct(draw, "ref", "n", "p")).alias("c"))
-    return _pair_columns(lists.join(centre, "token"), percent)
+def _drawn_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Each member with the first one of the group drawn for its list, as far
+    as the groups may link, and with the first one of its own group."""
+    draw = F.xxhash64("token", "gid").alias("h")
+    centre = checkpoint(lists.groupBy("token").agg(F.min(F.struct(draw, "gid", "n", "p")).alias("c")),
+                        "centres")
+    ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"), percent)
+    met = lists.join(small_or_plain(centre, SPREAD), "token").where(
+        (F.col("gid") != F.col("c.gid")) & ok).select("gid", F.col("c.gid").alias("to")).distinct()
+    own = members.select("gid", F.col("gid").alias("to"), "ref")
+    rows = met.join(members.select("gid", "ref"), "gid").unionAll(own)
+    first = members.groupBy(F.col("gid").alias("to")).agg(F.min("ref").alias("other"))
+    return _once(rows.join(first, "to"))
 
 
-def _open_lists(lists: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """(token, ref, n, p, comp, top, m, out) of lists with several components:
+def _open_lists(lists: DataFrame, members: DataFrame, comps: DataFrame,
+                percent: int) -> DataFrame:
+    """(token, gid, ref, n, p, comp, top, m, out) of lists with several components:
     the largest one, the members, and those outside it. Members that no size
     and place in the list would let link are left out."""
-    m = checkpoint(lists.join(comps.select(F.col("node").alias("ref"), "component"), "ref", "left")
-                   .select("token", "ref", "n", "p", F.coalesce("component", "ref").alias("comp")),
-                   "members")
+    members = members.join(comps.select(F.col("node").alias("ref"), "component"), "ref", "left")
+    m = checkpoint(lists.join(members.select("gid", "ref", F.coalesce("component", "ref")
+                                             .alias("comp")), "gid")
+                   .select("token", "gid", "ref", "n", "p", "comp"), "members")
     room = m.groupBy("token").agg(F.max(F.col("n") - F.col("p")).alias("room"),
                                   F.min("n").alias("least"), F.min("comp").alias("c0"),
                                   F.max("comp").alias("c1")).where("c0 != c1").drop("c0", "c1")
     partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
     m = m.join(room, "token").where(
         F.least(F.col("n") - F.col("p"), "room") >= _need(F.col("n"), partner, percent))
-    m = checkpoint(m.select("token", "ref", "n", "p", "comp"), "members")
+    m = checkpoint(m.select("token", "gid", "ref", "n", "p", "comp"), "members")
     parts = m.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     at = parts.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("t"), F.sum("c").alias("m"),
                                     F.count(F.lit(1)).alias("parts")).where("parts > 1")
@@ -314,12 +330,19 @@ def _open_lists(lists: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
 
 def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs that may link, of members outside the largest component with
-    members of others, in lists of at most PAIRS comparisons."""
+    members of others, in lists of at most PAIRS comparisons: pairs of groups'
+    parts (gid, comp), then their members."""
     short = lists.where(F.col("m") * F.col("out") <= PAIRS)
-    other = short.select("token", F.struct("ref", "n", "p", "comp").alias("c"))
+    units = short.select("token", "gid", "n", "p", "comp", "top").distinct()
+    other = units.select("token", F.struct("gid", "n", "p", "comp").alias("c"))
     ok = _may_link(F.col("n"), F.col("p"), F.col("c.n"), F.col("c.p"), percent)
-    return _pair_columns(short.where("comp != top").join(other, "token").where(
-        (F.col("comp") != F.col("c.comp")) & ok), percent)
+    met = units.where("comp != top").join(other, "token").where(
+        (F.col("comp") != F.col("c.comp")) & ok).select(
+        "gid", "comp", F.col("c.gid").alias("gid2"), F.col("c.comp").alias("comp2")).distinct()
+    parts = checkpoint(short.select("gid", "comp", "ref").distinct(), "parts")
+    second = parts.select(F.col("gid").alias("gid2"), F.col("comp").alias("comp2"),
+                          F.col("ref").alias("other"))
+    return _once(met.join(parts, ["gid", "comp"]).join(second, ["gid2", "comp2"]))
 
 
 def _long_blocks(lists: DataFrame) -> DataFrame:
@@ -367,9 +390,10 @@ def classes(docs: DataFrame, width: int = WIDTH,
     first = t.where("n > 0").groupBy("cls").agg(F.min("ref").alias("ref"))
     first = checkpoint(first.select("ref"), "classes")
     t = t.join(small_or_plain(first), "ref", "left_semi")
-    lists = _lists(t, percent)
-    wanted = checkpoint(t.join(small_or_plain(checkpoint(lists.select("ref").distinct(), "refs")),
-                               "ref", "left_semi")
+    lists, members = _lists(t, percent)
+    members = checkpoint(members.join(lists.select("gid").distinct(), "gid", "left_semi")
+                         .select("gid", "ref"), "refs")
+    wanted = checkpoint(t.join(small_or_plain(members.select("ref")), "ref", "left_semi")
                         .select("ref", "cls", F.coalesce("doc_id", F.lit(-2 ** 63)).alias("_id")),
                         "wanted")
     texts = (d.withColumn("_id", F.coalesce("doc_id", F.lit(-2 ** 63)))
@@ -378,10 +402,10 @@ def classes(docs: DataFrame, width: int = WIDTH,
     sets = texts.mapInArrow(tidy(_sets(width)), "cls binary, hashes array<long>")
     sets = checkpoint(sets.join(small_or_plain(wanted.select("cls", "ref")), "cls")
                       .select("ref", "hashes").dropDuplicates(["ref"]), "hashes")
-    tried = checkpoint(_drawn_pairs(lists, percent), "pairs")
+    tried = checkpoint(_drawn_pairs(lists, members, percent), "pairs")
     links = checkpoint(_verified(tried, sets, percent), "links")
     comps = checkpoint(components(links), "comps")
-    left = _open_lists(lists, comps, percent)
+    left = _open_lists(lists, members, comps, percent)
     rest = checkpoint(_short_pairs(left, percent).join(tried, ["u", "v"], "left_anti"), "pairs")
     links = links.unionAll(checkpoint(_verified(rest, sets, percent), "links"))
     blocks = (_long_blocks(left).join(sets, "ref").repartition("g", "i", "j")
