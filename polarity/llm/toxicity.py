@@ -11,8 +11,10 @@ bounded sample of labelled documents: at each step all windows of a batch are
 scored and the gradient flows through each document's best window.
 
 Scoring runs in Arrow batches in tasks; nothing but the weights (about 1 MB)
-travels. Contract: null and blank texts are one empty window, scored as such;
-repeated rows score alike; no labelled rows give an untrained constant model;
+travels. Windows are scored in blocks of one shape, the last filled with empty
+windows: a matrix product may sum otherwise in another shape, and a score
+depends on the text alone. Contract: null and blank texts are one empty window,
+scored as such; equal texts score equal to the last bit; no labelled rows give an untrained constant model;
 columns of the input are kept as they are.
 """
 
@@ -45,6 +47,8 @@ BATCH = 128
 MIN_STEPS = 200
 RATE = 0.02
 CHUNK = 2 << 20
+#: windows scored at once
+BLOCK = 1024
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _MIX = _rng.integers(0, CHAR_BINS, (3, 256)).astype(np.int32)
@@ -216,13 +220,15 @@ def _window_inputs(x, start, length):
     return out
 
 
-def logits(model: dict, raw: np.ndarray, offsets: np.ndarray, block: int = 4096):
+def logits(model: dict, raw: np.ndarray, offsets: np.ndarray):
     """(logit, row) of all windows of all texts."""
     x, row = token_inputs(model, raw, offsets)
     wrow, start, length = windows(row, len(offsets) - 1)
-    out = [forward(model["net"], _window_inputs(x, start[a:a + block], length[a:a + block]),
-                   length[a:a + block]) for a in range(0, len(wrow), block)]
-    return np.concatenate(out) if out else np.zeros(0, np.float32), wrow
+    n = len(wrow)
+    start, length = (np.pad(v, (0, -n % BLOCK)) for v in (start, length))
+    out = [forward(model["net"], _window_inputs(x, start[a:a + BLOCK], length[a:a + BLOCK]),
+                   length[a:a + BLOCK]) for a in range(0, n, BLOCK)]
+    return np.concatenate(out)[:n] if out else np.zeros(0, np.float32), wrow
 
 
 def score_texts(model: dict, column: pa.Array):
