@@ -198,52 +198,61 @@ def decode_sentence(long_df: DataFrame, vocab: DataFrame, key: str = "id",
             .select(key, detokenize(F.col("_w")["word"]).alias("sentence")))
 
 
+_units_read: dict[str, tuple] = {}
+
+
+def _units(path: str):
+    """(outs, scaled weights, biases) of a block of units; None if it is empty.
+    A worker keeps the last one it read."""
+    if path not in _units_read:
+        t = read_folder(path, ["out", "w", "g", "b"])
+        _units_read.clear()
+        _units_read[path] = None
+        if t is not None and t.num_rows:
+            mat = np.array(t.column("w").to_pylist(), dtype=np.float64)
+            g = t.column("g").to_numpy()[:, None]
+            norm = np.linalg.norm(mat, axis=1, keepdims=True)
+            scaled = np.where(norm > 0, mat * g / np.where(norm > 0, norm, 1), 0.0)
+            _units_read[path] = (np.array(t.column("out").to_pylist()), scaled,
+                                 t.column("b").to_numpy())
+    return _units_read[path]
+
+
 def linear_score(vec_df: DataFrame, weights: DataFrame, key: str = "id", vec: str = "vector",
                  max_values: int = 4_000_000) -> DataFrame:
     """M4: (key, out, score) with score = x . (g * w / |w|) + b per output
     unit; a unit of norm 0 scores b (the reference gives NaN there).
 
-    ``weights`` is (out, w ARRAY, g, b). Units are taken in blocks of at most
-    ``max_values`` weights (at least one unit): each block is a broadcast
-    matrix, and rows are scored where they lie, one product per Arrow batch.
-    Any number of units is scored, block after block.
+    ``weights`` is (out, w ARRAY, g, b). Units are written once as Parquet
+    blocks of about ``max_values`` weights in the checkpoint folder, and tasks
+    read them there: rows are scored where they lie, one product per Arrow
+    batch and block. No weight passes through the driver, the input is read
+    once, and any number of units is scored.
     """
+    spark = vec_df.sparkSession
     x = vec_df.select(key, F.col(vec).cast("array<double>").alias("_x"))
     w = checkpoint(weights.select("out", F.col("w").cast("array<double>").alias("w"),
                                   F.col("g").cast("double").alias("g"),
                                   F.col("b").cast("double").alias("b")), "weights")
     size = w.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("w")).alias("d")).first()
     blocks = max(1, math.ceil(size["n"] * (size["d"] or 1) / max_values))
-    out_type = w.schema["out"].dataType
-    schema = StructType([vec_df.schema[key], StructField("out", out_type),
+    root = scratch_path(spark, "weight-blocks")
+    (w.withColumn("block", F.pmod(F.xxhash64("out"), F.lit(blocks))).repartition(blocks, "block")
+     .write.partitionBy("block").parquet(root))
+    schema = StructType([vec_df.schema[key], StructField("out", w.schema["out"].dataType),
                          StructField("score", DoubleType())])
-    parts = [_score_block(x, w.where(F.pmod(F.xxhash64("out"), F.lit(blocks)) == i), key, schema)
-             for i in range(blocks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
-
-
-def _score_block(x: DataFrame, units: DataFrame, key: str, schema: StructType) -> DataFrame:
-    rows = sorted(units.collect(), key=lambda r: r["out"])  # bounded by the block
-    if not rows:
-        return x.sparkSession.createDataFrame([], schema)
-    mat = np.array([r["w"] for r in rows], dtype=np.float64)
-    norm = np.linalg.norm(mat, axis=1, keepdims=True)
-    scaled = np.where(norm > 0, mat * np.array([[r["g"]] for r in rows]) / np.where(norm > 0, norm, 1),
-                      0.0)
-    shipped = x.sparkSession.sparkContext.broadcast(
-        ([r["out"] for r in rows], scaled, np.array([r["b"] for r in rows])))
 
     def score(batches):
-        outs, m, b = shipped.value
         for batch in batches:
-            step = max(1, SIM_VALUES_PER_SLICE // len(outs))
-            for lo in range(0, len(batch), step):
-                part = batch.iloc[lo:lo + step]
-                s = np.vstack(part["_x"].to_numpy()) @ m.T + b
-                yield pd.DataFrame({key: np.repeat(part[key].to_numpy(), len(outs)),
-                                    "out": np.tile(np.array(outs), len(part)),
-                                    "score": s.ravel()})
+            for i in range(blocks if len(batch) else 0):
+                units = _units(f"{root}/block={i}")
+                if units is None:
+                    continue
+                outs, m, b = units
+                step = max(1, SIM_VALUES_PER_SLICE // len(outs))
+                for lo in range(0, len(batch), step):
+                    part = batch.iloc[lo:lo + step]
+                    s = np.vstack(part["_x"].to_numpy()) @ m.T + b
+                    yield pd.DataFrame({key: np.repeat(part[key].to_numpy(), len(outs)),
+                                        "out": np.tile(outs, len(part)), "score": s.ravel()})
     return x.mapInPandas(score, schema)

@@ -1,5 +1,6 @@
 """Vocabulary, lookups, nearest word, strict submission."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +169,26 @@ def test_linear_score_blocks_and_zero_norm(spark):
     assert {r[2] for r in whole if r[1] == 9} == {7.0}
 
 
+def test_linear_score_reads_its_blocks_in_tasks(spark):
+    """Many blocks, named units, one without a name: one pass of the input, and
+    the scores of a plain product. No units, no rows."""
+    rng = np.random.default_rng(3)
+    mat, g, b = rng.normal(size=(60, 5)), rng.normal(size=60), rng.normal(size=60)
+    vecs = rng.normal(size=(40, 5))
+    names = [f"unit {i}" for i in range(59)] + [None]
+    w = spark.createDataFrame([(n, *map(float, (g[i], b[i])), mat[i].tolist())
+                               for i, n in enumerate(names)], "out string, g double, b double, w array<double>")
+    x = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                              "out2 long, vector array<double>").repartition(3)
+    out = N.linear_score(x, w, key="out2", max_values=50)
+    got = {(r.out2, r.out): r.score for r in out.collect()}
+    want = vecs @ (g[:, None] * mat / np.linalg.norm(mat, axis=1, keepdims=True)).T + b
+    assert len(got) == 2400
+    assert all(abs(got[i, n] - want[i, j]) < 1e-9 for i in range(40) for j, n in enumerate(names))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    assert N.linear_score(x, w.where("false"), key="out2").collect() == []
+
+
 def test_repeated_keys_fail(spark):
     from polarity.operators import model as T
     vocab = spark.createDataFrame([(0, "a")], "id int, word string")
