@@ -605,8 +605,9 @@ def q_stream_nb_score(spark, d):
     written exactly once per batch and read back."""
     from polarity.streaming.scoring import score_stream
     schema = spark.read.parquet(f"{d}/documents.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-              .parquet(d).select(KEY, "text"))
+    # a pattern, as the table may be a file or a folder of part files
+    stream = (spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
+              .select(KEY, "text"))
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
     q = score_stream(stream, _nb_model(spark, d), out, ck, key=KEY, text="text", strip=False)
     q.awaitTermination()

@@ -293,3 +293,23 @@ def test_drop_scratch(spark):
     folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert df.count() == 3 and os.path.isdir(folder)
     assert drop_scratch(spark, mark) == 1 and not os.path.exists(folder)
+
+
+def test_stream_nb_score_reads_a_file_or_a_folder(spark, tmp_path):
+    """The documents table as one file and as a folder of part files: every
+    document is scored once."""
+    import glob
+    import os
+    from polarity.plans.catalog import q_nb_score, q_stream_nb_score
+    docs = spark.createDataFrame([(i, f"good{i % 3} film") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    for form, parts in (("folder", 4), ("file", 1)):
+        d = str(tmp_path / form)
+        labels.write.parquet(f"{d}/labels.parquet")
+        docs.repartition(parts).write.parquet(f"{d}/documents.parquet")
+        if form == "file":
+            os.rename(glob.glob(f"{d}/documents.parquet/part-*")[0], f"{d}/part")
+            os.rename(f"{d}/documents.parquet", f"{d}/_documents")
+            os.rename(f"{d}/part", f"{d}/documents.parquet")
+        got = sorted(q_stream_nb_score(spark, d).collect())
+        assert len(got) == 30 and got == sorted(q_nb_score(spark, d).collect())
