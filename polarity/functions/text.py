@@ -15,9 +15,9 @@ TAG_PATTERN = "<[^>]+>"
 # (no lookaround, no \s, which differ), so SQL engines can run the same rule.
 # Contractions split off the word ("don't" -> "do n't", "it's" -> "it 's").
 CONTRACTION_PATTERN = "([^' ])('ll|'re|'ve|n't|'s|'m|'d)"
-# Every character that is not a letter, digit, blank or apostrophe is a token.
-PUNCT_PATTERN = "([^\\p{L}\\p{N} \\t\\r\\n\\f'])"
-BLANKS_PATTERN = "[ \\t\\r\\n\\f]+"
+# A token is a run of letters, digits and apostrophes, or any other character
+# that is not a blank.
+TOKEN_PATTERN = "[\\p{L}\\p{N}']+|[^\\p{L}\\p{N} \\t\\r\\n\\f']"
 
 
 def _c(col) -> Column:
@@ -43,15 +43,14 @@ def decode_label(col) -> Column:
 def tokenize(col) -> Column:
     """P5: lowercase, split contractions and punctuation, split on blanks.
 
-    Null text gives an empty array; the array never holds empty strings.
+    Null text gives an empty array; the array never holds empty strings. One
+    search takes the tokens out of the text; contractions are looked for only
+    where there is an apostrophe.
     """
     s = F.lower(_c(col))
-    s = F.regexp_replace(s, CONTRACTION_PATTERN, "$1 $2")
-    s = F.regexp_replace(s, PUNCT_PATTERN, " $1 ")
-    # array_remove is a built-in (code-generated); a filter lambda would run
-    # interpreted once per token
-    toks = F.array_remove(F.split(s, BLANKS_PATTERN), "")
-    return F.coalesce(toks, F.array().cast("array<string>"))
+    s = F.when(s.contains("'"), F.regexp_replace(s, CONTRACTION_PATTERN, "$1 $2")).otherwise(s)
+    return F.coalesce(F.regexp_extract_all(s, F.lit(TOKEN_PATTERN), F.lit(0)),
+                      F.array().cast("array<string>"))
 
 
 def pad_truncate(arr, n: int, fill, dtype: str = "int") -> Column:

@@ -95,3 +95,16 @@ def test_ngram_features_brute_force(spark):
     got = {(r["id"], r["width"], r["gram"]): r["n"]
            for r in ngram_features(df.repartition(3), "id").collect()}
     assert got == dict(want)
+
+
+def test_tokenize_equals_the_passes_it_stands_for(spark):
+    """Contractions split, other characters set apart, split on blanks: as
+    three passes do it."""
+    texts = ["x'll's don't''re 'd a'm", "I've\tseen it 's", "😀á ǅ ²٧ \x0b\x00b",
+             "''", "'", " \r\n\f", "", None, "n't can'tn't Oİ'S", "a-b_c--d...", "日本 語's"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    s = F.regexp_replace(F.lower("t"), "([^' ])('ll|'re|'ve|n't|'s|'m|'d)", "$1 $2")
+    s = F.regexp_replace(s, "([^\\p{L}\\p{N} \\t\\r\\n\\f'])", " $1 ")
+    old = F.coalesce(F.array_remove(F.split(s, "[ \\t\\r\\n\\f]+"), ""), F.array().cast("array<string>"))
+    rows = df.select("i", old.alias("old"), tokenize("t").alias("new")).collect()
+    assert all(r["old"] == r["new"] for r in rows) and rows[0]["new"]
