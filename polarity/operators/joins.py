@@ -87,6 +87,25 @@ def task_share(spark, total: int, least: int = 100_000) -> int:
     return max(least, -(-int(total) // (PIECES * parts)))
 
 
+# Classes of counts that ``frequent_keys`` tells apart in each doubling.
+CLASSES = 8
+
+
+def frequent_keys(counts: DataFrame, on: str, most: int, count_col: str = "n") -> DataFrame:
+    """(on): the most frequent keys, ``most`` at most: those whose count is in the
+    upper classes (a few hundred, by the count's logarithm) that fit together."""
+    at = F.floor(F.log2(F.col(count_col).cast("double")) * CLASSES)
+    some = counts.where(F.col(count_col) > 0)
+    least, total = None, 0
+    for r in sorted(some.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("k")).collect(),
+                    key=lambda r: -r["at"]):
+        total += r["k"]
+        if total > most:
+            break
+        least = r["at"]
+    return some.where(F.lit(False) if least is None else at >= least).select(on)
+
+
 def _every(conditions: list):
     out = conditions[0]
     for c in conditions[1:]:
@@ -100,6 +119,13 @@ def one_row_per_key(pos):
     return F.sum(F.when(F.coalesce(pos, F.lit(0)) == 0, 1).otherwise(0))
 
 
+def one_row_each(df: DataFrame, key: str) -> None:
+    """Fail for a key that two rows share; only the key is read."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+    if twice:
+        raise ValueError(f"more than one row with {key} {twice[0]}")
+
+
 def repeated_key(key: str):
     """An expression that fails the job for a key that two rows share."""
     return F.raise_error(F.concat(F.lit(f"more than one row with {key} "),

@@ -1,24 +1,28 @@
 """Vocabulary and token lookups.
 
-Token lookups keep the per-document order by carrying the position through
-the join and regrouping with ``sort_array(collect_list(struct(pos, id)))``.
-The vocabulary side is broadcast only when its size is proven (a capped
-vocabulary, or a counted one); otherwise through a shuffle join in which every
-word of more tokens than a task's share is copied by its count and its tokens
-are dealt over the copies, as empty rows are. Arrays are cut to the encoding
+Token lookups keep the per-document order: a broadcast join leaves the exploded
+tokens as they lie, so that Arrow batches turn them back into arrays without an
+exchange or a sort. The vocabulary side is broadcast only when its size is proven
+(a capped vocabulary, or a counted one); of a larger one only the frequent words
+are, and the tokens these leave go through a shuffle join in which every word of
+more tokens than a task's share is copied by its count and its tokens are dealt
+over the copies. Arrays are cut to the encoding
 length *before* they are exploded, so a 20,000-word review costs 500 rows, not 20,000.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from polarity.config import BOS_ID, EOS_ID, PAD_ID, UNK_ID
 from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
                                      strip_tags, tokenize)
-from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, one_row_per_key,
-                                      repeated_key, task_share)
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, frequent_keys,
+                                      one_row_each, task_share)
 from polarity.operators.ordering import ordered_rank
 from polarity.session import checkpoint
 
@@ -28,6 +32,10 @@ from polarity.session import checkpoint
 TOPK_MERGE_ROWS = 20_000_000
 # Tokens that one task of a dealt lookup may hold, at least.
 ROWS_PER_TASK = 100_000
+# Of a table beyond the broadcast bound, about as many of the most frequent
+# words, or bytes of vectors, are broadcast all the same.
+HOT_WORDS = 200_000
+HOT_BYTES = 16 << 20
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -67,22 +75,77 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
                          F.col("n").cast("long").alias("n"))
 
 
-def _word_counts(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(word, n): a built vocabulary's own counts; for one without (a file of
-    word vectors), the tokens are counted, so that a frequent word it lacks
-    is dealt as well."""
-    if "n" in vocab.columns:
-        return vocab.select("word", "n")
-    return checkpoint(tokens.where("word is not null").groupBy("word")
-                      .agg(F.count(F.lit(1)).alias("n")), "word-counts")
-
-
 def _dealt(left: DataFrame, on: str, table: DataFrame, counts: DataFrame, spread) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 0
     return dealt_lookup(left, on, table, counts, spread,
                         task_share(left.sparkSession, total, ROWS_PER_TASK))
 
 
+def _token_rows(carry: int):
+    """mapInArrow: rows (key, *carry, pos, id, word) of exploded documents, in the
+    order of the explode (a broadcast join keeps it), back to one row a document:
+    (key, *carry, ids, rest) with rest the (pos, word) of rows that have a word.
+    A document begins where pos is null (it is empty) or 0."""
+    def whole(tables):
+        t = pa.concat_tables(tables).combine_chunks()
+        pos = t.column(carry + 1).combine_chunks()
+        empty = pos.is_null().to_numpy(zero_copy_only=False)
+        at = pos.fill_null(0).to_numpy()
+        starts = np.flatnonzero(at == 0)
+        later = np.flatnonzero(at != 0)
+        if len(starts) == 0 or starts[0] != 0 or (at[later] != at[later - 1] + 1).any():
+            raise ValueError("rows of a document are not in order")
+        heads, kept = t.take(pa.array(starts)), pa.array(np.flatnonzero(~empty))
+        here = np.concatenate([[0], np.cumsum(~empty)])  # rows with a token before each row
+        ends = np.append(starts, len(at))
+        ids = t.column(carry + 2).combine_chunks().take(kept)
+        words = t.column(carry + 3).combine_chunks()
+        asked = words.is_valid().to_numpy(zero_copy_only=False)
+        there = np.concatenate([[0], np.cumsum(asked)])
+        some = pa.array(np.flatnonzero(asked))
+        rest = pa.StructArray.from_arrays([pos.take(some), words.take(some)], ["pos", "word"])
+        columns = [heads.column(i).combine_chunks() for i in range(carry + 1)]
+        columns += [pa.ListArray.from_arrays(pa.array(here[ends].astype(np.int32)), ids),
+                    pa.ListArray.from_arrays(pa.array(there[ends].astype(np.int32)), rest)]
+        return pa.RecordBatch.from_arrays(columns, [*t.column_names[:carry + 1], "_ids", "_rest"])
+
+    def run(batches):
+        held = []  # rows of the document that is still open
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            starts = np.flatnonzero(t.column(carry + 1).combine_chunks().fill_null(0).to_numpy() == 0)
+            if len(starts):
+                if held or starts[-1]:
+                    yield whole([*held, t.slice(0, int(starts[-1]))])
+                held = []
+                t = t.slice(int(starts[-1]))
+            if t.num_rows:
+                held.append(t)
+        if held:
+            yield whole(held)
+    return run
+
+
+def _filled(at: int):
+    """mapInArrow: column ``at``, ids, with the (pos, id) of the next column put
+    in their places, in the order of the rows."""
+    def run(batches):
+        for b in batches:
+            lists, found = b.column(at), b.column(at + 1)
+            sizes = lists.value_lengths().to_numpy().astype(np.int64)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).copy()
+            put = found.flatten()
+            if len(put):
+                each = found.value_lengths().fill_null(0).to_numpy()
+                first = np.repeat(np.cumsum(sizes) - sizes, each)
+                flat[first + put.field(0).to_numpy()] = put.field(1).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:at], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))],
+                b.schema.names[:at + 1])
+    return run
+
+
 def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str = "tokens",
                n: int | None = 500, unk: int = -1, pad: int | None = -1,
                out_col: str = "ids", vocab_rows: int | None = None,
@@ -91,33 +154,52 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
     """Word -> id through ``vocab`` (word, id); a miss is ``unk``; order
     kept; cut to ``n`` first and padded with ``pad`` (no padding if None).
 
+    Tokens meet the broadcast vocabulary where they lie, and their rows become
+    one array a document again without an exchange. Of a vocabulary beyond the
+    bound only the frequent words are broadcast: the tokens they leave go through
+    a shuffle join, and come back to their document's array by its key.
+
     Returns (key, *carry, out_col) for every input row, including empty ones;
     ``carry`` names columns that go along. ``key`` must be unique: two rows
     with one key fail the job (they would be mixed), they are never merged.
     """
+    one_row_each(df, key)
     toks = F.col(tokens_col) if n is None else F.slice(F.col(tokens_col), 1, n)
     exploded = df.select(key, *carry, F.posexplode_outer(toks).alias("pos", "word"))
     v = vocab.select("word", F.col("id").cast("int").alias("_vid"))
     n_vocab = vocab_rows if vocab_rows is not None else vocab.count()
-    if n_vocab <= max_broadcast_rows:
-        joined = exploded.join(F.broadcast(v), "word", "left")
-    else:
-        # too large to broadcast: a shuffle join in which a word of many tokens
-        # is copied by its count and its tokens are dealt over the copies
-        joined = _dealt(exploded, "word", v, _word_counts(vocab, exploded),
-                        F.xxhash64(F.col(key), F.col("pos")))
-    item = F.when(F.col("pos").isNotNull(),
-                  F.struct(F.col("pos"), F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
-                           .alias("id")))
-    # sort_array and the field extraction are native expressions (array_sort
-    # and transform would run lambdas interpreted)
-    grouped = joined.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"),
-                                      one_row_per_key(F.col("pos")).alias("_rows"),
-                                      *[F.first(c).alias(c) for c in carry])
-    ids = F.when(F.col("_rows") > 1, repeated_key(key)).otherwise(F.col("_items")["id"])
+    head, tail = v, None
+    if n_vocab > max_broadcast_rows:
+        counts = (vocab.select("word", "n") if "n" in vocab.columns else
+                  checkpoint(exploded.where("word is not null").groupBy("word")
+                             .agg(F.count(F.lit(1)).alias("n")), "word-counts"))
+        frequent = frequent_keys(counts, "word", HOT_WORDS)
+        head = v.join(F.broadcast(frequent), "word", "left_semi")
+        tail = v.join(F.broadcast(frequent), "word", "left_anti")
+    left = F.lit(None).cast("string") if tail is None else F.when(F.col("_vid").isNull(), F.col("word"))
+    ids = F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
+    rows = exploded.join(F.broadcast(head), "word", "left").select(
+        key, *carry, F.col("pos").cast("int").alias("_pos"), ids.alias("_id"), left.alias("_word"))
+    along = StructType([rows.schema[c] for c in (key, *carry)])
+    array = ArrayType(IntegerType())
+    rest = ArrayType(StructType([StructField("pos", IntegerType()), StructField("word", StringType())]))
+    # written once: readers that sample or count (a sort, an embedding) do not
+    # tokenize again
+    docs = checkpoint(rows.mapInArrow(_token_rows(len(carry)), StructType(
+        [*along.fields, StructField("_ids", array), StructField("_rest", rest)])), "ids")
+    if tail is not None:
+        asked = docs.select(key, F.inline("_rest"))
+        counts = checkpoint(asked.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+        found = _dealt(asked, "word", tail, counts, F.xxhash64(F.col(key), F.col("pos")))
+        found = (found.where("_vid is not null").groupBy(F.col(key).alias("_key"))
+                 .agg(F.collect_list(F.struct("pos", "_vid")).alias("_found")))
+        docs = (docs.join(found, F.col(key).eqNullSafe(F.col("_key")), "left")
+                .select(key, *carry, "_ids", "_found")
+                .mapInArrow(_filled(len(carry) + 1), StructType([*along.fields, StructField("_ids", array)])))
+    ids = F.col("_ids")
     if pad is not None and n is not None:
         ids = pad_truncate(ids, n, pad)
-    return grouped.select(key, *carry, ids.alias(out_col))
+    return docs.select(key, *carry, ids.alias(out_col))
 
 
 def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str = "ids",
@@ -127,9 +209,10 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     unknown) gets a zero vector of ``dim`` floats.
 
     ``vectors`` is (id, vector). Broadcast when rows x dim x 4 bytes is
-    within ``max_broadcast_bytes``; otherwise by a shuffle join in which an id
-    of many positions is copied by its count, and its positions, like ids
-    below 0, are dealt over all partitions.
+    within ``max_broadcast_bytes``; otherwise the vectors of the frequent ids
+    are broadcast, ids below 0 are joined with nothing, and the positions these
+    leave go through a shuffle join in which an id of many positions is copied
+    by its count and its positions are dealt over the copies.
     """
     if dim is None:
         dim = vectors.select(F.size("vector")).first()[0]
@@ -141,11 +224,22 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     if n_vec * dim * 4 <= max_broadcast_bytes:
         joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
     else:
-        known = exploded.withColumn("_tid", F.when(F.col("_tid") >= 0, F.col("_tid")))
-        counts = checkpoint(known.where("_tid is not null").groupBy("_tid")
+        # the ids are read more than once
+        exploded = checkpoint(ids_df.select(key, F.col(ids_col).alias("_ids")), "embed-ids").select(
+            key, F.posexplode_outer("_ids").alias("pos", "_tid")).filter(F.col("pos").isNotNull())
+        v = v.withColumnRenamed("_jid", "_tid")
+        asked = F.col("_tid") >= 0
+        counts = checkpoint(exploded.where(asked).groupBy("_tid")
                             .agg(F.count(F.lit(1)).alias("n")), "id-counts")
-        joined = _dealt(known, "_tid", v.select(F.col("_jid").alias("_tid"), "_vec"), counts,
-                        F.xxhash64(F.col(key), F.col("pos")))
+        frequent = F.broadcast(frequent_keys(counts, "_tid", HOT_BYTES // max(1, 4 * dim)))
+        head = v.join(frequent, "_tid", "left_semi")
+        known = exploded.join(F.broadcast(head), "_tid", "left").where(
+            F.col("_vec").isNotNull() | ~F.coalesce(asked, F.lit(False)))
+        rest = exploded.where(asked).join(F.broadcast(head.select("_tid")), "_tid", "left_anti")
+        joined = known.unionByName(_dealt(
+            rest, "_tid", v.join(frequent, "_tid", "left_anti"), counts.join(
+                F.broadcast(head.select("_tid")), "_tid", "left_anti"),
+            F.xxhash64(F.col(key), F.col("pos"))))
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return joined.select(key, F.col("pos").cast("int").alias("pos"),
                          F.coalesce(F.col("_vec"), zero).alias("vector"))

@@ -270,3 +270,66 @@ def test_score_nb_dealt_equals_broadcast(spark, monkeypatch):
            for r in T.score_nb(toks, m, "id", max_broadcast_rows=0).collect()}
     assert got == want and len(want) == 43
     assert want[100] == want[101] == round(m.prior, 9)
+
+
+def test_lookup_ids_broadcasts_frequent_words_and_keeps_every_row(spark, monkeypatch):
+    """A vocabulary beyond the bound: a few words broadcast, the others through
+    the shuffle join, whatever the key, batch and document sizes."""
+    rows = [(i, ["the"] * (i % 40) + [f"w{j % 23}" for j in range(i % 31)] + ["lost"], i % 3)
+            for i in range(300)] + [(None, ["w1", "rare", "the"], 1), (900, [], 2), (901, None, None)]
+    toks = spark.createDataFrame(rows, "id long, tokens array<string>, word2 int")
+    words = ["the", "rare", *[f"w{i}" for i in range(23)]]
+    count = {w: sum((r[1] or []).count(w) for r in rows) for w in words}
+    vocab = spark.createDataFrame([(i, w, count[w]) for i, w in enumerate(words)],
+                                  "id int, word string, n long")
+    place = {w: i for i, w in enumerate(words)}
+    want = {r[0]: ([place.get(w, 7777) for w in (r[1] or [])], r[2]) for r in rows}
+    monkeypatch.setattr(V, "ROWS_PER_TASK", 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for hot in (0, 4, 100):
+            monkeypatch.setattr(V, "HOT_WORDS", hot)
+            for n, bound, table in ((None, 0, vocab), (None, 100, vocab), (5, 0, vocab.drop("n"))):
+                out = V.lookup_ids(toks, table, "id", n=n, unk=7777, pad=None,
+                                   max_broadcast_rows=bound, carry=("word2",)).collect()
+                assert len(out) == len(rows)
+                assert {r["id"]: (list(r["ids"]), r["word2"]) for r in out} == {
+                    k: (v[:n], c) for k, (v, c) in want.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_lookup_ids_moves_no_tokens_within_the_bound(spark, monkeypatch):
+    toks = _skewed_tokens(spark)
+    vocab = spark.createDataFrame([(0, "the"), (1, "movie")], "id int, word string")
+    plans = []
+    kept = V.checkpoint
+    monkeypatch.setattr(V, "checkpoint", lambda df, *a: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or kept(df, *a))
+    V.lookup_ids(toks, vocab, "id", n=5).collect()
+    assert plans and not any("hashpartitioning" in p or "Sort " in p for p in plans)
+
+
+def test_frequent_keys_fit_the_bound(spark):
+    from polarity.operators import joins as J
+    counts = spark.createDataFrame([(f"w{i}", 1000 // i) for i in range(1, 501)], "word string, n long")
+    for most in (0, 3, 100, 10_000):
+        got = {r["word"] for r in J.frequent_keys(counts, "word", most).collect()}
+        assert len(got) <= most and got == {f"w{i}" for i in range(1, 501)
+                                            if 1000 // i >= min([1000 // int(w[1:]) for w in got], default=9e9)}
+    assert J.frequent_keys(counts, "word", 10_000).count() == 500
+
+
+def test_embed_frequent_ids_first(spark, monkeypatch):
+    """Beyond the bound: every position once, with its vector, however many of
+    the ids are broadcast; nothing but ids of a vector's table is dealt."""
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "id int, vector array<float>")
+    docs = [(d, [(d * 3 + j * j) % 25 - 2 for j in range(d % 12)]) for d in range(60)]
+    ids = spark.createDataFrame(docs, "id long, ids array<int>")
+    want = sorted((d, p, [float(i), 1.0] if 0 <= i < 20 else [0.0, 0.0])
+                  for d, xs in docs for p, i in enumerate(xs))
+    monkeypatch.setattr(V, "ROWS_PER_TASK", 5)
+    for hot in (0, 64, 1 << 20):
+        monkeypatch.setattr(V, "HOT_BYTES", hot)
+        got = V.embed(ids, vecs, "id", max_broadcast_bytes=0).collect()
+        assert sorted((r["id"], r["pos"], list(r["vector"])) for r in got) == want
