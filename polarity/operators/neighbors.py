@@ -30,10 +30,13 @@ from polarity.functions.text import detokenize
 from polarity.session import checkpoint, scratch_path
 from polarity.sources.files import read_folder
 
-# Similarity values held at once per task (64 MB of doubles): query rows are
-# scored in slices so a 10k-row Arrow batch against a large vocabulary block
-# never materializes a multi-GB matrix.
-SIM_VALUES_PER_SLICE = 8_000_000
+# Similarity values held at once per task (16 MB of doubles, four times over):
+# query rows are scored in slices so a 10k-row Arrow batch against a large
+# vocabulary block never materializes a multi-GB matrix.
+SIM_VALUES_PER_SLICE = 2_000_000
+# Numbers of the vocabulary's vectors in a block at most (32 MB, three times over
+# while it is read), as every Python worker of an executor holds one.
+BLOCK_VALUES = 4_000_000
 
 FOUND = ArrayType(StructType([StructField("sim", DoubleType()), StructField("id", IntegerType()),
                               StructField("word", StringType())]))
@@ -143,7 +146,8 @@ def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector
     key column or several, carried through; every input row gives its own
     rows, also where keys repeat. An empty vocabulary is an error. The word
     travels with its vector, so no lookup join follows the search. A task
-    holds one block of ``max_broadcast_values`` numbers at a time."""
+    holds one block of ``max_broadcast_values`` numbers, BLOCK_VALUES at most, at
+    a time."""
     spark = queries.sparkSession
     keys = _keys(qid)
     q = queries.select(*keys, F.col(qvec).cast("array<double>").alias("_qv"),
@@ -155,7 +159,8 @@ def nearest(queries: DataFrame, vocab: DataFrame, qid="qid", qvec: str = "vector
     stats = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
     if not stats["n"]:
         raise ValueError("the vocabulary has no vectors to search")
-    blocks = max(1, math.ceil(stats["n"] * (stats["d"] or 1) / max_broadcast_values))
+    blocks = max(1, math.ceil(stats["n"] * (stats["d"] or 1)
+                              / min(max_broadcast_values, BLOCK_VALUES)))
     root = scratch_path(spark, "vector-blocks")
     at = F.pmod(F.xxhash64(F.col("words")[0]["id"]), F.lit(blocks))
     v.withColumn("block", at).repartition(blocks, "block").write.partitionBy("block").parquet(root)
