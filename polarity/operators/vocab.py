@@ -284,7 +284,8 @@ def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tok
     t = F.col(tokens_col)
     per = tokens_df.select(key, tokens_col, F.explode(F.array(*[F.lit(n) for n in widths]))
                            .alias("width")).filter(F.size(t) >= F.col("width"))
-    grams = F.array_sort(F.transform(
+    # sort_array is native; array_sort would compare by an interpreted lambda
+    grams = F.sort_array(F.transform(
         F.sequence(F.lit(1), F.size(t) - F.col("width") + 1),
         lambda i: F.array_join(F.slice(t, i, F.col("width")), " ")))
     # let: the sorted array is made once per row, not once per element
