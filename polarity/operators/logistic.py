@@ -8,8 +8,8 @@ iteration over a term table bucketed by document:
 1. dot products of the columns, one aggregate; from them the two-loop recursion
    gives the search direction as a combination of the columns;
 2. the direction's margin of every document: term rows meet the direction by
-   word (broadcast within the bound, else dealt by the words' counts) and are
-   summed by document, where they lie;
+   word (broadcast for the HOT_WORDS most frequent words, else dealt by the
+   words' counts) and are summed by document, where they lie;
 3. the step along it, from derivatives at a grid of steps, one aggregate over
    documents alone (margins are linear in the step);
 4. the gradient: residuals meet the term rows by document, without moving them,
@@ -28,8 +28,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polarity.operators.joins import DEFAULT_BROADCAST_ROWS, dealt_lookup, task_share
-from polarity.operators.model import SOFT_DECIMALS
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, frequent_keys,
+                                      task_share)
+from polarity.operators.model import HOT_WORDS, SOFT_DECIMALS
 from polarity.session import checkpoint, drop_scratch, scratch_mark
 
 #: steps tried along a direction, in one pass
@@ -53,13 +54,19 @@ def _margins(rows: DataFrame, key: str, table: DataFrame, counts: DataFrame, n_w
     """(key, out): sum of tf * v over the words of each document; ``table`` is
     (word, v). Documents without known words give 0."""
     rows = rows.select(key, "word", "tf")
-    if n_words <= max_broadcast_rows:
-        j = rows.join(F.broadcast(table), "word", "left")
-    else:
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        j = dealt_lookup(rows, "word", table, counts, F.xxhash64(key, "word"),
-                         task_share(rows.sparkSession, total, ROWS_PER_TASK))
-    return j.groupBy(key).agg(F.sum(F.coalesce("v", F.lit(0.0)) * F.col("tf")).alias(out))
+    total = F.sum(F.coalesce("v", F.lit(0.0)) * F.col("tf")).alias(out)
+    if n_words <= min(max_broadcast_rows, HOT_WORDS):
+        return rows.join(F.broadcast(table), "word", "left").groupBy(key).agg(total)
+    # frequent words where the rows lie; only the rows of others are moved
+    frequent = F.broadcast(frequent_keys(counts, "word", HOT_WORDS))
+    head = F.broadcast(table.join(frequent, "word", "left_semi"))
+    rest = rows.where("word is not null").join(frequent, "word", "left_anti")
+    few = counts.join(frequent, "word", "left_anti")
+    n = few.agg(F.sum("n")).first()[0] or 0
+    others = dealt_lookup(rest, "word", table.join(frequent, "word", "left_anti"), few,
+                          F.xxhash64(key, "word"), task_share(rows.sparkSession, n, ROWS_PER_TASK))
+    return (rows.join(head, "word", "left").groupBy(key).agg(total)
+            .unionByName(others.groupBy(key).agg(total)).groupBy(key).agg(F.sum(out).alias(out)))
 
 
 def _direction(names: list[str], dot, pairs: list[int]) -> dict[str, float]:

@@ -28,14 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polarity.functions.text import decode_label
-from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, one_row_per_key,
-                                      repeated_key, task_share)
+from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, frequent_keys,
+                                      one_row_per_key, repeated_key, task_share)
 from polarity.session import checkpoint, scratch_path
 
 CLIP = 30.0
 SOFT_DECIMALS = 6
 # Term rows that one task of a dealt lookup may hold, at least.
 ROWS_PER_TASK = 100_000
+# Of a model beyond the broadcast bound, about as many of the most frequent
+# words are broadcast all the same.
+HOT_WORDS = 200_000
 
 
 @dataclass
@@ -91,9 +94,9 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
 
     Vocabulary within the broadcast bound: tokens stream through a broadcast
     hash join and are summed per row map-side (one shuffle of one row per
-    document). Beyond it: term counts per (row, word) first, then the weights
-    by a shuffle join in which words are copied by their counts, then the
-    per-row sum.
+    document). Beyond it the frequent words are broadcast, and what they leave
+    is counted per (row, word), meets its weight by a shuffle join in which
+    words are copied by their counts, and is added to the row's sum.
     """
     ex = df.select(key, *carry, F.posexplode_outer(tokens).alias("_pos", "word"))
     rows = one_row_per_key(F.col("_pos"))
@@ -104,28 +107,48 @@ def score_nb(df: DataFrame, model: NBModel, key: str = "id", tokens: str = "toke
         sums = j.groupBy(key).agg(F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_s"),
                                   rows.alias("_rows"), *along)
     else:
-        tf = ex.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_tf"), rows.alias("_r"), *along)
-        j = _weighted(tf, model, key)
+        head, tail = _by_frequency(w, _word_mass(model, ex))
+        # a row per document, and one per document and word that head lacks
+        left = F.when(F.col("weight").isNull(), F.col("word")).alias("word")
+        tf = checkpoint(ex.join(F.broadcast(head), "word", "left").groupBy(key, left).agg(
+            F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_s"),
+            F.count(F.lit(1)).alias("_tf"), rows.alias("_r"), *along), "terms")
+        rest = tf.where("word is not null")
+        j = _weighted(rest.select(key, "word", "_tf"), tail, key, checkpoint(
+            rest.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts"))
+        zero = F.lit(0).cast("long")
         contrib = F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("_tf")
-        sums = j.groupBy(key).agg(F.sum(contrib).alias("_s"), F.sum("_r").alias("_rows"), *along)
+        none = [F.lit(None).cast(tf.schema[c].dataType).alias(c) for c in carry]
+        parts = tf.select(key, *carry, "_s", "_r").unionByName(
+            j.select(key, *none, contrib.alias("_s"), zero.alias("_r")))
+        along = [F.first(c, ignorenulls=True).alias(c) for c in carry]
+        sums = parts.groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_r").alias("_rows"), *along)
     score = F.when(F.col("_rows") > 1, repeated_key(key)).otherwise(F.lit(model.prior)
                                                                     + F.col("_s"))
     return (sums.select(key, *carry, score.alias("score"))
             .select(key, *carry, "score", (F.col("score") > 0).cast("int").alias("pred")))
 
 
-def _weighted(tf: DataFrame, model: NBModel, key: str) -> DataFrame:
-    """Term rows with their weight, by a shuffle join in which a word of more
-    rows than a task's share is copied by the mass the model gave it (by a
-    count where it kept none)."""
+def _word_mass(model: NBModel, rows: DataFrame) -> DataFrame:
+    """(word, n): how often words occur, by the mass the model gave them (by a
+    count of the rows where it kept none)."""
     if "mass" in model.weights.columns:
-        counts = model.weights.select("word", F.ceil("mass").alias("n"))
-    else:
-        counts = checkpoint(tf.where("word is not null").groupBy("word")
-                            .agg(F.count(F.lit(1)).alias("n")), "word-counts")
+        return model.weights.select("word", F.ceil("mass").alias("n"))
+    return checkpoint(rows.where("word is not null").groupBy("word")
+                      .agg(F.count(F.lit(1)).alias("n")), "word-counts")
+
+
+def _by_frequency(weights: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``weights`` with a frequent word, HOT_WORDS at most, and the others."""
+    frequent = F.broadcast(frequent_keys(counts, "word", HOT_WORDS))
+    return (weights.join(frequent, "word", "left_semi"), weights.join(frequent, "word", "left_anti"))
+
+
+def _weighted(tf: DataFrame, weights: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Term rows with their weight, by a shuffle join in which a word of more
+    rows than a task's share is copied by its count."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return dealt_lookup(tf, "word", model.weights.select("word", "weight"), counts,
-                        F.xxhash64(F.col(key), F.col("word")),
+    return dealt_lookup(tf, "word", weights, counts, F.xxhash64(F.col(key), F.col("word")),
                         task_share(tf.sparkSession, total, ROWS_PER_TASK))
 
 
@@ -163,12 +186,19 @@ def score_terms(terms: DataFrame, model: NBModel, key: str = "id",
     """(key, score, pred) from a term table."""
     w = model.weights.select("word", "weight")
     tf = terms.select(key, "word", "tf")
+    score = F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("tf")).alias("_s")
     if model.n_words <= max_broadcast_rows:
-        j = tf.join(F.broadcast(w), "word", "left")
+        sums = tf.join(F.broadcast(w), "word", "left").groupBy(key).agg(score)
     else:
-        j = _weighted(tf, model, key)
-    score = F.lit(model.prior) + F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * F.col("tf"))
-    return (j.groupBy(key).agg(score.alias("score"))
+        # frequent words where the rows lie; only the rows of others are moved
+        counts = _word_mass(model, tf)
+        head, tail = _by_frequency(w, counts)
+        head = F.broadcast(head)
+        rest = tf.where("word is not null").join(head.select("word"), "word", "left_anti")
+        others = _weighted(rest, tail, key, counts.join(head.select("word"), "word", "left_anti"))
+        sums = (tf.join(head, "word", "left").groupBy(key).agg(score)
+                .unionByName(others.groupBy(key).agg(score)).groupBy(key).agg(F.sum("_s").alias("_s")))
+    return (sums.select(key, (F.lit(model.prior) + F.col("_s")).alias("score"))
             .select(key, "score", (F.col("score") > 0).cast("int").alias("pred")))
 
 

@@ -333,3 +333,47 @@ def test_embed_frequent_ids_first(spark, monkeypatch):
         monkeypatch.setattr(V, "HOT_BYTES", hot)
         got = V.embed(ids, vecs, "id", max_broadcast_bytes=0).collect()
         assert sorted((r["id"], r["pos"], list(r["vector"])) for r in got) == want
+
+
+def test_scores_with_some_words_broadcast(spark, monkeypatch):
+    """Beyond the bound, any share of the words broadcast: the plain sums, with
+    carried columns, words the model lacks, empty rows and a null key."""
+    from polarity.operators import logistic as L
+    from polarity.operators import model as T
+    rows = [(i, [f"w{(i * 5 + j * j) % 30}" for j in range(i % 13)] + ["the"] * 3 + ["odd"] * (i % 2), i % 2)
+            for i in range(60)] + [(None, ["w1", "new"], None), (100, [], None), (101, None, None)]
+    toks = spark.createDataFrame(rows, "id long, tokens array<string>, label int")
+    m = T.fit_nb(toks.where("id < 40").select("tokens", F.col("label").alias("p")), "tokens", "p")
+    weight = {r["word"]: r["weight"] for r in m.weights.collect()}
+    want = {r[0]: (round(m.prior + sum(weight.get(w, 0.0) for w in r[1] or []), 9), r[2]) for r in rows}
+    terms = T.term_table(toks.where("id is not null"), "id", "tokens", ("label",))
+    counts = terms.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 7)
+    monkeypatch.setattr(L, "ROWS_PER_TASK", 7)
+    for hot in (0, 5, 1000):
+        monkeypatch.setattr(T, "HOT_WORDS", hot)
+        monkeypatch.setattr(L, "HOT_WORDS", hot)
+        for model in (m, T.NBModel(m.weights.drop("mass"), m.prior, m.n_words)):
+            out = T.score_nb(toks, model, "id", max_broadcast_rows=0, carry=("label",)).collect()
+            assert {r["id"]: (round(r["score"], 9), r["label"]) for r in out} == want
+            assert len(out) == len(rows)
+            out = T.score_terms(terms, model, "id", max_broadcast_rows=0).collect()
+            assert {r["id"]: round(r["score"], 9) for r in out} == {
+                k: v[0] for k, v in want.items() if k is not None}
+        z = L._margins(terms, "id", m.weights.select("word", F.col("weight").alias("v")), counts,
+                       m.n_words, 2_000_000, "z").collect()
+        assert {r["id"]: round(r["z"] + m.prior, 9) for r in z} == {
+            k: v[0] for k, v in want.items() if k is not None}
+
+
+def test_nearest_blocks_hold_a_bounded_number_of_values(spark, monkeypatch, tmp_path):
+    vocab = spark.createDataFrame([(i, f"w{i}", [float(i % 7), 1.0, i / 50]) for i in range(50)],
+                                  "id int, word string, vector array<float>")
+    q = spark.createDataFrame([(i, [float(i), 2.0, 0.5]) for i in range(9)], "qid long, vector array<double>")
+    whole = sorted(N.nearest(q, vocab, k=3).collect())
+    asked = []
+    monkeypatch.setattr(N, "BLOCK_VALUES", 30)
+    search = N._search
+    monkeypatch.setattr(N, "_search", lambda root, blocks, *a: asked.append(blocks) or search(root, blocks, *a))
+    got = sorted(N.nearest(q, vocab, k=3).collect())
+    assert asked == [5] and [r[:4] for r in got] == [r[:4] for r in whole]
