@@ -232,9 +232,10 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
         counts = checkpoint(exploded.where(asked).groupBy("_tid")
                             .agg(F.count(F.lit(1)).alias("n")), "id-counts")
         frequent = F.broadcast(frequent_keys(counts, "_tid", HOT_BYTES // max(1, 4 * dim)))
-        head = v.join(frequent, "_tid", "left_semi")
+        head = v.join(frequent, "_tid", "left_semi").withColumn("_hot", F.lit(True))
+        # a vector may be null: its id is known all the same
         known = exploded.join(F.broadcast(head), "_tid", "left").where(
-            F.col("_vec").isNotNull() | ~F.coalesce(asked, F.lit(False)))
+            F.col("_hot").isNotNull() | ~F.coalesce(asked, F.lit(False))).drop("_hot")
         rest = exploded.where(asked).join(F.broadcast(head.select("_tid")), "_tid", "left_anti")
         joined = known.unionByName(_dealt(
             rest, "_tid", v.join(frequent, "_tid", "left_anti"), counts.join(

@@ -322,11 +322,12 @@ def test_frequent_keys_fit_the_bound(spark):
 
 def test_embed_frequent_ids_first(spark, monkeypatch):
     """Beyond the bound: every position once, with its vector, however many of
-    the ids are broadcast; nothing but ids of a vector's table is dealt."""
-    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "id int, vector array<float>")
+    the ids are broadcast; a null vector counts as zeros."""
+    vecs = spark.createDataFrame([(i, [float(i), 1.0] if i % 6 else None) for i in reversed(range(20))],
+                                 "id int, vector array<float>")
     docs = [(d, [(d * 3 + j * j) % 25 - 2 for j in range(d % 12)]) for d in range(60)]
     ids = spark.createDataFrame(docs, "id long, ids array<int>")
-    want = sorted((d, p, [float(i), 1.0] if 0 <= i < 20 else [0.0, 0.0])
+    want = sorted((d, p, [float(i), 1.0] if 0 <= i < 20 and i % 6 else [0.0, 0.0])
                   for d, xs in docs for p, i in enumerate(xs))
     monkeypatch.setattr(V, "ROWS_PER_TASK", 5)
     for hot in (0, 64, 1 << 20):
