@@ -40,3 +40,19 @@ def test_no_task_gets_all_parts_of_a_key(spark, monkeypatch):
     want = D.brute(texts, 40)
     assert got == dict(enumerate(want))
     assert sum(w[1] > 0 for w in want) >= 300
+
+
+def test_neighbouring_ranges_reach_a_text_as_one(spark, monkeypatch):
+    """Windows that are counted one by one gave a text a range each."""
+    monkeypatch.setattr(S, "HOT_SEGMENTS", 20)
+    monkeypatch.setattr(S, "PART", 4)
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {bytes(r.tk).hex(): [tuple(s) for s in r.spans or []]
+             for r in S.repeated_runs(df, 40, 8).collect()}
+    assert sum(map(len, found.values())) >= 290
+    for spans in found.values():
+        assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+    for t, want in zip(texts, D.brute(texts, 40)):
+        spans = found.get(D.hashlib.md5((t or "").encode()).hexdigest(), [])
+        assert not spans or (len(spans), sum(b - a for a, b in spans)) == (want[2], want[1])

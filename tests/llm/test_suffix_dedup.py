@@ -118,3 +118,23 @@ def test_induced_sorting(monkeypatch, seed):
     for i in range(n - depth + 1):
         if I.SEP not in body[i:i + depth]:
             assert got[i] == (seen[body[i:i + depth]] > 1)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 6, 8, 12])
+def test_induced_sorting_of_words(seed):
+    """Substrings between left-most-S places that end where a round of eight
+    bytes ends, beside longer ones with the same bytes."""
+    rng = random.Random(seed)
+
+    def word():
+        return "".join(rng.choice("bc") + "fkps"[:rng.randrange(3, 5)]
+                       + rng.choice(["me", "mec", "mcb", "meb"]))
+    words = [word() for _ in range(12)]
+    segs = ["".join(rng.choice(words) for _ in range(60)).encode() for _ in range(30)]
+    depth = rng.choice([16, 24, 40])
+    text, starts = I.join_segments(iter(segs))
+    got = I.repeated(text, len(text) - I.MARGIN, depth)
+    seen = Counter(s[i:i + depth] for s in segs for i in range(len(s) - depth + 1))
+    for s, at in zip(segs, starts):
+        n = len(s) - depth + 1
+        assert [seen[s[i:i + depth]] > 1 for i in range(n)] == got[at:at + n].tolist()
