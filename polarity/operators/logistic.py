@@ -205,6 +205,14 @@ def fit_lr_terms(terms: DataFrame, key: str = "id", label: str = "label", reg: f
     return _fit(known, docs, key, reg, max_iter, tol, history, max_broadcast_rows)
 
 
+def fit_weighted_terms(terms: DataFrame, key: str, label: str, weight: str, reg: float,
+                       max_iter: int, tol: float = 1e-6, history: int = 5,
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> TermLR:
+    """T1 (lr): the same with a weight on every document."""
+    docs = terms.where("word is null").select(key, F.col(label).alias("y"), F.col(weight).alias("lam"))
+    return _fit(terms, docs, key, reg, max_iter, tol, history, max_broadcast_rows)
+
+
 def score_lr_terms(terms: DataFrame, model: TermLR, key: str = "id",
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """T2 (lr): (key, score = P(positive), pred) of every document."""

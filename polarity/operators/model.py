@@ -11,7 +11,9 @@ With p the (soft) label and lam the row weight of a document:
     score(d) = prior + sum of weight over d's tokens (unknown word: 0)
     pred = score > 0
 
-``lr``: ``pyspark.ml`` CountVectorizer + LogisticRegression on the same tokens.
+``lr``: logistic regression on the same tokens: ``pyspark.ml`` CountVectorizer +
+LogisticRegression up to LR_WORDS words, beyond them the same objective with
+weights as a table (``logistic``), so that no word list is on the driver.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ ROWS_PER_TASK = 100_000
 # Of a model beyond the broadcast bound, about as many of the most frequent
 # words are broadcast all the same.
 HOT_WORDS = 200_000
+# Words up to which ``pyspark.ml`` fits a logistic regression: its driver holds
+# every word and some twenty vectors of a number per word.
+LR_WORDS = 200_000
 
 
 @dataclass
@@ -229,35 +234,64 @@ def fit_semi_nb(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
     return fit_semi_terms(term_table(both, key, tokens, ("_y",)), key, "_y", unlabel_weight, rounds)
 
 
-def fit_lr(df: DataFrame, tokens: str = "tokens", label: str = "label",
-           weight: str | None = None, max_iter: int = 50, reg: float = 0.0) -> PipelineModel:
-    """T1 (lr): word counts + LogisticRegression (optionally row weighted).
-    Every distinct word is a feature of its own; the driver holds one weight
-    and one word per feature, as the optimiser does."""
+def _lr_terms(df: DataFrame, tokens: str, carry: tuple) -> DataFrame:
+    """A term table with a row id of its own (``_row``): keys may repeat."""
+    return term_table(df.select(*carry, tokens, F.monotonically_increasing_id().alias("_row")),
+                      "_row", tokens, carry)
+
+
+def _many_words(df: DataFrame, tokens: str) -> tuple[int, bool]:
     n = df.select(F.explode(tokens).alias("_w")).distinct().count()
+    return n, n > LR_WORDS
+
+
+def _known(label: str) -> F.Column:
+    return F.coalesce(F.col(label).cast("double"), F.raise_error(F.lit(f"null {label}")).cast("double"))
+
+
+def fit_lr(df: DataFrame, tokens: str = "tokens", label: str = "label",
+           weight: str | None = None, max_iter: int = 50, reg: float = 0.0):
+    """T1 (lr): word counts + logistic regression (optionally row weighted).
+    Every distinct word is a feature of its own. Up to LR_WORDS of them a
+    ``PipelineModel``; beyond, a ``logistic.TermLR`` of the same objective."""
+    n, many = _many_words(df, tokens)
+    data = df.withColumn("_label", F.col(label).cast("double"))
+    if many:
+        from polarity.operators.logistic import fit_weighted_terms
+        lam = F.col(weight).cast("double") if weight else F.lit(1.0)
+        terms = _lr_terms(data.select(tokens, _known("_label").alias("_y"), lam.alias("_lam")),
+                          tokens, ("_y", "_lam"))
+        return fit_weighted_terms(terms, "_row", "_y", "_lam", reg, max_iter)
     tf = CountVectorizer(inputCol=tokens, outputCol="_features", vocabSize=max(1, n), minDF=1.0)
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter,
                             regParam=reg, predictionCol="_pred",
                             probabilityCol="_prob", rawPredictionCol="_raw")
     if weight:
         lr.setWeightCol(weight)
-    data = df.withColumn("_label", F.col(label).cast("double"))
     return Pipeline(stages=[tf, lr]).fit(data)
 
 
 def fit_semi_lr(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
                 tokens: str = "tokens", label: str = "label", unlabel_weight: float = 1.0,
-                rounds: int = 1, **lr_args) -> PipelineModel:
+                rounds: int = 1, **lr_args):
     """T3 (lr): weighted self-training with logistic regression.
 
     Binomial logistic regression takes 0/1 labels only, so an unlabelled row
     with soft label p enters as two weighted rows, (1, lam*p) and
     (0, lam*(1-p)); their log-loss is exactly the soft-label log-loss.
     Labelled rows keep weight 1. Soft labels are a lineage cut per round.
+    With weights as a table (more than LR_WORDS words) labels may be soft, so
+    all rounds work on one term table.
     """
     lab = labeled.select(key, tokens, F.col(label).cast("double").alias("_y"),
                          F.lit(1.0).alias("_w"))
     unl = unlabeled.select(key, tokens)
+    if _many_words(lab.select(tokens).unionAll(unl.select(tokens)), tokens)[1]:
+        from polarity.operators.logistic import fit_semi_lr_terms
+        both = lab.select(tokens, _known("_y").alias("_y")).unionByName(
+            unl.select(tokens, F.lit(None).cast("double").alias("_y")))
+        return fit_semi_lr_terms(_lr_terms(both, tokens, ("_y",)), "_row", "_y", unlabel_weight,
+                                 rounds, **{"reg": 0.0, "max_iter": 50, **lr_args})
     model = fit_lr(lab, tokens, "_y", weight="_w", **lr_args)
     for _ in range(rounds):
         soft = checkpoint(score_lr(unl, model, key)
@@ -272,9 +306,14 @@ def fit_semi_lr(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
     return model
 
 
-def score_lr(df: DataFrame, model: PipelineModel, key: str = "id",
-             carry: tuple = ()) -> DataFrame:
-    """T2 (lr): (key, *carry, score = P(positive), pred)."""
+def score_lr(df: DataFrame, model, key: str = "id", carry: tuple = ()) -> DataFrame:
+    """T2 (lr): (key, *carry, score = P(positive), pred) for every input row."""
+    if not isinstance(model, PipelineModel):
+        from polarity.operators.logistic import score_lr_terms
+        terms = _lr_terms(df, "tokens", (key, *carry))
+        scored = score_lr_terms(terms, model, "_row")
+        return (terms.where("word is null").select("_row", key, *carry).join(scored, "_row")
+                .select(key, *carry, "score", "pred"))
     out = model.transform(df)
     return out.select(key, *carry, vector_to_array("_prob")[1].alias("score"),
                       F.col("_pred").cast("int").alias("pred"))

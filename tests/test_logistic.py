@@ -105,3 +105,36 @@ def test_one_class_and_scores(spark):
     out = L.score_lr_terms(terms, L.fit_lr_terms(terms, reg=0.1, max_iter=3))
     assert out.count() == len(rows)
     assert out.where((F.col("score") > 0.5) != (F.col("pred") == 1)).isEmpty()
+
+
+def test_many_words_are_fitted_as_a_table(spark, monkeypatch, tmp_out):
+    """Beyond LR_WORDS nothing per word is on the driver; a row for every row of
+    repeated and null keys."""
+    from polarity.sources import models
+    rows = corpus(40, 7) + [(3, ["good"], 1), (None, [], 0), (None, ["bad", "w1"], 0)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, label int")
+    monkeypatch.setattr(T, "LR_WORDS", 3)
+    monkeypatch.setattr(T, "CountVectorizer", None)
+    m = T.fit_lr(df, max_iter=1, reg=0.2)
+    assert isinstance(m, L.TermLR)
+    models.save_model(m, tmp_out, "lr", 1)
+    w = {r.word: r.weight for r in m.weights.collect()}
+    want = [(i is None, i or 0, y, 1 / (1 + math.exp(-m.intercept - sum(w.get(t, 0) for t in ws))))
+            for i, ws, y in rows]
+    scored = T.score_lr(df, models.load_model(spark, tmp_out, "lr", 1, kind="lr"), "id", ("label",))
+    got = [(r.id is None, r.id or 0, r.label, r.score) for r in scored.collect()]
+    for a, b in zip(sorted(got), sorted(want)):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], abs=1e-9)
+    assert len(got) == len(rows)
+
+
+def test_many_words_self_training(spark, monkeypatch):
+    rows = corpus(40, 8)
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, label int")
+    lab, unl = df.where("id % 4 > 0"), df.where("id % 4 = 0").drop("label")
+    monkeypatch.setattr(T, "LR_WORDS", 3)
+    got = T.fit_semi_lr(lab, unl, "id", unlabel_weight=0.3, max_iter=1, reg=0.2)
+    terms = table(spark, [(i, ws, y if i % 4 else None) for i, ws, y in rows])
+    want = L.fit_semi_lr_terms(terms, unlabel_weight=0.3, max_iter=1, reg=0.2)
+    a, b = ({r.word: r.weight for r in m.weights.collect()} for m in (got, want))
+    assert a.keys() == b.keys() and all(a[w] == pytest.approx(b[w], abs=1e-9) for w in a)
