@@ -43,7 +43,7 @@ ROWS_PER_TASK = 100_000
 HOT_WORDS = 200_000
 # Words up to which ``pyspark.ml`` fits a logistic regression: its driver holds
 # every word and some twenty vectors of a number per word.
-LR_WORDS = 200_000
+LR_WORDS = 1_500_000
 
 
 @dataclass
