@@ -12,8 +12,9 @@ scored and the gradient flows through each document's best window.
 
 Scoring runs in Arrow batches in tasks; nothing but the weights (about 1 MB)
 travels. Windows are scored in blocks of one shape, the last filled with empty
-windows: a matrix product may sum otherwise in another shape, and a score
-depends on the text alone. Contract: null and blank texts are one empty window,
+windows, and by products that sum every row alike (``_times``): a matrix product
+may sum otherwise in another shape or place, and a score depends on the text
+alone. Contract: null and blank texts are one empty window,
 scored as such; equal texts score equal to the last bit; no labelled rows give an untrained constant model;
 columns of the input are kept as they are.
 """
@@ -139,6 +140,12 @@ def _sig(x):
     return 1.0 / (1.0 + np.exp(-x))
 
 
+def _times(x, w):
+    """x @ w with every row summed alike: BLAS sums a row by its place in the
+    block on some processors."""
+    return np.einsum("...h,hk->...k" if w.ndim == 2 else "...h,h->...", x, w)
+
+
 def _gru(x, length, p, d, back, keep=None):
     """States (T, N, H) of one direction; x: (T, N, 3H) projected inputs."""
     t_max, n, _ = x.shape
@@ -146,7 +153,7 @@ def _gru(x, length, p, d, back, keep=None):
     out = np.empty((t_max, n, HIDDEN), np.float32)
     u = p[f"u{d}"]
     for t in (range(t_max - 1, -1, -1) if back else range(t_max)):
-        g = h @ u
+        g = _times(h, u) if keep is None else h @ u
         a = x[t]
         zr = _sig(a[:, :2 * HIDDEN] + g[:, :2 * HIDDEN])
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
@@ -164,16 +171,17 @@ def _gru(x, length, p, d, back, keep=None):
 def forward(p: dict, x, length, keep: bool = False):
     """Logits of windows; x: (T, N, DIM) inputs, zero beyond a window's end."""
     caches = ({}, {}) if keep else (None, None)
-    f = _gru(x @ p["wf"] + p["bf"], length, p, "f", False, caches[0])
-    b = _gru(x @ p["wb"] + p["bb"], length, p, "b", True, caches[1])
-    e = f @ p["af"] + b @ p["ab"]
+    times = np.matmul if keep else _times
+    f = _gru(times(x, p["wf"]) + p["bf"], length, p, "f", False, caches[0])
+    b = _gru(times(x, p["wb"]) + p["bb"], length, p, "b", True, caches[1])
+    e = times(f, p["af"]) + times(b, p["ab"])
     live = np.arange(x.shape[0])[:, None] < np.maximum(length, 1)
     e = np.where(live, e, np.float32(-1e9))
     e = np.exp(e - e.max(0))
     alpha = e / e.sum(0)
     cf = np.einsum("tn,tnh->nh", alpha, f)
     cb = np.einsum("tn,tnh->nh", alpha, b)
-    logit = cf @ p["of"] + cb @ p["ob"] + p["o"][0]
+    logit = times(cf, p["of"]) + times(cb, p["ob"]) + p["o"][0]
     return (logit, (f, b, alpha, cf, cb, caches)) if keep else logit
 
 

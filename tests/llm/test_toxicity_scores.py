@@ -88,3 +88,13 @@ def test_equal_texts_score_equal_to_the_last_bit(model, monkeypatch):
             assert (score(texts[a:a + size]) == whole[a:a + size]).all()
     monkeypatch.setattr(T, "CHUNK", 5000)
     assert (score(texts) == whole).all()
+
+
+def test_a_window_scores_alike_at_every_place_of_a_block(model):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((T.WINDOW, T.BLOCK, T.DIM)).astype(np.float32)
+    length = rng.integers(0, T.WINDOW + 1, T.BLOCK)
+    x[np.arange(T.WINDOW)[:, None] >= length] = 0
+    order = rng.permutation(T.BLOCK)
+    there = T.forward(model["net"], x[:, order], length[order])
+    assert (T.forward(model["net"], x, length)[order] == there).all()
