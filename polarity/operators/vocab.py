@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -36,6 +37,9 @@ ROWS_PER_TASK = 100_000
 # words, or bytes of vectors, are broadcast all the same.
 HOT_WORDS = 200_000
 HOT_BYTES = 16 << 20
+# Positions whose rows are put in the order of their ids together, before they
+# meet their vectors (a task holds about 50 bytes for each).
+SORTED_POSITIONS = 2_000_000
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -202,6 +206,30 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
     return docs.select(key, *carry, ids.alias(out_col))
 
 
+def _by_id(most: int):
+    """mapInArrow: (key, ids) to rows (key, pos, id), of about ``most`` positions at
+    a time in the order of their ids; null and empty arrays give no rows."""
+    def run(batches):
+        for b in batches:
+            sizes = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy().astype(np.int64)
+            ends = np.cumsum(sizes)
+            cuts = np.searchsorted(ends, np.arange(most, int(sizes.sum()), most)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(sizes)]):
+                n = sizes[lo:hi]
+                if hi <= lo or not n.sum():
+                    continue
+                ids = b.column(1).slice(lo, hi - lo).flatten()
+                order = np.argsort(pc.fill_null(ids, -1).to_numpy(zero_copy_only=False), kind="stable")
+                row = np.repeat(np.arange(lo, hi, dtype=np.int32), n)
+                pos = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+                for k in range(0, len(order), ROWS_PER_TASK):
+                    some = order[k:k + ROWS_PER_TASK]
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(row[some])), pa.array(pos[some]),
+                         ids.take(pa.array(some))], [b.schema.names[0], "pos", "_tid"])
+    return run
+
+
 def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str = "ids",
           dim: int | None = None, vector_rows: int | None = None,
           max_broadcast_bytes: int = 128 << 20) -> DataFrame:
@@ -213,20 +241,27 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
     are broadcast, ids below 0 are joined with nothing, and the positions these
     leave go through a shuffle join in which an id of many positions is copied
     by its count and its positions are dealt over the copies.
+
+    Rows of one id come together (by SORTED_POSITIONS positions of whole
+    documents), so that a written vector takes its full size once, not once a row.
     """
     if dim is None:
         dim = vectors.select(F.size("vector")).first()[0]
     v = vectors.select(F.col("id").cast("int").alias("_jid"),
                        F.col("vector").cast("array<float>").alias("_vec"))
     n_vec = vector_rows if vector_rows is not None else v.count()
-    exploded = (ids_df.select(key, F.posexplode_outer(ids_col).alias("pos", "_tid"))
-                .filter(F.col("pos").isNotNull()))
+
+    def together(df, ids):
+        at = df.select(key, ids).schema
+        return df.select(key, ids).mapInArrow(_by_id(SORTED_POSITIONS), StructType(
+            [at[0], StructField("pos", IntegerType()), StructField("_tid", at[1].dataType.elementType)]))
     if n_vec * dim * 4 <= max_broadcast_bytes:
-        joined = exploded.join(F.broadcast(v), exploded["_tid"] == v["_jid"], "left")
+        joined = together(ids_df, ids_col).join(F.broadcast(v), F.col("_tid") == F.col("_jid"), "left")
     else:
         # the ids are read more than once
-        exploded = checkpoint(ids_df.select(key, F.col(ids_col).alias("_ids")), "embed-ids").select(
-            key, F.posexplode_outer("_ids").alias("pos", "_tid")).filter(F.col("pos").isNotNull())
+        kept = checkpoint(ids_df.select(key, F.col(ids_col).alias("_ids")), "embed-ids")
+        exploded = kept.select(key, F.posexplode_outer("_ids").alias("pos", "_tid")).filter(
+            F.col("pos").isNotNull())
         v = v.withColumnRenamed("_jid", "_tid")
         asked = F.col("_tid") >= 0
         counts = checkpoint(exploded.where(asked).groupBy("_tid")
@@ -234,7 +269,7 @@ def embed(ids_df: DataFrame, vectors: DataFrame, key: str = "id", ids_col: str =
         frequent = F.broadcast(frequent_keys(counts, "_tid", HOT_BYTES // max(1, 4 * dim)))
         head = v.join(frequent, "_tid", "left_semi").withColumn("_hot", F.lit(True))
         # a vector may be null: its id is known all the same
-        known = exploded.join(F.broadcast(head), "_tid", "left").where(
+        known = together(kept, "_ids").join(F.broadcast(head), "_tid", "left").where(
             F.col("_hot").isNotNull() | ~F.coalesce(asked, F.lit(False))).drop("_hot")
         rest = exploded.where(asked).join(F.broadcast(head.select("_tid")), "_tid", "left_anti")
         joined = known.unionByName(_dealt(

@@ -378,3 +378,18 @@ def test_nearest_blocks_hold_a_bounded_number_of_values(spark, monkeypatch, tmp_
     monkeypatch.setattr(N, "_search", lambda root, blocks, *a: asked.append(blocks) or search(root, blocks, *a))
     got = sorted(N.nearest(q, vocab, k=3).collect())
     assert asked == [5] and [r[:4] for r in got] == [r[:4] for r in whole]
+
+
+@pytest.mark.parametrize("how", [{}, {"max_broadcast_bytes": 0}])
+def test_embedded_rows_of_one_id_come_together(spark, monkeypatch, how):
+    """Else every row is written with its whole vector; 60 positions at a time."""
+    monkeypatch.setattr(V, "SORTED_POSITIONS", 60)
+    ids = [[(i * j) % 7 - 1 for j in range(i % 13)] for i in range(40)] + [None, [], [None, 2, None]]
+    df = spark.createDataFrame([(k % 30, x) for k, x in enumerate(ids)], "id long, ids array<int>")
+    vecs = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(5)], "id int, vector array<float>")
+    rows = V.embed(df.coalesce(1), vecs, "id", **how).collect()
+    want = [(k % 30, p, [float(t), 1.0] if t in range(5) else [0.0, 0.0])
+            for k, x in enumerate(ids) for p, t in enumerate(x or [])]
+    assert sorted((r.id, r.pos, r.vector) for r in rows) == sorted(want)
+    runs = 1 + sum(a.vector != b.vector for a, b in zip(rows, rows[1:]))
+    assert runs <= 7 * (len(want) // 60 + 1)
