@@ -1,19 +1,19 @@
 """Logistic regression whose weights are a table (T1-T3, lr).
 
-The optimiser's vectors - weights, gradient, the last steps and gradient
-changes of L-BFGS - are columns of one (word, ...) table; the driver holds the
-intercept's parts and about a hundred dot products, never a word list. One
-iteration over a term table bucketed by document:
-
-1. dot products of the columns, one aggregate; from them the two-loop recursion
-   gives the search direction as a combination of the columns;
-2. the direction's margin of every document: term rows meet the direction by
-   word (broadcast for the HOT_WORDS most frequent words, else dealt by the
-   words' counts) and are summed by document, where they lie;
-3. the step along it, from derivatives at a grid of steps, one aggregate over
-   documents alone (margins are linear in the step);
-4. the gradient: residuals meet the term rows by document, without moving them,
-   and are summed by word with partial aggregates.
+The optimiser's vectors - weights, gradient, the last steps and gradient changes
+of L-BFGS - are all D^-1 X' a for some number per document (X the counts, D the
+words' deviations), so they are kept as that number and as their margins, in
+Parquet rows by block of documents (``term_blocks``); the driver holds the
+intercept's parts and about a hundred dot products, never a word or a document.
+One iteration:
+
+1. dot products of the columns, from the numbers and the margins; from them the
+   two-loop recursion gives the search direction as a combination of the columns,
+   and so its margins;
+2. the step along it, from derivatives at a grid of steps, one pass over the
+   documents' numbers alone (margins are linear in the step);
+3. the residuals there, their sums by word and these sums' margins: one product
+   with X X', which moves a number for every word that a block shares with others.
 
 Objective, as in ``pyspark.ml`` with standardisation: the weighted mean log-loss
 plus reg / 2 * sum((sd(word) * weight)^2); the intercept is free. Labels may be
@@ -25,9 +25,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polarity.operators import term_blocks as T
 from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, frequent_keys,
                                       task_share)
 from polarity.operators.model import HOT_WORDS, SOFT_DECIMALS
@@ -89,13 +92,26 @@ def _direction(names: list[str], dot, pairs: list[int]) -> dict[str, float]:
     return c
 
 
-def _step(docs: DataFrame, total: float, slope0: float, penalty) -> float:
-    """The step where the derivative along the direction is about 0; ``docs``
-    is (y, lam, z, zd), ``penalty`` the regulariser's derivative at a step."""
-    p = [F.sum(F.col("lam") * F.col("zd")
-               * (1 / (1 + F.exp(-(F.col("z") + t * F.col("zd")))) - F.col("y"))) for t in STEPS]
+def _columns(b, r: int) -> tuple:
+    """The state of a block: labels, weights, margins z, and of every column a number per
+    document (``a``: the column is D^-1 X' a) and its margins (``m``)."""
+    y, lam, z, a, m = (T.array_of(b.column(c), r, np.float64) for c in ("y", "lam", "z", "a", "m"))
+    return y, lam, z, a.reshape(-1, len(y)), m.reshape(-1, len(y))
+
+
+def _slopes(b, r: int, c: list[float], free: float) -> list[float]:
+    """Of a block, the loss's derivatives along the direction at each of STEPS."""
+    y, lam, z, _, m = _columns(b, r)
+    zd = np.asarray(c) @ m + free
+    with np.errstate(over="ignore"):
+        return [float((lam * zd * (1 / (1 + np.exp(-(z + t * zd))) - y)).sum()) for t in STEPS]
+
+
+def _step(slopes: list[float], total: float, slope0: float, penalty) -> float:
+    """The step where the derivative along the direction is about 0, from the loss's at
+    each of STEPS; ``penalty`` is the regulariser's derivative at a step."""
     low, low_slope = 0.0, slope0
-    for t, s in zip(STEPS, docs.agg(*p).first()):
+    for t, s in zip(STEPS, slopes):
         slope = s / total + penalty(t)
         if slope >= 0:
             gap = slope - low_slope
@@ -104,11 +120,60 @@ def _step(docs: DataFrame, total: float, slope0: float, penalty) -> float:
     return low
 
 
+STATE = ("part long, y binary, lam binary, z binary, a binary, m binary, dots array<double>, "
+         "free double")
+
+
+def _started(columns: int, intercept: float):
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                y, lam = (T.array_of(b.column(c), r, np.float64) for c in ("y", "lam"))
+                none = np.zeros(columns * len(y)).tobytes()
+                z = np.full(len(y), intercept).tobytes()
+                yield pa.RecordBatch.from_pylist(
+                    [dict(part=b.column("part")[r].as_py(), y=y.tobytes(), lam=lam.tobytes(), z=z, a=none,
+                          m=none, dots=[], free=0.0)], schema=T.arrow_schema(STATE))
+    return run
+
+
+def _moved(names: list[str], c: dict[str, float], step: float, free: float, total: float, reg: float,
+           slot: int | None):
+    """The two halves of a step along the direction ``c`` for a block: its residuals, and,
+    from their margins, its state with the step and the gradient's change in history
+    slot ``slot`` and the dot products of all columns. Column 0 is u, column 1 is g."""
+    along = np.array([c.get(k, 0.0) for k in names])
+
+    def there(b, r):
+        y, lam, z, a, m = _columns(b, r)
+        da, dm = step * (along @ a), step * (along @ m)
+        z = z + dm + step * free
+        with np.errstate(over="ignore"):
+            return y, lam, z, a, m, da, dm, lam * (1 / (1 + np.exp(-z)) - y) / total
+
+    def residuals(b, r):
+        return there(b, r)[-1]
+
+    def moved(b, r, residual, margins):
+        y, lam, z, a, m, da, dm, _ = there(b, r)
+        a, m = a.copy(), m.copy()
+        for x, d, g in ((a, da, residual), (m, dm, margins)):
+            x[0] += d
+            g = g + reg * x[0]
+            if slot is not None:
+                x[2 + 2 * slot], x[3 + 2 * slot] = d, g - x[1]
+            x[1] = g
+        return (y.tobytes(), lam.tobytes(), z.tobytes(), a.tobytes(), m.tobytes(),
+                (a @ m.T).ravel().tolist(), float(residual.sum()))
+    return residuals, moved
+
+
 def _fit(rows: DataFrame, docs: DataFrame, key: str, reg: float, max_iter: int, tol: float,
-         history: int, max_broadcast_rows: int) -> TermLR:
+         history: int) -> TermLR:
     """Fit from term rows (key, word, tf; a null word per document) and (key,
     y, lam) of the documents."""
     spark = rows.sparkSession
+    begun = scratch_mark()
     docs = checkpoint(docs.where("lam > 0").select(key, F.col("y").cast("double").alias("y"),
                                                    F.col("lam").cast("double").alias("lam")), "lr-docs")
     lam = F.col("lam")
@@ -119,53 +184,33 @@ def _fit(rows: DataFrame, docs: DataFrame, key: str, reg: float, max_iter: int,
     if not 0 < share < 1:
         raise ValueError("logistic regression needs rows of both classes")
     spread = total - whole["w2"] / total
-    at = rows.where("word is not null").join(docs.select(key, "lam"), key)
-    x, tf = F.col("lam") * F.col("tf"), F.col("tf")
-    stats = at.groupBy("word").agg(F.sum(x).alias("a"), F.sum(x * tf).alias("b"),
-                                   F.count(F.lit(1)).alias("n"))
-    var = (F.col("b") - F.col("a") * F.col("a") / total) / F.lit(spread if spread > 0 else 1.0)
-    words = checkpoint(stats.select("word", "n", F.sqrt(F.greatest(var, F.lit(0.0))).alias("sd"))
-                       .where(F.col("sd") > 1e-12), "lr-words")
-    n_words = words.count()
-    counts = words.select("word", "n")
-    zero = F.lit(0.0)
+    matrix = T.Blocks(rows, docs, key, total, spread if spread > 0 else 1.0)
     columns = ["u", "g"] + [f"{c}{i}" for i in range(history) for c in "sy"]
     intercept = math.log(share / (1 - share))
-    state = dict.fromkeys(columns, 0.0)  # the intercept's part of each column
-    docs = docs.withColumn("z", F.lit(intercept))
+    free_of = dict.fromkeys(columns, 0.0)  # the intercept's part of each column
     mark = scratch_mark()
 
-    residual = (lam * (1 / (1 + F.exp(-F.col("z"))) - F.col("y")) / total).alias("_r")
-    words_only = rows.where("word is not null").select(key, "word", "tf")
-
-    def moved(table, docs, step, c, slot):
-        """The table after a step: new weights and gradient, and the step and
-        the gradient's change in history slot ``slot``."""
-        g = (words_only.join(docs.select(key, residual), key)
-             .groupBy("word").agg(F.sum(F.col("tf") * F.col("_r")).alias("_g")))
-        d = sum((F.col(a) * v for a, v in c.items() if v), zero) * step
-        new = table.join(g, "word", "left").withColumn("_d", d)
-        u = F.col("u") + F.col("_d")
-        now = F.coalesce("_g", zero) / F.col("sd") + reg * u
-        keep = [a for a in columns if a not in ("u", "g", f"s{slot}", f"y{slot}")]
-        new = new.select("word", "sd", *keep, u.alias("u"), now.alias("g"),
-                         F.col("_d").alias(f"s{slot}"), (now - F.col("g")).alias(f"y{slot}"))
-        free = docs.select(residual).agg(F.sum("_r")).first()[0] or 0.0
-        return checkpoint(new, "lr-weights"), free
-
-    table = words.select("word", "sd", *[zero.alias(a) for a in columns])
-    table, state["g"] = moved(table, docs, 0.0, {}, 0)
-    table = table.withColumn("y0", zero)
+    def sums(rows, size):  # in the order of the blocks
+        return np.sum([r[1] for r in sorted(rows, key=lambda r: r[0])] or [np.zeros(size)], axis=0)
+
+    def moved(state, c, step, free, slot):
+        new = matrix.product(state, *_moved(columns, c, step, free, total, reg, slot), STATE, "lr-state")
+        got = new.select("part", F.concat("dots", F.array("free"))).collect()
+        T.forget(state)
+        *dots, free = sums(got, len(columns) ** 2 + 1).tolist()
+        return new, np.reshape(dots, (len(columns), -1)), free
+
+    start = matrix.blocks.select("part", "y", "lam").mapInArrow(_started(len(columns), intercept), STATE)
+    state = T.kept(start, matrix.n, "lr-state")
+    state, inside, free_of["g"] = moved(state, {}, 0.0, 0.0, None)
+    place = {a: k for k, a in enumerate(columns)}
     pairs: list[int] = []
     done, norm = 0, float("inf")
     while True:
         until = scratch_mark()
         names = ["g"] + [f"{c}{i}" for i in pairs for c in "sy"]
-        asked = [(a, b) for k, a in enumerate(names) for b in names[k:]] + [("u", b) for b in names]
-        got = table.agg(*[F.sum(F.col(a) * F.col(b)) for a, b in asked]).first()
-        inside = {p: v or 0.0 for p, v in zip(asked, got)}
-        inside.update({(b, a): v for (a, b), v in list(inside.items())})
-        dot = lambda a, b: inside[a, b] + state[a] * state[b]
+        word = lambda a, b: float(inside[place[a], place[b]] + inside[place[b], place[a]]) / 2  # noqa: E731,B023
+        dot = lambda a, b: word(a, b) + free_of[a] * free_of[b]
         norm = math.sqrt(max(dot("g", "g"), 0.0))
         if norm <= tol or done == max_iter:
             break
@@ -174,25 +219,36 @@ def _fit(rows: DataFrame, docs: DataFrame, key: str, reg: float, max_iter: int,
         if slope >= 0:  # rounding has spoiled the history: start again downhill
             pairs, names, c = [], ["g"], {"g": -1.0}
             slope = -dot("g", "g")
-        free = sum(c[a] * state[a] for a in names)
-        v = sum((F.col(a) * w for a, w in c.items() if w), zero) / F.col("sd")
-        margins = _margins(rows, key, table.select("word", v.alias("v")), counts, n_words,
-                           max_broadcast_rows, "zd")
-        docs = checkpoint(docs.join(margins, key, "left").select(
-            key, "y", "lam", "z", (F.coalesce("zd", zero) + free).alias("zd")), "lr-docs")
-        ud = sum(c[a] * inside["u", a] for a in names)
-        dd = sum(c[a] * c[b] * inside[a, b] for a in names for b in names)
-        step = _step(docs, total, slope, lambda t: reg * (ud + t * dd))  # noqa: B023
-        docs = docs.select(key, "y", "lam", (F.col("z") + step * F.col("zd")).alias("z"))
+        free = sum(c[a] * free_of[a] for a in names)
+        ud = sum(c[a] * word("u", a) for a in names)
+        dd = sum(c[a] * c[b] * word(a, b) for a in names for b in names)
+        along = [c.get(a, 0.0) for a in columns]
+        got = state.mapInArrow(_each(_slopes, along, free), "part long, slopes array<double>").collect()
+        step = _step(sums(got, len(STEPS)).tolist(), total, slope, lambda t: reg * (ud + t * dd))  # noqa: B023
         slot = pairs.pop(0) if len(pairs) == history else len(pairs)
-        table, g0 = moved(table, docs, step, c, slot)
+        state, inside, g0 = moved(state, c, step, free, slot)
         intercept += step * free
-        state[f"s{slot}"], state[f"y{slot}"], state["g"] = step * free, g0 - state["g"], g0
+        free_of[f"s{slot}"], free_of[f"y{slot}"], free_of["g"] = step * free, g0 - free_of["g"], g0
         pairs.append(slot)
         drop_scratch(spark, mark, until)
         done += 1
-    return TermLR(table.select("word", (F.col("u") / F.col("sd")).alias("weight")), counts,
-                  intercept, n_words, done, norm)
+    until = scratch_mark()
+    words = checkpoint(matrix.by_word(state, lambda b, r: _columns(b, r)[3][0]), "lr-weights")
+    T.forget(state)
+    matrix.forget()
+    drop_scratch(spark, begun, until)
+    return TermLR(words.select("word", F.col("value").alias("weight")), words.select("word", "n"),
+                  intercept, matrix.n_words, done, norm)
+
+
+def _each(of, *args):
+    """mapInArrow: (part, list of numbers) of every row of a state."""
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("part").slice(r, 1), pa.array([of(b, r, *args)])], ["part", "slopes"])
+    return run
 
 
 def fit_lr_terms(terms: DataFrame, key: str = "id", label: str = "label", reg: float = 0.01,
@@ -202,7 +258,7 @@ def fit_lr_terms(terms: DataFrame, key: str = "id", label: str = "label", reg: f
     ``label``, null on documents to leave out."""
     known = terms.where(F.col(label).isNotNull())
     docs = known.where("word is null").select(key, F.col(label).alias("y"), F.lit(1.0).alias("lam"))
-    return _fit(known, docs, key, reg, max_iter, tol, history, max_broadcast_rows)
+    return _fit(known, docs, key, reg, max_iter, tol, history)
 
 
 def fit_weighted_terms(terms: DataFrame, key: str, label: str, weight: str, reg: float,
@@ -210,7 +266,7 @@ def fit_weighted_terms(terms: DataFrame, key: str, label: str, weight: str, reg:
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> TermLR:
     """T1 (lr): the same with a weight on every document."""
     docs = terms.where("word is null").select(key, F.col(label).alias("y"), F.col(weight).alias("lam"))
-    return _fit(terms, docs, key, reg, max_iter, tol, history, max_broadcast_rows)
+    return _fit(terms, docs, key, reg, max_iter, tol, history)
 
 
 def score_lr_terms(terms: DataFrame, model: TermLR, key: str = "id",
@@ -238,5 +294,5 @@ def fit_semi_lr_terms(terms: DataFrame, key: str = "id", label: str = "label",
         docs = heads.join(soft, key).select(
             key, F.coalesce("_y", "_p").alias("y"),
             F.when(F.col("_y").isNotNull(), 1.0).otherwise(float(unlabel_weight)).alias("lam"))
-        model = _fit(terms, docs, key, reg, max_iter, tol, 5, max_broadcast_rows)
+        model = _fit(terms, docs, key, reg, max_iter, tol, 5)
     return model

@@ -138,3 +138,29 @@ def test_many_words_self_training(spark, monkeypatch):
     want = L.fit_semi_lr_terms(terms, unlabel_weight=0.3, max_iter=1, reg=0.2)
     a, b = ({r.word: r.weight for r in m.weights.collect()} for m in (got, want))
     assert a.keys() == b.keys() and all(a[w] == pytest.approx(b[w], abs=1e-9) for w in a)
+
+
+def test_fit_joins_no_term_rows_by_word(spark, monkeypatch):
+    """Iterations are products in blocks of documents."""
+    monkeypatch.setattr(L, "_margins", None)
+    assert L.fit_lr_terms(table(spark, corpus()), reg=0.1, max_iter=3, tol=0.0).iterations == 3
+
+
+def test_sums_by_word_equal_dense_ones(spark):
+    """Weighted, soft labels; words of one block, of several, and one that does not vary."""
+    from polarity.operators.term_blocks import Blocks, array_of
+    rows = [(i, ws + ["all"] * 300 * (i < 2) + ["same"], y) for i, ws, y in corpus(90, 3)] + [(99, ["same"], 0)]
+    lam = {r[0]: 0.5 + r[0] % 3 for r in rows}
+    terms = table(spark, rows)
+    docs = spark.createDataFrame([(k, 0.25, w) for k, w in lam.items()], "id long, y double, lam double")
+    total, w2 = sum(lam.values()), sum(w * w for w in lam.values())
+    blocks = Blocks(terms, docs, "id", total, total - w2 / total)
+    assert blocks.blocks.count() > 1
+    got = {r.word: (r.value, r.n) for r in blocks.by_word(
+        blocks.blocks.select("part", "lam"), lambda b, r: array_of(b.column("lam"), r, np.float64)).collect()}
+    words = {w for _, ws, _ in rows for w in ws} - {"same"}
+    assert got.keys() == words and blocks.n_words == len(words)
+    for w in words:
+        x, v = np.array([r[1].count(w) for r in rows], float), np.array([lam[r[0]] for r in rows])
+        var = (v @ (x - v @ x / total) ** 2) / (total - w2 / total)
+        assert got[w] == (pytest.approx(v @ x / var, rel=1e-9), (x > 0).sum())
