@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from polarity.config import BOS_ID, EOS_ID, PAD_ID, UNK_ID
 from polarity.functions.text import (attention_mask, encode_with_specials, pad_truncate,
@@ -40,6 +40,8 @@ HOT_BYTES = 16 << 20
 # Positions whose rows are put in the order of their ids together, before they
 # meet their vectors (a task holds about 50 bytes for each).
 SORTED_POSITIONS = 2_000_000
+# Tokens whose n-grams a task makes at a time (about 100 bytes for each and width).
+GRAM_TOKENS = 200_000
 
 
 def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
@@ -311,33 +313,69 @@ def ngram_features(tokens_df: DataFrame, key: str = "id", tokens_col: str = "tok
     """Long (key, width, gram, n) - count of each word n-gram per row,
     over the whole token array.
 
-    A row's grams are counted where the row lies: its grams of one width are
-    built at the exploded (width) row, sorted, and run lengths of the sorted
-    array become (gram, n) rows through one ``inline``. Nothing is exchanged,
-    so a wide scan is used as it is; rows that share a key are counted apart.
+    A row's grams are counted where the row lies, in Arrow batches. Nothing is
+    exchanged, so a wide scan is used as it is; rows that share a key are counted
+    apart. A row's grams come by their first place, the widest first: neighbours
+    share most of their words, so a written gram takes a few bytes.
     """
-    widths = sorted(set(widths))
-    t = F.col(tokens_col)
-    per = tokens_df.select(key, tokens_col, F.explode(F.array(*[F.lit(n) for n in widths]))
-                           .alias("width")).filter(F.size(t) >= F.col("width"))
-    # sort_array is native; array_sort would compare by an interpreted lambda
-    grams = F.sort_array(F.transform(
-        F.sequence(F.lit(1), F.size(t) - F.col("width") + 1),
-        lambda i: F.array_join(F.slice(t, i, F.col("width")), " ")))
-    # let: the sorted array is made once per row, not once per element
-    runs = F.get(F.transform(F.array(grams), _run_lengths), F.lit(0))
-    return (per.select(key, "width", F.inline(runs))
-            .select(key, "width", "gram", F.col("n").cast("long").alias("n")))
-
-
-def _run_lengths(g):
-    """(gram, n) of a sorted array: from the places where the value changes."""
-    ends = F.filter(F.sequence(F.lit(0), F.size(g) - 1),
-                    lambda i: ~F.coalesce(F.get(g, i + 1) == F.get(g, i), F.lit(False)))
-    return F.get(F.transform(F.array(ends), lambda e: F.transform(
-        e, lambda at, k: F.struct(F.get(g, at).alias("gram"),
-                                  (at - F.coalesce(F.get(e, k - 1), F.lit(-1))).alias("n")))),
-        F.lit(0))
+    rows = tokens_df.select(key, tokens_col)
+    return rows.mapInArrow(_grams(sorted(set(widths))), StructType(
+        [rows.schema[0], StructField("width", IntegerType()), StructField("gram", StringType()),
+         StructField("n", LongType())]))
+
+
+def _grams(widths: list[int]):
+    """mapInArrow: (key, tokens) to (key, width, gram, n), of about GRAM_TOKENS tokens at a time."""
+    def run(batches):
+        for b in batches:
+            sizes = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy().astype(np.int64)
+            cuts = np.searchsorted(np.cumsum(sizes), np.arange(GRAM_TOKENS, int(sizes.sum()), GRAM_TOKENS)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(sizes)]):
+                if hi <= lo or not sizes[lo:hi].any():
+                    continue
+                row = np.repeat(np.arange(lo, hi), sizes[lo:hi])
+                at, width, gram, n = _gram_rows(b.column(1).slice(lo, hi - lo).flatten(), row, widths)
+                for k in range(0, len(at), ROWS_PER_TASK):
+                    to = slice(k, k + ROWS_PER_TASK)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(row[at[to]])), pa.array(width[to]),
+                         gram.take(pa.array(at[to] + len(row) * np.searchsorted(widths, width[to]))),
+                         pa.array(n[to])], [b.schema.names[0], "width", "gram", "n"])
+    return run
+
+
+def _gram_rows(tokens: pa.Array, row: np.ndarray, widths: list[int]):
+    """Of tokens and their rows: (place, width, n) of each row's distinct grams, and the
+    grams of every width at every place (of no use where a row ends before)."""
+    size = len(tokens)
+    first = np.zeros((size, len(widths)), bool)  # the gram is there, and not earlier in its row
+    n = np.ones((size, len(widths)), np.int64)
+    grams, again = [], None
+    # then equal grams of a width begin with equal grams of a lesser one
+    plain = not tokens.null_count and not pc.any(pc.match_substring(tokens, " ")).as_py()
+    for j, w in enumerate(widths):
+        last = max(0, size - w + 1)
+        gram = pc.binary_join_element_wise(*[tokens.slice(k, last) for k in range(w)], " ",
+                                           null_handling="skip")
+        grams += [gram, pa.nulls(size - last, gram.type)]
+        there = np.flatnonzero(row[:last] == row[w - 1:w - 1 + last])
+        first[there, j] = True
+        if plain and again is not None:
+            there = there[again[there]]
+        code = gram.take(pa.array(there)).dictionary_encode().indices.to_numpy()
+        each = row[there] * (size + 1) + code
+        order = np.argsort(each, kind="stable")
+        starts = np.flatnonzero(np.diff(each[order], prepend=-1))
+        counts = np.diff(starts, append=len(order))
+        many = np.repeat(counts > 1, counts)
+        again = np.zeros(size, bool)
+        again[there[order[many]]] = True
+        first[again, j] = False
+        heads = there[order[starts[counts > 1]]]
+        first[heads, j], n[heads, j] = True, counts[counts > 1]
+    at, j = np.divmod(np.flatnonzero(first[:, ::-1]), len(widths))
+    j = len(widths) - 1 - j
+    return at, np.asarray(widths, np.int32)[j], pa.concat_arrays(grams), n[at, j]
 
 
 def vocabulary_vectors(vocab: DataFrame, vectors: DataFrame, vec_id: str = "vec_id",

@@ -393,3 +393,23 @@ def test_embedded_rows_of_one_id_come_together(spark, monkeypatch, how):
     assert sorted((r.id, r.pos, r.vector) for r in rows) == sorted(want)
     runs = 1 + sum(a.vector != b.vector for a, b in zip(rows, rows[1:]))
     assert runs <= 7 * (len(want) // 60 + 1)
+
+
+def test_grams_of_neighbouring_places_come_together(spark, monkeypatch):
+    """The widest first, by their first place; counts of repeated ones, of rows of one key
+    apart, with blanks and nulls in tokens, a few tokens at a time."""
+    monkeypatch.setattr(V, "GRAM_TOKENS", 11)
+    docs = [["a", "b", "a", "b", "a", "b", "c"], [], None, ["x", "y"], ["a b", "c", "a", "b c", "d"],
+            ["p", None, "q", "p", "q", None], ["z"] * 9, list("abcabcabd"), list("abcdefghijklm")]
+    df = spark.createDataFrame([(k // 2, t) for k, t in enumerate(docs)], "id long, tokens array<string>")
+    rows = V.ngram_features(df.coalesce(1), "id", widths=(2, 3, 5)).collect()
+    want = []
+    for k, t in enumerate(t or [] for t in docs):
+        seen = {}
+        for i in range(len(t)):
+            for w in (5, 3, 2):
+                if i + w <= len(t):
+                    g = (w, " ".join(x for x in t[i:i + w] if x is not None))
+                    seen[g] = seen.get(g, 0) + 1
+        want += [(k // 2, w, g, n) for (w, g), n in seen.items()]
+    assert [(r.id, r.width, r.gram, r.n) for r in rows] == want
