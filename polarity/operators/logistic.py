@@ -22,6 +22,7 @@ soft. Words that do not vary have weight 0.
 
 from __future__ import annotations
 
+import gc
 import math
 from dataclasses import dataclass
 
@@ -40,6 +41,8 @@ from polarity.session import checkpoint, drop_scratch, scratch_mark
 STEPS = [2.0 ** k for k in range(-8, 0)] + [0.7, 0.85, 1.0, 1.2, 1.4, 2.0, 4.0, 8.0, 16.0]
 #: term rows a lookup task may hold, at least
 ROWS_PER_TASK = 1_000_000
+#: iterations after which shuffle files of earlier ones are let go
+FREED = 1
 
 
 @dataclass
@@ -120,6 +123,13 @@ def _step(slopes: list[float], total: float, slope0: float, penalty) -> float:
     return low
 
 
+def free_shuffles(spark) -> None:
+    """Have files of shuffles that nothing refers to any more deleted; else they stay until
+    the driver's JVM happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 STATE = ("part long, y binary, lam binary, z binary, a binary, m binary, dots array<double>, "
          "free double")
 
@@ -232,6 +242,8 @@ def _fit(rows: DataFrame, docs: DataFrame, key: str, reg: float, max_iter: int,
         pairs.append(slot)
         drop_scratch(spark, mark, until)
         done += 1
+        if done % FREED == 0:
+            free_shuffles(spark)
     until = scratch_mark()
     words = checkpoint(matrix.by_word(state, lambda b, r: _columns(b, r)[3][0]), "lr-weights")
     T.forget(state)

@@ -22,17 +22,21 @@ import math
 import uuid
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from polarity.functions.text import decode_label
 from polarity.operators.joins import (DEFAULT_BROADCAST_ROWS, dealt_lookup, frequent_keys,
-                                      one_row_per_key, repeated_key, task_share)
-from polarity.session import checkpoint, scratch_path
+                                      one_row_each, one_row_per_key, repeated_key, task_share)
+from polarity.session import checkpoint, drop_scratch, scratch_mark, scratch_path
 
 CLIP = 30.0
 SOFT_DECIMALS = 6
@@ -44,6 +48,8 @@ HOT_WORDS = 200_000
 # Words up to which ``pyspark.ml`` fits a logistic regression: its driver holds
 # every word and some twenty vectors of a number per word.
 LR_WORDS = 1_500_000
+# Tokens whose words a task counts at a time (about 50 bytes for each).
+TOKENS = 1_000_000
 
 
 @dataclass
@@ -164,24 +170,54 @@ def soft_label(score) -> F.Column:
     return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-s)), SOFT_DECIMALS)
 
 
+def _counted(carry: int):
+    """mapInArrow: (key, *carry, tokens) to (key, *carry, terms), terms being the (word, tf)
+    of a row's distinct words, and a null word with tf 1."""
+    def run(batches):
+        for b in batches:
+            lists = b.column(carry + 1)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            cuts = np.searchsorted(np.cumsum(sizes), np.arange(TOKENS, int(sizes.sum()), TOKENS)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(sizes)]):
+                if hi <= lo:
+                    continue
+                tokens = lists.slice(lo, hi - lo).flatten()
+                if tokens.null_count:
+                    raise ValueError("a row has a null token")
+                coded = tokens.dictionary_encode()
+                none = len(coded.dictionary)  # the null word's number
+                rows = np.arange(hi - lo, dtype=np.int64)
+                at = np.repeat(rows, sizes[lo:hi]) * (none + 1) + coded.indices.to_numpy()
+                at = np.sort(np.concatenate([at, rows * (none + 1) + none]))
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                row, word = np.divmod(at[first], none + 1)
+                tf = np.diff(first, append=len(at))
+                word = coded.dictionary.take(pa.array(word, mask=word == none))
+                ends = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
+                terms = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+                    [word, pa.array(tf.astype(np.int64))], ["word", "tf"]))
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(k).slice(lo, hi - lo) for k in range(carry + 1)), terms],
+                    [*b.schema.names[:carry + 1], "_terms"])
+    return run
+
+
 def term_table(docs: DataFrame, key: str = "id", tokens: str = "tokens",
                carry: tuple = ()) -> DataFrame:
     """(key, *carry, word, tf) of every document, and one row per document
     with a null word and tf 1, written once as Parquet bucketed by ``key``
-    under the shared checkpoint folder. Sums per document and joins on the key
-    then need no exchange, so fitting, scoring and refitting move per-word and
-    per-document numbers only, never tokens. ``key`` must be unique."""
+    under the shared checkpoint folder. Words are counted where a document lies.
+    Sums per document and joins on the key then need no exchange, so fitting,
+    scoring and refitting move per-word and per-document numbers only, never
+    tokens. ``key`` must be unique."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(key, *carry, tokens).repartition(n, key)
-    marked = F.concat(F.coalesce(F.col(tokens), F.array().cast("array<string>")),
-                      F.array(F.lit(None).cast("string")))
-    terms = (rows.select(key, *carry, F.explode(marked).alias("word"))
-             .groupBy(key, "word").agg(*[F.first(c).alias(c) for c in carry],
-                                       F.count(F.lit(1)).alias("tf")))
-    tf = F.when(F.col("word").isNull() & (F.col("tf") > 1), repeated_key(key)).otherwise(F.col("tf"))
+    one_row_each(docs, key)
+    rows = docs.select(key, *carry, tokens)
+    counted = rows.mapInArrow(_counted(len(carry)), StructType([*rows.schema.fields[:-1], StructField(
+        "_terms", ArrayType(StructType([StructField("word", StringType()), StructField("tf", LongType())])))]))
     name = f"polarity_terms_{uuid.uuid4().hex}"
-    (terms.withColumn("tf", tf).write.bucketBy(n, key).sortBy(key)
+    (counted.repartition(n, key).select(key, *carry, F.inline("_terms")).write.bucketBy(n, key).sortBy(key)
      .option("path", scratch_path(spark, "terms")).saveAsTable(name))
     return spark.table(name)
 
@@ -240,9 +276,8 @@ def _lr_terms(df: DataFrame, tokens: str, carry: tuple) -> DataFrame:
                       "_row", tokens, carry)
 
 
-def _many_words(df: DataFrame, tokens: str) -> tuple[int, bool]:
-    n = df.select(F.explode(tokens).alias("_w")).distinct().count()
-    return n, n > LR_WORDS
+def _word_count(terms: DataFrame) -> int:
+    return terms.where("word is not null").select("word").distinct().count()
 
 
 def _known(label: str) -> F.Column:
@@ -254,14 +289,18 @@ def fit_lr(df: DataFrame, tokens: str = "tokens", label: str = "label",
     """T1 (lr): word counts + logistic regression (optionally row weighted).
     Every distinct word is a feature of its own. Up to LR_WORDS of them a
     ``PipelineModel``; beyond, a ``logistic.TermLR`` of the same objective."""
-    n, many = _many_words(df, tokens)
     data = df.withColumn("_label", F.col(label).cast("double"))
-    if many:
+    lam = F.col(weight).cast("double") if weight else F.lit(1.0)
+    mark = scratch_mark()
+    terms = _lr_terms(data.select(tokens, F.col("_label").alias("_y"), lam.alias("_lam")),
+                      tokens, ("_y", "_lam"))
+    n = _word_count(terms)
+    if n > LR_WORDS:
         from polarity.operators.logistic import fit_weighted_terms
-        lam = F.col(weight).cast("double") if weight else F.lit(1.0)
-        terms = _lr_terms(data.select(tokens, _known("_label").alias("_y"), lam.alias("_lam")),
-                          tokens, ("_y", "_lam"))
-        return fit_weighted_terms(terms, "_row", "_y", "_lam", reg, max_iter)
+        model = fit_weighted_terms(terms.withColumn("_y", _known("_y")), "_row", "_y", "_lam", reg, max_iter)
+    drop_scratch(df.sparkSession, mark, mark + 1)
+    if n > LR_WORDS:
+        return model
     tf = CountVectorizer(inputCol=tokens, outputCol="_features", vocabSize=max(1, n), minDF=1.0)
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter,
                             regParam=reg, predictionCol="_pred",
@@ -286,12 +325,18 @@ def fit_semi_lr(labeled: DataFrame, unlabeled: DataFrame, key: str = "id",
     lab = labeled.select(key, tokens, F.col(label).cast("double").alias("_y"),
                          F.lit(1.0).alias("_w"))
     unl = unlabeled.select(key, tokens)
-    if _many_words(lab.select(tokens).unionAll(unl.select(tokens)), tokens)[1]:
+    both = lab.select(tokens, "_y", F.lit(True).alias("_lab")).unionByName(
+        unl.select(tokens, F.lit(None).cast("double").alias("_y"), F.lit(False).alias("_lab")))
+    mark = scratch_mark()
+    terms = _lr_terms(both, tokens, ("_y", "_lab"))
+    many = _word_count(terms) > LR_WORDS
+    if many:
         from polarity.operators.logistic import fit_semi_lr_terms
-        both = lab.select(tokens, _known("_y").alias("_y")).unionByName(
-            unl.select(tokens, F.lit(None).cast("double").alias("_y")))
-        return fit_semi_lr_terms(_lr_terms(both, tokens, ("_y",)), "_row", "_y", unlabel_weight,
-                                 rounds, **{"reg": 0.0, "max_iter": 50, **lr_args})
+        model = fit_semi_lr_terms(terms.withColumn("_y", F.when(F.col("_lab"), _known("_y"))), "_row", "_y",
+                                  unlabel_weight, rounds, **{"reg": 0.0, "max_iter": 50, **lr_args})
+    drop_scratch(unl.sparkSession, mark, mark + 1)
+    if many:
+        return model
     model = fit_lr(lab, tokens, "_y", weight="_w", **lr_args)
     for _ in range(rounds):
         soft = checkpoint(score_lr(unl, model, key)

@@ -146,16 +146,18 @@ def test_fit_joins_no_term_rows_by_word(spark, monkeypatch):
     assert L.fit_lr_terms(table(spark, corpus()), reg=0.1, max_iter=3, tol=0.0).iterations == 3
 
 
-def test_sums_by_word_equal_dense_ones(spark):
+def test_sums_by_word_equal_dense_ones(spark, monkeypatch):
     """Weighted, soft labels; words of one block, of several, and one that does not vary."""
+    from polarity.operators import term_blocks
     from polarity.operators.term_blocks import Blocks, array_of
+    monkeypatch.setattr(term_blocks, "TERMS", 90)
     rows = [(i, ws + ["all"] * 300 * (i < 2) + ["same"], y) for i, ws, y in corpus(90, 3)] + [(99, ["same"], 0)]
     lam = {r[0]: 0.5 + r[0] % 3 for r in rows}
     terms = table(spark, rows)
     docs = spark.createDataFrame([(k, 0.25, w) for k, w in lam.items()], "id long, y double, lam double")
     total, w2 = sum(lam.values()), sum(w * w for w in lam.values())
     blocks = Blocks(terms, docs, "id", total, total - w2 / total)
-    assert blocks.blocks.count() > 1
+    assert blocks.blocks.count() > 8
     got = {r.word: (r.value, r.n) for r in blocks.by_word(
         blocks.blocks.select("part", "lam"), lambda b, r: array_of(b.column("lam"), r, np.float64)).collect()}
     words = {w for _, ws, _ in rows for w in ws} - {"same"}
