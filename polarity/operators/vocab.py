@@ -181,7 +181,7 @@ def lookup_ids(df: DataFrame, vocab: DataFrame, key: str = "id", tokens_col: str
                              .agg(F.count(F.lit(1)).alias("n")), "word-counts"))
         frequent = frequent_keys(counts, "word", HOT_WORDS)
         head = v.join(F.broadcast(frequent), "word", "left_semi")
-        tail = v.join(F.broadcast(frequent), "word", "left_anti")
+        tail = checkpoint(v.join(F.broadcast(frequent), "word", "left_anti"), "rare-words")
     left = F.lit(None).cast("string") if tail is None else F.when(F.col("_vid").isNull(), F.col("word"))
     ids = F.coalesce(F.col("_vid"), F.lit(unk)).cast("int")
     rows = exploded.join(F.broadcast(head), "word", "left").select(
