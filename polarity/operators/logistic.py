@@ -183,6 +183,7 @@ def _fit(rows: DataFrame, docs: DataFrame, key: str, reg: float, max_iter: int,
     """Fit from term rows (key, word, tf; a null word per document) and (key,
     y, lam) of the documents."""
     spark = rows.sparkSession
+    free_shuffles(spark)  # of the term table
     begun = scratch_mark()
     docs = checkpoint(docs.where("lam > 0").select(key, F.col("y").cast("double").alias("y"),
                                                    F.col("lam").cast("double").alias("lam")), "lr-docs")
